@@ -1,6 +1,6 @@
 """BPE encoding and decoding with a contiguous rank array.
 
-A short word is an array of part boundaries beside an array with the merge rank of each adjacent pair. The encoder scans
+A short word is an array of parts (their bounds are the places between them) beside an array with the merge rank of each adjacent pair. The encoder scans
 for the smallest rank, deletes that boundary and refreshes the two neighbouring ranks until no pair can merge. Words of more than
 ``SHORT`` parts take a heap over the same pairs, so a 100,000-character word costs n log n; results are equal.
 
@@ -18,6 +18,7 @@ import functools
 import heapq
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import types as T
 from tallyfold.llm.common import text_batches
 
 SHORT = 64
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 NONE = 1 << 60
 
 
@@ -50,71 +51,81 @@ class RankArrayBpe:
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix: str = model["end_of_word_suffix"] or ""
-        self.ranks = {tuple(pair): rank for rank, pair in enumerate(model["merges"])}
+        # A pair of ids as one integer, with its rank; and the id that a rank makes.
+        self.ranks = {self.vocab[a] << 32 | self.vocab[b]: rank for rank, (a, b) in enumerate(model["merges"])}
+        self.made = [self.vocab[a + b] for a, b in model["merges"]]
         self.specials = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.strings = {i: s for s, i in [*self.vocab.items(), *self.specials.items()]}
         split = next(x for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
         self.words = regex.compile(split["pattern"]["Regex"])
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
-        self.alphabet = byte_alphabet()
+        alphabet = byte_alphabet()
+        self.bytes = [self.vocab[c] for c in alphabet]
+        self.last_bytes = [self.vocab[c + self.suffix] for c in alphabet]
         self.remembered = remembered
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[str, bytes] = {}
+        self.words_known: dict[str, list[int]] = {}
 
-    def merge(self, parts: list[str]) -> list[str]:
-        """The parts of one word after all merges."""
+    def merge(self, parts: list[int]) -> list[int]:
+        """The ids of one word after all merges; parts: the ids of its bytes."""
         return self._merge_short(parts) if len(parts) <= SHORT else self._merge_long(parts)
 
-    def _merge_short(self, parts: list[str]) -> list[str]:
-        if len(parts) < 2:
-            return parts
-        word, ends = "".join(parts), [0]
-        for p in parts:
-            ends.append(ends[-1] + len(p))
-        rank = self.ranks.get
-
-        def pair(i: int) -> int:  # of the parts on both sides of boundary i
-            return rank((word[ends[i - 1] : ends[i]], word[ends[i] : ends[i + 1]]), NONE)
-
-        near = [NONE, *(pair(i) for i in range(1, len(ends) - 1))]
-        while len(near) > 1:
+    def _merge_short(self, parts: list[int]) -> list[int]:
+        rank, made = self.ranks.get, self.made
+        near = [rank(a << 32 | b, NONE) for a, b in zip(parts, parts[1:], strict=False)]
+        while near:
             least = min(near)
             if least == NONE:
                 break
-            i = near.index(least)
-            del ends[i], near[i]
-            if i > 1:
-                near[i - 1] = pair(i - 1)
+            i = near.index(least)  # the boundary between parts i and i + 1 goes
+            parts[i] = made[least]
+            del parts[i + 1], near[i]
+            if i:
+                near[i - 1] = rank(parts[i - 1] << 32 | parts[i], NONE)
             if i < len(near):
-                near[i] = pair(i)
-        return [word[a:b] for a, b in zip(ends, ends[1:], strict=False)]
-
-    def _merge_long(self, parts: list[str]) -> list[str]:
-        n, parts, after, before = len(parts), list(parts), list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
-        heap = [(r, i) for i in range(n - 1) if (r := self.ranks.get((parts[i], parts[i + 1]))) is not None]
+                near[i] = rank(parts[i] << 32 | parts[i + 1], NONE)
+        return parts
+
+    def _merge_long(self, parts: list[int]) -> list[int]:
+        n, after, before = len(parts), list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
+        rank, heap = self.ranks.get, []
+        for i in range(n - 1):
+            if (r := rank(parts[i] << 32 | parts[i + 1])) is not None:
+                heap.append((r, i))
         heapq.heapify(heap)
         while heap:
             r, i = heapq.heappop(heap)
             j = after[i]
-            if parts[i] == "" or j >= n or self.ranks.get((parts[i], parts[j])) != r:
+            if parts[i] < 0 or j >= n or rank(parts[i] << 32 | parts[j]) != r:
                 continue  # one of the two has merged meanwhile
-            parts[i] += parts[j]
-            parts[j] = ""
-            after[i] = after[j]
+            parts[i], parts[j], after[i] = self.made[r], -1, after[j]
             if after[i] < n:
                 before[after[i]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b < n and (r := self.ranks.get((parts[a], parts[b]))) is not None:
+                if a >= 0 and b < n and (r := rank(parts[a] << 32 | parts[b])) is not None:
                     heapq.heappush(heap, (r, a))
-        return [p for p in parts if p]
+        return [p for p in parts if p >= 0]
+
+    def _word(self, word: str) -> list[int]:
+        raw = word.encode("utf-8")
+        parts = [self.bytes[b] for b in raw]
+        parts[-1] = self.last_bytes[raw[-1]]
+        return self.merge(parts)
 
     def _plain(self, text: str) -> list[int]:
         """Ids of a text without special tokens."""
-        text = "".join(c.lower() for c in unicodedata.normalize("NFC", text))
-        out: list[int] = []
+        if text.isascii():
+            text = text.lower()
+        else:
+            text = "".join([c.lower() for c in unicodedata.normalize("NFC", text)])
+        known, out = self.words_known, []
         for word in self.words.findall(text):
-            parts = [self.alphabet[b] for b in word.encode("utf-8")]
-            parts[-1] += self.suffix
-            out += [self.vocab[p] for p in self.merge(parts)]
+            got = known.get(word)
+            if got is None:
+                got = self._word(word)
+                if len(word) < 50:
+                    known[word] = got
+            out += got
         return out
 
     def _chunk(self, chunk: str) -> list[int]:
@@ -131,18 +142,18 @@ class RankArrayBpe:
         feeds and each distinct chunk is merged once while the worker remembers it."""
         if not text:
             return b""
-        known, out = self.known, []
+        known = self.known
         if len(known) > self.remembered:
             known.clear()
-        for chunk in text.replace("\n", " ").split(" "):
-            if chunk:
-                got = known.get(chunk)
-                if got is None:
-                    got = np.array(self._chunk(chunk), dtype="<u4").tobytes()
-                    if len(chunk) < 200:
-                        known[chunk] = got
-                out.append(got)
-        return b"".join(out)
+        if len(self.words_known) > self.remembered:
+            self.words_known.clear()
+        chunks = text.replace("\n", " ").split(" ")
+        for chunk in set(chunks).difference(known):
+            known[chunk] = array("I", self._chunk(chunk)).tobytes()
+        out = b"".join(map(known.__getitem__, chunks))
+        if len(chunks) == 1 and len(text) > 100:
+            known.pop(chunks[0])
+        return out
 
 
 @functools.lru_cache(maxsize=2)

@@ -16,11 +16,14 @@ from __future__ import annotations
 
 import functools
 import os
-
-import numpy as np
+import re
+from array import array
 
 #: Chunks that a worker remembers, some 100 MB; then it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
+_STOPS = (".", ",")
+#: A space, and beside it other white space than line feeds and spaces that stand alone.
+_SPACES = re.compile(r"[^\S \n]| \n|\n | $")
 
 
 class ChunkTokens:
@@ -35,11 +38,14 @@ class ChunkTokens:
         self.known: dict[str, bytes] = {}
 
     def chunks(self, text: str) -> list[str]:
-        if self.split == "words":
-            return text.replace("\n", " ").split(" ")
         if self.split == "whole" or "<|" in text:
             return [text]
+        if self.split == "words":
+            # The tokenizer lower-cases character by character; only a final sigma differs in Python.
+            return (text if "\u03a3" in text else text.lower()).replace("\n", " ").split(" ")
         parts = text.split(" ")
+        if "" not in parts and _SPACES.search(text) is None:
+            return [parts[0], *map(" ".__add__, parts[1:])]
         out = [parts[0]]
         for part in parts[1:]:
             if part and not part[0].isspace():
@@ -48,21 +54,39 @@ class ChunkTokens:
                 out[-1] += " " + part
         return out
 
+    def pieces(self, chunk: str) -> list[str]:
+        """The parts of a new chunk that always are tokens of their own: the lines of a chunk that runs over a line end, and a full stop or comma behind a
+        letter. Both bounds are bounds of the split patterns' matches."""
+        if "\n" in chunk and self.split == "leading_space":
+            lines = chunk.split("\n")
+            if all(lines) and not any(x[-1].isspace() for x in lines[:-1]) and not any(x[0].isspace() for x in lines[1:]):
+                out = self.pieces(lines[0])
+                for line in lines[1:]:
+                    out += ["\n", *self.pieces(line)]
+                return out
+        if chunk[-1:] in _STOPS and chunk[-2:-1].lower()[-1:].isalpha() and self.split != "whole" and "<|" not in chunk:
+            return [chunk[:-1], chunk[-1]]
+        return [chunk]
+
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Per text, its ids as little-endian unsigned 32-bit integers; null counts as empty."""
         cut = [self.chunks(t) if t else [] for t in texts]
         known = self.known
         if len(known) > self.remembered:
             known.clear()
-        new = list(set().union(*cut).difference(known)) if cut else []
-        for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
-            for chunk, got in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[chunk] = np.array(got.ids, dtype="<u4").tobytes()
+        new = {c: self.pieces(c) for c in set().union(*cut).difference(known)} if cut else {}
+        need = list({p for pieces in new.values() for p in pieces}.difference(known))
+        for i in range(0, len(need), 4096):
+            some = need[i : i + 4096]
+            for piece, got in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                known[piece] = array("I", got.ids).tobytes()
+        for chunk, pieces in new.items():
+            if len(pieces) > 1:
+                known[chunk] = b"".join([known[p] for p in pieces])
         out = [b"".join(map(known.__getitem__, c)) for c in cut]
-        for c in cut:  # a chunk that is a long text of its own isn't worth keeping
-            if len(c) == 1 and len(c[0]) > 200:
-                known.pop(c[0], None)
+        for chunk in new:  # long chunks, a text of its own among them, aren't worth keeping
+            if len(chunk) > 100:
+                known.pop(chunk, None)
         return out
 
 

@@ -28,7 +28,7 @@ from tallyfold.llm.common import text_batches
 
 MAGIC = b"WVMX1"
 BLOCK = 512
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 19
 FILE_SCHEMA = "bucket int, shard int, n_docs int, n_tokens long, doc_ids array<long>, lengths array<int>, blob binary"
 
 
@@ -139,18 +139,15 @@ class WaveletMatrix:
         return block * BLOCK + int(np.flatnonzero(bits == bit)[k - int(before[block])])
 
     def ids(self) -> np.ndarray:
-        """All ids in order, plane by plane: every plane maps its places to those in the next."""
-        place, value = np.arange(self.n, dtype=np.int32), np.zeros(self.n, dtype=np.uint32)
-        for plane, zeros in zip(self.planes, self.zeros, strict=True):
-            bits = np.unpackbits(plane, count=self.n)
-            ones = bits.astype(bool)
-            to = np.empty(self.n, dtype=np.int32)
-            n_zeros = self.n - int(bits.sum())
-            to[~ones] = np.arange(n_zeros, dtype=np.int32)
-            to[ones] = np.arange(zeros, self.n, dtype=np.int32)
-            value = value << 1 | bits[place]
-            place = to[place]
-        return value
+        """All ids in order, from the lowest plane up: each plane tells which places its zeros and its ones came from."""
+        value = np.zeros(self.n, dtype=np.uint16 if len(self.planes) <= 16 else np.uint32)
+        for level in range(len(self.planes) - 1, -1, -1):
+            ones = np.unpackbits(self.planes[level], count=self.n).view(bool)
+            zeros, above = self.zeros[level], np.empty_like(value)
+            above[~ones] = value[:zeros]
+            above[ones] = value[zeros:] | value.dtype.type(1 << (len(self.planes) - 1 - level))
+            value = above
+        return value.astype(np.uint32)
 
 
 def write_shards(docs: DataFrame, out: str, tokenizer: str, split: str = "whole", end_id: int = 0, shard_tokens: int = SHARD_TOKENS, text: str = "text", doc_id: str = "doc_id") -> None:
