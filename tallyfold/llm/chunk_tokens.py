@@ -3,27 +3,57 @@
 Texts repeat their words, so a worker keeps the ids of the chunks it has met and asks the library only for new ones.
 ``split`` says where a text may be cut without changing its ids:
 
-- ``words``: the tokenizer drops white space, so every space or line feed separates chunks;
-- ``leading_space``: byte-level tokenizers join one space to the word behind it, so a text may be cut before each space
-  that is followed by something other than white space;
+- ``words``: the tokenizer lower-cases and drops white space, so every space or line feed separates chunks;
+- ``leading_space``: byte-level tokenizers join one space to the word behind it, so a text whose only white space is single spaces and line
+  feeds may be cut before each space; any other text goes to the library whole;
 - ``whole``: never (any tokenizer).
 
-A text that holds ``<|`` may hold a special token, beside which white space groups differently; it goes to the library whole
-under ``leading_space``.
+A text that holds ``<|`` may hold a special token, beside which white space and case count differently; it goes to the library whole.
+A new chunk is cut further where a token always ends: at a full stop or comma behind a letter, and at lone line feeds.
 """
 
 from __future__ import annotations
 
 import functools
 import os
-import re
+import unicodedata
 from array import array
 
-#: Chunks that a worker remembers, some 100 MB; then it starts anew.
-REMEMBERED = 400_000
+from tallyfold.llm.bpe import byte_alphabet
+
+#: Chunks that a worker remembers, some 150 MB; then it starts anew.
+REMEMBERED = 700_000
 _STOPS = (".", ",")
-#: A space, and beside it other white space than line feeds and spaces that stand alone.
-_SPACES = re.compile(r"[^\S \n]| \n|\n | $")
+
+
+class _Known(dict):
+    """Ids (little-endian unsigned 32-bit integers) of chunks; ``before`` is put before a chunk that the library is asked for.
+
+    A chunk of letters only is one match of the split pattern, so the library's model is asked directly, in the byte-level alphabet.
+    """
+
+    def __init__(self, library, before: str):
+        self.encode, self.model, self.before = library.encode, library.model, before
+        self.stops: dict = self
+        self.alphabet = str.maketrans({chr(b): c for b, c in enumerate(byte_alphabet())})
+
+    def __missing__(self, chunk: str) -> bytes:
+        got = None
+        if chunk.isalpha() and (chunk.isascii() or unicodedata.is_normalized("NFC", chunk)):
+            seen = (self.before + chunk).encode("utf-8").decode("latin-1").translate(self.alphabet)
+            got = array("I", [t.id for t in self.model.tokenize(seen)]).tobytes()
+        elif chunk:
+            if "\n" in chunk and self.before:
+                lines = chunk.split("\n")
+                if all(lines) and not any(x[-1].isspace() for x in lines[:-1]) and not any(x[0].isspace() for x in lines[1:]):
+                    got = self[lines[0]] + b"".join([self.stops["\n"] + self.stops[x] for x in lines[1:]])
+            elif chunk[-1] in _STOPS and chunk[-2:-1].lower()[-1:].isalpha() and "\n" not in chunk:
+                got = self[chunk[:-1]] + self.stops[chunk[-1]]
+        if got is None:
+            got = array("I", self.encode(self.before + chunk, add_special_tokens=False).ids).tobytes() if self.before + chunk else b""
+        if len(chunk) < 100:
+            self[chunk] = got
+        return got
 
 
 class ChunkTokens:
@@ -35,59 +65,30 @@ class ChunkTokens:
         self.library.no_padding()
         self.library.no_truncation()
         self.split, self.remembered = split, remembered
-        self.known: dict[str, bytes] = {}
+        self.plain = _Known(self.library, "")  # chunks as they are
+        self.spaced = _Known(self.library, " ")  # chunks behind a space
+        self.spaced.stops = self.plain
 
-    def chunks(self, text: str) -> list[str]:
-        if self.split == "whole" or "<|" in text:
-            return [text]
-        if self.split == "words":
+    def one(self, text: str | None) -> bytes:
+        """Ids of a text as little-endian unsigned 32-bit integers; null counts as empty."""
+        if not text:
+            return b""
+        if self.split == "words" and "<|" not in text and "Σ" not in text:
             # The tokenizer lower-cases character by character; only a final sigma differs in Python.
-            return (text if "\u03a3" in text else text.lower()).replace("\n", " ").split(" ")
-        parts = text.split(" ")
-        if "" not in parts and _SPACES.search(text) is None:
-            return [parts[0], *map(" ".__add__, parts[1:])]
-        out = [parts[0]]
-        for part in parts[1:]:
-            if part and not part[0].isspace():
-                out.append(" " + part)
-            else:
-                out[-1] += " " + part
-        return out
-
-    def pieces(self, chunk: str) -> list[str]:
-        """The parts of a new chunk that always are tokens of their own: the lines of a chunk that runs over a line end, and a full stop or comma behind a
-        letter. Both bounds are bounds of the split patterns' matches."""
-        if "\n" in chunk and self.split == "leading_space":
-            lines = chunk.split("\n")
-            if all(lines) and not any(x[-1].isspace() for x in lines[:-1]) and not any(x[0].isspace() for x in lines[1:]):
-                out = self.pieces(lines[0])
-                for line in lines[1:]:
-                    out += ["\n", *self.pieces(line)]
-                return out
-        if chunk[-1:] in _STOPS and chunk[-2:-1].lower()[-1:].isalpha() and self.split != "whole" and "<|" not in chunk:
-            return [chunk[:-1], chunk[-1]]
-        return [chunk]
+            return b"".join(map(self.plain.__getitem__, text.lower().replace("\n", " ").split(" ")))
+        if self.split != "leading_space" or "<|" in text:
+            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        lone = "  " not in text and " \n" not in text and "\n " not in text and text[-1] != " "
+        if lone and text.replace("\n", "x").isprintable():  # no white space but the two
+            first, *chunks = text.split(" ")
+            return self.plain[first] + b"".join(map(self.spaced.__getitem__, chunks))
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        """Per text, its ids as little-endian unsigned 32-bit integers; null counts as empty."""
-        cut = [self.chunks(t) if t else [] for t in texts]
-        known = self.known
-        if len(known) > self.remembered:
-            known.clear()
-        new = {c: self.pieces(c) for c in set().union(*cut).difference(known)} if cut else {}
-        need = list({p for pieces in new.values() for p in pieces}.difference(known))
-        for i in range(0, len(need), 4096):
-            some = need[i : i + 4096]
-            for piece, got in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[piece] = array("I", got.ids).tobytes()
-        for chunk, pieces in new.items():
-            if len(pieces) > 1:
-                known[chunk] = b"".join([known[p] for p in pieces])
-        out = [b"".join(map(known.__getitem__, c)) for c in cut]
-        for chunk in new:  # long chunks, a text of its own among them, aren't worth keeping
-            if len(chunk) > 100:
-                known.pop(chunk, None)
-        return out
+        for known in (self.plain, self.spaced):
+            if len(known) > self.remembered:
+                known.clear()
+        return [self.one(t) for t in texts]
 
 
 @functools.lru_cache(maxsize=4)

@@ -52,11 +52,13 @@ class WaveletMatrix:
         order = ids.astype(np.uint16) if bits <= 16 else ids
         planes, zeros = [], []
         for level in range(bits - 1, -1, -1):
-            ones = (order >> level) & 1 == 1
+            ones = (order & order.dtype.type(1 << level)).astype(bool)
             planes.append(np.packbits(ones))
-            low = order[~ones]
-            zeros.append(len(low))
-            order = np.concatenate([low, order[ones]])
+            dealt = np.empty_like(order)
+            zeros.append(len(order) - int(np.count_nonzero(ones)))
+            np.compress(ones, order, out=dealt[zeros[-1] :])
+            np.compress(np.logical_not(ones, out=ones), order, out=dealt[: zeros[-1]])
+            order = dealt
         return cls(len(ids), planes, zeros)
 
     def dump(self) -> bytes:
