@@ -21,8 +21,8 @@ from array import array
 
 from tallyfold.llm.bpe import byte_alphabet
 
-#: Chunks that a worker remembers, some 150 MB; then it starts anew.
-REMEMBERED = 700_000
+#: Chunks that a worker remembers, some 250 MB; then it starts anew.
+REMEMBERED = 1_200_000
 _STOPS = (".", ",")
 
 

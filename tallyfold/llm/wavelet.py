@@ -159,7 +159,7 @@ def write_shards(docs: DataFrame, out: str, tokenizer: str, split: str = "whole"
     buckets = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     # Ranges of doc_id; a bucket is a partition, and its number orders the shards.
-    dealt = rows.repartitionByRange(buckets, F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    dealt = rows.repartitionByRange(buckets, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     dealt = dealt.withColumn("bucket", F.spark_partition_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
