@@ -11,6 +11,12 @@ def clean(x: Column) -> Column:
     return F.when(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), x)
 
 
+def rounded(x: Column | str, digits: int) -> Column:
+    """Half up by plain double arithmetic, which every engine does alike."""
+    x = F.col(x) if isinstance(x, str) else x
+    return F.floor(x * 10.0**digits + 0.5).cast("double") / 10.0**digits
+
+
 def safe_div(num: Column, den: Column) -> Column:
     """NULL where either side is missing or zero: a zero numerator counts as not reported."""
     return F.when((num != 0) & (den != 0), num / den)

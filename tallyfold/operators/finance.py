@@ -25,7 +25,7 @@ def fundamentals(filings: DataFrame, years: int = 5) -> DataFrame:
         "npm": S.safe_div(c("net_income"), c("revenue")) * 100,
         "debt_to_equity": S.safe_div(c("liabilities"), c("equity")),
         "dividend_yield": F.coalesce(S.price_ratio(c("dividend"), c("price")) * 100, F.lit(0.0))})
-    return out.select("company", "year", *(F.round(x, 4).alias(x) for x in RATIOS))
+    return out.select("company", "year", *(S.rounded(x, 4).alias(x) for x in RATIOS))
 
 
 RATIOS = ("eps", "pe", "pb", "ps", "roe", "npm", "debt_to_equity", "dividend_yield", "revenue_growth", "earnings_growth")
@@ -34,7 +34,7 @@ LONG_LIMITS = (("pe", -1, 15.0), ("pb", -1, 1.5), ("roe", 1, 15.0), ("npm", 1, 1
 
 
 def averages(per_year: DataFrame) -> DataFrame:
-    return per_year.groupBy("company").agg(F.count("*").alias("years"), *(F.round(F.avg(x), 3).alias(f"avg_{x}") for x in RATIOS))
+    return per_year.groupBy("company").agg(F.count("*").alias("years"), *(S.rounded(F.avg(x), 3).alias(f"avg_{x}") for x in RATIOS))
 
 
 def long_screen(averaged: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def valuation(filings: DataFrame) -> DataFrame:
         "net_debt": F.coalesce(c("debt"), F.lit(0.0)) - F.coalesce(c("cash"), F.lit(0.0)),
         "nopat": c("operating_income") * (1 - tax)})
     out = out.withColumns({"ev": c("price") * c("shares") + c("net_debt"), "roic": S.safe_div(c("nopat"), c("equity") + c("net_debt")) * 100})
-    return out.select("company", "year", *(F.round(x, 4).alias(n) for n, x in {
+    return out.select("company", "year", *(S.rounded(x, 4).alias(n) for n, x in {
         "ebitda": c("ebitda"), "ebitda_margin": S.safe_div(c("ebitda"), c("revenue")) * 100, "net_debt": c("net_debt"), "nopat": c("nopat"), "roic": c("roic"),
         "ev": c("ev"), "ev_ebitda": S.safe_div(c("ev"), c("ebitda")), "ev_revenue": S.safe_div(c("ev"), c("revenue")), "ev_ebit": S.safe_div(c("ev"), c("operating_income"))}.items()))
 
@@ -69,7 +69,7 @@ def win_probability(prices: DataFrame) -> DataFrame:
     """(days with a rise + 1) / days: the place of the first day without a fall among the changes; the first day counts as no change."""
     w = Window.partitionBy("ticker").orderBy("date")
     change = F.coalesce(S.safe_div(F.col("close") - F.lag("close").over(w), F.lag("close").over(w)), F.lit(0.0))
-    return prices.withColumn("change", change).groupBy("ticker").agg(F.round((F.count_if(F.col("change") > 0) + 1) / F.count("*"), 6).alias("win"))
+    return prices.withColumn("change", change).groupBy("ticker").agg(S.rounded((F.count_if(F.col("change") > 0) + 1) / F.count("*"), 6).alias("win"))
 
 
 def monthly_swings(prices: DataFrame) -> DataFrame:
@@ -78,26 +78,26 @@ def monthly_swings(prices: DataFrame) -> DataFrame:
     back = Window.partitionBy("ticker", "month").orderBy(F.desc("date")).rowsBetween(Window.unboundedPreceding, 0)
     rows = prices.withColumn("month", F.date_format("date", "yyyy-MM")).withColumns({"top": F.max("high").over(back), "floor": F.min("low").over(back)})
     rows = rows.withColumns({"up": F.when(F.col("low") > 0, F.col("top") / F.col("low") - 1), "down": F.when(F.col("floor") > 0, 1 - F.col("high") / F.col("floor"))})
-    return rows.groupBy("ticker", "month").agg(F.round(F.max("up"), 6).alias("vup"), F.round(F.min("down"), 6).alias("vdown"))
+    return rows.groupBy("ticker", "month").agg(S.rounded(F.max("up"), 6).alias("vup"), S.rounded(F.min("down"), 6).alias("vdown"))
 
 
 def moving_average(prices: DataFrame, rows: int = 43) -> DataFrame:
     """Mean of the newest closes and the last close's distance from it."""
     newest = Window.partitionBy("ticker").orderBy(F.desc("date"))
     out = prices.withColumn("n", F.row_number().over(newest)).filter(F.col("n") <= rows).groupBy("ticker").agg(F.avg("close").alias("mat"), F.max_by("close", "date").alias("last"))
-    return out.select("ticker", F.round("mat", 4).alias("mat"), F.round(F.col("last") / F.col("mat") - 1, 6).alias("diff_mat"))
+    return out.select("ticker", S.rounded("mat", 4).alias("mat"), S.rounded(F.col("last") / F.col("mat") - 1, 6).alias("diff_mat"))
 
 
 def market_snapshot(prices: DataFrame, rows: int = 252) -> DataFrame:
     newest = Window.partitionBy("ticker").orderBy(F.desc("date"))
     return prices.withColumn("n", F.row_number().over(newest)).filter(F.col("n") <= rows).groupBy("ticker").agg(
-        F.round(F.max_by("close", "date"), 4).alias("last_close"), F.round(F.avg("volume"), 4).alias("avg_volume"), F.round(F.max("high"), 4).alias("high_52w"), F.round(F.min("low"), 4).alias("low_52w"))
+        S.rounded(F.max_by("close", "date"), 4).alias("last_close"), S.rounded(F.avg("volume"), 4).alias("avg_volume"), S.rounded(F.max("high"), 4).alias("high_52w"), S.rounded(F.min("low"), 4).alias("low_52w"))
 
 
 def short_screen(prices: DataFrame) -> DataFrame:
     """Volume, price, win probability, swings and distance from the moving average, with the screen's verdict."""
     window = recent(prices)
-    swings = monthly_swings(window).groupBy("ticker").agg(F.round(F.avg("vup"), 6).alias("avg_vup"), F.round(F.avg("vdown"), 6).alias("avg_vdown"))
+    swings = monthly_swings(window).groupBy("ticker").agg(S.rounded(F.avg("vup"), 6).alias("avg_vup"), S.rounded(F.avg("vdown"), 6).alias("avg_vdown"))
     snap = market_snapshot(prices).select("ticker", "last_close", "avg_volume")
     out = snap.join(win_probability(window), "ticker").join(swings, "ticker").join(moving_average(window), "ticker")
     ok = (F.col("avg_volume") > 50) & (F.col("win") > 0.5) & (F.col("avg_vup") > 0.3) & (F.col("avg_vdown") < -0.3) & (F.col("diff_mat") > -0.025)

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.functions import scalars as S
+
 
 def undirected(edges: DataFrame) -> DataFrame:
     """edges(src, dst) both ways, distinct."""
@@ -49,6 +51,6 @@ def degrees(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     degree = nodes.join(ends.groupBy("node").agg(F.count("*").alias("degree")), "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
     d = F.col("degree")
     return degree.groupBy("kind").agg(
-        F.count("*").alias("nodes"), F.count_if(d == 0).alias("isolated"), F.min(d).alias("least"), F.max(d).alias("most"), F.round(F.avg(d), 4).alias("mean"),
-        F.round(F.percentile(d, 0.5), 4).alias("p50"), F.round(F.percentile(d, 0.95), 4).alias("p95"),
+        F.count("*").alias("nodes"), F.count_if(d == 0).alias("isolated"), F.min(d).alias("least"), F.max(d).alias("most"), S.rounded(F.avg(d), 4).alias("mean"),
+        S.rounded(F.percentile(d, 0.5), 4).alias("p50"), S.rounded(F.percentile(d, 0.95), 4).alias("p95"),
         F.count_if(d.between(1, 9)).alias("d1_9"), F.count_if(d.between(10, 49)).alias("d10_49"), F.count_if(d >= 50).alias("d50"))

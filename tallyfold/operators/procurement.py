@@ -100,14 +100,14 @@ def totals(contracts: DataFrame, *keys: str) -> DataFrame:
     """Trusted value and canonical count per key."""
     gate = S.canonical(F.col("is_current"), F.col("notice_type"))
     return contracts.groupBy(*keys).agg(
-        F.round(S.trusted_sum(gate, F.col("low_confidence"), F.col("current_value")), 2).alias("total_value"),
+        S.rounded(S.trusted_sum(gate, F.col("low_confidence"), F.col("current_value")), 4).alias("total_value"),
         F.count_if(gate).alias("contracts"))
 
 
 def single_bidder_rate(contracts: DataFrame, key: str, least: int) -> DataFrame:
     gate = S.canonical(F.col("is_current"), F.col("notice_type")) & F.col("bidders").isNotNull()
     out = contracts.filter(gate).groupBy(key).agg(F.count_if(F.col("bidders") == 1).alias("single"), F.count("*").alias("total"))
-    return out.filter(F.col("total") >= least).withColumn("rate", F.round(F.col("single") / F.col("total"), 6))
+    return out.filter(F.col("total") >= least).withColumn("rate", S.rounded(F.col("single") / F.col("total"), 6))
 
 
 def red_flags(contracts: DataFrame) -> DataFrame:
@@ -126,6 +126,6 @@ def project_contracts(collapsed: DataFrame) -> DataFrame:
     award = F.when(F.col("notice_type") != "can-modif", F.struct("pub_date", "line", "part", "company"))
     return collapsed.groupBy("contract_key").agg(
         F.count("*").alias("notice_count"),
-        F.round(F.max(F.when(F.col("is_current"), F.col("current_value"))), 2).alias("current_value"),
-        F.round(F.min_by("total", award), 2).alias("award_value"),
+        S.rounded(F.max(F.when(F.col("is_current"), F.col("current_value"))), 4).alias("current_value"),
+        S.rounded(F.min_by("total", award), 4).alias("award_value"),
         F.max("pub_date").cast("string").alias("last_date"))

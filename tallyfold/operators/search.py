@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyfold.functions import scalars as S
 from tallyfold.functions.scalars import cosine
 
 FUSION = 60
@@ -14,19 +15,23 @@ def tokens(text: str) -> F.Column:
     return F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
+def _count(array: str, word: str) -> F.Column:
+    return F.size(F.filter(array, lambda t: t == word))
+
+
 def lexical(docs: DataFrame, words: list[str], limit: int = 100, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, score, rank): rows with every word; the score is the words' share of all tokens. The top-k needs no global sort."""
-    counted = docs.select(key, tokens(text).alias("t")).select(key, F.size("t").alias("n"), *(F.size(F.filter("t", lambda t, w=w: t == w)).alias(f"w{i}") for i, w in enumerate(words)))
+    counted = docs.select(key, tokens(text).alias("t")).select(key, F.size("t").alias("n"), *(_count("t", w).alias(f"w{i}") for i, w in enumerate(words)))
     for i in range(len(words)):
         counted = counted.filter(F.col(f"w{i}") > 0)
     hits = sum((F.col(f"w{i}") for i in range(len(words))), F.lit(0))
-    return _ranked(counted.select(key, F.round(hits / F.col("n"), 8).alias("score")), key, F.desc("score"), limit)
+    return _ranked(counted.select(key, S.rounded(hits / F.col("n"), 8).alias("score")), key, F.desc("score"), limit)
 
 
 def vector(rows: DataFrame, query: list[float], limit: int = 100, embedding: str = "embedding", key: str = "vec_id") -> DataFrame:
     """(key, score, rank) by cosine similarity, exact over all rows."""
     q = F.array(*(F.lit(float(x)) for x in query))
-    return _ranked(rows.select(key, F.round(cosine(F.col(embedding), q), 8).alias("score")), key, F.desc("score"), limit)
+    return _ranked(rows.select(key, S.rounded(cosine(F.col(embedding), q), 8).alias("score")), key, F.desc("score"), limit)
 
 
 def _ranked(scored: DataFrame, key: str, order, limit: int) -> DataFrame:
@@ -38,7 +43,7 @@ def fuse(a: DataFrame, b: DataFrame, key: str, limit: int = 20) -> DataFrame:
     """Reciprocal-rank fusion of two ranked lists; a list that is None leaves the other's ranks (degraded mode)."""
     both = a.select(key, F.col("rank").alias("ra")).join(b.select(key, F.col("rank").alias("rb")), key, "full")
     part = lambda r: F.coalesce(F.lit(1.0) / (FUSION + F.col(r)), F.lit(0.0))
-    return both.select(key, "ra", "rb", F.round(part("ra") + part("rb"), 8).alias("score")).orderBy(F.desc("score"), key).limit(limit)
+    return both.select(key, "ra", "rb", S.rounded(part("ra") + part("rb"), 8).alias("score")).orderBy(F.desc("score"), key).limit(limit)
 
 
 def tiered(names: DataFrame, query: str, limit: int = 50) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.functions import scalars as S
 from tallyfold.functions.scalars import safe_div
 
 
@@ -16,7 +17,7 @@ def _described(df: DataFrame, *keys: str) -> DataFrame:
     low = F.col("p50") - F.col("p02")
     kind = F.when((F.col("low") < 0) & (F.col("high") > 0), "diverging").otherwise("sequential")
     skew = F.when(low > 0, (F.col("p98") - F.col("p50")) / low)
-    return df.withColumns({"kind": kind, "skew": skew}).select(*keys, "n", *(F.round(c, 4).alias(c) for c in ("low", "high", "p02", "p50", "p98", "skew")), "kind")
+    return df.withColumns({"kind": kind, "skew": skew}).select(*keys, "n", *(S.rounded(c, 4).alias(c) for c in ("low", "high", "p02", "p50", "p98", "skew")), "kind")
 
 
 def slice_stats(observations: DataFrame) -> DataFrame:
@@ -41,7 +42,7 @@ def level_universe(observations: DataFrame, regions: DataFrame, levels: int = 4)
 
 def year_availability(observations: DataFrame, universe: DataFrame) -> DataFrame:
     rows = observations.withColumn("level", F.length("geo") - 2).groupBy("dataset", "level", "slice_key", "year").agg(F.count_distinct(F.when(F.col("value").isNotNull(), F.col("geo"))).alias("present"))
-    return rows.join(universe, "level", "left").select("dataset", "level", "slice_key", "year", "present", F.round(safe_div(F.col("present") * 100.0, F.col("universe").cast("double")), 4).alias("pct"))
+    return rows.join(universe, "level", "left").select("dataset", "level", "slice_key", "year", "present", S.rounded(safe_div(F.col("present") * 100.0, F.col("universe").cast("double")), 4).alias("pct"))
 
 
 def series(observations: DataFrame, dataset: str, level: int | None = None, geo: list[str] | None = None, start: int | None = None, end: int | None = None, dims: dict[str, str] | None = None, limit: int = 100_000) -> DataFrame:
@@ -64,4 +65,4 @@ def series(observations: DataFrame, dataset: str, level: int | None = None, geo:
 
 def bivariate(x: DataFrame, y: DataFrame, limit: int = 20) -> DataFrame:
     """Two measures of the same regions."""
-    return x.select("geo", F.round("value", 4).alias("x")).join(y.select("geo", F.round("value", 4).alias("y")), "geo").orderBy(F.desc("x"), "geo").limit(limit)
+    return x.select("geo", S.rounded("value", 4).alias("x")).join(y.select("geo", S.rounded("value", 4).alias("y")), "geo").orderBy(F.desc("x"), "geo").limit(limit)

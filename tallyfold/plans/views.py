@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyfold.functions import scalars as S
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,7 +32,7 @@ def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders per customer and year as annual filings."""
     o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    yearly = o.groupBy(F.col("o_custkey").alias("company"), F.year("o_orderdate").alias("year")).agg(F.round(F.sum("o_totalprice"), 2).alias("revenue"), F.count("*").alias("orders"))
+    yearly = o.groupBy(F.col("o_custkey").alias("company"), F.year("o_orderdate").alias("year")).agg(S.rounded(F.sum("o_totalprice"), 2).alias("revenue"), F.count("*").alias("orders"))
     r, n = F.col("revenue"), F.col("orders")
     return yearly.join(c, F.col("company") == F.col("c_custkey")).select(
         "company", "year", "revenue", (r * 0.18).alias("net_income"), (r * 0.25).alias("operating_income"), (r * 0.22).alias("pretax"), (r * 0.04).alias("tax"),
@@ -51,7 +53,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     li, o, c, n = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "nation"))
     rows = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
     geo = F.concat(F.lit("R"), F.col("n_regionkey").cast("string"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
-    mean = F.round(F.avg("l_extendedprice"), 4)
+    mean = S.rounded(F.avg("l_extendedprice"), 4)
     out = rows.groupBy(F.col("o_orderpriority").alias("dataset"), F.year("l_shipdate").alias("year"), geo.alias("geo"), "l_returnflag", "l_linestatus").agg(mean.alias("m"))
     return out.select("dataset", "year", "geo", F.create_map(F.lit("flag"), F.col("l_returnflag"), F.lit("status"), F.col("l_linestatus")).alias("dims"),
                       F.concat(F.lit("flag="), "l_returnflag", F.lit("|status="), "l_linestatus").alias("slice_key"), F.when(F.col("m") >= 20000, F.col("m")).alias("value"))
