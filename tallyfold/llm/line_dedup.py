@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tallyfold.llm.common import materialise
 
 MIN_WORDS = 50
-_WORDS = r"size(filter(split(translate(x, '\t\r\u000b\f', '    '), ' '), w -> w <> ''))"
+_WORDS = r"size(filter(split(translate(x, '\t\r\u000b\u000c', '    '), ' '), w -> w <> ''))"
 
 
 def _lines(rows: DataFrame) -> DataFrame:
@@ -78,7 +78,7 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text
         CASE WHEN to_end <= reach THEN struct(idx AS first, idx + to_end - 1 AS last) END,
         CASE WHEN from_start <= room THEN struct(idx - from_start + 1 AS first, idx AS last) END))"""))).alias("run"))
     runs = runs.select("row", "doc_id", "key", "run.first", "run.last").distinct()
-    runs = runs.withColumn("level", F.floor(F.log2(F.col("last") - F.col("first") + 1)).cast("int"))
+    runs = runs.withColumn("level", F.length(F.bin(F.col("last") - F.col("first") + 1)) - 1)
     runs = runs.withColumn("tail", F.expr("last - cast(power(2, level) as int) + 1"))
     heads = ranked.select("row", F.col("idx").alias("first"), F.col("ranks").alias("head_ranks"))
     tails = ranked.select("row", F.col("idx").alias("tail"), F.col("ranks").alias("tail_ranks"))
