@@ -25,9 +25,6 @@ def _contracts(spark: SparkSession, sf: str) -> DataFrame:
     return procurement.collapse_modifications(notices(spark, sf))
 
 
-_GATE = S.canonical(F.col("is_current"), F.col("notice_type"))
-
-
 @query
 def sector_summary(spark: SparkSession, sf: str) -> DataFrame:
     return procurement.totals(_contracts(spark, sf), "division").orderBy(F.desc("total_value"), "division").limit(20)
