@@ -209,6 +209,19 @@ ORACLE_SQL = {
 _FOLD = "SELECT user_id AS entity, " + _CHANGE.format("min(ts)") + " AS first_seen, " + _CHANGE.format("max(ts)") + " AS last_changed, count(*) AS edit_count, max_by(event_type = 'error', (ts, event_id)) AS is_deleted FROM events GROUP BY user_id"
 ORACLE_SQL["dirty_set_fold"] = ORACLE_SQL["dirty_set_stream"] = _FOLD
 
+ORACLE_SQL |= {
+    "field_completeness": f"WITH {NOTICES}, n AS (SELECT n.*, o_orderpriority AS priority FROM notices n JOIN orders ON contract_key = o_orderkey) SELECT priority, count(*) AS n, round(count(bidders) / greatest(count(*), 1) * 100, 1) AS bidders, round(count(total) / greatest(count(*), 1) * 100, 1) AS total, round(count(division) / greatest(count(*), 1) * 100, 1) AS division FROM n GROUP BY priority",
+    "code_formats": "SELECT count(*) FILTER (length(p_type) <= 5) AS short, count(*) FILTER (length(p_type) BETWEEN 6 AND 7) AS middle, count(*) FILTER (length(p_type) > 7) AS long, count(*) FILTER (p_type IS NULL) AS missing FROM part",
+    "price_freshness": f"WITH {PRICES}, a AS (SELECT ticker, datediff('day', max(date), (SELECT max(date) FROM prices)) AS age FROM prices GROUP BY ticker) SELECT count(*) AS tickers, count(*) FILTER (age <= 7) AS fresh, count(*) FILTER (age BETWEEN 8 AND 30) AS ageing, count(*) FILTER (age > 30) AS stale FROM a",
+    "common_status": "WITH n AS (SELECT o_custkey, o_orderstatus, count(*) AS n FROM orders GROUP BY ALL) SELECT o_custkey, o_orderstatus AS status FROM n QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, o_orderstatus) = 1",
+    "spend_buckets": "SELECT CASE WHEN o_totalprice < 50000 THEN 'under 50k' WHEN o_totalprice < 200000 THEN '50k to 200k' ELSE '200k and more' END AS bucket, strftime(o_orderdate, '%Y-%m-01') AS month, count(*) AS n FROM orders GROUP BY ALL",
+    "coverage_panel": f"WITH {NOTICES} SELECT count(DISTINCT company) AS companies, count(DISTINCT authority) AS authorities, count(DISTINCT contract_key) AS contracts, min(pub_date)::VARCHAR AS first_day, max(pub_date)::VARCHAR AS last_day FROM notices",
+    "top_division_per_nation": f"WITH {NOTICES}, n AS (SELECT nation, division, count(*) AS n FROM notices GROUP BY ALL) SELECT nation, division, n FROM n QUALIFY row_number() OVER (PARTITION BY nation ORDER BY n DESC, division) = 1",
+    "upsert_latest": "SELECT user_id, max_by(event_type, (ts, event_id)) AS event_type, max_by(value, (ts, event_id)) FILTER (value <= 50) AS value, max(event_id) AS seq FROM events GROUP BY user_id",
+    "status_facets": 'SELECT o_orderstatus, count(*) AS "all", count(*) FILTER (o_totalprice > 250000) AS matching FROM orders GROUP BY 1',
+    "sibling_filings": f"WITH {FILINGS} SELECT a.company, count(*) AS years, min(a.year) AS first_year FROM filings a JOIN filings b ON a.company = b.company - 1 AND a.year = b.year GROUP BY a.company",
+}
+
 
 def _half_up(sql: str) -> str:
     """round(x, n) written as plain arithmetic, half up."""

@@ -477,3 +477,78 @@ def events_windowed(spark: SparkSession, sf: str) -> DataFrame:
     """An extension: six-hour windows and their events."""
     w = F.window("ts", "6 hours")
     return table(spark, sf, "events").groupBy(w, "event_type").agg(F.count("*").alias("n")).select(F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n")
+
+
+@query
+def field_completeness(spark: SparkSession, sf: str) -> DataFrame:
+    """Share of filled fields per priority, in per cent."""
+    n = notices(spark, sf)
+    share = lambda c: S.rounded(F.count(c) / F.greatest(F.count("*"), F.lit(1)) * 100, 1).alias(c)
+    return n.groupBy("priority").agg(F.count("*").alias("n"), share("bidders"), share("total"), share("division"))
+
+
+@query
+def code_formats(spark: SparkSession, sf: str) -> DataFrame:
+    """Part types by length of the code."""
+    size = F.length("p_type")
+    return table(spark, sf, "part").agg(F.count_if(size <= 5).alias("short"), F.count_if(size.between(6, 7)).alias("middle"), F.count_if(size > 7).alias("long"), F.count_if(F.col("p_type").isNull()).alias("missing"))
+
+
+@query
+def price_freshness(spark: SparkSession, sf: str) -> DataFrame:
+    """Brands by the age of their newest price, judged at the table's newest date."""
+    p = prices(spark, sf)
+    now = p.agg(F.max("date").alias("now"))
+    age = p.groupBy("ticker").agg(F.max("date").alias("newest")).crossJoin(F.broadcast(now)).withColumn("age", F.datediff("now", "newest"))
+    return age.agg(F.count("*").alias("tickers"), F.count_if(F.col("age") <= 7).alias("fresh"), F.count_if(F.col("age").between(8, 30)).alias("ageing"), F.count_if(F.col("age") > 30).alias("stale"))
+
+
+@query
+def common_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Each customer's most frequent order status; ties go to the smaller one."""
+    n = table(spark, sf, "orders").groupBy("o_custkey", "o_orderstatus").agg(F.count("*").alias("n"))
+    return n.groupBy("o_custkey").agg(F.min_by("o_orderstatus", F.struct(-F.col("n"), "o_orderstatus")).alias("status"))
+
+
+@query
+def spend_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders by size class and month of their date."""
+    v = F.col("o_totalprice")
+    bucket = F.when(v < 50_000, "under 50k").when(v < 200_000, "50k to 200k").otherwise("200k and more")
+    return table(spark, sf, "orders").groupBy(bucket.alias("bucket"), F.date_format("o_orderdate", "yyyy-MM-01").alias("month")).agg(F.count("*").alias("n"))
+
+
+@query
+def coverage_panel(spark: SparkSession, sf: str) -> DataFrame:
+    n = notices(spark, sf)
+    return n.agg(F.count_distinct("company").alias("companies"), F.count_distinct("authority").alias("authorities"), F.count_distinct("contract_key").alias("contracts"),
+                 F.min("pub_date").cast("string").alias("first_day"), F.max("pub_date").cast("string").alias("last_day"))
+
+
+@query
+def top_division_per_nation(spark: SparkSession, sf: str) -> DataFrame:
+    n = notices(spark, sf).groupBy("nation", "division").agg(F.count("*").alias("n"))
+    return resolve.first_choice(n, "nation", F.desc("n"), "division")
+
+
+@query
+def upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """Partial updates folded per user: each field keeps its newest non-null value (values over 50 count as not sent)."""
+    e = table(spark, sf, "events").withColumn("value", F.when(F.col("value") <= 50, F.col("value")))
+    at = F.struct("ts", "event_id")
+    return e.groupBy("user_id").agg(F.max_by("event_type", at).alias("event_type"), F.max_by("value", F.when(F.col("value").isNotNull(), at)).alias("value"), F.max("event_id").alias("seq"))
+
+
+@query
+def status_facets(spark: SparkSession, sf: str) -> DataFrame:
+    """Facet counts beside the counts under a filter."""
+    o = table(spark, sf, "orders")
+    return o.groupBy("o_orderstatus").agg(F.count("*").alias("all"), F.count_if(F.col("o_totalprice") > 250_000).alias("matching"))
+
+
+@query
+def sibling_filings(spark: SparkSession, sf: str) -> DataFrame:
+    """Years that two neighbouring companies both filed for."""
+    f = filings(spark, sf).select("company", "year")
+    other = f.select((F.col("company") - 1).alias("company"), "year")
+    return f.join(other, ["company", "year"]).groupBy("company").agg(F.count("*").alias("years"), F.min("year").alias("first_year"))
