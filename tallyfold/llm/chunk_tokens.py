@@ -9,7 +9,7 @@ Texts repeat their words, so a worker keeps the ids of the chunks it has met and
 - ``whole``: never (any tokenizer).
 
 A text that holds ``<|`` may hold a special token, beside which white space and case count differently; it goes to the library whole.
-A new chunk is cut further where a token always ends: at a full stop or comma behind a letter, and at lone line feeds.
+A new chunk is cut further where a token always ends: at signs behind the last letter, and at lone line feeds.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from tallyfold.llm.bpe import byte_alphabet
 
 #: Chunks that a worker remembers, some 250 MB; then it starts anew.
 REMEMBERED = 1_200_000
-_STOPS = (".", ",")
+#: Signs that form one token match behind a letter; the apostrophe, which may begin a contraction, isn't one of them.
+_TAILS = ".,;:!?*%$#&|-()[]"
 
 
 class _Known(dict):
@@ -47,8 +48,10 @@ class _Known(dict):
                 lines = chunk.split("\n")
                 if all(lines) and not any(x[-1].isspace() for x in lines[:-1]) and not any(x[0].isspace() for x in lines[1:]):
                     got = self[lines[0]] + b"".join([self.stops["\n"] + self.stops[x] for x in lines[1:]])
-            elif chunk[-1] in _STOPS and chunk[-2:-1].lower()[-1:].isalpha() and "\n" not in chunk:
-                got = self[chunk[:-1]] + self.stops[chunk[-1]]
+            else:
+                stem = chunk.rstrip(_TAILS)
+                if len(stem) < len(chunk) and stem[-1:].lower()[-1:].isalpha() and "\n" not in chunk:
+                    got = self[stem] + self.stops[chunk[len(stem) :]]
         if got is None:
             got = array("I", self.encode(self.before + chunk, add_special_tokens=False).ids).tobytes() if self.before + chunk else b""
         if len(chunk) < 100:

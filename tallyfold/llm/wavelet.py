@@ -146,8 +146,9 @@ class WaveletMatrix:
         for level in range(len(self.planes) - 1, -1, -1):
             ones = np.unpackbits(self.planes[level], count=self.n).view(bool)
             zeros, above = self.zeros[level], np.empty_like(value)
+            value[zeros:] |= value.dtype.type(1 << (len(self.planes) - 1 - level))
+            above[ones] = value[zeros:]
             above[~ones] = value[:zeros]
-            above[ones] = value[zeros:] | value.dtype.type(1 << (len(self.planes) - 1 - level))
             value = above
         return value.astype(np.uint32)
 
