@@ -5,7 +5,7 @@ Each hop is a join of the frontier with the edge table; the frontier of visited
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.functions import scalars as S
@@ -29,9 +29,43 @@ def khop(edges: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:
 
 
 def shortest_paths(edges: DataFrame, pairs: DataFrame, depth: int) -> DataFrame:
-    """(src, dst, hops) for pairs(src, dst) within depth; others are left out."""
-    reached = khop(edges, pairs.select(F.col("src").alias("node")), depth)
-    return pairs.join(reached.select(F.col("seed").alias("src"), F.col("node").alias("dst"), "hops"), ["src", "dst"])
+    """(src, dst, hops) for pairs(src, dst) within depth; others are left out. A pair that is found spreads no further."""
+    both = undirected(edges).select(F.col("src").alias("near"), F.col("dst").alias("far"))
+    wanted = pairs.select("src", "dst").distinct()
+    seen = wanted.withColumn("node", F.col("src"))
+    found = wanted.filter("src = dst").withColumn("hops", F.lit(0))
+    frontier = seen.filter("src <> dst")
+    for hop in range(1, depth + 1):
+        step = frontier.join(both, F.col("node") == F.col("near")).select("src", "dst", F.col("far").alias("node")).distinct()
+        new = step.join(seen, ["src", "dst", "node"], "left_anti")
+        reached = new.filter("node = dst").select("src", "dst", F.lit(hop).alias("hops"))
+        found = found.unionByName(reached)
+        seen = seen.unionByName(new)
+        frontier = new.join(reached, ["src", "dst"], "left_anti")
+    return found
+
+
+def simple_paths(edges: DataFrame, pairs: DataFrame, shortest: DataFrame, extra: int = 2, depth: int = 6, limit: int = 9) -> DataFrame:
+    """(src, dst, path, hops): paths without repeated nodes that are 1 to extra hops longer than shortest(src, dst, hops), the limit shortest ones per pair."""
+    both = undirected(edges).select(F.col("src").alias("near"), F.col("dst").alias("far"))
+    most = F.least(F.col("hops") + extra, F.lit(depth))
+    walk = pairs.select("src", "dst").distinct().join(shortest, ["src", "dst"]).select("src", "dst", F.array("src").alias("path"), "hops", most.alias("most"))
+    out = None
+    for hop in range(1, depth + 1):
+        walk = walk.join(both, (F.element_at("path", -1) == F.col("near")) & (F.col("most") >= hop)).filter(~F.array_contains("path", F.col("far")))
+        walk = walk.select("src", "dst", F.concat("path", F.array("far")).alias("path"), "hops", "most")
+        ended = walk.filter((F.element_at("path", -1) == F.col("dst")) & (F.lit(hop) > F.col("hops"))).select("src", "dst", "path", F.lit(hop).alias("hops"))
+        out = ended if out is None else out.unionByName(ended)
+        walk = walk.filter(F.element_at("path", -1) != F.col("dst"))
+    place = F.row_number().over(Window.partitionBy("src", "dst").orderBy("hops", "path"))
+    return out.withColumn("place", place).filter(F.col("place") <= limit).drop("place")
+
+
+def merge_nodes(edges: DataFrame, mapping: DataFrame) -> DataFrame:
+    """edges(src, dst) with both ends moved to their canonical nodes by mapping(node, canonical); loops and repeats go."""
+    to = lambda end: mapping.select(F.col("node").alias(f"_{end}"), F.col("canonical").alias(f"_{end}_to"))
+    moved = edges.select("src", "dst").join(to("src"), F.col("src") == F.col("_src"), "left").join(to("dst"), F.col("dst") == F.col("_dst"), "left")
+    return moved.select(F.coalesce("_src_to", "src").alias("src"), F.coalesce("_dst_to", "dst").alias("dst")).filter("src <> dst").distinct()
 
 
 def ancestors(parents: DataFrame, depth: int) -> DataFrame:
