@@ -104,3 +104,18 @@ def shown_number(x: Column) -> Column:
 def date_of(x: Column) -> Column:
     """ISO dates (also with a time behind) and DD/MM/YYYY; else NULL."""
     return F.coalesce(F.try_to_date(F.substring(x, 1, 10), "yyyy-MM-dd"), F.try_to_date(F.substring(x, 1, 10), "dd/MM/yyyy"))
+
+
+#: Kinds of acts by the sixth character of a sector 3 number.
+ACT_KINDS = {"L": "Directive", "R": "Regulation", "D": "Decision", "H": "Recommendation", "A": "Opinion", "C": "Declaration"}
+
+
+def act_kind(number: Column) -> Column:
+    kind = F.coalesce(F.create_map(*(F.lit(v) for kv in ACT_KINDS.items() for v in kv))[F.substring(number, 6, 1)], F.lit("Legal act"))
+    return F.when(number.startswith("3"), kind).when(number.startswith("5"), "Preparatory act").otherwise("Legal document")
+
+
+def search_terms(text: Column) -> Column:
+    """Words that a search has to find, each with a plus, the last as a prefix; empty without words."""
+    words = F.filter(F.split(F.lower(text), r"[\s+\-&|!(){}\[\]^\"~*?:\\/]+"), lambda w: w != "")
+    return F.when(F.size(words) > 0, F.concat(F.array_join(F.transform(words, lambda w: F.concat(F.lit("+"), w)), " "), F.lit("*"))).otherwise("")

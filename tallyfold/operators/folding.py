@@ -70,15 +70,16 @@ def record_outcomes(rows: DataFrame, outcomes: DataFrame) -> DataFrame:
     """rows(id, procedure, contract_key, number, state, attempts), outcomes(id, outcome, found), one outcome per id at most.
 
     A number is written once; a transient error costs an attempt; settled rows don't change. A contract without procedure that is keyed by its own id
-    moves to the number, unless another contract holds that key already.
+    moves to the number, unless another contract holds that key already; of several that would, the smallest id does.
     """
     o = outcomes.select(F.col("id").alias("_id"), "outcome", "found")
     held = rows.select(F.col("contract_key").alias("_held")).distinct()
-    both = rows.join(o, F.col("id") == F.col("_id"), "left").join(held, F.col("found") == F.col("_held"), "left")
+    first = rows.join(o, F.col("id") == F.col("_id")).filter("number IS NULL AND procedure IS NULL AND contract_key = id").groupBy(F.col("found").alias("_num")).agg(F.min("id").alias("_first"))
+    both = rows.join(o, F.col("id") == F.col("_id"), "left").join(first, F.col("found") == F.col("_num"), "left").join(held, F.col("found") == F.col("_held"), "left")
     live = F.col("_id").isNotNull() & F.col("number").isNull() & (F.col("state").isNull() | F.col("state").isin("pending", "in_progress", "transient_error"))
     failed = F.coalesce(F.col("outcome") == "transient_error", F.lit(False))
     state = F.when(live & F.col("found").isNotNull(), "done").when(live & F.col("outcome").isin("not_published", "transient_error"), F.col("outcome")).otherwise(F.col("state"))
-    moves = live & F.col("found").isNotNull() & F.col("procedure").isNull() & (F.col("contract_key") == F.col("id")) & F.col("_held").isNull()
+    moves = live & F.col("found").isNotNull() & F.col("procedure").isNull() & (F.col("contract_key") == F.col("id")) & F.col("_held").isNull() & (F.col("_first") == F.col("id"))
     return both.select("id", "procedure", F.when(moves, F.col("found")).otherwise(F.col("contract_key")).alias("contract_key"), F.when(live, F.col("found")).otherwise(F.col("number")).alias("number"),
                        state.alias("state"), (F.coalesce("attempts", F.lit(0)) + (live & failed).cast("int")).alias("attempts"))
 

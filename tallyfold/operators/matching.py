@@ -29,19 +29,26 @@ def _grams(x, size: int):
     return F.when(F.length(x) >= size, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(x) - size + 1), lambda i: F.substring(x, i, F.lit(size))))).otherwise(F.array().cast("array<string>"))
 
 
-def contained(needles: DataFrame, hay: DataFrame, size: int = 4) -> DataFrame:
+def contained(needles: DataFrame, hay: DataFrame, size: int = 3) -> DataFrame:
     """needles(n_id, text), hay(h_id, text): distinct (n_id, h_id) where the normal text of the needle is a part of the other's; empty needles find nothing.
 
-    Needles shorter than size are looked up by runs of their own length.
+    The inner words of a needle of three words or more are whole words of the text, so the rarest one finds the candidates. The ends of a needle may be
+    parts of words: shorter needles go by their longest word, looked up by runs of up to size characters in the vocabulary first. Candidates are confirmed on
+    the texts.
     """
-    n = needles.select("n_id", I.normal_text(F.col("text")).alias("t")).filter("t <> ''")
+    n = needles.select("n_id", I.normal_text(F.col("text")).alias("t")).filter("t <> ''").withColumn("words", F.split("t", " "))
     h = hay.select("h_id", I.normal_text(F.col("text")).alias("t"))
-    pairs = None
+    words = h.select("h_id", F.array_distinct(F.split("t", " ")).alias("parts"))
+    pairs = _probed(n.filter(F.size("words") > 2).select("n_id", F.expr("slice(words, 2, size(words) - 2)").alias("parts")), words, "parts")
+    short = n.filter(F.size("words") <= 2).select("n_id", F.array_max(F.transform("words", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"].alias("w"))
+    held = words.select("h_id", F.explode("parts").alias("word"))
+    vocabulary = held.select(F.col("word").alias("h_id")).distinct()
     for k in range(1, size + 1):
-        some = n.filter(F.length("t") == k) if k < size else n.filter(F.length("t") >= k)
-        found = _probed(some.select("n_id", _grams(F.col("t"), k).alias("parts")), h.select("h_id", _grams(F.col("t"), k).alias("parts")), "parts")
-        pairs = found if pairs is None else pairs.unionByName(found)
-    both = pairs.join(n.withColumnRenamed("t", "n_t"), "n_id").join(h.withColumnRenamed("t", "h_t"), "h_id")
+        some = short.filter(F.length("w") == k) if k < size else short.filter(F.length("w") >= k)
+        found = _probed(some.select("n_id", _grams(F.col("w"), k).alias("parts")), vocabulary.select("h_id", _grams(F.col("h_id"), k).alias("parts")), "parts")
+        inside = found.withColumnRenamed("h_id", "word").join(some, "n_id").filter(F.col("word").contains(F.col("w"))).select("n_id", "word")
+        pairs = pairs.unionByName(inside.join(held, "word").select("n_id", "h_id"))
+    both = pairs.distinct().join(n.select("n_id", F.col("t").alias("n_t")), "n_id").join(h.withColumnRenamed("t", "h_t"), "h_id")
     return both.filter(F.col("h_t").contains(F.col("n_t"))).select("n_id", "h_id").distinct()
 
 

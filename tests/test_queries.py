@@ -6,8 +6,9 @@ import os
 import duckdb
 import pytest
 
-from tallyfold.plans.oracles import ORACLE_SQL
-from tallyfold.plans.queries import QUERIES
+from tallyfold.plans import oracles, queries, register_queries
+
+QUERIES, ORACLE_SQL = {**queries.QUERIES, **register_queries.QUERIES}, {**oracles.ORACLE_SQL, **register_queries.ORACLE_SQL}
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
