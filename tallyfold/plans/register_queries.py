@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions import identifiers as I
 from tallyfold.functions import scalars as S
-from tallyfold.operators import folding, graph, matching, panels, procurement
+from tallyfold.operators import folding, graph, matching, panels, procurement, quality
 from tallyfold.plans import oracles as O
 from tallyfold.plans.queries import _trade_edges
 from tallyfold.plans.views import filings, notices, table
@@ -247,3 +247,38 @@ def group_contracts(spark: SparkSession, sf: str) -> DataFrame:
 @query("""SELECT p_brand AS venue, count(*) AS n FROM part GROUP BY 1 ORDER BY n DESC, 1 LIMIT 20""")
 def common_venues(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").groupBy(F.col("p_brand").alias("venue")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "venue").limit(20)
+
+
+@query(f"""WITH {O.CONTRACTS}, {O.FILINGS.strip()},
+  m AS (
+    SELECT 'one_current_notice' AS assertion, 'block' AS severity, count(*) FILTER (n <> 1) AS value, count(*) AS total, count(*) FILTER (n <> 1) = 0 AS ok FROM (SELECT count(*) FILTER (is_current) AS n FROM contracts GROUP BY contract_key)
+    UNION ALL SELECT 'awards_before_changes', 'warn', count(*) FILTER (a IS NULL), count(*), count(*) FILTER (a IS NULL) <= 10 FROM (SELECT min(pub_date) FILTER (notice_type <> 'can-modif') AS a FROM contracts GROUP BY contract_key HAVING count(*) FILTER (notice_type = 'can-modif') > 0)
+    UNION ALL SELECT 'filing_years', 'block', count(*) FILTER (year NOT BETWEEN 1990 AND 2030), count(*), count(*) FILTER (year NOT BETWEEN 1990 AND 2030) = 0 FROM filings
+    UNION ALL SELECT 'filings_unique', 'block', count(*) FILTER (n > 1), sum(n), count(*) FILTER (n > 1) = 0 FROM (SELECT count(*) AS n FROM filings GROUP BY company, year)
+    UNION ALL SELECT 'equity_positive', 'warn', count(*) FILTER (equity <= 0), count(*), count(*) FILTER (equity <= 0) = 0 FROM filings
+    UNION ALL SELECT 'cash_reported', 'warn', count(cash), count(*), count(cash) >= 0.95 * count(*) FROM filings
+    UNION ALL SELECT 'bidders_reported', 'block', count(bidders), count(*), count(bidders) >= 0.5 * count(*) FROM notices
+    UNION ALL SELECT 'single_bidder_band', 'warn', count(*) FILTER (bidders = 1), count(*), count(*) < 100 OR count(*) FILTER (bidders = 1) BETWEEN 0.05 * count(*) AND 0.6 * count(*) FROM notices
+    UNION ALL SELECT 'urls_have_scheme', 'warn', count(*) FILTER (contains(url, '://')), count(*), count(*) FILTER (contains(url, '://')) >= 0.9 * count(*) FROM pages
+    UNION ALL SELECT 'labels_have_documents', 'block', count(*) FILTER (doc_id NOT IN (SELECT doc_id FROM documents)), count(*), count(*) FILTER (doc_id NOT IN (SELECT doc_id FROM documents)) = 0 FROM labels)
+  SELECT assertion, severity, value::BIGINT AS value, total::BIGINT AS total, CASE WHEN ok THEN 'pass' WHEN severity = 'block' THEN 'fail' ELSE 'warn' END AS status FROM m""")
+def assertions_registers(spark: SparkSession, sf: str) -> DataFrame:
+    """Checks on contracts, filings, notices, pages and labels."""
+    n, f = notices(spark, sf), filings(spark, sf)
+    contracts = procurement.collapse_modifications(n)
+    pages, labels, documents = (table(spark, sf, t) for t in ("pages", "labels", "documents"))
+    modif = F.col("notice_type") == "can-modif"
+    per = contracts.groupBy("contract_key").agg(F.count_if("is_current").alias("current"), F.count_if(modif).alias("changes"), F.min(F.when(~modif, F.col("pub_date"))).alias("award"))
+    A, bad = quality.Assertion, quality.violations
+    return quality.report([
+        A("one_current_notice", "block", lambda: bad(per, F.col("current") != 1), quality.zero()),
+        A("awards_before_changes", "warn", lambda: bad(per.filter("changes > 0"), F.col("award").isNull()), quality.at_most(10)),
+        A("filing_years", "block", lambda: bad(f, ~F.col("year").between(1990, 2030)), quality.zero()),
+        A("filings_unique", "block", lambda: quality.repeated_keys(f, "company", "year"), quality.zero()),
+        A("equity_positive", "warn", lambda: bad(f, F.col("equity") <= 0), quality.zero()),
+        A("cash_reported", "warn", lambda: bad(f, F.col("cash").isNotNull()), quality.coverage(0.95)),
+        A("bidders_reported", "block", lambda: bad(n, F.col("bidders").isNotNull()), quality.coverage(0.5)),
+        A("single_bidder_band", "warn", lambda: bad(n, F.col("bidders") == 1), quality.band(0.05, 0.6, 100)),
+        A("urls_have_scheme", "warn", lambda: bad(pages, F.col("url").contains("://")), quality.coverage(0.9)),
+        A("labels_have_documents", "block", lambda: quality.orphans(labels, documents, "doc_id", "doc_id"), quality.zero()),
+    ])
