@@ -56,9 +56,14 @@ def freshness(datasets: DataFrame, now: Column, days: int = 8) -> DataFrame:
     return datasets.groupBy("theme").agg(F.count("*").alias("n"), F.count_if(fresh).alias("fresh"), F.count_if(~fresh).alias("stale"), F.count_if(F.col("synced").isNull()).alias("never"))
 
 
-def details(rows: DataFrame, group: str, key: str, label: Column) -> DataFrame:
-    """Labels of a group in key order as one text; groups must be small, as the offenders of a check are."""
-    return rows.groupBy(group).agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), label.alias("l")))), lambda s: s["l"]), ", ").alias("detail"))
+def details(rows: DataFrame, group: str, key: str, label: Column, most: int = 20) -> DataFrame:
+    """Per group the number of rows and the labels of its first ones by key, at most `most`, as one text; later ones are counted only, so no group is collected whole."""
+    place = F.row_number().over(Window.partitionBy(group).orderBy(key, "_label"))
+    first = rows.select(group, key, label.alias("_label")).withColumn("_n", place).filter(F.col("_n") <= most)
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_n", "_label"))), lambda s: s["_label"]), ", ")
+    listed = first.groupBy(F.col(group).alias("_g")).agg(text.alias("detail"))
+    counts = rows.groupBy(group).agg(F.count("*").alias("n"))
+    return counts.join(listed, F.col(group).eqNullSafe(F.col("_g"))).select(group, "n", "detail")
 
 
 def winner_values(awards: DataFrame) -> DataFrame:

@@ -84,10 +84,11 @@ def freshness_overview(spark: SparkSession, sf: str) -> DataFrame:
     return panels.freshness(sets, now)
 
 
-@query("""SELECT o_orderstatus AS status, count(*) AS n, string_agg(o_orderkey || ':' || o_custkey, ', ' ORDER BY o_orderkey) AS detail FROM orders WHERE o_totalprice < 2000 GROUP BY 1""")
+@query("""WITH b AS (SELECT o_orderstatus AS status, o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS place FROM orders WHERE o_totalprice < 20000)
+  SELECT status, count(*) AS n, string_agg(o_orderkey || ':' || o_custkey, ', ' ORDER BY o_orderkey) FILTER (place <= 20) AS detail FROM b GROUP BY 1""")
 def check_details(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders of a suspiciously small value, listed per status."""
-    o = table(spark, sf, "orders").filter("o_totalprice < 2000").withColumnRenamed("o_orderstatus", "status")
+    """Orders of a suspiciously small value: their number and the first twenty per status."""
+    o = table(spark, sf, "orders").filter("o_totalprice < 20000").withColumnRenamed("o_orderstatus", "status")
     return panels.details(o, "status", "o_orderkey", F.concat_ws(":", "o_orderkey", "o_custkey"))
 
 
