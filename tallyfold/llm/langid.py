@@ -5,10 +5,11 @@ per language; the language with the smallest total wins (ties: the one with more
 the second, (second - best) / second, from 0 to 1; ``reject`` tells texts whose margin is too narrow to decide.
 
 Training reads a bounded sample: about ``SAMPLE_DOCS`` rows of a language, chosen by hash among the labelled rows of at most ``SAMPLE_CHARS`` characters (whole
-texts), up to ``DICTIONARY_BYTES`` a language and ``LANGUAGES`` languages, the most frequent ones. Counts of languages cover all labelled rows.
+texts), up to ``DICTIONARY_BYTES`` a language and ``LANGUAGES`` languages, the most frequent ones. A language without such rows is learned from its longer
+texts, whole and in hash order; its first text counts whatever its length. Counts of languages cover all labelled rows.
 
-Defined cases: a null text or one without a letter is ``und`` with score 0; with one language only, it is given with score 0; with no training rows all is
-``und``; repeated rows are each predicted; other columns pass through, and an output column that the input has already raises ValueError.
+Defined cases: a null text or one without a letter is ``und`` with score 0; with one language only, it is given with score 0, and ``least_margin`` lets it
+pass; with no training rows all is ``und``; repeated rows are each predicted; other columns pass through, and an output column that the input has already raises ValueError.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +27,9 @@ from tallyfold.llm.common import text_batches
 
 SAMPLE_DOCS = 150
 SAMPLE_CHARS = 20_000
+#: Rows read of a language that has long texts only: about LONG_SAMPLE are drawn, the first LONG_DOCS of them by hash are kept.
+LONG_SAMPLE = 50
+LONG_DOCS = 5
 DICTIONARY_BYTES = 100_000
 LANGUAGES = 200
 BLOCK = 4096
@@ -47,18 +51,24 @@ def letters(text: str) -> bytes:
 def train(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, bytes]:
     """The dictionary of each language, most frequent language first; rows without text, letters or language teach nothing."""
     labelled = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(key).alias("h")).filter("lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
-    usable = labelled.filter(F.length("text") <= SAMPLE_CHARS)
-    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    short = F.length("text") <= SAMPLE_CHARS
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(short).alias("short")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     if not counts:
         return {}
     # A row is in the sample if its hash falls into the language's share; expected SAMPLE_DOCS rows a language, whatever the table's size.
-    share = F.create_map(*(x for r in counts for x in (F.lit(r["lang"]), F.lit(SAMPLE_DOCS / r["n"]))))
+    share = lambda found: F.create_map(*(x for k, v in found.items() for x in (F.lit(k), F.lit(v))))[F.col("lang")]
     part = F.pmod(F.col("h"), F.lit(1_000_003)) / 1_000_003.0
-    sample = usable.filter(part < share[F.col("lang")]).orderBy("h", "text").limit(4 * SAMPLE_DOCS * len(counts)).collect()
+    with_short, long_only = {r["lang"]: SAMPLE_DOCS / r["short"] for r in counts if r["short"]}, {r["lang"]: LONG_SAMPLE / r["n"] for r in counts if not r["short"]}
+    sample = []
+    if with_short:
+        sample += labelled.filter(short).filter(part < share(with_short)).orderBy("h", "text").limit(4 * SAMPLE_DOCS * len(with_short)).collect()
+    if long_only:
+        place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
+        sample += labelled.filter(part < share(long_only)).withColumn("place", place).filter(F.col("place") <= LONG_DOCS).orderBy("lang", "place").collect()
     out = {r["lang"]: b"" for r in counts}
     for r in sample:
         raw = letters(r["text"]) + b" "
-        if len(out[r["lang"]]) + len(raw) <= DICTIONARY_BYTES:
+        if not out[r["lang"]] or len(out[r["lang"]]) + len(raw) <= DICTIONARY_BYTES:
             out[r["lang"]] += raw
     return {k: v for k, v in out.items() if v}
 
@@ -102,6 +112,11 @@ def identify(df: DataFrame, model: dict[str, bytes], text: str = "text") -> Data
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
+def least_margin(model: dict[str, bytes]) -> float:
+    """The margin that texts must have: with one language there is no second to be ahead of, so only ``und`` goes."""
+    return MARGIN if len(model) > 1 else 0.0
+
+
 def reject(score: str = "score", lang_pred: str = "lang_pred", margin: float = MARGIN) -> F.Column:
     """True for texts whose language can't be told."""
     return (F.col(lang_pred) == UNKNOWN) | (F.col(score) < margin)

@@ -123,6 +123,25 @@ def test_language_id_cases(spark):
         langid.identify(df.withColumn("score", F.lit(1)), {})
 
 
+def test_one_language_keeps_its_documents(spark):
+    import corpus_pipeline
+
+    df = docs(spark, ["the cat and the dog", "a dog in the house", None, "12 !"])
+    assert sorted(r["doc_id"] for r in corpus_pipeline.keep_known_languages(spark, df, "").collect()) == [1, 2]
+
+
+def test_languages_with_long_texts_only_are_learned(spark):
+    rng = random.Random(9)
+    french = " ".join(rng.choice("le chat et le chien dans la maison avec une petite souris grise".split()) for _ in range(6_000))
+    longest = " ".join(rng.choice("der hund und die katze in einem haus mit einer maus".split()) for _ in range(40_000))
+    rows = [(1, "the cat and the dog in the house", "en", "s", 0), (2, french, "fr", "s", 0), (3, longest, "de", "s", 0)]
+    model = langid.train(spark.createDataFrame(rows, DOCS))
+    assert min(len(french), len(longest)) > langid.SAMPLE_CHARS and len(longest) > langid.DICTIONARY_BYTES
+    assert sorted(model) == ["de", "en", "fr"] and len(model["de"]) > len(longest) - 2
+    got = langid.identify(docs(spark, ["le chat et une souris grise avec le chien dans la maison et le chat", "die katze und der hund in einem haus mit einer maus und die katze", "the cat and the dog in the house"]), model).collect()
+    assert [r["lang_pred"] for r in got] == ["fr", "de", "en"]
+
+
 # op4, op6, op7 -----------------------------------------------------------------------------------------------------
 
 def test_encoders_match_the_library():
