@@ -56,17 +56,19 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, size: int = 3, repeats: bool = True, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id and fp: the fingerprint of each whole text as a bigint with the same bits."""
+def fingerprints(docs: DataFrame, size: int = 3, repeats: bool = True, text: str = "text", doc_id: str = "doc_id", row: str | None = None) -> DataFrame:
+    """doc_id and fp: the fingerprint of each whole text as a bigint with the same bits; with ``row``, that key and a hash of the text too."""
     text_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(shingle_hashes(t or "", size, repeats)) for t in batch.column("text").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(fps.view(np.int64))], [*kept, "fp"])
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    keys = [] if row is None else [F.col(row).cast("long").alias("row"), F.xxhash64(text).alias("text_hash")]
+    kept = ["doc_id", "row", "text_hash"][: 1 + len(keys)]
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), *keys, F.col(text).alias("text"))
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in [*kept, "fp"]))
 
 
 def _syndromes() -> np.ndarray:
@@ -170,15 +172,31 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
     return dealt.mapInArrow(compare, "x long, y long").distinct()
 
 
-def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 2, repeats: bool = True, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Per row: doc_id, fp, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
+def grouped(docs: DataFrame, size: int = 3, max_bits: int = 2, repeats: bool = True, text: str = "text", doc_id: str = "doc_id", row: str | None = None) -> DataFrame:
+    """Per row: doc_id, (with ``row``: row, text_hash,) fp, component (a fingerprint that names the group) and component_id."""
     spark = docs.sparkSession
-    prints = materialise(fingerprints(docs, size, repeats, text, doc_id), "fingerprints")
+    prints = materialise(fingerprints(docs, size, repeats, text, doc_id, row), "fingerprints")
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     linked = components(links(distinct, max_bits).select(F.col("x").alias("a"), F.col("y").alias("b")))
     # Components are named by fingerprints; their smallest doc_id names them for the documents.
-    grouped = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    names = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = materialise(grouped.join(names, "component").select("fp", "component_id"), "groups")
+    groups = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    names = groups.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = materialise(groups.join(names, "component").select("fp", "component", "component_id"), "groups")
     text_batches(spark)
-    return prints.join(named, "fp").select("doc_id", "fp", unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id")
+    return prints.join(named, "fp")
+
+
+def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 2, repeats: bool = True, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """Per row: doc_id, fp, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
+    return grouped(docs, size, max_bits, repeats, text, doc_id).select("doc_id", "fp", unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, size: int = 5, max_bits: int = 2, repeats: bool = False, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """Exactly one row of each group, with the columns of docs: the least by doc_id (nulls last), hash of the text and place among the rows."""
+    row = "_row"
+    if clash := {row} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"the input already has {sorted(clash)}")
+    numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "row")
+    first = grouped(numbered, size, max_bits, repeats, text, doc_id, row).groupBy("component").agg(F.min(order).alias("first")).select(F.col("first.row").alias("kept_row"))
+    return numbered.join(first, F.col(row) == F.col("kept_row"), "left_semi").select(*docs.columns)

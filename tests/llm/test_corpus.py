@@ -284,6 +284,18 @@ def test_simhash_cases(spark):
     assert simhash.near_duplicates(df.union(df)).count() == 16
 
 
+def test_one_row_of_each_group_stays(spark):
+    import corpus_pipeline
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    # Rows repeated whole, the kept id 1 again in another group beside that group's own first row, and a null id.
+    rows = [(1, a, "en", "s", 0)] * 50 + [(2, a, "en", "s", 0), (1, b, "en", "s", 0), (0, b, "en", "s", 0), (1, c, "en", "s", 0), (None, c, "en", "s", 0), (None, "", "en", "s", 0)]
+    df = spark.createDataFrame(rows, DOCS)
+    got = corpus_pipeline.keep_one_of_near_copies(spark, df, "")
+    assert got.columns == df.columns
+    assert sorted((r["text"], r["doc_id"]) for r in got.collect()) == [("", None), (a, 1), (b, 0), (c, 1)]
+
+
 # op8 ---------------------------------------------------------------------------------------------------------------
 
 def test_nearest_neighbours(spark):
