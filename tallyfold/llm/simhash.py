@@ -10,6 +10,10 @@ group lies in a ball of radius 2, so it can hold 2 * 2,017 distinct fingerprints
 before they are replicated. At each anchor the members are compared in numpy and only a spanning star of each linked cluster leaves: no group
 emits all its pairs, and no link is lost.
 
+Where shingles count once (``repeats=False``), texts whose shingle sets have a Jaccard similarity of ``LIKE`` or more link as well, as two bits are far tighter
+than that. Candidates share one of 16 bands of four MinHash values, which misses a pair of similarity 0.8 with a chance of 0.0002, and are confirmed on the
+sets. In each bucket of a band the texts are first held against one of them; only texts of different groups that are left then meet each other.
+
 Defined cases: a text without words (or null) has fingerprint zero and links like any other; fewer words than a shingle make one shingle of the
 whole sequence; repeated rows stay and share their group; a null doc_id takes part, but never names a group unless all its members are null;
 an empty table gives no rows; other columns of the input are left out.
@@ -25,10 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import materialise, text_batches, unsigned_hex
+from tallyfold.llm.common import TEXT_ROWS_PER_BATCH, materialise, text_batches, unsigned_hex
 from tallyfold.llm.components import components
+from tallyfold.llm.minhash import BANDS, PERMUTATIONS, signatures
 
 SEED = 42
+#: Least Jaccard similarity, in tenths, of texts that link where shingles count once.
+LIKE = 8
+#: Rows with two shingle sets in one Arrow batch.
+SET_ROWS_PER_BATCH = 100
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\v\f\r", b"abcdefghijklmnopqrstuvwxyz     ")
 
 
@@ -56,19 +65,35 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
+def bands(sets: list[np.ndarray]) -> np.ndarray:
+    """Per set the hashes of its MinHash bands, as int64."""
+    parts = signatures(sets).astype(np.uint64).reshape(len(sets), BANDS, PERMUTATIONS // BANDS)
+    out = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), parts.shape[:2]).copy()
+    for i in range(parts.shape[2]):
+        out = (out ^ parts[:, :, i]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out.view(np.int64)
+
+
 def fingerprints(docs: DataFrame, size: int = 3, repeats: bool = True, text: str = "text", doc_id: str = "doc_id", row: str | None = None) -> DataFrame:
-    """doc_id and fp: the fingerprint of each whole text as a bigint with the same bits; with ``row``, that key and a hash of the text too."""
+    """doc_id and fp: the fingerprint of each whole text as a bigint with the same bits; with ``row`` that key too, without repeats a hash of the text,
+    the number of its shingles and its bands."""
     text_batches(docs.sparkSession)
+    kept = ["doc_id"] + ["row"] * (row is not None) + ["text_hash"] * (not repeats)
+    names = [*kept, "fp"] + ["shingles", "bands"] * (not repeats)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(shingle_hashes(t or "", size, repeats)) for t in batch.column("text").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(fps.view(np.int64))], [*kept, "fp"])
+            sets = [shingle_hashes(t or "", size, repeats) for t in batch.column("text").to_pylist()]
+            fps = np.array([fingerprint(s) for s in sets], dtype=np.uint64)
+            made = [pa.array(fps.view(np.int64))]
+            if not repeats:
+                made += [pa.array([len(s) for s in sets], pa.int64()), pa.array(list(bands(sets)), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *made], names)
 
-    keys = [] if row is None else [F.col(row).cast("long").alias("row"), F.xxhash64(text).alias("text_hash")]
-    kept = ["doc_id", "row", "text_hash"][: 1 + len(keys)]
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), *keys, F.col(text).alias("text"))
-    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in [*kept, "fp"]))
+    keys = {"doc_id": F.col(doc_id).cast("long"), "row": F.col(row or doc_id).cast("long"), "text_hash": F.xxhash64(text)}
+    rows = docs.select(*(keys[c].alias(c) for c in kept), F.col(text).alias("text"))
+    return rows.mapInArrow(run, ", ".join(f"{c} {'array<long>' if c == 'bands' else 'long'}" for c in names))
 
 
 def _syndromes() -> np.ndarray:
@@ -172,12 +197,77 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
     return dealt.mapInArrow(compare, "x long, y long").distinct()
 
 
+def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int, text: str = "text") -> DataFrame:
+    """text_hash and set (sorted shingle hashes) of the texts in wanted(text_hash), each once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_hashes(t or "", size, False).view(np.int64) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("text_hash"), pa.array(sets, pa.list_(pa.int64()))], ["text_hash", "set"])
+
+    once = docs.select(F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")).groupBy("text_hash").agg(F.first("text").alias("text"))
+    return once.join(wanted, "text_hash", "left_semi").mapInArrow(run, "text_hash long, set array<long>")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs(x, y, a, b) whose texts x and y have shingle sets of the least similarity: their fingerprints (a, b)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            xs, ys = batch.column("x_set"), batch.column("y_set")
+            like = []
+            for i in range(len(batch)):
+                x, y = (c[i].values.to_numpy(zero_copy_only=False) for c in (xs, ys))
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                like.append(10 * shared >= LIKE * (len(x) + len(y) - shared))
+            yield batch.select(["a", "b"]).filter(pa.array(like, pa.bool_()))
+
+    side = lambda n: sets.select(F.col("text_hash").alias(n), F.col("set").alias(f"{n}_set"))
+    return pairs.join(side("y"), "y").join(side("x"), "x").select("a", "b", "x_set", "y_set").mapInArrow(run, "a long, b long")
+
+
+def likeness_links(docs: DataFrame, prints: DataFrame, edges: DataFrame, size: int, text: str = "text") -> DataFrame:
+    """Links (a, b) between fingerprints of texts of the least similarity that edges(a, b) leave in different components."""
+    spark = docs.sparkSession
+    texts = materialise(prints.filter("shingles > 0").groupBy("text_hash").agg(*(F.first(c).alias(c) for c in ("fp", "shingles", "bands"))), "texts")
+
+    def in_buckets(rows: DataFrame, edges: DataFrame) -> DataFrame:
+        """rows(text_hash, fp, shingles, band) with their component, of bands that more than one component has."""
+        placed = rows.join(components(edges).withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+        mixed = placed.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most")
+        return materialise(placed.join(mixed.select("band"), "band"), "buckets")
+
+    def pairs(x: DataFrame, y: DataFrame) -> DataFrame:
+        """Pairs that share a band but no component and are near enough in size; a pair's smaller text is x."""
+        met = x.alias("x").join(y.alias("y"), "band").filter("x.component <> y.component AND least(x.shingles, y.shingles) * 10 >= greatest(x.shingles, y.shingles) * %d" % LIKE)
+        low, high = (f(F.struct("x.text_hash", "x.fp"), F.struct("y.text_hash", "y.fp")) for f in (F.least, F.greatest))
+        return met.select(low.alias("l"), high.alias("h")).select(F.col("l.text_hash").alias("x"), F.col("h.text_hash").alias("y"), F.col("l.fp").alias("a"), F.col("h.fp").alias("b")).distinct()
+
+    exploded = texts.select("text_hash", "fp", "shingles", F.explode("bands").alias("band"))
+    buckets = in_buckets(exploded, edges)
+    sets = materialise(shingle_sets(docs, buckets.select("text_hash").distinct(), size, text), "sets")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(SET_ROWS_PER_BATCH))
+    first = buckets.groupBy("band").agg(F.min(F.struct("text_hash", "fp", "shingles", "component")).alias("f")).select("band", "f.*")
+    tried = materialise(pairs(buckets, first), "tried")
+    found = materialise(confirmed(tried, sets), "found")
+    rest = in_buckets(buckets.drop("component"), edges.unionByName(found))
+    left = pairs(rest, rest.filter("true")).join(tried.select("x", "y"), ["x", "y"], "left_anti")
+    more = materialise(confirmed(left, sets), "found")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS_PER_BATCH))
+    return found.unionByName(more)
+
+
 def grouped(docs: DataFrame, size: int = 3, max_bits: int = 2, repeats: bool = True, text: str = "text", doc_id: str = "doc_id", row: str | None = None) -> DataFrame:
-    """Per row: doc_id, (with ``row``: row, text_hash,) fp, component (a fingerprint that names the group) and component_id."""
+    """Per row: doc_id, (with ``row``: row,) fp, (without repeats: text_hash, shingles, bands,) component (a fingerprint that names the group) and component_id."""
     spark = docs.sparkSession
     prints = materialise(fingerprints(docs, size, repeats, text, doc_id, row), "fingerprints")
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    linked = components(links(distinct, max_bits).select(F.col("x").alias("a"), F.col("y").alias("b")))
+    edges = links(distinct, max_bits).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    if not repeats:
+        edges = materialise(edges, "edges")
+        text_batches(spark)
+        edges = edges.unionByName(likeness_links(docs, prints, edges, size, text))
+    linked = components(edges)
     # Components are named by fingerprints; their smallest doc_id names them for the documents.
     groups = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     names = groups.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -191,12 +281,12 @@ def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 2, repeats:
     return grouped(docs, size, max_bits, repeats, text, doc_id).select("doc_id", "fp", unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, size: int = 5, max_bits: int = 2, repeats: bool = False, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Exactly one row of each group, with the columns of docs: the least by doc_id (nulls last), hash of the text and place among the rows."""
+def one_of_each(docs: DataFrame, size: int = 5, max_bits: int = 2, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """Exactly one row of each group (shingles count once), with the columns of docs: the least by doc_id (nulls last), hash of the text and place among the rows."""
     row = "_row"
     if clash := {row} & {c.lower() for c in docs.columns}:
         raise ValueError(f"the input already has {sorted(clash)}")
     numbered = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "row")
-    first = grouped(numbered, size, max_bits, repeats, text, doc_id, row).groupBy("component").agg(F.min(order).alias("first")).select(F.col("first.row").alias("kept_row"))
+    first = grouped(numbered, size, max_bits, False, text, doc_id, row).groupBy("component").agg(F.min(order).alias("first")).select(F.col("first.row").alias("kept_row"))
     return numbered.join(first, F.col(row) == F.col("kept_row"), "left_semi").select(*docs.columns)

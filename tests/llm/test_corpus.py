@@ -284,6 +284,29 @@ def test_simhash_cases(spark):
     assert simhash.near_duplicates(df.union(df)).count() == 16
 
 
+def test_near_copies_link_like_brute_force(spark):
+    rng = random.Random(5)
+    texts = []
+    for g in range(12):
+        base = [f"g{g}w{rng.randrange(10**6)}" for _ in range(rng.choice([60, 100, 400]))]
+        for _ in range(8):
+            words = list(base)
+            for at in rng.sample(range(len(words)), rng.randint(0, max(1, len(words) // 40))):
+                words[at] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(words))
+    texts += ["one", "ONE", "", "a b c"]
+    sets = [set(simhash.shingle_hashes(t, 5, False).tolist()) for t in texts]
+    prints = [simhash.fingerprint(simhash.shingle_hashes(t, 5, False)) for t in texts]
+    jaccard = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j]) if sets[i] | sets[j] else 1
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i)]
+    like = [p for p in pairs if jaccard(*p) >= 0.8]
+    near = [p for p in pairs if (prints[p[0]] ^ prints[p[1]]).bit_count() <= 2]
+    assert len(set(like) - set(near)) > 20
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs(spark, texts, 0), size=5, repeats=False).collect()}
+    want = union_find(len(texts), like + near)
+    assert [got[i] for i in range(len(texts))] == [want[i] for i in range(len(texts))]
+
+
 def test_one_row_of_each_group_stays(spark):
     import corpus_pipeline
 
