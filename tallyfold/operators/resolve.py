@@ -12,11 +12,29 @@ NAMESPACE = "6ba7b810-9dad-11d1-80b4-00c04fd430c8"
 FUZZY_LEAST = 0.90
 
 
+def near_names(xs: DataFrame, ys: DataFrame) -> DataFrame:
+    """xs(x, country), ys(y, country): all (x, y, country) of at least FUZZY_LEAST Levenshtein similarity by the longer name, each once.
+
+    Within a tenth of the longer length, y has at most len(y) div 9 edits, so of one piece more than that at least one is in x unchanged, moved by no
+    more places than there are edits. Pieces that most names of a country share make most of its pairs candidates.
+    """
+    cut = {"start": F.expr("CAST(i * y_len DIV (y_len DIV 9 + 1) AS INT)"), "size": F.expr("CAST((i + 1) * y_len DIV (y_len DIV 9 + 1) - i * y_len DIV (y_len DIV 9 + 1) AS INT)")}
+    pieces = F.explode(F.expr("sequence(0, CAST(y_len DIV 9 AS INT))"))
+    y = ys.filter("y <> ''").distinct().withColumn("y_len", F.length("y")).withColumn("i", pieces).withColumns(cut)
+    y = y.select("country", "y_len", "i", "y", F.expr("substring(y, start + 1, size)").alias("piece"))
+    x = xs.filter("x <> ''").distinct().withColumn("x_len", F.length("x"))
+    x = x.withColumn("y_len", F.explode(F.expr("sequence(CAST(x_len - x_len DIV 10 AS INT), CAST(10 * x_len DIV 9 AS INT))"))).withColumn("i", pieces).withColumns(cut)
+    x = x.withColumn("most", F.expr("CAST(greatest(x_len, y_len) DIV 10 AS INT)")).withColumn("at", F.explode(F.expr("sequence(start - most, start + most)")))
+    x = x.filter("at >= 0 AND at + size <= x_len").select("country", "y_len", "i", "x", F.expr("substring(x, at + 1, size)").alias("piece")).distinct()
+    score = 1 - F.levenshtein("x", "y") / F.greatest(F.length("x"), F.length("y"))
+    return x.join(y, ["country", "y_len", "i", "piece"]).filter(score >= FUZZY_LEAST).select("x", "y", "country").distinct()
+
+
 def cascade(wanted: DataFrame, known: DataFrame) -> DataFrame:
     """wanted(id, tax_id, name, country), known(entity, tax_id, name, country): (id, entity, tier).
 
-    Tiers: tax id, then name and country, then the only candidate of at least 0.90 name similarity in the country among names with an equal first
-    token, else a new id made from country and name. A fuzzy tier with two candidates is no match.
+    Tiers: tax id, then name and country, then the only candidate of at least 0.90 name similarity in the country, else a new id made from country and
+    name. A fuzzy tier with two candidates is no match.
     """
     clean = lambda c: F.upper(F.trim(F.col(c)))
     w = wanted.select("id", F.col("tax_id").alias("w_tax"), clean("name").alias("w_name"), F.col("country").alias("w_country"))
@@ -25,11 +43,10 @@ def cascade(wanted: DataFrame, known: DataFrame) -> DataFrame:
     by_name = k.groupBy("k_name", "k_country").agg(F.min("entity").alias("by_name"))
     out = w.join(by_tax, w.w_tax == by_tax.k_tax, "left").drop("k_tax")
     out = out.join(by_name, (out.w_name == by_name.k_name) & (out.w_country == by_name.k_country), "left").drop("k_name", "k_country")
-    open_rows = out.filter("by_tax IS NULL AND by_name IS NULL").select("id", "w_name", "w_country").withColumn("block", F.substring_index("w_name", " ", 1))
-    pool = k.select("entity", "k_name", "k_country", F.substring_index("k_name", " ", 1).alias("k_block"))
-    near = open_rows.join(pool, (F.col("block") == F.col("k_block")) & (F.col("w_country") == F.col("k_country")))
-    score = 1 - F.levenshtein("w_name", "k_name") / F.greatest(F.length("w_name"), F.length("k_name"))
-    fuzzy = near.withColumn("score", score).filter(F.col("score") >= FUZZY_LEAST).groupBy("id").agg(F.count_distinct("entity").alias("n"), F.min("entity").alias("fuzzy")).filter("n = 1").select("id", "fuzzy")
+    open_rows = out.filter("by_tax IS NULL AND by_name IS NULL").select("id", "w_name", "w_country")
+    near = near_names(open_rows.select(F.col("w_name").alias("x"), F.col("w_country").alias("country")), k.select(F.col("k_name").alias("y"), F.col("k_country").alias("country")))
+    found = near.join(k, (F.col("y") == F.col("k_name")) & (F.col("country") == F.col("k_country"))).groupBy("x", "country").agg(F.count_distinct("entity").alias("n"), F.min("entity").alias("fuzzy")).filter("n = 1")
+    fuzzy = open_rows.join(found, (F.col("w_name") == F.col("x")) & (F.col("w_country") == F.col("country"))).select("id", "fuzzy")
     out = out.join(fuzzy, "id", "left")
     minted = uuid5(NAMESPACE, F.concat_ws(":", "w_country", "w_name"))
     tier = F.when(F.col("by_tax").isNotNull(), "tax").when(F.col("by_name").isNotNull(), "name").when(F.col("fuzzy").isNotNull(), "fuzzy").otherwise("minted")

@@ -102,3 +102,44 @@ def test_adhoc_guard(spark):
     for bad in ("DROP VIEW numbers", "CREATE TABLE t (a int)", "INSERT INTO t VALUES (1)", "SET a=b"):
         with pytest.raises(ValueError):
             adhoc.run(spark, bad)
+
+
+def test_near_names_like_brute_force(spark):
+    import random
+
+    from tallyfold.operators import resolve
+
+    rng, near = random.Random(8), 0
+    xs = ["".join(rng.choice("ab ") for _ in range(n)).strip() or "a" for n in [1, 5, 8, 9, 10, 11, 17, 18, 19, 20, 27, 30, 31, 40, 45] * 3]
+
+    def changed(t):
+        t = list(t)
+        for _ in range(rng.randint(0, len(t) // 8)):
+            at = rng.randrange(len(t))
+            t[at : at + 1] = rng.choice([[], ["c"], [t[at], "c"]])
+            t = t or ["c"]
+        return "".join(t)
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, p in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, q in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (p != q))
+        return row[-1]
+
+    ys = [changed(x) for x in xs for _ in range(4)]
+    left = [(x, i % 2) for i, x in enumerate(xs)] + [("", 0), (None, 0)]
+    right = [(y, i // 4 % 2) for i, y in enumerate(ys)] + [("", 0), (None, 1)]
+    got = {tuple(r) for r in resolve.near_names(spark.createDataFrame(left, "x string, country int"), spark.createDataFrame(right, "y string, country int")).select("x", "y", "country").collect()}
+    want = {(x, y, c) for x, c in left for y, d in right if x and y and c == d and 10 * distance(x, y) <= max(len(x), len(y))}
+    assert got == want and sum(x != y for x, y, _ in want) > 40
+
+
+def test_cascade_finds_names_that_differ_in_the_first_word(spark):
+    from tallyfold.operators import resolve
+
+    known = spark.createDataFrame([(1, "t1", "Customer#000000012", 7), (2, "t2", "Customer#000000345", 7), (3, "t3", "Customer#000000346", 7), (4, "t4", "Customer#000000099", 8)], "entity long, tax_id string, name string, country int")
+    wanted = spark.createDataFrame([(10, "x", "Customer#000000017", 7), (11, "x", "Customer#000000347", 7), (12, "x", "Customer#000000098", 7)], "id long, tax_id string, name string, country int")
+    got = {r["id"]: (r["tier"], r["entity"]) for r in resolve.cascade(wanted, known).collect()}
+    assert got[10] == ("fuzzy", "1") and got[11][0] == "minted" and got[12][0] == "minted"
