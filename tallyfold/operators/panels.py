@@ -66,6 +66,12 @@ def details(rows: DataFrame, group: str, key: str, label: Column, most: int = 20
     return counts.join(listed, F.col(group).eqNullSafe(F.col("_g"))).select(group, "n", "detail")
 
 
+def offenders(rows: DataFrame, group: str, key: str, label: Column) -> DataFrame:
+    """All rows as (group, key, label) with the number of rows of their group; the key gives their order, so no group is collected or sorted in one place."""
+    counts = rows.groupBy(F.col(group).alias("_g")).agg(F.count("*").alias("n"))
+    return rows.withColumn("label", label).join(counts, F.col(group).eqNullSafe(F.col("_g"))).select(group, key, "label", "n")
+
+
 def winner_values(awards: DataFrame) -> DataFrame:
     """awards(notice_id, place, is_winner, lot, party, contractor, value, lot_estimate, notice_total): (notice_id, parties, estimate, total, payable).
 

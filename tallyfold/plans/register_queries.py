@@ -92,6 +92,13 @@ def check_details(spark: SparkSession, sf: str) -> DataFrame:
     return panels.details(o, "status", "o_orderkey", F.concat_ws(":", "o_orderkey", "o_custkey"))
 
 
+@query("""SELECT o_orderstatus AS status, o_orderkey, o_orderkey || ':' || o_custkey AS label, count(*) OVER (PARTITION BY o_orderstatus) AS n FROM orders WHERE o_totalprice < 20000""")
+def check_offenders(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders that check_details counts, one row each."""
+    o = table(spark, sf, "orders").filter("o_totalprice < 20000").withColumnRenamed("o_orderstatus", "status")
+    return panels.offenders(o, "status", "o_orderkey", F.concat_ws(":", "o_orderkey", "o_custkey"))
+
+
 @query("""WITH w AS (SELECT DISTINCT ON (l_orderkey, l_linenumber, l_suppkey) l_orderkey, l_linenumber, l_suppkey, l_extendedprice AS value, l_partkey FROM lineitem WHERE l_returnflag <> 'R' ORDER BY l_orderkey, l_linenumber, l_suppkey, l_partkey, l_extendedprice),
   l AS (SELECT l_orderkey, l_linenumber, count(*) AS parties, sum(value) AS payable, min_by(value, (l_partkey, value, l_suppkey)) AS estimate FROM w GROUP BY ALL)
   SELECT l_orderkey AS notice_id, sum(parties)::BIGINT AS parties, floor(sum(estimate) * 100 + 0.5) / 100 AS estimate, CASE WHEN sum(parties) = 1 THEN max(o_totalprice) END AS total, floor(sum(payable) * 100 + 0.5) / 100 AS payable FROM l JOIN orders ON o_orderkey = l_orderkey GROUP BY 1""")

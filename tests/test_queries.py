@@ -37,3 +37,11 @@ def test_same_as_sql(spark, duck, sf, name):
 def test_resolve_cascade_gives_each_id_once(spark, sf):
     got = QUERIES["resolve_cascade"](spark, sf).collect()
     assert len({r["id"] for r in got}) == len(got) and all(r["entity"] and r["tier"] in ("tax", "name", "fuzzy", "minted") for r in got)
+
+
+def test_all_offenders_of_a_check_are_listed(spark):
+    sf = "/root/testdata/sf0.01"
+    counted = {r["status"]: r["n"] for r in QUERIES["check_details"](spark, sf).collect()}
+    listed = QUERIES["check_offenders"](spark, sf).collect()
+    assert {s: sum(r["status"] == s for r in listed) for s in counted} == counted and max(counted.values()) > 20
+    assert all(r["n"] == counted[r["status"]] for r in listed) and len({r["o_orderkey"] for r in listed}) == len(listed)
