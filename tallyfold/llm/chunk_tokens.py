@@ -1,6 +1,7 @@
 """Token ids of whole texts by the tokenizers library, one distinct chunk at a time.
 
-Texts repeat their words, so a worker keeps the ids of the chunks it has met and asks the library only for new ones.
+Texts repeat their words, so a worker keeps the ids of the chunks it has met and asks the library only for new ones. A batch of texts that are cut before
+spaces is cut by Arrow, looked up once per distinct chunk of the batch, and put together by numpy.
 ``split`` says where a text may be cut without changing its ids:
 
 - ``words``: the tokenizer lower-cases and drops white space, so every space or line feed separates chunks;
@@ -19,10 +20,14 @@ import os
 import unicodedata
 from array import array
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 from tallyfold.llm.bpe import byte_alphabet
 
-#: Chunks that a worker remembers, some 250 MB; then it starts anew.
-REMEMBERED = 1_200_000
+#: Chunks that a worker remembers, some 300 MB; then it starts anew.
+REMEMBERED = 1_500_000
 #: Signs that form one token match behind a letter; the apostrophe, which may begin a contraction, isn't one of them.
 _TAILS = ".,;:!?*%$#&|-()[]"
 
@@ -37,6 +42,23 @@ class _Known(dict):
         self.encode, self.model, self.before = library.encode, library.model, before
         self.stops: dict = self
         self.alphabet = str.maketrans({chr(b): c for b, c in enumerate(byte_alphabet())})
+        from tokenizers import Tokenizer
+
+        self.bare = Tokenizer(self.model)  # the same model without cutting
+        self.line_feed = byte_alphabet()[10]
+        self.line_feed_id = library.token_to_id(self.line_feed)
+
+    def learn(self, words: set[str]) -> None:
+        """Add the ids of new words of letters. The model gets them in one call, a line feed behind each, whose id then parts them."""
+        new = [w for w in words if w not in self and len(w) < 100 and w.isalpha() and (w.isascii() or unicodedata.is_normalized("NFC", w))]
+        for at in range(0, len(new), 2000):
+            some = new[at : at + 2000]
+            seen = [x for w in some for x in ((self.before + w).encode("utf-8").decode("latin-1").translate(self.alphabet), self.line_feed)]
+            ids = np.array(self.bare.encode_batch_fast([seen], is_pretokenized=True, add_special_tokens=False)[0].ids, dtype="<u4")
+            ends, raw, begin = np.flatnonzero(ids == self.line_feed_id).tolist(), ids.tobytes(), 0
+            for w, end in zip(some, ends, strict=True):
+                self[w] = raw[4 * begin : 4 * end]
+                begin = end + 1
 
     def __missing__(self, chunk: str) -> bytes:
         got = None
@@ -54,7 +76,7 @@ class _Known(dict):
                     got = self[stem] + self.stops[chunk[len(stem) :]]
         if got is None:
             got = array("I", self.encode(self.before + chunk, add_special_tokens=False).ids).tobytes() if self.before + chunk else b""
-        if len(chunk) < 100:
+        if len(chunk) < 100 and "\n" not in chunk:  # words around a line feed hardly meet again
             self[chunk] = got
         return got
 
@@ -81,18 +103,61 @@ class ChunkTokens:
             return b"".join(map(self.plain.__getitem__, text.lower().replace("\n", " ").split(" ")))
         if self.split != "leading_space" or "<|" in text:
             return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        lone = "  " not in text and " \n" not in text and "\n " not in text and text[-1] != " "
-        if lone and text.replace("\n", "x").isprintable():  # no white space but the two
+        if _lone(text):
             first, *chunks = text.split(" ")
             return self.plain[first] + b"".join(map(self.spaced.__getitem__, chunks))
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def ids(self, texts: list[str | None]) -> list[bytes]:
+    def _forget(self) -> None:
         for known in (self.plain, self.spaced):
             if len(known) > self.remembered:
                 known.clear()
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        self._forget()
         return [self.one(t) for t in texts]
 
+    def _learn_stems(self, chunks: list[str]) -> None:
+        """Ask for the new words among chunks (behind a space) all at once."""
+        behind, alone = set(), set()
+        for c in chunks:
+            if c not in self.spaced:
+                first, *more = c.split("\n")
+                behind.add(first.rstrip(_TAILS))
+                alone.update(x.rstrip(_TAILS) for x in more)
+        self.spaced.learn(behind)
+        self.plain.learn(alone)
+
+    def flat_ids(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, each with end_id behind it, and how many each text has."""
+        end = array("I", [end_id]).tobytes()
+        if self.split != "leading_space":
+            raw = [x + end for x in self.ids(texts)]
+            return np.frombuffer(b"".join(raw), dtype="<u4"), np.array([len(x) // 4 for x in raw], dtype=np.int64)
+        self._forget()
+        cut = [t if t and "<|" not in t and _lone(t) else "" for t in texts]
+        parts = pc.split_pattern(pa.array(cut, pa.large_string()), " ")
+        coded = pc.dictionary_encode(parts.values)
+        ends, place = parts.offsets.to_numpy(), coded.indices.to_numpy().astype(np.int64)
+        # A text's first chunk has no space before it; a text that isn't cut is one chunk. These come behind the distinct chunks.
+        heads = [self.plain[c.split(" ", 1)[0]] if c else self.one(t) for c, t in zip(cut, texts, strict=True)]
+        place[ends[:-1]] = len(coded.dictionary) + np.arange(len(texts))
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._learn_stems(chunks)
+        found = [*map(self.spaced.__getitem__, chunks), *heads]
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        flat, begins = np.frombuffer(b"".join(found), dtype="<u4"), np.cumsum(sizes) - sizes
+        counts = sizes[place]
+        upto = np.cumsum(counts)
+        ids = flat[np.repeat(begins[place] - (upto - counts), counts) + np.arange(upto[-1] if len(upto) else 0)]
+        lengths = np.diff(np.concatenate([[0], upto])[ends])
+        return np.insert(ids, np.cumsum(lengths), np.uint32(end_id)), lengths + 1
+
+
+def _lone(text: str) -> bool:
+    """No white space but single spaces, each before a word, and line feeds."""
+    return "  " not in text and " \n" not in text and "\n " not in text and text[-1] != " " and text.replace("\n", "x").isprintable()
+
 
 @functools.lru_cache(maxsize=4)
 def chunk_tokens(path: str, split: str) -> ChunkTokens:
