@@ -4,9 +4,10 @@ Each language has a raw-content zstandard dictionary of training texts. The lett
 per language; the language with the smallest total wins (ties: the one with more training rows, then the smaller name). The score is the margin to
 the second, (second - best) / second, from 0 to 1; ``reject`` tells texts whose margin is too narrow to decide.
 
-Training reads a bounded sample: about ``SAMPLE_DOCS`` rows of a language, chosen by hash among the labelled rows of at most ``SAMPLE_CHARS`` characters (whole
-texts), up to ``DICTIONARY_BYTES`` a language and ``LANGUAGES`` languages, the most frequent ones. A language without such rows is learned from its longer
-texts, whole and in hash order; its first text counts whatever its length. Counts of languages cover all labelled rows.
+Training reads a bounded sample of whole labelled rows, chosen by hash: about ``SAMPLE_DOCS`` of each language, fewer (``LEAST_DOCS`` at least) where over ``SAMPLE_ROWS /
+SAMPLE_DOCS`` languages are learned. A text gives at most a fifth of a dictionary, a longer one by blocks spread evenly over the whole of it, so texts of any length
+teach. A dictionary holds ``DICTIONARY_BYTES``, less where all of them would hold over ``ALL_BYTES``. Every language with a row that has a letter is learned, and the counts
+that order them cover all labelled rows. More than ``MOST_LANGUAGES`` distinct labels are no languages and raise ValueError.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; with one language only, it is given with score 0, and ``least_margin`` lets it
 pass; with no training rows all is ``und``; repeated rows are each predicted; other columns pass through, and an output column that the input has already raises ValueError.
@@ -19,19 +20,18 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyfold.llm.common import text_batches
+from tallyfold.llm.common import slices
 
 SAMPLE_DOCS = 150
-SAMPLE_CHARS = 20_000
-#: Rows read of a language that has long texts only: about LONG_SAMPLE are drawn, the first LONG_DOCS of them by hash are kept.
-LONG_SAMPLE = 50
-LONG_DOCS = 5
+LEAST_DOCS = 5
+SAMPLE_ROWS = 6_000
 DICTIONARY_BYTES = 100_000
-LANGUAGES = 200
+ALL_BYTES = 64 << 20
+MOST_LANGUAGES = 10_000
 BLOCK = 4096
 #: Levels below 6 miss short matches, which costs 6 % of the short texts.
 LEVEL = 6
@@ -48,28 +48,40 @@ def letters(text: str) -> bytes:
     return _OTHER.sub(" ", text.lower()).encode("utf-8")
 
 
+def excerpt(raw: bytes, room: int) -> bytes:
+    """raw, or where it is longer than room, blocks spread evenly over the whole of it that fill the room."""
+    if len(raw) <= room:
+        return raw
+    block = min(BLOCK, room)
+    blocks = max(1, room // block)
+    at = [i * (len(raw) - block) // max(1, blocks - 1) for i in range(blocks)]
+    return b" ".join(raw[i : i + block] for i in at)[:room]
+
+
 def train(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, bytes]:
     """The dictionary of each language, most frequent language first; rows without text, letters or language teach nothing."""
     labelled = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(key).alias("h")).filter("lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
-    short = F.length("text") <= SAMPLE_CHARS
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(short).alias("short")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES + 1).collect()
     if not counts:
         return {}
-    # A row is in the sample if its hash falls into the language's share; expected SAMPLE_DOCS rows a language, whatever the table's size.
-    share = lambda found: F.create_map(*(x for k, v in found.items() for x in (F.lit(k), F.lit(v))))[F.col("lang")]
-    part = F.pmod(F.col("h"), F.lit(1_000_003)) / 1_000_003.0
-    with_short, long_only = {r["lang"]: SAMPLE_DOCS / r["short"] for r in counts if r["short"]}, {r["lang"]: LONG_SAMPLE / r["n"] for r in counts if not r["short"]}
-    sample = []
-    if with_short:
-        sample += labelled.filter(short).filter(part < share(with_short)).orderBy("h", "text").limit(4 * SAMPLE_DOCS * len(with_short)).collect()
-    if long_only:
-        place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-        sample += labelled.filter(part < share(long_only)).withColumn("place", place).filter(F.col("place") <= LONG_DOCS).orderBy("lang", "place").collect()
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"over {MOST_LANGUAGES} distinct values of {lang}")
+    docs, size = max(LEAST_DOCS, min(SAMPLE_DOCS, SAMPLE_ROWS // len(counts))), min(DICTIONARY_BYTES, ALL_BYTES // len(counts))
+    # A row is in the sample if its hash falls into the language's share: about so many rows a language, whatever the table's size. The share of a language with few
+    # rows is doubled, so that one with a handful of rows isn't missed by chance.
+    share = F.create_map(*(x for r in counts for x in (F.lit(r["lang"]), F.lit(2 * docs / r["n"] if r["n"] <= 4 * docs else docs / r["n"]))))[F.col("lang")]
+    drawn = labelled.filter(F.pmod(F.col("h"), F.lit(1_000_003)) / 1_000_003.0 < share)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            raw = [excerpt(letters(t) + b" ", size // 5) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("h"), pa.array(raw, pa.binary())], ["lang", "h", "raw"])
+
+    sample = drawn.mapInArrow(run, "lang string, h long, raw binary").orderBy("h", "raw").collect()
     out = {r["lang"]: b"" for r in counts}
     for r in sample:
-        raw = letters(r["text"]) + b" "
-        if not out[r["lang"]] or len(out[r["lang"]]) + len(raw) <= DICTIONARY_BYTES:
-            out[r["lang"]] += raw
+        if len(out[r["lang"]]) + len(r["raw"]) <= size:
+            out[r["lang"]] += bytes(r["raw"])
     return {k: v for k, v in out.items() if v}
 
 
@@ -99,12 +111,11 @@ def identify(df: DataFrame, model: dict[str, bytes], text: str = "text") -> Data
     """Adds lang_pred and score to every row."""
     if clash := {"lang_pred", "score"} & {c.lower() for c in df.columns}:
         raise ValueError(f"the input already has {sorted(clash)}")
-    text_batches(df.sparkSession)
     items = tuple(model.items())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = _compressors(items)
-        for batch in batches:
+        for batch in slices(batches, text):
             got = [classify(t, compressors) for t in batch.column(text).to_pylist()]
             added = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "lang_pred", "score"])
