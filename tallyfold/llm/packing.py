@@ -4,8 +4,8 @@ Round 1 packs the pieces of each input partition best-fit, longest first, and em
 underfull bins, with their members, are the items of the next round on a quarter of the partitions, and so on up a tree until few partitions are
 left; the last round emits all. Each round is written to the shared folder, so a retried task never mixes two packings.
 
-No task gets more than ``MOST_ITEMS`` items: the tree stops narrowing there. Items too long to pair (every bin over half full) still
-take part once per round, as hosts for shorter ones.
+No task packs more than ``MOST_ITEMS`` pieces at once: a longer input partition is packed in runs of so many, and the tree stops narrowing there. Items too long to pair (every
+bin over half full) still take part once per round, as hosts for shorter ones.
 
 Defined cases: a null or empty text is the end id alone; repeated rows (also with equal doc_id) are packed each on its own; a
 null doc_id is kept; an empty table gives no rows; other columns are left out.
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.chunk_tokens import chunk_tokens
-from tallyfold.llm.common import materialise, text_batches
+from tallyfold.llm.common import batches, materialise
 
 CAPACITY = 2048
 #: A bin with no more room than this is full enough to be emitted at once.
@@ -31,9 +31,9 @@ SLACK = 4
 FAN_IN = 4
 MOST_ITEMS = 200_000
 
-MEMBER = "struct<doc_id: bigint, piece: int, start: bigint, length: bigint, ids_crc32: bigint>"
+MEMBER = "struct<doc_id: bigint, piece: int, start: bigint, length: bigint, ids_crc32: bigint, offset: bigint>"
 BIN_SCHEMA = f"sequence_id long, filled int, members array<{MEMBER}>"
-_MEMBER_TYPE = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
+_MEMBER_TYPE = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("offset", pa.int64())])
 _BIN_TYPES = pa.schema([("sequence_id", pa.int64()), ("filled", pa.int32()), ("members", pa.list_(_MEMBER_TYPE))])
 
 
@@ -63,15 +63,24 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
 
 
 def _bins(items: list[tuple[int, list]], capacity: int, first_id: int) -> Iterator[pa.RecordBatch]:
-    """items: (size, members)."""
+    """items: (size, members); a member is a tuple of the fields but the offset, which follows from its place in the bin."""
     packed = best_fit([size for size, _ in items], capacity)
+
+    def placed(b: list[int]) -> list[tuple]:
+        members, offset = [], 0
+        for i in b:
+            for m in items[i][1]:
+                members.append((*m, offset))
+                offset += m[3]
+        return members
+
     for at in range(0, len(packed), 2000):
         some = packed[at : at + 2000]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([first_id + at + k for k in range(len(some))], type=pa.int64()),
                 pa.array([sum(items[i][0] for i in b) for b in some], type=pa.int32()),
-                pa.array([[m for i in b for m in items[i][1]] for b in some], type=_BIN_TYPES.field("members").type),
+                pa.array([[dict(zip(_MEMBER_TYPE.names, m, strict=True)) for m in placed(b)] for b in some], type=_BIN_TYPES.field("members").type),
             ],
             schema=_BIN_TYPES,
         )
@@ -87,34 +96,39 @@ def _first_id(round_no: int) -> int:
 def pack(docs: DataFrame, tokenizer: str, split: str = "whole", end_id: int = 0, capacity: int = CAPACITY, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. Only documents over capacity are cut."""
     spark = docs.sparkSession
-    text_batches(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, end, items = chunk_tokens(tokenizer, split), np.array([end_id], dtype="<u4").tobytes(), []
-        for batch in batches:
+    def first(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, end, items, at_bin = chunk_tokens(tokenizer, split), np.array([end_id], dtype="<u4").tobytes(), [], _first_id(0)
+        for batch in parts:
+            if len(items) >= MOST_ITEMS:
+                yield from _bins(items, capacity, at_bin)
+                items, at_bin = [], at_bin + len(items)
             for key, ids in zip(batch.column("doc_id").to_pylist(), tokens.ids(batch.column("text").to_pylist()), strict=True):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids) // 4, capacity)):
                     part = ids[4 * at : 4 * (at + capacity)]
                     items.append((len(part) // 4, [(key, piece, at, len(part) // 4, zlib.crc32(part))]))
-        yield from _bins([(size, [dict(zip(_MEMBER_TYPE.names, m, strict=True)) for m in members]) for size, members in items], capacity, _first_id(0))
+        yield from _bins(items, capacity, at_bin)
 
     def later(round_no: int):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items = [(r["filled"], r["members"]) for batch in batches for r in batch.to_pylist()]
+        def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            items = [(r["filled"], [tuple(m[n] for n in _MEMBER_TYPE.names[:-1]) for m in r["members"]]) for batch in parts for r in batch.to_pylist()]
             yield from _bins(items, capacity, _first_id(round_no))
 
         return run
 
-    packed = materialise(rows.mapInArrow(first, BIN_SCHEMA), "pack-0")
+    with batches(spark):
+        packed = materialise(rows.mapInArrow(first, BIN_SCHEMA), "pack-0")
     full = F.col("filled") >= capacity - SLACK
     done, left, round_no = [packed.filter(full)], packed.filter(~full), 0
     parts = max(1, packed.rdd.getNumPartitions())
-    count = left.count()
-    while count > 1:
-        parts = max(1, -(-count // MOST_ITEMS), -(-parts // FAN_IN))
-        last = parts == max(1, -(-count // MOST_ITEMS))
+    while True:
+        count, pieces = left.agg(F.count("*"), F.coalesce(F.sum(F.size("members")), F.lit(0))).first()
+        if count <= 1:
+            break
+        parts = max(1, -(-pieces // MOST_ITEMS), -(-parts // FAN_IN))
+        last = parts == max(1, -(-pieces // MOST_ITEMS))
         round_no += 1
         packed = materialise(left.repartition(parts).mapInArrow(later(round_no), BIN_SCHEMA), f"pack-{round_no}")
         if last:
@@ -122,11 +136,8 @@ def pack(docs: DataFrame, tokenizer: str, split: str = "whole", end_id: int = 0,
             break
         done.append(packed.filter(full))
         left = packed.filter(~full)
-        count = left.count()
     bins = left
     for d in done:
         bins = bins.unionByName(d)
-    placed = bins.select("sequence_id", F.inline(F.expr("""
-        transform(members, (m, i) -> named_struct('doc_id', m.doc_id, 'piece', m.piece, 'start', m.start, 'length', m.length,
-            'ids_crc32', m.ids_crc32, 'offset', aggregate(slice(members, 1, i), 0L, (a, x) -> a + x.length)))""")))
+    placed = bins.select("sequence_id", F.inline("members"))
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
