@@ -2,7 +2,7 @@
 
 A rule is a host with a path; it fits its host and all subdomains when the URL's path starts with the rule's path.
 Each URL expands into one expression per (host suffix, path prefix) whose label count and path length occur among the
-rules. Expressions meet rules on the first eight hex digits of a SHA-256; a match counts only if all 64 digits agree.
+rules. Expressions meet rules on the first eight hex digits of a SHA-256 alone; what meets is then confirmed on all 64 digits.
 Of several fitting rules the longest (host plus path) wins, then the longer host, then block before allow.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path and no rule; repeated rows are each judged;
@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Up to so many rules are sent to every executor (some 30 MB at 300 bytes a rule); more are joined by a shuffle.
-BROADCAST_RULES = 100_000
+#: Rules of up to so many bytes in all are sent to every executor; more are joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
 PREFIX_DIGITS = 8
 
 RULE_SCHEMA = "rule_host string, rule_path string, action string"
@@ -46,7 +46,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", keep: tuple
     rules = rules.select("rule_host", "rule_path", "action").distinct()
     # One small row: the label counts and path lengths in use (each at most the longest possible URL), and the rule count.
     shape = rules.agg(
-        F.count("*").alias("n"),
+        F.coalesce(F.sum(F.length("rule_host") + F.length("rule_path") + 200), F.lit(0)).alias("bytes"),
         F.collect_set(F.size(F.split("rule_host", r"\."))).alias("labels"),
         F.collect_set(F.length("rule_path")).alias("lengths"),
     ).first()
@@ -57,23 +57,20 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", keep: tuple
         "action",
     ).withColumn("prefix", F.substring("rule_digest", 1, PREFIX_DIGITS))
 
-    rows = with_host_path(pages.select(*keep, F.col(url).alias("_url")), "_url")
+    # _row keeps repeated rows apart while their expressions are looked up, so no page, however often repeated, is one task's.
+    rows = with_host_path(pages.select(F.monotonically_increasing_id().alias("_row"), *keep, F.col(url).alias("_url")), "_url")
     hosts = [F.when((F.size(F.split("host", r"\.")) >= n) & (F.col("host") != ""), F.substring_index("host", ".", -n)) for n in sorted(shape["labels"])]
     paths = [F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in sorted(shape["lengths"])]
-    # The first, null expression stands for the row itself, so rows without a match stay and copies can be counted.
+    # The first, null expression stands for the row itself, so rows without a match stay.
     digests = [F.lit(None).cast("string")] + [_digest(h, p) for h in hosts for p in paths]
     expanded = rows.withColumn("digest", F.explode(F.array_union(F.array(digests[0]), F.array_compact(F.array(*digests)))))
     expanded = expanded.withColumn("probe", F.substring("digest", 1, PREFIX_DIGITS))
-    if shape["n"] <= BROADCAST_RULES:
+    if shape["bytes"] <= BROADCAST_BYTES:
         hashed = F.broadcast(hashed)
-    met = expanded.join(hashed, (F.col("probe") == F.col("prefix")) & (F.col("digest") == F.col("rule_digest")), "left")
-    met = met.filter(F.col("digest").isNull() | F.col("rule").isNotNull())
+    met = expanded.join(hashed, F.col("probe") == F.col("prefix"), "left")
+    met = met.filter(F.col("digest").isNull() | (F.col("digest") == F.col("rule_digest")))
     won = F.struct(F.length("rule").alias("length"), F.col("host_length"), (F.col("action") == "block").alias("blocks"), F.col("rule"))
-    judged = met.groupBy(*keep, "_url").agg(
-        F.max(F.when(F.col("rule").isNotNull(), won)).alias("won"),
-        F.count_if(F.col("digest").isNull()).cast("int").alias("copies"),
-    )
+    judged = met.groupBy("_row", *keep, "_url").agg(F.max(F.when(F.col("rule").isNotNull(), won)).alias("won"))
     judged = with_host_path(judged, "_url")
     verdict = F.when(F.col("won").isNull(), F.lit(default)).when(F.col("won.blocks"), F.lit("block")).otherwise(F.lit("allow"))
-    once = judged.select(*keep, "host", "path", F.col("won.rule").alias("rule"), verdict.alias("verdict"), "copies")
-    return once.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).drop("_copy", "copies")
+    return judged.select(*keep, "host", "path", F.col("won.rule").alias("rule"), verdict.alias("verdict"))
