@@ -2,29 +2,33 @@
 
 Every row gives one record. Payload bytes are stored once per content, under their SHA-256; the exact header bytes of each record are
 stored separately with the digest of its payload. The record of the smallest id among equal payloads of at least ``least_bytes`` bytes is the ``response``; the
-others are ``revisit`` records that refer to it and have no payload of their own. Reading verifies each stored payload against its digest once, and
-rebuilds original records (header, payload, two line ends) by joining headers with payloads.
+others are ``revisit`` records that refer to it and have no payload of their own. Reading rebuilds the response records (header, payload, two line ends) by joining headers with
+payloads, and checks each against its address, its digest and its length; what an index tells of a record is read from its header bytes.
 
-An archive is a folder with ``headers`` and ``payloads`` as Parquet, written by Spark, so any file system that Spark knows will do and lost tasks leave nothing behind.
+An archive is a folder with ``headers``, ``payloads`` and ``layout`` as Parquet, written by Spark, so any file system that Spark knows will do and lost tasks leave nothing behind.
+Payloads lie in hash buckets of their SHA-256, so that joining them moves the headers only.
 
 Defined cases: a null html is an empty payload and a null url an empty target; equal ids: equal payloads elect the smallest id, and of rows with that id and
-payload one is the response (the row of the smallest url), the others revisit it; a null id comes last; an empty table gives an empty archive; other columns are left out.
+payload one is the response (the row of the smallest url), the others revisit it; a null id comes last and is written ``-``; an empty table gives an empty archive; other columns
+are left out. Record ids differ even where page ids repeat.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import text_batches
+from tallyfold.llm.common import batches, materialise
 
 LEAST_BYTES = 0
-HEADER_SCHEMA = "page_id long, record_type string, refers_to long, sha256 string, payload_sha1 string, header binary"
+HEADER_SCHEMA = "sha256 string, response boolean, header binary"
 PAYLOAD_SCHEMA = "sha256 string, payload binary"
 END = b"\r\n\r\n"
 
@@ -42,24 +46,29 @@ def _records(pages: DataFrame, html: str, url: str, page_id: str) -> DataFrame:
     return rows.withColumns({"sha256": F.sha2("payload", 256), "sha1": F.sha1("payload"), "bytes": F.octet_length("payload").cast("long")})
 
 
-def _header() -> F.Column:
-    sha1 = base32_of("sha1")
+def _header(date: str) -> F.Column:
+    """Header bytes. A response's id is made of its page and content, so that revisits can name it; any other record's id of its page and a number in the archive."""
+    named = lambda page, rest: F.concat(F.lit("<urn:page:"), F.coalesce(page.cast("string"), F.lit("-")), F.lit(":"), rest, F.lit(">"))
+    revisit, elected = F.col("record_type") == "revisit", F.col("first_sha256").isNotNull()
+    own = named(F.col("page_id"), F.when(~revisit & elected, F.col("sha256")).otherwise(F.monotonically_increasing_id().cast("string")))
     lines = [
         F.lit("WARC/1.0"),
         F.concat(F.lit("WARC-Type: "), "record_type"),
         F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace("url", r"[\r\n]", "")),
-        F.concat(F.lit("WARC-Record-ID: <urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("-")), F.lit(">")),
-        F.when(F.col("record_type") == "revisit", F.concat(F.lit("WARC-Refers-To: <urn:page:"), F.coalesce(F.col("refers_to").cast("string"), F.lit("-")), F.lit(">"))),
-        F.when(F.col("record_type") == "revisit", F.lit("WARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest")),
-        F.concat(F.lit("WARC-Payload-Digest: sha1:"), sha1),
+        F.lit(f"WARC-Date: {date}"),
+        F.concat(F.lit("WARC-Record-ID: "), own),
+        F.when(revisit, F.concat(F.lit("WARC-Refers-To: "), named(F.col("refers_to"), F.col("sha256")))),
+        F.when(revisit, F.lit("WARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest")),
+        F.concat(F.lit("WARC-Payload-Digest: sha1:"), base32_of("sha1")),
         F.lit("Content-Type: text/html; charset=utf-8"),
-        F.concat(F.lit("Content-Length: "), F.when(F.col("record_type") == "revisit", F.lit(0)).otherwise(F.col("bytes")).cast("string")),
+        F.concat(F.lit("Content-Length: "), F.when(revisit, F.lit(0)).otherwise(F.col("bytes")).cast("string")),
     ]
     return F.encode(F.concat(F.concat_ws("\r\n", *lines), F.lit("\r\n\r\n")), "UTF-8")
 
 
-def write_archive(pages: DataFrame, out: str, least_bytes: int = LEAST_BYTES, html: str = "html", url: str = "url", page_id: str = "page_id") -> None:
-    """Write the archive of all rows of pages to the folder out."""
+def write_archive(pages: DataFrame, out: str, least_bytes: int = LEAST_BYTES, html: str = "html", url: str = "url", page_id: str = "page_id", date: datetime | None = None) -> None:
+    """Write the archive of all rows of pages to the folder out; date: when the pages were fetched (now)."""
+    spark = pages.sparkSession
     rows = _records(pages, html, url, page_id)
     # Election sees digests only. Ordered by (has an id, id, url); partial minima keep a digest of very many rows out of one task.
     place = F.struct(F.col("page_id").isNull().alias("unknown"), "page_id", "url")
@@ -74,50 +83,74 @@ def write_archive(pages: DataFrame, out: str, least_bytes: int = LEAST_BYTES, ht
     rest = heads.filter(~leads).withColumn("place", F.lit(2))
     typed = lead.unionByName(rest).withColumn("record_type", F.when(F.col("place") == 1, "response").otherwise("revisit"))
     typed = typed.withColumn("refers_to", F.when(F.col("record_type") == "revisit", F.col("refers_to")))
-    typed = typed.withColumn("payload_sha1", base32_of("sha1"))
-    headers = typed.select("page_id", "record_type", "refers_to", "sha256", "payload_sha1", _header().alias("header"))
+    stamp = (date or datetime.now(UTC)).strftime("%Y-%m-%dT%H:%M:%SZ")
+    headers = typed.select("sha256", (F.col("record_type") == "response").alias("response"), _header(stamp).alias("header"))
     headers.write.mode("overwrite").parquet(f"{out}/headers")
-    # One copy of each content: hash aggregation on the digest keeps one payload per content and map task before the shuffle.
-    stored = rows.select("sha256", "payload").dropDuplicates(["sha256"])
-    stored.write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/payloads")
+    # One copy of each content: the aggregation keeps one payload per content and map task before the shuffle, which deals them as the buckets are.
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored, name = rows.select("sha256", "payload").dropDuplicates(["sha256"]), f"tallyfold_{uuid.uuid4().hex}"
+    stored.write.mode("overwrite").option("compression", "zstd").option("path", f"{out}/payloads").bucketBy(buckets, "sha256").saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only; the files stay
+    spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(f"{out}/layout")
 
 
 def read_headers(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(HEADER_SCHEMA).parquet(f"{path}/headers")
+    """Per record: sha256 (its payload's address), response, header (exact bytes), and what the bytes say: page_id, record_type, refers_to, payload_digest."""
+    text = F.decode("header", "UTF-8")
+    field = lambda name, what=r"([^\r\n]*)": F.regexp_extract(text, f"\r\n{name}: {what}", 1)
+    page = lambda name: F.nullif(field(name, r"<urn:page:(-?\d*):"), F.lit("")).try_cast("long")
+    return spark.read.schema(HEADER_SCHEMA).parquet(f"{path}/headers").withColumns({
+        "page_id": page("WARC-Record-ID"), "record_type": field("WARC-Type"), "refers_to": page("WARC-Refers-To"), "payload_digest": field("WARC-Payload-Digest", r"sha1:(\w+)"),
+    })
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PAYLOAD_SCHEMA).parquet(f"{path}/payloads")
+    """The stored contents, in their hash buckets."""
+    buckets, name = spark.read.parquet(f"{path}/layout").first()["buckets"], f"tallyfold_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} ({PAYLOAD_SCHEMA}) USING parquet CLUSTERED BY (sha256) INTO {buckets} BUCKETS LOCATION '{path}/payloads'")
+    stored = spark.table(name)
+    stored.schema  # analysed while the name exists
+    spark.sql(f"DROP TABLE {name}")
+    return stored
 
 
-def verify_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Per stored content: sha256, payload_bytes, payload_digest (base32 SHA-1), all computed from the bytes read; a content that doesn't match its
-    address fails the job."""
-    text_batches(spark, 400)
+def reconstruct(spark: SparkSession, path: str, with_payload_of_revisits: bool = False) -> DataFrame:
+    """Per record: page_id, sha256, record (exact WARC bytes). Responses are joined with their payloads; revisits are records without payload, or filled from the store if so wanted."""
+    headers = read_headers(spark, path).select("page_id", "sha256", "response", "header")
+    filled = headers if with_payload_of_revisits else headers.filter("response")
+    whole = read_payloads(spark, path).join(filled.hint("shuffle_hash"), "sha256").select("page_id", "sha256", F.concat(F.col("header"), "payload", F.lit(END)).alias("record"))
+    if with_payload_of_revisits:
+        return whole
+    return whole.unionByName(headers.filter("NOT response").select("page_id", "sha256", F.concat(F.col("header"), F.lit(END)).alias("record")))
+
+
+def check_responses(records: DataFrame) -> DataFrame:
+    """Per response record: sha256, payload_bytes, payload_digest (base32 SHA-1), computed from the record's bytes; a record whose payload doesn't match its address, digest or
+    length fails the job."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
             names, sizes, digests = [], [], []
-            for name, payload in zip(batch.column("sha256").to_pylist(), batch.column("payload"), strict=True):
-                raw = payload.as_buffer()
-                if hashlib.sha256(raw).hexdigest() != name:
-                    raise ValueError(f"stored payload {name} is damaged")
+            for name, record in zip(batch.column("sha256").to_pylist(), batch.column("record"), strict=True):
+                raw = record.as_py()
+                head, _, rest = raw.partition(END)
+                payload = memoryview(rest)[: -len(END)]
+                digest = base64.b32encode(hashlib.sha1(payload).digest())
+                fields = dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])
+                if hashlib.sha256(payload).hexdigest() != name or fields[b"WARC-Payload-Digest"] != b"sha1:" + digest or int(fields[b"Content-Length"]) != len(payload) or not rest.endswith(END):
+                    raise ValueError(f"record of payload {name} is damaged")
                 names.append(name)
-                sizes.append(raw.size)
-                digests.append(base64.b32encode(hashlib.sha1(raw).digest()).decode())
+                sizes.append(len(payload))
+                digests.append(digest.decode())
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())], ["sha256", "payload_bytes", "payload_digest"])
 
-    return read_payloads(spark, path).mapInArrow(run, "sha256 string, payload_bytes long, payload_digest string")
+    return records.select("sha256", "record").mapInArrow(run, "sha256 string, payload_bytes long, payload_digest string")
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """Per record: page_id, payload_bytes, payload_digest (of the full payload, from the stored bytes), record_type, refers_to."""
-    headers = read_headers(spark, path).drop("header")
-    contents = verify_payloads(spark, path)
-    return headers.join(contents, "sha256").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
-
-
-def reconstruct(spark: SparkSession, path: str, with_payload_of_revisits: bool = False) -> DataFrame:
-    """Per record: page_id, record (exact WARC bytes). Revisits are records without payload, or filled from the store if so wanted."""
-    payload = F.when(F.lit(with_payload_of_revisits) | (F.col("record_type") == "response"), F.col("payload")).otherwise(F.lit(b""))
-    return read_headers(spark, path).join(read_payloads(spark, path), "sha256").select("page_id", F.concat(F.col("header"), payload, F.lit(END)).alias("record"))
+    """Per record, from its header bytes: page_id, record_type, refers_to; and of the full payload, from the rebuilt response records: payload_bytes, payload_digest."""
+    headers = read_headers(spark, path).select("page_id", "sha256", "record_type", "refers_to")
+    responses = read_payloads(spark, path).join(read_headers(spark, path).filter("response").select("sha256", "header").hint("shuffle_hash"), "sha256")
+    with batches(spark):
+        contents = materialise(check_responses(responses.select("sha256", F.concat(F.col("header"), "payload", F.lit(END)).alias("record"))), "contents")
+    return headers.join(contents.dropDuplicates(["sha256"]), "sha256").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
