@@ -4,7 +4,7 @@ Words as for SimHash (ASCII white space, A-Z folded); a shingle is five words (f
 ``PERMUTATIONS`` universal hash functions h(x) = (a x + b mod 2**64) >> 32 run over all shingles of a batch in numpy; the least value of each per text is its signature,
 written as 8 hex digits a function. The likeness of two fingerprints is the share of equal values, an estimate of the Jaccard similarity.
 
-near_pairs joins signature bands in Spark between classes of equal signatures and verifies the Jaccard similarity of the shingle sets.
+near_pairs joins signature bands in Spark between classes of equal shingle sets and verifies the Jaccard similarity on the sets.
 
 Defined cases: null counts as empty; texts without words share one fingerprint (all digits f) and are like each other only; repeated rows are
 each fingerprinted; empty tables give no rows; other columns are left out.
@@ -16,11 +16,14 @@ import functools
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import materialise, text_batches
+from tallyfold.llm.blocks import Postings, compare_in_blocks
+from tallyfold.llm.common import batches as bounded
+from tallyfold.llm.common import materialise, slices
 
 WORDS = 5
 PERMUTATIONS = 64
@@ -141,7 +144,6 @@ def in_order(docs: DataFrame, buckets: int, text: str = "text", doc_id: str = "d
 def fingerprint_with_edits(docs: DataFrame, buckets: int | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Per row: doc_id, n_chars, edited (text), fingerprint, edited_fingerprint, next_fingerprint; next is by descending doc_id, after the last the first."""
     spark = docs.sparkSession
-    text_batches(spark, 200)
     buckets = buckets or 4 * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("next_fingerprint", pa.string())])
 
@@ -167,7 +169,7 @@ def fingerprint_with_edits(docs: DataFrame, buckets: int | None = None, text: st
             )
 
         held: list[tuple] = []
-        for batch in batches:
+        for batch in slices(batches, "text", 1 << 20):
             columns = [batch.column(c).to_pylist() for c in ("bucket", "borrowed", "doc_id", "text")]
             held += zip(*columns, strict=True)
             if len(held) > 1:
@@ -185,10 +187,9 @@ def likeness(a: str, b: str) -> F.Column:
 
 def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Per row: doc_id, fingerprint and shingle_set (sorted distinct shingle hashes)."""
-    text_batches(docs.sparkSession, 200)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text", 1 << 20):
             sets = [np.unique(shingles(t or "")) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([as_hex(s) for s in signatures(sets)], pa.string()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
@@ -200,16 +201,28 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
 
 def near_pairs(docs: DataFrame, threshold: float = SIMILARITY, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """(members, pairs): members(doc_id, class) names the class of equal shingle sets by its smallest doc_id; pairs(a, b, jaccard)
-    links classes of at least the threshold. Copies are never paired with each other."""
-    prints = materialise(fingerprints(docs, text, doc_id), "minhash")
-    keyed = prints.withColumn("content", F.xxhash64("shingle_set"))
-    classes = materialise(keyed.groupBy("content").agg(F.min("doc_id").alias("class"), F.first("fingerprint").alias("fingerprint"), F.first("shingle_set").alias("shingle_set")), "classes")
-    width = PERMUTATIONS // BANDS * 8
-    band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring(F.col("fingerprint"), i * width + 1, F.lit(width)))))
-    bands = classes.select("class", band.alias("band"))
-    met = bands.alias("x").join(bands.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.class") < F.col("y.class"))).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
-    left, right = (classes.select(F.col("class").alias(n), F.col("shingle_set").alias(f"{n}_set")) for n in ("a", "b"))
-    shared = F.size(F.array_intersect("a_set", "b_set"))
-    pairs = met.join(left, "a").join(right, "b").withColumn("jaccard", shared / (F.size("a_set") + F.size("b_set") - shared)).filter(F.col("jaccard") >= threshold)
-    return keyed.join(classes.select("content", "class"), "content").select("doc_id", "class"), pairs.select("a", "b", "jaccard")
+    """(members, pairs): members(doc_id, class) has a row per document; a class is all texts of one shingle set, named by the set's hash, whatever their ids.
+    pairs(a, b, jaccard), a < b, links classes of at least the threshold (in tenths) that share a band; copies are never paired with each other. Each pair is made by the first
+    band that both have, in blocks of the band's classes, so a common band is no one task's. Texts without words are one class without links."""
+    with bounded(docs.sparkSession):
+        prints = materialise(fingerprints(docs, text, doc_id), "minhash")
+    keyed = prints.withColumn("class", F.xxhash64("shingle_set"))
+    classes = materialise(keyed.groupBy("class").agg(F.first("fingerprint").alias("fingerprint"), F.first("shingle_set").alias("set")), "classes")
+    width, tenths = PERMUTATIONS // BANDS * 8, round(threshold * 10)
+    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring(F.col("fingerprint"), i * width + 1, F.lit(width))))
+    banded = classes.filter(F.size("set") > 0).select("class", "set", band.alias("bands")).select("*", F.posexplode("bands").alias("place", "band"))
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
+        held, out = Postings(right["set"].tolist()), []
+        names, bands = right["class"].tolist(), np.array(right["bands"].tolist())
+        for i, x in enumerate(left["set"]):
+            name, place = left["class"].iloc[i], left["place"].iloc[i]
+            own, both = np.array(left["bands"].iloc[i]), None
+            for j in held.alike(x, tenths).tolist():
+                if (same and name >= names[j]) or (own[:place] == bands[j][:place]).any():
+                    continue
+                both = held.shared(x) if both is None else both
+                out.append((min(name, names[j]), max(name, names[j]), both[j] / (len(x) + held.sizes[j] - both[j])))
+        return pd.DataFrame(out, columns=["a", "b", "jaccard"]).astype({"a": "int64", "b": "int64", "jaccard": "float64"})
+
+    return keyed.select("doc_id", "class"), compare_in_blocks(banded, "band", "class", "set", compare, "a long, b long, jaccard double")

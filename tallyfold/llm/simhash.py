@@ -12,7 +12,8 @@ emits all its pairs, and no link is lost.
 
 Where shingles count once (``repeats=False``), texts whose shingle sets have a Jaccard similarity of ``LIKE`` or more link as well, as two bits are far tighter
 than that. Candidates share one of 16 bands of four MinHash values, which misses a pair of similarity 0.8 with a chance of 0.0002, and are confirmed on the
-sets. In each bucket of a band the texts are first held against one of them; only texts of different groups that are left then meet each other.
+sets. In each bucket of a band the texts are first held against one of them; buckets that texts of different groups are left in are then compared whole, in blocks, each
+pair within one task and without becoming a row.
 
 Defined cases: a text without words (or null) has fingerprint zero and links like any other; fewer words than a shingle make one shingle of the
 whole sequence; repeated rows stay and share their group; a null doc_id takes part, but never names a group unless all its members are null;
@@ -25,19 +26,19 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import TEXT_ROWS_PER_BATCH, materialise, text_batches, unsigned_hex
+from tallyfold.llm.blocks import Postings, compare_in_blocks
+from tallyfold.llm.common import batches, materialise, slices, unsigned_hex
 from tallyfold.llm.components import components
 from tallyfold.llm.minhash import BANDS, PERMUTATIONS, signatures
 
 SEED = 42
 #: Least Jaccard similarity, in tenths, of texts that link where shingles count once.
 LIKE = 8
-#: Rows with two shingle sets in one Arrow batch.
-SET_ROWS_PER_BATCH = 100
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\v\f\r", b"abcdefghijklmnopqrstuvwxyz     ")
 
 
@@ -78,12 +79,11 @@ def bands(sets: list[np.ndarray]) -> np.ndarray:
 def fingerprints(docs: DataFrame, size: int = 3, repeats: bool = True, text: str = "text", doc_id: str = "doc_id", row: str | None = None) -> DataFrame:
     """doc_id and fp: the fingerprint of each whole text as a bigint with the same bits; with ``row`` that key too, without repeats a hash of the text,
     the number of its shingles and its bands."""
-    text_batches(docs.sparkSession)
     kept = ["doc_id"] + ["row"] * (row is not None) + ["text_hash"] * (not repeats)
     names = [*kept, "fp"] + ["shingles", "bands"] * (not repeats)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             sets = [shingle_hashes(t or "", size, repeats) for t in batch.column("text").to_pylist()]
             fps = np.array([fingerprint(s) for s in sets], dtype=np.uint64)
             made = [pa.array(fps.view(np.int64))]
@@ -153,7 +153,6 @@ def stars(fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 def links(distinct: DataFrame, max_bits: int) -> DataFrame:
     """distinct(fp): links (x, y) between fingerprints that connect exactly the components under max_bits."""
-    spark = distinct.sparkSession
     radius = 1 + -(-max_bits // 2)
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +192,6 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
 
     replicas = distinct.select("fp").mapInArrow(replicate, "anchor long, fp long")
     dealt = replicas.repartition(F.col("anchor")).sortWithinPartitions("anchor")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     return dealt.mapInArrow(compare, "x long, y long").distinct()
 
 
@@ -201,7 +199,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int, text: str = "tex
     """text_hash and set (sorted shingle hashes) of the texts in wanted(text_hash), each once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             sets = [shingle_hashes(t or "", size, False).view(np.int64) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("text_hash"), pa.array(sets, pa.list_(pa.int64()))], ["text_hash", "set"])
 
@@ -226,6 +224,25 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(side("y"), "y").join(side("x"), "x").select("a", "b", "x_set", "y_set").mapInArrow(run, "a long, b long")
 
 
+def _join_components(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
+    """One link between fingerprints for each two components that a pair of texts of the least similarity joins."""
+    held, label, out = Postings(right["set"].tolist()), {}, []
+
+    def root(c: int) -> int:
+        while (up := label.get(c, c)) != c:
+            label[c] = c = label.get(up, up)
+        return c
+
+    components, prints = right["component"].tolist(), right["fp"].tolist()
+    for x, fp, component in zip(left["set"], left["fp"].tolist(), left["component"].tolist(), strict=True):
+        for j in held.alike(x, LIKE).tolist():
+            a, b = root(component), root(components[j])
+            if a != b:
+                label[max(a, b)] = min(a, b)
+                out.append((fp, prints[j]))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
 def likeness_links(docs: DataFrame, prints: DataFrame, edges: DataFrame, size: int, text: str = "text") -> DataFrame:
     """Links (a, b) between fingerprints of texts of the least similarity that edges(a, b) leave in different components."""
     spark = docs.sparkSession
@@ -237,42 +254,38 @@ def likeness_links(docs: DataFrame, prints: DataFrame, edges: DataFrame, size: i
         mixed = placed.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most")
         return materialise(placed.join(mixed.select("band"), "band"), "buckets")
 
-    def pairs(x: DataFrame, y: DataFrame) -> DataFrame:
-        """Pairs that share a band but no component and are near enough in size; a pair's smaller text is x."""
-        met = x.alias("x").join(y.alias("y"), "band").filter("x.component <> y.component AND least(x.shingles, y.shingles) * 10 >= greatest(x.shingles, y.shingles) * %d" % LIKE)
-        low, high = (f(F.struct("x.text_hash", "x.fp"), F.struct("y.text_hash", "y.fp")) for f in (F.least, F.greatest))
-        return met.select(low.alias("l"), high.alias("h")).select(F.col("l.text_hash").alias("x"), F.col("h.text_hash").alias("y"), F.col("l.fp").alias("a"), F.col("h.fp").alias("b")).distinct()
-
     exploded = texts.select("text_hash", "fp", "shingles", F.explode("bands").alias("band"))
     buckets = in_buckets(exploded, edges)
-    sets = materialise(shingle_sets(docs, buckets.select("text_hash").distinct(), size, text), "sets")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(SET_ROWS_PER_BATCH))
+    with batches(spark):
+        sets = materialise(shingle_sets(docs, buckets.select("text_hash").distinct(), size, text), "sets")
+    # First each text against one of its bucket, in a number of pairs that grows with the rows.
     first = buckets.groupBy("band").agg(F.min(F.struct("text_hash", "fp", "shingles", "component")).alias("f")).select("band", "f.*")
-    tried = materialise(pairs(buckets, first), "tried")
-    found = materialise(confirmed(tried, sets), "found")
-    rest = in_buckets(buckets.drop("component"), edges.unionByName(found))
-    left = pairs(rest, rest.filter("true")).join(tried.select("x", "y"), ["x", "y"], "left_anti")
-    more = materialise(confirmed(left, sets), "found")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS_PER_BATCH))
+    met = buckets.alias("x").join(first.alias("y"), "band").filter("x.component <> y.component AND least(x.shingles, y.shingles) * 10 >= greatest(x.shingles, y.shingles) * %d" % LIKE)
+    low, high = (f(F.struct("x.text_hash", "x.fp"), F.struct("y.text_hash", "y.fp")) for f in (F.least, F.greatest))
+    tried = met.select(low.alias("l"), high.alias("h")).select(F.col("l.text_hash").alias("x"), F.col("h.text_hash").alias("y"), F.col("l.fp").alias("a"), F.col("h.fp").alias("b")).distinct()
+    with batches(spark):
+        found = materialise(confirmed(tried, sets), "found")
+    # Then what is left in different components, in blocks.
+    rest = in_buckets(buckets.drop("component"), edges.unionByName(found)).join(sets, "text_hash").select("band", "text_hash", "fp", "component", "set")
+    more = materialise(compare_in_blocks(rest, "band", "text_hash", "set", _join_components, "a long, b long").distinct(), "found")
     return found.unionByName(more)
 
 
 def grouped(docs: DataFrame, size: int = 3, max_bits: int = 2, repeats: bool = True, text: str = "text", doc_id: str = "doc_id", row: str | None = None) -> DataFrame:
     """Per row: doc_id, (with ``row``: row,) fp, (without repeats: text_hash, shingles, bands,) component (a fingerprint that names the group) and component_id."""
     spark = docs.sparkSession
-    prints = materialise(fingerprints(docs, size, repeats, text, doc_id, row), "fingerprints")
+    with batches(spark):
+        prints = materialise(fingerprints(docs, size, repeats, text, doc_id, row), "fingerprints")
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     edges = links(distinct, max_bits).select(F.col("x").alias("a"), F.col("y").alias("b"))
     if not repeats:
         edges = materialise(edges, "edges")
-        text_batches(spark)
         edges = edges.unionByName(likeness_links(docs, prints, edges, size, text))
     linked = components(edges)
     # Components are named by fingerprints; their smallest doc_id names them for the documents.
     groups = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     names = groups.groupBy("component").agg(F.min("least").alias("component_id"))
     named = materialise(groups.join(names, "component").select("fp", "component", "component_id"), "groups")
-    text_batches(spark)
     return prints.join(named, "fp")
 
 
