@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm import ann, bpe, langid, line_dedup, minhash, packing, simhash, url_filter, warc, wavelet
-from tallyfold.llm.common import scratch_path, table
+from tallyfold.llm.common import batches, materialise, scratch_path, table
 
 
 def tokenizer_file(name: str) -> str:
@@ -15,6 +15,12 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """A query's rows (ids, counts and digests), made while the batches to Python workers are bounded."""
+    with batches(df.sparkSession):
+        return materialise(df, name)
+
+
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
@@ -35,18 +41,19 @@ def language_id_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.filter(~_held_out() & F.col("doc_id").isNotNull()))
     got = langid.identify(docs.select("doc_id", "text"), model)
-    return got.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+    return _kept(got.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score"), "languages")
 
 
 def bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_file(WORD_BPE)
     done = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text"), path)
-    return done.select(
+    digests = done.select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+    return _kept(digests, "tokens")
 
 
 def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +63,7 @@ def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "tokens")
     wavelet.write_shards(table(spark, sf_dir, "documents"), out, tokenizer_file(BYTE_BPE), split="leading_space")
-    return wavelet.read_checksums(spark, out)
+    return _kept(wavelet.read_checksums(spark, out), "checksums")
 
 
 def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,11 +82,12 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fingerprint_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = minhash.fingerprint_with_edits(table(spark, sf_dir, "documents"))
-    return done.select(
+    likenesses = done.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
         minhash.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
         minhash.likeness("fingerprint", "next_fingerprint").alias("near_next"),
     )
+    return _kept(likenesses, "likenesses")
 
 
 QUERIES = {
@@ -116,4 +124,16 @@ ORACLE_SQL = {
                  WHERE (host = rule_host OR suffix(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS won
             FROM split)
         SELECT page_id, host, path, won.rule AS rule, coalesce(won.action, 'allow') AS verdict FROM judged""",
+    "op9_warc": r"""
+        WITH digests AS (
+            SELECT page_id, url, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS content, sha1(coalesce(html, '')) AS hex FROM pages),
+        digits AS (
+            SELECT hex, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (five >> (5 * (3 - k)) & 31)::INT + 1, 1), '' ORDER BY g, k) AS payload_digest
+            FROM (SELECT hex, g, ('0x' || substr(hex, 5 * g::INT + 1, 5))::BIGINT AS five FROM (SELECT DISTINCT hex FROM digests), range(8) AS r(g)), range(4) AS q(k)
+            GROUP BY hex),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY content ORDER BY page_id NULLS LAST, coalesce(url, '')) AS place, first_value(page_id) OVER (PARTITION BY content ORDER BY page_id NULLS LAST, coalesce(url, '')) AS first
+            FROM digests)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN place > 1 THEN first END AS refers_to
+        FROM placed JOIN digits USING (hex)""",
 }

@@ -101,6 +101,13 @@ def test_url_filter_cases(spark):
     assert url_filter.judge_urls(df.limit(0), url_filter.rules_frame(spark, queries.URL_RULES)).count() == 0
 
 
+def test_url_filter_is_native_and_joins_on_short_prefixes(spark, sf):
+    plan = queries.url_filter_query(spark, sf)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+    joins = re.findall(r"BroadcastHashJoin \[([^\]]*)\], \[([^\]]*)\]", plan)
+    assert joins and all("probe" in a and "prefix" in b and "digest" not in a + b for a, b in joins)
+
+
 # op3 ---------------------------------------------------------------------------------------------------------------
 
 def test_language_id(spark, sf):
@@ -136,12 +143,45 @@ def test_languages_with_long_texts_only_are_learned(spark):
     longest = " ".join(rng.choice("der hund und die katze in einem haus mit einer maus".split()) for _ in range(40_000))
     rows = [(1, "the cat and the dog in the house", "en", "s", 0), (2, french, "fr", "s", 0), (3, longest, "de", "s", 0)]
     model = langid.train(spark.createDataFrame(rows, DOCS))
-    assert min(len(french), len(longest)) > langid.SAMPLE_CHARS and len(longest) > langid.DICTIONARY_BYTES
-    assert sorted(model) == ["de", "en", "fr"] and len(model["de"]) > len(longest) - 2
+    assert min(len(french), len(longest)) > langid.DICTIONARY_BYTES // 5 and sorted(model) == ["de", "en", "fr"]
     got = langid.identify(docs(spark, ["le chat et une souris grise avec le chien dans la maison et le chat", "die katze und der hund in einem haus mit einer maus und die katze", "the cat and the dog in the house"]), model).collect()
     assert [r["lang_pred"] for r in got] == ["fr", "de", "en"]
 
 
+def test_excerpts_cover_a_whole_text():
+    raw = bytes(range(250)) * 400
+    got = langid.excerpt(raw, 20_000)
+    assert len(got) <= 20_000 and got.startswith(raw[:4096]) and langid.excerpt(raw[:500], 500) == raw[:500]
+    marked = b"a" * 50_000 + b"z" * 50_000
+    assert set(langid.excerpt(marked, 20_000)) >= set(b"az") and len(langid.excerpt(marked, 10)) == 10
+
+
+def test_every_language_is_learned(spark):
+    """More languages than any sample per language would hold; a rare one has a single row."""
+    names = [f"l{i:03d}" for i in range(230)]
+    rows = [(i, " ".join(f"{n}{chr(97 + j)}" for j in range(9)), n, "s", 0) for i, n in enumerate(names * 3 + ["rare"])]
+    model = langid.train(spark.createDataFrame(rows, DOCS))
+    assert set(model) == {*names, "rare"}
+
+
+def test_language_by_brute_force():
+    """The smallest sum of compressed blocks over all dictionaries wins."""
+    import zstandard
+
+    model = {"en": b"the cat and the dog sat on the mat with a hat " * 20, "fr": b"le chat et le chien dans la maison avec une souris " * 20, "de": b"der hund und die katze in einem haus mit maus " * 20}
+    texts = ["the dog and the cat", "Le chien ET la souris 12", "die Katze im Haus", "the " * 5000 + "chat " * 900, "xyz", "a"]
+    for t in texts:
+        raw = re.sub(r"[\W\d_]+", " ", t.lower()).encode()
+        sizes = {}
+        for k, v in model.items():
+            d = zstandard.ZstdCompressionDict(v, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            c = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes[k] = sum(len(c.compress(raw[i : i + langid.BLOCK])) for i in range(0, len(raw), langid.BLOCK))
+        first, second = sorted(sizes.values())[:2]
+        got = langid.classify(t, langid._compressors(tuple(model.items())))
+        assert got == (min(sizes, key=lambda k: (sizes[k], list(model).index(k))), (second - first) / second)
+
+
 # op4, op6, op7 -----------------------------------------------------------------------------------------------------
 
 def test_encoders_match_the_library():
@@ -154,6 +194,13 @@ def test_encoders_match_the_library():
     for t, w, b in zip(texts, word.encode_batch(texts, add_special_tokens=False), byte.encode_batch(texts, add_special_tokens=False), strict=True):
         assert ids(ours.encode(t)) == w.ids == ids(words.one(t)), t
         assert ids(spaced.one(t)) == b.ids, t
+    for path, split, want in ((queries.BYTE_BPE, "leading_space", byte), (queries.WORD_BPE, "words", word)):
+        for at in range(0, len(texts), 1500):  # whole batches, as files are written
+            some = texts[at : at + 1500]
+            flat, lengths = ChunkTokens(queries.tokenizer_file(path), split).flat_ids(some, 7)
+            each = [x.ids + [7] for x in want.encode_batch(some, add_special_tokens=False)]
+            assert flat.tolist() == [i for x in each for i in x] and lengths.tolist() == [len(x) for x in each]
+    for t, w in zip(texts[:500], word.encode_batch(texts[:500], add_special_tokens=False), strict=True):
         assert ours.decode(w.ids) == word.decode(w.ids, skip_special_tokens=False)
 
 
@@ -198,6 +245,11 @@ def test_token_files(spark):
     token = max(set(flat), key=flat.count)
     assert wavelet.count_token(spark, out, token).agg(F.sum("n")).first()[0] == flat.count(token)
     assert sorted(r[0] for r in wavelet.find_token(spark, out, 0).collect()) == [i for i, x in enumerate(flat) if x == 0]
+    held = [spark.conf.get(f"spark.sql.execution.arrow.max{x}PerBatch") for x in ("Records", "Bytes")]
+    wavelet.write_shards(df.union(df).withColumn("bucket", F.lit(1)), out + "r", queries.tokenizer_file(queries.BYTE_BPE), split="leading_space", shard_tokens=5000)
+    twice = sorted((r["doc_id"], r["start"], len(r["token_ids"])) for r in wavelet.read_documents(spark, out + "r").collect())
+    assert [k for k, _, _ in twice] == sorted(2 * list(texts)) and [s for _, s, _ in twice] == np.cumsum([0] + [n for _, _, n in twice])[:-1].tolist()
+    assert held == [spark.conf.get(f"spark.sql.execution.arrow.max{x}PerBatch") for x in ("Records", "Bytes")]
     wavelet.write_shards(df.limit(0), out + "e", queries.tokenizer_file(queries.BYTE_BPE))
     assert wavelet.read_documents(spark, out + "e").count() == 0
 
@@ -227,6 +279,9 @@ def test_packing(spark):
     rows = packing.pack(docs(spark, texts).repartition(7), queries.tokenizer_file(queries.WORD_BPE), split="words").collect()
     lengths = {i + 1: len(library.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
     n = check_packing(rows, lengths, 2048)
+    ids = {i + 1: library.encode(t or "", add_special_tokens=False).ids + [0] for i, t in enumerate(texts)}
+    for r in rows:
+        assert r["ids_crc32"] == zlib.crc32(np.array(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]], "<u4").tobytes())
     assert n <= 1.02 * sum(lengths.values()) / 2048 + 1
     assert packing.pack(docs(spark, texts).limit(0), queries.tokenizer_file(queries.WORD_BPE)).count() == 0
     twice = docs(spark, ["a b c", "a b c"]).withColumn("doc_id", F.lit(None).cast("long"))
@@ -263,6 +318,19 @@ def test_anchors_cover_all_links(spark):
     assert got == want
 
 
+def test_fingerprint_is_the_majority_of_all_shingles(spark):
+    import xxhash
+
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(["Aa", "b", "ccc", "D\t", "é", "f\n"], k=rng.randint(1, 700))) for _ in range(40)]
+    got = {r["doc_id"]: r["fingerprint"] for r in simhash.near_duplicates(docs(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        words = [w for w in re.split("[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t)) if w]
+        shingles = [" ".join(words[j : j + 3]) for j in range(max(1, len(words) - 2))]
+        h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles]
+        assert got[i + 1] == f"{sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)):016x}"
+
+
 def test_components(spark):
     rng = random.Random(5)
     links = [(i, i + 1) for i in range(0, 60)] + [(100 + rng.randint(0, 40), 100 + rng.randint(0, 40)) for _ in range(30)] + [(200, x) for x in range(201, 260)]
@@ -339,11 +407,24 @@ def test_nearest_neighbours(spark):
     assert hits / 2000 >= 0.9
 
 
+def test_router_looks_into_some_partitions():
+    """At 500 rows as at any other size there are several partitions; clustered vectors need few of them."""
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((8, 16))[rng.integers(0, 8, 3000)] * 6 + rng.standard_normal((3000, 16))
+    router = ann.fit(x, 3000)
+    assert 1 <= router.probes < len(router.b2) and len(ann.fit(x[:500], 500).b2) >= ann.LEAST_PARTITIONS
+    assert ann.partitions(10**4, 8192) < ann.partitions(10**6, 8192) < ann.partitions(10**8, 8192) == ann.MOST_PARTITIONS
+
+
 def test_nearest_neighbour_cases(spark):
     rows = [(0, [1.0, 0.0]), (100, [1.0, 0.0]), (7, [1.0, 0.0]), (8, [0.0, 0.0]), (9, None), (200, [float("nan"), 1.0]), (300, [None, 1.0]), (4, [2.0, 0.0]), (3, [0.0, 0.0, 1.0]), (None, [1.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("clash"))
     got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in ann.search(df).orderBy("query_id", "rank").collect()]
-    assert got == [(0, 1, 7, 0.0), (0, 2, 100, 0.0), (0, 3, 4, 1.0), (100, 1, 0, 0.0), (100, 2, 7, 0.0), (100, 3, 4, 1.0)]
+    far = pytest.approx(2**0.5)  # (0, 0, 1) against (1, 0), which counts as (1, 0, 0)
+    assert got == [(0, 1, 7, 0.0), (0, 2, 100, 0.0), (0, 3, 4, 1.0), (0, 4, 3, far), (100, 1, 0, 0.0), (100, 2, 7, 0.0), (100, 3, 4, 1.0), (100, 4, 3, far)]
+    rows = [(0, [1.0, 0.0]), (0, [5.0, 0.0]), (5, [1.0, 1.0]), (7, [9.0, 0.0]), (7, [9.0, 0.0]), (5, [100.0, 0.0])]
+    got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 5, 1.0), (0, 2, 7, 4.0)]
     assert ann.search(df.limit(0)).count() == 0
 
 
@@ -361,11 +442,21 @@ def test_warc(spark):
     assert got == sorted(((k, len((text[k] or "").encode()), digest(text[k]), kind, to) for k, kind, to in want), key=repr)
     assert warc.read_payloads(spark, out).count() == 4
     for r in warc.reconstruct(spark, out).collect():
+        assert b"\r\nWARC-Date: " in bytes(r["record"])
         head, body = bytes(r["record"]).split(b"\r\n\r\n", 1)
         fields = dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])
         assert len(body) == int(fields[b"Content-Length"]) + 4 and fields[b"WARC-Payload-Digest"].decode() == "sha1:" + digest(text[r["page_id"]])
         if fields[b"WARC-Type"] == b"response":
             assert body == (text[r["page_id"]] or "").encode() + warc.END
+    ids = [re.search(rb"WARC-Record-ID: (\S+)", bytes(r["header"]))[1] for r in warc.read_headers(spark, out).collect()]
+    assert len(set(ids)) == len(rows)
+    warc.write_archive(df, out + "b", least_bytes=9)  # smaller payloads are all responses
+    assert sorted((r["page_id"], r["record_type"]) for r in warc.read_index(spark, out + "b").collect() if r["payload_bytes"] < 9) == [(0, "response"), (1, "response"), (2, "response"), (2, "response"), (3, "response")]
+    filled = warc.reconstruct(spark, out, with_payload_of_revisits=True).collect()
+    assert len(filled) == len(rows) and all(bytes(r["record"]).split(warc.END, 1)[1] == (text[r["page_id"]] or "").encode() + warc.END for r in filled)
+    broken = warc.read_payloads(spark, out).withColumn("payload", F.concat(F.col("payload"), F.lit(b"x")))
+    with pytest.raises(Exception, match="damaged"):
+        warc.check_responses(broken.join(warc.read_headers(spark, out).filter("response").select("sha256", "header"), "sha256").select("sha256", F.concat("header", "payload", F.lit(warc.END)).alias("record"))).collect()
     warc.write_archive(df.limit(0), out + "e")
     assert warc.read_index(spark, out + "e").count() == 0
 
@@ -401,12 +492,65 @@ def test_likeness_estimates_jaccard():
     assert abs((s[0] == s[1]).mean() - true) < 0.15
 
 
-def test_near_pairs(spark):
-    base = [f"w{i}" for i in range(200)]
-    texts = [" ".join(base), " ".join(base), " ".join(base[:190] + ["x"] * 5), "other words here entirely different from all that", None]
-    members, pairs = minhash.near_pairs(docs(spark, texts))
-    assert {r["doc_id"]: r["class"] for r in members.collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
-    assert [(r["a"], r["b"]) for r in pairs.collect()] == [(1, 3)]
+def plain_minhash(text):
+    """Least value of each universal hash over the shingles, one by one in Python integers."""
+    import xxhash
+
+    words = [w for w in re.split("[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text)) if w]
+    mask, prints = (1 << 64) - 1, []
+    size = min(minhash.WORDS, len(words))
+    for i in range(len(words) - size + 1 if words else 0):
+        h = 0
+        for w in words[i : i + size]:
+            h = (h * 0x9E3779B97F4A7C15 + xxhash.xxh64_intdigest(w.encode(), 7)) & mask
+        h ^= h >> 32
+        h = h * 0xD6E8FEB86659FD93 & mask
+        prints.append(h ^ h >> 32)
+    a, b = minhash.permutations()
+    return "".join(f"{min(((x * int(p) + int(q)) & mask) >> 32 for x in prints) if prints else 0xFFFFFFFF:08x}" for p, q in zip(a, b, strict=True))
+
+
+def test_fingerprint_query_by_brute_force(spark, sf):
+    rows = spark.read.parquet(f"{sf}/documents.parquet").filter("length(text) < 1500").limit(40)
+    path = scratch_path(spark, "sf")
+    rows.write.parquet(f"{path}/documents.parquet")
+    text = {r["doc_id"]: r["text"] or "" for r in rows.collect()}
+    order, got = sorted(text, reverse=True), {r["doc_id"]: r for r in queries.fingerprint_query(spark, path).collect()}
+    assert sorted(got) == sorted(text)
+    same = lambda x, y: sum(x[8 * i : 8 * i + 8] == y[8 * i : 8 * i + 8] for i in range(64)) / 64
+    for i, k in enumerate(order):
+        following = text[order[(i + 1) % len(order)]]
+        third = len(text[k]) // 3
+        new = text[k][: len(text[k]) - third] + following[:third]
+        own, changed, after = map(plain_minhash, (text[k], new, following))
+        r = got[k]
+        assert (r["fingerprint"], r["edited_fingerprint"], r["edited_sha256"]) == (own, changed, hashlib.sha256(new.encode()).hexdigest())
+        assert (r["near_edited"], r["near_next"], r["n_chars"]) == (same(own, changed), same(own, after), len(text[k]))
+
+
+def test_near_pairs_like_brute_force(spark, monkeypatch):
+    from tallyfold.llm import blocks
+
+    monkeypatch.setattr(blocks, "ROWS", 7)  # many blocks in a bucket
+    rng, texts = random.Random(6), []
+    for g in range(5):
+        base = [f"g{g}w{rng.randrange(10**6)}" for _ in range(120)]
+        for _ in range(9):
+            words = list(base)
+            for at in rng.sample(range(120), rng.randint(0, 3)):
+                words[at] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(words))
+    texts += [texts[0], texts[0].upper(), "", None, "one two", "ONE\ttwo"]
+    df = docs(spark, texts).withColumn("doc_id", F.when(F.col("doc_id") % 5 > 0, F.col("doc_id") % 20))  # ids repeat, some are null
+    members, pairs = minhash.near_pairs(df)
+    sets = {frozenset(minhash.shingles(t or "").tolist()) for t in texts}
+    assert members.count() == len(texts) and members.select("class").distinct().count() == len(sets)
+    listed = list(sets)
+    like = [len(x & y) / len(x | y) for i, x in enumerate(listed) for y in listed[:i]]
+    got = [r["jaccard"] for r in pairs.collect()]
+    assert sorted(got) == pytest.approx(sorted(j for j in like if j >= 0.8)) and len(got) > 30
+    assert pairs.select("a", "b").distinct().count() == len(got) and pairs.filter("a >= b").count() == 0
+    assert minhash.near_pairs(df.limit(0))[1].count() == 0
 
 
 # pipeline ----------------------------------------------------------------------------------------------------------
