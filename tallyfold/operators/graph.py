@@ -88,3 +88,62 @@ def degrees(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         F.count("*").alias("nodes"), F.count_if(d == 0).alias("isolated"), F.min(d).alias("least"), F.max(d).alias("most"), S.rounded(F.avg(d), 4).alias("mean"),
         S.rounded(F.percentile(d, 0.5), 4).alias("p50"), S.rounded(F.percentile(d, 0.95), 4).alias("p95"),
         F.count_if(d.between(1, 9)).alias("d1_9"), F.count_if(d.between(10, 49)).alias("d10_49"), F.count_if(d >= 50).alias("d50"))
+
+
+def typed_neighbourhood(edges: DataFrame, seeds: DataFrame, depth: int, kinds: list[str] | None = None, excluded: tuple[str, ...] = (), since: str | None = None, most: int = 500) -> tuple[DataFrame, DataFrame]:
+    """edges(src, dst, kind, day), seeds(node): (nodes, edges) within depth of the seeds. Edges of other kinds than the wanted, of excluded kinds, and from before a day
+    don't count. At most ``most`` nodes by (hops, node), and the edges between them. Each frontier is what the hop before added, so a hop reads the edges once."""
+    used = edges.filter(~F.col("kind").isin(*excluded)) if excluded else edges
+    used = used.filter(F.col("kind").isin(*kinds)) if kinds is not None else used
+    used = used.filter(F.col("day") >= F.lit(since).cast("date")) if since else used
+    both = undirected(used).select(F.col("src").alias("near"), F.col("dst").alias("far"))
+    frontier = seeds.select("node").distinct().withColumn("hops", F.lit(0))
+    seen = frontier
+    for hop in range(1, depth + 1):
+        step = frontier.join(both, F.col("node") == F.col("near")).select(F.col("far").alias("node")).distinct()
+        frontier = step.join(seen, "node", "left_anti").withColumn("hops", F.lit(hop))
+        seen = seen.unionByName(frontier)
+    nodes = seen.orderBy("hops", "node").limit(most)
+    keep = nodes.select("node")
+    between = used.join(keep.withColumnRenamed("node", "src"), "src", "left_semi").join(keep.withColumnRenamed("node", "dst"), "dst", "left_semi")
+    return nodes, between.select("src", "dst", "kind", "day").distinct()
+
+
+def reaching(edges: DataFrame, targets: DataFrame, depth: int = 3) -> DataFrame:
+    """Nodes with a path of 1 to depth edges to a target(node), in either direction; from the targets outwards, so the work is their reach and not all nodes'."""
+    both = undirected(edges).select(F.col("src").alias("near"), F.col("dst").alias("far"))
+    frontier = targets.select("node").distinct()
+    out = None
+    for _ in range(depth):
+        frontier = frontier.join(both, F.col("node") == F.col("near")).select(F.col("far").alias("node")).distinct()
+        out = frontier if out is None else out.unionByName(frontier).distinct()
+    return out
+
+
+def kind_of(wanted: DataFrame, tables: list[tuple[str, DataFrame]]) -> DataFrame:
+    """wanted(id), tables of ids with their kind's name: the first kind in the list's order that has the id, missing where none has."""
+    known = None
+    for place, (kind, ids) in enumerate(tables):
+        part = ids.select(F.col(ids.columns[0]).alias("id")).distinct().select("id", F.lit(place).alias("place"), F.lit(kind).alias("kind"))
+        known = part if known is None else known.unionByName(part)
+    first = known.groupBy("id").agg(F.min_by("kind", "place").alias("kind"))
+    return wanted.join(first, "id", "left")
+
+
+def shown_nodes(nodes: DataFrame, labels: list[str], hidden: tuple[str, ...] = ("embedding",)) -> DataFrame:
+    """nodes(id, props): props without missing, empty and hidden ones, and label: the first of the labels that is there, else the id."""
+    props = F.map_filter("props", lambda k, v: v.isNotNull() & (v != "") & ~k.isin(*hidden))
+    return nodes.withColumn("props", props).withColumn("label", F.coalesce(*(F.col("props")[x] for x in labels), F.col("id").cast("string")))
+
+
+def roles(people: DataFrame, held: DataFrame, include_former: bool = False) -> DataFrame:
+    """people(person, name), held(person, company, role, current, start): current roles, or all with the former ones behind, newest first; place is the role's rank in the company."""
+    rows = held if include_former else held.filter("current")
+    order = Window.partitionBy("company").orderBy(F.desc("current"), F.desc_nulls_last("start"), "person", "role")
+    return rows.join(people, "person").withColumn("place", F.row_number().over(order)).select("company", "person", "name", "role", "current", "start", "place")
+
+
+def linked_refs(items: DataFrame, links: DataFrame) -> DataFrame:
+    """items(id, refs), links(id, kind, ref): per item its linked refs by kind, and the refs that nothing links to."""
+    found = links.groupBy("id", "kind").agg(F.array_sort(F.collect_set("ref")).alias("refs")).groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("kind", "refs"))).alias("linked"), F.flatten(F.collect_list("refs")).alias("_all"))
+    return items.join(found, "id", "left").withColumn("unresolved", F.array_sort(F.array_except(F.coalesce("refs", F.array().cast("array<string>")), F.coalesce("_all", F.array().cast("array<string>"))))).drop("_all")

@@ -109,3 +109,57 @@ def waterfall(sources: list[DataFrame], key: str, limit: int, *order) -> DataFra
         rows = s if rows is None else rows.unionByName(s)
     first = Window.partitionBy(key).orderBy("tier", *order)
     return rows.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n").orderBy("tier", *order).limit(limit)
+
+
+def match_counts(wanted: DataFrame, known: DataFrame, on: list[str], key: str) -> DataFrame:
+    """Per wanted key: how many known entities share the columns, as matched (one), ambiguous or no_match, with the entity of a match. known has a column entity."""
+    found = known.groupBy(*on).agg(F.count_distinct("entity").alias("_n"), F.min("entity").alias("_e"))
+    hit = F.when(F.col("_n") == 1, "matched").when(F.col("_n") > 1, "ambiguous").otherwise("no_match")
+    return wanted.join(found, on, "left").select(key, hit.alias("hint"), F.when(F.col("_n") == 1, F.col("_e")).alias("entity"))
+
+
+#: Tiers of the resolver with their scores, and the least length of a name that a name tier takes.
+RESOLVER_TIERS, LEAST_NAME = (("lei", 1.0), ("vat", 0.99), ("name_country", 0.95)), 6
+
+
+def resolve_tiers(wanted: DataFrame, known: DataFrame) -> DataFrame:
+    """wanted(id, lei, vat, name, country), known(entity, ...): the first tier with a candidate decides: matched where it is the only one, else ambiguous; no_match without any.
+    Columns: id, hint, tier, score, entity."""
+    keyed = lambda d, who: d.select(F.col(who), F.explode(F.array(
+        F.struct(F.lit(0).alias("t"), F.col("lei").cast("string").alias("k")), F.struct(F.lit(1).alias("t"), F.col("vat").cast("string").alias("k")),
+        F.struct(F.lit(2).alias("t"), F.when(F.length("name") >= LEAST_NAME, F.concat_ws("|", F.upper(F.trim("name")), F.col("country").cast("string"))).alias("k")))).alias("x")).select(who, "x.t", "x.k").filter("k IS NOT NULL AND k <> ''")
+    found = keyed(known, "entity").groupBy("t", "k").agg(F.count_distinct("entity").alias("n"), F.min("entity").alias("entity"))
+    best = keyed(wanted, "id").join(found, ["t", "k"]).groupBy("id").agg(F.min(F.struct("t", "n", "entity")).alias("b"))
+    tier = F.element_at(F.array(*(F.lit(n) for n, _ in RESOLVER_TIERS)), F.col("b.t") + 1)
+    score = F.element_at(F.array(*(F.lit(s) for _, s in RESOLVER_TIERS)), F.col("b.t") + 1)
+    return wanted.select("id").join(best, "id", "left").select("id", F.when(F.col("b").isNull(), "no_match").when(F.col("b.n") == 1, "matched").otherwise("ambiguous").alias("hint"),
+                                                               tier.alias("tier"), score.alias("score"), F.when(F.col("b.n") == 1, F.col("b.entity")).alias("entity"))
+
+
+def enrich_isins(listings: DataFrame, bulk: DataFrame) -> DataFrame:
+    """listings(ticker, exchange, sector, lei, isin, place), bulk(lei, isin): equities with their own ISIN, else the smallest of the bulk map; one listing, the first by place, for a
+    ticker at an exchange; without an ISIN none."""
+    of_lei = bulk.groupBy("lei").agg(F.min("isin").alias("_isin"))
+    rows = listings.filter("sector = 'equity'").join(of_lei, "lei", "left").withColumn("isin", F.coalesce("isin", "_isin")).filter("isin IS NOT NULL")
+    return rows.groupBy("ticker", "exchange").agg(F.min_by(F.struct("lei", "isin"), "place").alias("x")).select("ticker", "exchange", "x.lei", "x.isin")
+
+
+def review_list(candidates: DataFrame, decisions: DataFrame, limit: int = 50) -> DataFrame:
+    """candidates(a, b, confidence) that no decision(a, b) has met yet, the surest first."""
+    return candidates.join(decisions.select("a", "b"), ["a", "b"], "left_anti").orderBy(F.desc("confidence"), "a", "b").limit(limit)
+
+
+def apply_decisions(candidates: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """decisions(a, b, approve): (mapping(node, canonical) of the approved pairs, candidates with their state)."""
+    both = candidates.join(decisions.select("a", "b", "approve"), ["a", "b"], "left")
+    state = both.withColumn("state", F.when(F.col("approve").isNull(), "pending").when(F.col("approve"), "merged").otherwise("rejected")).drop("approve")
+    mapping = state.filter("state = 'merged'").groupBy(F.greatest("a", "b").alias("node")).agg(F.min(F.least("a", "b")).alias("canonical"))
+    return mapping, state
+
+
+def find_tickers(known: DataFrame, text: str, limit: int = 50) -> DataFrame:
+    """known(symbol, name, currency) whose symbol or name contains the text, symbols first by exactness, with the source that their filings have."""
+    q = text.lower()
+    hit = known.filter(F.lower("name").contains(q) | F.lower("symbol").contains(q))
+    tier = F.when(F.lower("symbol") == q, 3).when(F.lower("symbol").startswith(q), 1).otherwise(0)
+    return hit.withColumns({"tier": tier, "source": F.when(F.col("currency") == "USD", "edgar").otherwise("esef")}).orderBy(F.desc("tier"), "symbol", "name").limit(limit)

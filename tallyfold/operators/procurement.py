@@ -129,3 +129,27 @@ def project_contracts(collapsed: DataFrame) -> DataFrame:
         S.rounded(F.max(F.when(F.col("is_current"), F.col("current_value"))), 4).alias("current_value"),
         S.rounded(F.min_by("total", award), 4).alias("award_value"),
         F.max("pub_date").cast("string").alias("last_date"))
+
+
+#: The fields that a withheld value takes with it.
+VALUE_FIELDS, OTHER_VALUE_FIELDS = ("total", "current_value", "chosen_value"), ("estimate", "payable", "value_before")
+
+
+def withhold(df: DataFrame) -> DataFrame:
+    """Values of quarantined rows go; unless the value was reported as zero, the estimate and what was paid go too."""
+    held, zero = F.col("quarantine").isNotNull(), F.coalesce(F.col("flag") == "zero_value", F.lit(False))
+    gone = {c: F.when(~held, F.col(c)) for c in VALUE_FIELDS if c in df.columns} | {c: F.when(~held | zero, F.col(c)) for c in OTHER_VALUE_FIELDS if c in df.columns}
+    return df.withColumns(gone)
+
+
+def still_carrying(df: DataFrame, key: str, value: str, after: object = None, limit: int = 500) -> DataFrame:
+    """The next rows, by key, that are flagged but still have their value: a page of the backfill. df has a boolean column low_confidence."""
+    rows = df.filter(F.col("low_confidence") & F.col(value).isNotNull())
+    rows = rows.filter(F.col(key) > F.lit(after)) if after is not None else rows
+    return rows.orderBy(key).limit(limit)
+
+
+def correct_scale(history: DataFrame, key: str, order: list[str], floor: float) -> DataFrame:
+    """history(key, estimate, total, payable, country, ...): the newest state of each key whose total reaches the floor, brought to scale and scored again, where that changes it."""
+    newest = history.groupBy(key).agg(F.max_by(F.struct(*history.columns), F.struct(*order)).alias("_n")).select("_n.*").filter(F.col("total") >= floor)
+    return value_confidence(normalise_scale(newest).filter("scale_tier IS NOT NULL"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -65,3 +66,77 @@ def report(assertions: list[Assertion]) -> DataFrame:
                                   F.when(held, "pass").when(F.lit(a.severity == "block"), "fail").otherwise("warn").alias("status"))
         out = row if out is None else out.unionByName(row)
     return out
+
+
+def run(spark: SparkSession, assertions: list[Assertion], run_at: datetime | None = None) -> DataFrame:
+    """Measure each assertion by itself, so one that fails leaves the others standing: its row has no figures and status error (warn where the assertion only warns).
+    One row per assertion reaches the driver. All rows share run_at."""
+    rows = []
+    for a in assertions:
+        try:
+            r = report([a]).first()
+            rows.append((a.name, a.severity, r["value"], r["total"], r["status"], None))
+        except Exception as e:
+            rows.append((a.name, a.severity, None, None, "error" if a.severity == "block" else "warn", str(e).split("\n")[0][:200]))
+    out = spark.createDataFrame(rows, "assertion string, severity string, value long, total long, status string, error string")
+    return out.withColumn("run_at", F.lit(run_at or datetime.now(UTC).replace(tzinfo=None)))
+
+
+def exit_code(results: DataFrame) -> int:
+    """1 if anything that blocks failed or couldn't be measured."""
+    return int(results.filter("severity = 'block' AND status IN ('fail', 'error')").limit(1).count() > 0)
+
+
+def keep_results(results: DataFrame, path: str) -> None:
+    results.write.mode("append").parquet(path)
+
+
+def broken_product(df: DataFrame, whole: str, a: str, b: str, tolerance: float = 0.011, spared: Column | None = None) -> DataFrame:
+    """Rows whose value isn't the product of its two parts."""
+    off = F.abs(F.col(whole) - F.col(a) * F.col(b)) > tolerance
+    return violations(df, F.coalesce(off & ~F.coalesce(spared, F.lit(False)) if spared is not None else off, F.lit(False)))
+
+
+def broken_identity(df: DataFrame, whole: str, a: str, b: str, share: float = 0.02) -> DataFrame:
+    """Rows whose positive whole differs from the sum of its parts by more than a share of it."""
+    off = (F.col(whole) > 0) & (F.abs(F.col(whole) - (F.col(a) + F.col(b))) / F.col(whole) > share)
+    return violations(df, F.coalesce(off, F.lit(False)))
+
+
+def first_difference(a: DataFrame, b: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """Per key of either store: the first field whose comparable values differ, or missing_left, missing_right; equal rows are left out. All rows, not a sample."""
+    from tallyfold.functions.codes import comparable
+
+    side = lambda d, p: d.select(F.col(key), F.lit(True).alias(f"{p}_here"), *(comparable(F.col(f)).alias(f"{p}_{f}") for f in fields))
+    both = side(a, "a").join(side(b, "b"), key, "full")
+    differs = F.when(F.col("a_here").isNull(), "missing_left").when(F.col("b_here").isNull(), "missing_right")
+    for f in fields:
+        differs = differs.when(~F.col(f"a_{f}").eqNullSafe(F.col(f"b_{f}")), f)
+    return both.withColumn("difference", differs).filter("difference IS NOT NULL").select(key, "difference")
+
+
+def shortfall(store: DataFrame, mirror: DataFrame, key: str, most: float = 0.05) -> DataFrame:
+    """One row: counts of both, keys that only one has, and ok: nothing in excess and at most that share missing."""
+    s, m = store.select(F.col(key).alias("k")).distinct().withColumn("s", F.lit(1)), mirror.select(F.col(key).alias("k")).distinct().withColumn("m", F.lit(1))
+    out = s.join(m, "k", "full").agg(F.count("s").alias("stored"), F.count("m").alias("mirrored"), F.count_if(F.col("m").isNull()).alias("missing"), F.count_if(F.col("s").isNull()).alias("excess"))
+    return out.withColumn("ok", (F.col("excess") == 0) & (F.col("missing") <= most * F.col("stored")))
+
+
+def shape_violations(triples: DataFrame, required: list[str], kinds: dict[str, str], allowed: dict[str, list[str]]) -> DataFrame:
+    """subject, predicate, reason for entities that break a shape: a required predicate missing or repeated, an object not of its type, or not of a list."""
+    counts = triples.groupBy("subject").agg(*(F.count_if(F.col("predicate") == p).alias(p) for p in required))
+    each = F.explode(F.array(*(F.struct(F.lit(p).alias("predicate"), F.when(F.col(p) == 0, "missing").when(F.col(p) > 1, "repeated").alias("reason")) for p in required)))
+    lacking = counts.select("subject", each.alias("v")).select("subject", "v.predicate", "v.reason").filter("reason IS NOT NULL")
+    wrong = F.lit(None).cast("string")
+    for p, kind in kinds.items():
+        wrong = F.when((F.col("predicate") == p) & F.col("object").try_cast(kind).isNull(), "type").otherwise(wrong)
+    for p, values in allowed.items():
+        wrong = F.when((F.col("predicate") == p) & ~F.col("object").isin(values), "value").otherwise(wrong)
+    return lacking.unionByName(triples.withColumn("reason", wrong).filter("reason IS NOT NULL").select("subject", "predicate", "reason"))
+
+
+def gate(rows: DataFrame, broken: DataFrame) -> DataFrame:
+    """rows, unless any shape is broken: then the whole batch is refused."""
+    if n := broken.count():
+        raise ValueError(f"{n} violations of the shape; nothing is written")
+    return rows

@@ -39,9 +39,15 @@ def _ranked(scored: DataFrame, key: str, order, limit: int) -> DataFrame:
     return scored.orderBy(order, key).limit(limit).withColumn("rank", F.row_number().over(Window.orderBy(order, F.col(key))))
 
 
-def fuse(a: DataFrame, b: DataFrame, key: str, limit: int = 20) -> DataFrame:
+def fuse(a: DataFrame | None, b: DataFrame | None, key: str, limit: int = 20) -> DataFrame:
     """Reciprocal-rank fusion of two ranked lists; a list that is None leaves the other's ranks (degraded mode)."""
-    both = a.select(key, F.col("rank").alias("ra")).join(b.select(key, F.col("rank").alias("rb")), key, "full")
+    if a is None and b is None:
+        raise ValueError("no list to fuse")
+    ranks = lambda d, name: d.select(key, F.col("rank").alias(name))
+    if a is None or b is None:
+        both = ranks(b, "rb").withColumn("ra", F.lit(None).cast("int")) if a is None else ranks(a, "ra").withColumn("rb", F.lit(None).cast("int"))
+    else:
+        both = ranks(a, "ra").join(ranks(b, "rb"), key, "full")
     part = lambda r: F.coalesce(F.lit(1.0) / (FUSION + F.col(r)), F.lit(0.0))
     return both.select(key, "ra", "rb", S.rounded(part("ra") + part("rb"), 8).alias("score")).orderBy(F.desc("score"), key).limit(limit)
 

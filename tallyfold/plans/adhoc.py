@@ -2,26 +2,88 @@
 
 from __future__ import annotations
 
+import json
 import re
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-MOST_BYTES, MOST_ROWS, MOST_PARAMS, MOST_ITEMS = 8192, 1000, 32, 512
+MOST_BYTES, MOST_ROWS, MOST_PARAMS, MOST_ITEMS, MOST_PARAM_BYTES = 8192, 1000, 32, 512, 16384
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]{0,63}", re.ASCII)
+#: Nodes of a parsed plan that only read.
+_READS = {
+    "Project", "Filter", "Aggregate", "Join", "Sort", "GlobalLimit", "LocalLimit", "Offset", "SubqueryAlias", "UnresolvedRelation", "UnresolvedWith", "Union", "Distinct", "Deduplicate", "OneRowRelation",
+    "UnresolvedInlineTable", "LocalRelation", "UnresolvedHaving", "WithWindowDefinition", "Window", "Intersect", "Except", "Generate", "Pivot", "Unpivot", "UnresolvedSubqueryColumnAliases",
+    "LateralJoin", "UnresolvedTableValuedFunction", "Sample", "UnresolvedHint", "AsOfJoin", "Expand", "UnresolvedSubqueryColumnAlias", "Range", "ResolvedInlineTable",
+}
+_TABLE_FUNCTIONS = {"range", "explode", "explode_outer", "posexplode", "posexplode_outer", "inline", "inline_outer", "stack", "json_tuple"}
+_FUNCTIONS_DENIED = {"reflect", "java_method", "try_reflect"}
+
+
+def _each(items) -> list:
+    return [items.apply(i) for i in range(items.size())]
+
+
+def _refuse(what: str) -> None:
+    raise ValueError(f"only queries are allowed: {what}")
+
+
+def _names(parts) -> list[str]:
+    return [str(p) for p in _each(parts)]
+
+
+def _walk(node, relations: list[tuple[str, ...]], defined: set[str]) -> None:
+    """Refuse all but reading nodes, anywhere in the plan, its subqueries and its common table expressions; gather the relations."""
+    kind = node.getClass().getSimpleName()
+    if kind not in _READS:
+        _refuse(kind)
+    if kind == "UnresolvedRelation":
+        relations.append(tuple(_names(node.multipartIdentifier())))
+    if kind == "UnresolvedTableValuedFunction" and _names(node.name())[-1].lower() not in _TABLE_FUNCTIONS:
+        _refuse(_names(node.name())[-1])
+    if kind == "UnresolvedWith":
+        for named in _each(node.cteRelations()):
+            defined.add(str(named._1()).lower())
+            _walk(named._2(), relations, defined)
+    for e in _each(node.expressions()):
+        _expression(e, relations, defined)
+    for child in _each(node.children()):
+        _walk(child, relations, defined)
+
+
+def _expression(e, relations: list[tuple[str, ...]], defined: set[str]) -> None:
+    kind = e.getClass().getSimpleName()
+    if kind == "UnresolvedFunction" and _names(e.nameParts())[-1].lower() in _FUNCTIONS_DENIED:
+        _refuse(_names(e.nameParts())[-1])
+    if kind in ("CallMethodViaReflection", "StaticInvoke", "Invoke"):
+        _refuse(kind)
+    if kind in ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery", "FunctionTableSubqueryArgumentExpression"):
+        _walk(e.plan(), relations, defined)
+    if kind == "InSubquery":
+        _expression(e.query(), relations, defined)
+    for child in _each(e.children()):
+        _expression(child, relations, defined)
 
 
 def run(spark: SparkSession, query: str, params: dict[str, Any] | None = None) -> DataFrame:
-    """At most MOST_ROWS + 1 rows (one more tells truncation). Anything but a query is refused: the parsed plan must hold no command."""
+    """At most MOST_ROWS + 1 rows (one more tells truncation). Anything but a query is refused: every node of the parsed plan must be one that reads, every
+    relation a table or view that the session knows (no path), and no function may call Java."""
     if len(query.encode()) > MOST_BYTES:
         raise ValueError("query too long")
     params = params or {}
     if len(params) > MOST_PARAMS or not all(_NAME.fullmatch(k) for k in params):
         raise ValueError("bad parameters")
     for v in params.values():
-        if isinstance(v, list) and len(v) > MOST_ITEMS or not isinstance(v, (str, int, float, bool, list, type(None))):
+        if isinstance(v, list) and (len(v) > MOST_ITEMS or not all(isinstance(x, (str, int, float, bool, type(None))) for x in v)) or not isinstance(v, (str, int, float, bool, list, type(None))):
             raise ValueError("bad parameter value")
-    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(query).toString()
-    if re.search(r"Command|Insert|Create|Drop|Merge|DeleteFrom|UpdateTable|Truncate|SetCatalog|Unresolved(?:Namespace|Function)Name", plan.split("\n")[0]):
-        raise ValueError("only queries are allowed")
-    return spark.sql(query, args={k: v for k, v in params.items()}).limit(MOST_ROWS + 1)
+    if len(json.dumps(params).encode()) > MOST_PARAM_BYTES:
+        raise ValueError("parameters too long")
+    relations: list[tuple[str, ...]] = []
+    defined: set[str] = set()
+    _walk(spark._jsparkSession.sessionState().sqlParser().parsePlan(query), relations, defined)
+    for parts in relations:
+        if len(parts) == 1 and parts[0].lower() in defined:
+            continue
+        if any(re.search(r"[^\w$-]", p) for p in parts) or not spark.catalog.tableExists(".".join(f"`{p}`" for p in parts)):
+            _refuse("unknown relation " + ".".join(parts))
+    return spark.sql(query, args=dict(params)).limit(MOST_ROWS + 1)

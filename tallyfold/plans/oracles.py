@@ -62,7 +62,7 @@ def _swings(source: str) -> str:
 
 def _mat(source: str) -> str:
     return f"""mat AS (
-  SELECT ticker, round(avg(close), 4) AS mat, round(max_by(close, date) / avg(close) - 1, 6) AS diff_mat
+  SELECT ticker, round(avg(close), 4) AS mat, round((avg(close) - max_by(close, date)) / max_by(close, date), 6) AS diff_mat
   FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS n FROM {source}) WHERE n <= 43 GROUP BY ticker)"""
 
 
@@ -152,8 +152,13 @@ ORACLE_SQL = {
     "vup_vdown_monthly": f"WITH {PRICES}, {_swings('prices')} SELECT * FROM swings",
     "mat_43": f"WITH {PRICES}, {_mat('prices')} SELECT * FROM mat",
     "market_snapshot": f"WITH {PRICES}, {SNAPSHOT} SELECT * FROM snap",
-    "short_screen": f"""WITH {RECENT}, {WIN}, {_swings('recent')}, {_mat('recent')}, {SNAPSHOT}, a AS (SELECT ticker, round(avg(vup), 6) AS avg_vup, round(avg(vdown), 6) AS avg_vdown FROM swings GROUP BY 1)
-        SELECT ticker, last_close, avg_volume, win, avg_vup, avg_vdown, diff_mat, avg_volume > 50 AND win > 0.5 AND avg_vup > 0.3 AND avg_vdown < -0.3 AND diff_mat > -0.025 AS passes FROM snap JOIN win USING (ticker) JOIN a USING (ticker) JOIN mat USING (ticker)""",
+    "short_screen": f"""WITH {RECENT}, {WIN}, {_swings('recent')}, {_mat('recent')}, {SNAPSHOT}, a AS (SELECT ticker, round(avg(vup), 6) AS avg_vup, round(avg(vdown), 6) AS avg_vdown FROM swings GROUP BY 1),
+        k AS (SELECT ticker FROM recent GROUP BY 1 HAVING count(*) >= 5),
+        j AS (SELECT p.ticker, last_close, avg_volume, mat, diff_mat, coalesce(win, 0) AS win, coalesce(avg_vup, 0) AS avg_vup, coalesce(avg_vdown, 0) AS avg_vdown FROM (SELECT DISTINCT p_brand AS ticker FROM part) p
+          LEFT JOIN snap USING (ticker) LEFT JOIN (SELECT * FROM win SEMI JOIN k USING (ticker)) w USING (ticker) LEFT JOIN (SELECT * FROM a SEMI JOIN k USING (ticker)) b USING (ticker) LEFT JOIN (SELECT * FROM mat SEMI JOIN k USING (ticker)) m USING (ticker)),
+        f AS (SELECT *, coalesce(mat IS NOT NULL AND avg_volume > 50, false) AS volume_ok, coalesce(mat IS NOT NULL AND last_close BETWEEN 900 AND 1600, false) AS price_ok, coalesce(mat IS NOT NULL AND win > 0.5, false) AS win_ok,
+          coalesce(mat IS NOT NULL AND avg_vup > 0.3 AND avg_vdown < -0.3, false) AS swing_ok, coalesce(mat IS NOT NULL AND diff_mat > -0.025, false) AS mat_ok FROM j)
+        SELECT ticker, last_close, avg_volume, win, avg_vup, avg_vdown, diff_mat, volume_ok, price_ok, win_ok, swing_ok, mat_ok, volume_ok AND price_ok AND win_ok AND swing_ok AND mat_ok AS passes FROM f""",
     "annual_avg_price": f"WITH {PRICES} SELECT ticker, year(date) AS year, round(avg(close), 4) AS price FROM prices GROUP BY ALL",
     "slice_stats": f"WITH {OBSERVATIONS}, s AS (SELECT dataset, slice_key, count(*) AS n, {PERCENTILES} FROM observations WHERE value IS NOT NULL GROUP BY ALL) SELECT dataset, slice_key, n, {DESCRIBED} FROM s",
     "dataset_stats": f"WITH {OBSERVATIONS}, s AS (SELECT dataset, min(year) AS y0, max(year) AS y1, count(*) AS n, {PERCENTILES} FROM observations GROUP BY dataset) SELECT dataset, y0, y1, n, {DESCRIBED} FROM s",

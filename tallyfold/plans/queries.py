@@ -208,7 +208,9 @@ def valuation(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def short_screen(spark: SparkSession, sf: str) -> DataFrame:
-    return finance.short_screen(prices(spark, sf))
+    """Limits that suit the given tables' volumes and prices; brands without prices have the empty result."""
+    brands = table(spark, sf, "part").select(F.col("p_brand").alias("ticker"))
+    return finance.short_screen(prices(spark, sf), brands, volume=50.0, low=900.0, high=1600.0)
 
 
 @query

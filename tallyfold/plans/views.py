@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,3 +68,22 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = r.select(F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("code"), F.lit(None).cast("string").alias("parent"))
     low = n.select(F.concat(F.lit("R"), F.col("n_regionkey").cast("string"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("code"), F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("parent"))
     return top.unionByName(low)
+
+
+def filings_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """filings with the figures that only some sources report."""
+    c = F.col
+    return filings(spark, sf_dir).withColumns({
+        "gross_profit": c("revenue") * 0.4, "assets": c("equity") + c("liabilities"), "current_assets": c("shares") * 5, "current_liabilities": c("shares") * 3, "inventory": c("shares") * 0.4,
+        "prepaid": F.when(c("company") % 2 == 1, c("shares") * 0.1), "operating_cashflow": c("revenue") * 0.2, "capex": F.when(c("company") % 4 > 0, c("revenue") * 0.05),
+        "interest_expense": F.when(c("company") % 3 > 0, c("revenue") * 0.01), "long_term_debt": F.when(c("company") % 5 > 0, c("debt") * 0.8)})
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share: spark.checkpoint.dir, or a local one on a local master where that is unset."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not named:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        named = "file://" + tempfile.mkdtemp(prefix="spark-tallyfold-")
+    return f"{named.rstrip('/')}/{name}-{uuid.uuid4().hex}"

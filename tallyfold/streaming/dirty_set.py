@@ -36,18 +36,17 @@ def fold(events: DataFrame) -> DataFrame:
 def stream_fold(spark: SparkSession, source: str, schema: str, shape, checkpoint: str, sink: str) -> DataFrame:
     """Run all available files of a folder through a stream that folds them into the state at sink, then read the state.
 
-    Each micro-batch appends its events' partial folds under its batch number (overwritten if the batch runs again, so delivery is exactly once);
-    reading merges the partial folds.
+    Each micro-batch writes its distinct events under its batch number (overwritten if the batch runs again); reading folds all of them, so an event that is delivered
+    again, in the same batch or a later one, counts once, as in the batch form. compact() puts what the batches wrote into one.
     """
     def upsert(batch: DataFrame, number: int) -> None:
-        partial = batch.groupBy("entity").agg(
-            F.min("ts").alias("first_seen"), F.max("ts").alias("last_changed"), F.count("*").alias("edit_count"),
-            F.max_by(F.struct("ts", "seq", "deleted"), F.struct("ts", "seq")).alias("last"))
-        partial.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        batch.select("entity", "ts", "seq", "deleted").dropDuplicates(["entity", "seq", "ts"]).write.mode("overwrite").parquet(f"{sink}/batch={number}")
 
     stream = shape(spark.readStream.schema(schema).option("maxFilesPerTrigger", 100).parquet(source))
     stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    state = spark.read.parquet(sink)
-    return state.groupBy("entity").agg(
-        F.min("first_seen").alias("first_seen"), F.max("last_changed").alias("last_changed"), F.sum("edit_count").alias("edit_count"),
-        F.max_by("last.deleted", F.struct("last.ts", "last.seq")).alias("is_deleted"))
+    return fold(spark.read.parquet(sink))
+
+
+def compact(spark: SparkSession, sink: str, out: str) -> None:
+    """Write the distinct events of a sink as one batch to a new folder, which then serves as the sink."""
+    spark.read.parquet(sink).select("entity", "ts", "seq", "deleted").dropDuplicates(["entity", "seq", "ts"]).write.parquet(f"{out}/batch=0")

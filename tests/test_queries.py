@@ -6,9 +6,11 @@ import os
 import duckdb
 import pytest
 
-from tallyfold.plans import oracles, queries, register_queries
+from tallyfold.plans import ledger_queries, oracles, page_queries, queries, register_queries
 
-QUERIES, ORACLE_SQL = {**queries.QUERIES, **register_queries.QUERIES}, {**oracles.ORACLE_SQL, **register_queries.ORACLE_SQL}
+_MORE = (register_queries, page_queries, ledger_queries)
+QUERIES = queries.QUERIES | {k: v for m in _MORE for k, v in m.QUERIES.items()}
+ORACLE_SQL = oracles.ORACLE_SQL | {k: v for m in _MORE for k, v in m.ORACLE_SQL.items()}
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
