@@ -130,8 +130,9 @@ def resolve_tiers(wanted: DataFrame, known: DataFrame) -> DataFrame:
         F.struct(F.lit(2).alias("t"), F.when(F.length("name") >= LEAST_NAME, F.concat_ws("|", F.upper(F.trim("name")), F.col("country").cast("string"))).alias("k")))).alias("x")).select(who, "x.t", "x.k").filter("k IS NOT NULL AND k <> ''")
     found = keyed(known, "entity").groupBy("t", "k").agg(F.count_distinct("entity").alias("n"), F.min("entity").alias("entity"))
     best = keyed(wanted, "id").join(found, ["t", "k"]).groupBy("id").agg(F.min(F.struct("t", "n", "entity")).alias("b"))
-    tier = F.element_at(F.array(*(F.lit(n) for n, _ in RESOLVER_TIERS)), F.col("b.t") + 1)
-    score = F.element_at(F.array(*(F.lit(s) for _, s in RESOLVER_TIERS)), F.col("b.t") + 1)
+    tier, score = F.lit(None).cast("string"), F.lit(None).cast("double")
+    for i, (name, points) in enumerate(RESOLVER_TIERS):
+        tier, score = F.when(F.col("b.t") == i, name).otherwise(tier), F.when(F.col("b.t") == i, points).otherwise(score)
     return wanted.select("id").join(best, "id", "left").select("id", F.when(F.col("b").isNull(), "no_match").when(F.col("b.n") == 1, "matched").otherwise("ambiguous").alias("hint"),
                                                                tier.alias("tier"), score.alias("score"), F.when(F.col("b.n") == 1, F.col("b.entity")).alias("entity"))
 
