@@ -1,17 +1,18 @@
 """Line dedup: later copies of repeated line runs are deleted. DataFrame operations only.
 
-A document is a sequence of line IDs (XXH64 of its lines; lines without words take no part). A run counts as repeated if it has
+A document is a sequence of line IDs (two XXH64 of its lines with different seeds, 128 bits; lines without words take no part). A run counts as repeated if it has
 ``min_words`` words or more and occurs earlier: in a document before it (by doc_id, then by the text's hash) or further up in the same one. The
 first occurrence stays, every line of a later one is deleted.
 
-1. Lines that occur once in the corpus end every run; a count by line ID leaves the repeated ones, cut into segments of neighbours.
-2. Prefix doubling gives the suffix at each line its rank among suffixes of 1, 2, 4, ... lines: the rank of 2k lines is made of the ranks of the
-   k lines from here and of the k lines behind them. Ranks are hashes of such pairs, so all partitions give equal prefixes equal ranks
-   without a global sort; ranks need no order here, only equality.
-3. The lines with one common prefix of given length are an interval of the suffix array whose longest common prefix is at least that
-   long. As every line has a word, intervals of ``min_words`` words span at most that many lines, so log2(min_words) doublings do.
-   Looked at are, from every line, the shortest run of min_words words that starts there and the shortest that ends there; every maximal repeated run is
-   covered by such runs within it, so all later copies of maximal runs are found, whole, with two runs a line.
+1. Lines that occur once in the corpus end every run; a count by line ID leaves the repeated ones, cut into segments of neighbours. The IDs of repeated lines are sorted, and their
+   places in that order are the ranks of one line.
+2. Prefix doubling: the rank of the 2k lines from a place on is the place of (rank of the k lines from here, rank of the k lines behind them) among all such pairs that occur
+   twice or more, sorted over range partitions. So ranks are exact, not hashes: two places have equal ranks where their 2k lines are equal, and ranks are in the order of those lines.
+   Places whose lines are unique leave the array, which shrinks from round to round.
+3. The suffix array is the places in the order of their ranks. Places with a longest common prefix of m lines or more are an interval of it, and have the same m lines: those
+   with equal ranks of their first and of their last 2**k <= m lines. As every line has a word, a prefix of ``min_words`` words has at most that many lines, so
+   log2(min_words) doublings do. Looked at are, from every line, the shortest run of min_words words that starts there and the shortest that ends there; every
+   maximal repeated run is covered by such runs within it, so all later copies of maximal runs are found, whole, with two runs a line.
 4. An interval's first place is its minimum (aggregated with partial sums); the run at each later place is deleted.
 
 Defined cases: a null text stays null and an empty one empty; a text left without words becomes ''; identical rows (same doc_id and text) are one document given
@@ -31,19 +32,28 @@ _WORDS = r"size(filter(split(translate(x, '\t\r\u000b\u000c', '    '), ' '), w -
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """One row per line with words: row, doc_id, key, idx (from 0 among such lines), line, words."""
-    parts = F.expr(f"filter(transform(split(text, '\n', -1), x -> named_struct('line', xxhash64(x), 'words', {_WORDS})), s -> s.words > 0)")
+    """One row per line with words: row, doc_id, key, idx (from 0 among such lines), line and twin (its ID), words."""
+    parts = F.expr(f"filter(transform(split(text, '\n', -1), x -> named_struct('line', xxhash64(x), 'twin', xxhash64('twin', x), 'words', {_WORDS})), s -> s.words > 0)")
     exploded = rows.select("row", "doc_id", "key", F.posexplode(parts).alias("idx", "s"))
-    return exploded.select("row", "doc_id", "key", "idx", "s.line", "s.words")
+    return exploded.select("row", "doc_id", "key", "idx", "s.line", "s.twin", "s.words")
+
+
+def _places(keys: DataFrame, columns: list[str], name: str, rank: str) -> DataFrame:
+    """The distinct rows of keys that occur twice or more, with their rank in sorted order: range partitions, each sorted, numbered upwards."""
+    twice = keys.groupBy(*columns).agg(F.count("*").alias("_n")).filter("_n > 1").select(*columns)
+    return materialise(twice.repartitionByRange(*columns).sortWithinPartitions(*columns).select(*columns, F.monotonically_increasing_id().alias(rank)), name)
 
 
 def _ranks(segments: DataFrame, levels: int) -> DataFrame:
-    """Adds r0..r<levels>: rank of the 2**k lines from each line on, null where the segment ends before."""
+    """Adds r1..r<levels>: rank of the 2**k lines from each line on, null where the segment ends before or the lines are unique."""
     within = Window.partitionBy("row", "segment").orderBy("idx")
-    out = segments.withColumn("r0", F.col("line"))
+    out = segments
     for k in range(levels):
-        behind = F.max(f"r{k}").over(within.rangeBetween(2**k, 2**k))
-        out = out.withColumn(f"r{k + 1}", F.when(F.col(f"r{k}").isNotNull() & behind.isNotNull(), F.xxhash64(F.col(f"r{k}"), behind)))
+        paired = out.withColumn("behind", F.max(f"r{k}").over(within.rangeBetween(2**k, 2**k)))
+        held = paired.filter(F.col(f"r{k}").isNotNull() & F.col("behind").isNotNull()).select(F.col(f"r{k}").alias("a"), F.col("behind").alias("b"))
+        places = _places(held, ["a", "b"], "pairs", f"r{k + 1}")
+        joined = paired.join(places, (F.col(f"r{k}") == F.col("a")) & (F.col("behind") == F.col("b")), "left").drop("a", "b", "behind")
+        out = materialise(joined, "ranks")
     return out
 
 
@@ -53,15 +63,14 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text
     # row keeps identical rows apart while their lines are in one window; no result depends on its value.
     rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
     lines = _lines(rows)
-    counted = lines.groupBy("line").agg(F.count("*").alias("n")).filter("n > 1").select("line")
-    repeated = materialise(lines.join(materialise(counted, "lines"), "line", "left_semi"), "repeated")
+    repeated = materialise(lines.join(_places(lines, ["line", "twin"], "lines", "r0"), ["line", "twin"]).select("row", "doc_id", "key", "idx", "words", "r0"), "repeated")
 
     by_row = Window.partitionBy("row").orderBy("idx")
     segments = repeated.withColumn("segment", F.col("idx") - F.row_number().over(by_row))
     levels = max(0, min_words.bit_length() - 1)
     within = Window.partitionBy("row", "segment").orderBy("idx")
     so_far = F.sum("words").over(within.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = _ranks(segments.withColumn("upto", so_far).withColumn("before", F.col("upto") - F.col("words")), levels)
+    ranked = _ranks(segments, levels).withColumn("upto", so_far).withColumn("before", F.col("upto") - F.col("words"))
     ahead = F.collect_list("upto").over(within.rowsBetween(0, min_words - 1))
     back = F.collect_list("before").over(within.rowsBetween(-(min_words - 1), 0))
     ranked = ranked.withColumns({"ahead": ahead, "back": back})
@@ -83,13 +92,12 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text
     heads = ranked.select("row", F.col("idx").alias("first"), F.col("ranks").alias("head_ranks"))
     tails = ranked.select("row", F.col("idx").alias("tail"), F.col("ranks").alias("tail_ranks"))
     named = runs.join(heads, ["row", "first"]).join(tails, ["row", "tail"]).select(
-        "doc_id", "key", "first", "last",
-        F.xxhash64(F.expr("head_ranks[level]"), F.expr("tail_ranks[level]"), F.col("last") - F.col("first")).alias("run"),
-    )
+        "doc_id", "key", "first", "last", F.expr("head_ranks[level]").alias("head"), F.expr("tail_ranks[level]").alias("end"), (F.col("last") - F.col("first")).alias("more"),
+    ).filter("head IS NOT NULL AND end IS NOT NULL")
     named = materialise(named, "runs")
     place = F.struct("doc_id", "key", "first")
-    intervals = named.groupBy("run").agg(F.count("*").alias("n"), F.min(place).alias("original")).filter("n > 1").select("run", "original")
-    return named.join(materialise(intervals, "intervals"), "run").filter(place > F.col("original")).select("doc_id", "key", "first", "last")
+    intervals = named.groupBy("head", "end", "more").agg(F.count("*").alias("n"), F.min(place).alias("original")).filter("n > 1").select("head", "end", "more", "original")
+    return named.join(materialise(intervals, "intervals"), ["head", "end", "more"]).filter(place > F.col("original")).select("doc_id", "key", "first", "last")
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", doc_id: str = "doc_id", removed: str | None = None) -> DataFrame:
