@@ -28,14 +28,16 @@ from pyspark.sql import functions as F
 from tallyfold.llm.common import materialise
 
 MIN_WORDS = 50
-_WORDS = r"size(filter(split(translate(x, '\t\r\u000b\u000c', '    '), ' '), w -> w <> ''))"
+_SPACED = r"trim(translate(x, '\t\r\u000b\u000c', '    '))"
 
 
 def _lines(rows: DataFrame) -> DataFrame:
     """One row per line with words: row, doc_id, key, idx (from 0 among such lines), line and twin (its ID), words."""
-    parts = F.expr(f"filter(transform(split(text, '\n', -1), x -> named_struct('line', xxhash64(x), 'twin', xxhash64('twin', x), 'words', {_WORDS})), s -> s.words > 0)")
-    exploded = rows.select("row", "doc_id", "key", F.posexplode(parts).alias("idx", "s"))
-    return exploded.select("row", "doc_id", "key", "idx", "s.line", "s.twin", "s.words")
+    parts = F.expr(f"filter(transform(split(text, '\n', -1), x -> named_struct('x', x, 't', {_SPACED})), s -> s.t <> '')")
+    exploded = rows.select("row", "doc_id", "key", F.posexplode(parts).alias("idx", "s")).select("row", "doc_id", "key", "idx", "s.x", "s.t")
+    # Words: blanks and one, or where blanks stand together, the parts that aren't empty.
+    words = F.expr("IF(instr(t, '  ') = 0, length(t) - length(replace(t, ' ', '')) + 1, size(filter(split(t, ' '), w -> w <> '')))")
+    return exploded.select("row", "doc_id", "key", "idx", F.expr("xxhash64(x)").alias("line"), F.expr("xxhash64('twin', x)").alias("twin"), words.alias("words"))
 
 
 def _places(keys: DataFrame, columns: list[str], name: str, rank: str) -> DataFrame:
@@ -63,7 +65,9 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text
     # row keeps identical rows apart while their lines are in one window; no result depends on its value.
     rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
     lines = _lines(rows)
-    repeated = materialise(lines.join(_places(lines, ["line", "twin"], "lines", "r0"), ["line", "twin"]).select("row", "doc_id", "key", "idx", "words", "r0"), "repeated")
+    # For the count the lines need neither places nor word counts.
+    plain = rows.select(F.explode(F.split("text", "\n", -1)).alias("x")).filter(F.expr(f"{_SPACED} <> ''")).select(F.expr("xxhash64(x)").alias("line"), F.expr("xxhash64('twin', x)").alias("twin"))
+    repeated = materialise(lines.join(_places(plain, ["line", "twin"], "lines", "r0"), ["line", "twin"]).select("row", "doc_id", "key", "idx", "words", "r0"), "repeated")
 
     by_row = Window.partitionBy("row").orderBy("idx")
     segments = repeated.withColumn("segment", F.col("idx") - F.row_number().over(by_row))
@@ -109,7 +113,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text",
     gone = gone.select(F.col("doc_id").alias("_tf_id"), F.col("key").alias("_tf_other"), "_tf_gone")
     keyed = docs.withColumn("_tf_key", F.xxhash64(F.col(doc_id), F.col(text)))
     joined = keyed.join(gone, (F.col("_tf_key") == F.col("_tf_other")) & F.col(doc_id).eqNullSafe(F.col("_tf_id")), "left")
-    worded = f"filter(transform(_tf_lines, (x, i) -> IF({_WORDS} > 0, i, -1)), i -> i >= 0)"
+    worded = f"filter(transform(_tf_lines, (x, i) -> IF({_SPACED} <> '', i, -1)), i -> i >= 0)"
     kept = "array_except(sequence(0, size(_tf_lines) - 1), transform(_tf_gone, i -> _tf_worded[i]))"
     cut = f"array_join(transform({kept}, i -> _tf_lines[i]), '\n')"
     cut = f"IF(size(_tf_gone) >= size(_tf_worded), '', {cut})"
