@@ -82,12 +82,11 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fingerprint_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = minhash.fingerprint_with_edits(table(spark, sf_dir, "documents"))
-    likenesses = done.select(
+    return done.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
         minhash.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
         minhash.likeness("fingerprint", "next_fingerprint").alias("near_next"),
     )
-    return _kept(likenesses, "likenesses")
 
 
 QUERIES = {
