@@ -55,8 +55,9 @@ def cascade(wanted: DataFrame, known: DataFrame) -> DataFrame:
 
 def duplicate_pairs(entities: DataFrame, key: str, *on: str) -> DataFrame:
     """(kept, dropped): each entity with the smallest one of its group; a group of n gives n - 1 rows."""
-    least = F.min(key).over(Window.partitionBy(*on))
-    return entities.filter(" AND ".join(f"{c} IS NOT NULL" for c in on)).select(least.alias("kept"), F.col(key).alias("dropped"), *on).filter("kept < dropped")
+    rows = entities.filter(" AND ".join(f"{c} IS NOT NULL" for c in on))
+    least = rows.groupBy(*on).agg(F.min(key).alias("kept"))
+    return rows.join(least, list(on)).select("kept", F.col(key).alias("dropped"), *on).filter("kept < dropped")
 
 
 def first_choice(candidates: DataFrame, key: str, *order) -> DataFrame:

@@ -9,8 +9,11 @@ from tallyfold.functions import scalars as S
 from tallyfold.functions.scalars import safe_div
 
 
-def _percentiles() -> list:
-    return [F.percentile("value", p).alias(n) for n, p in (("p02", 0.02), ("p50", 0.5), ("p98", 0.98))]
+def _spread(df: DataFrame, *keys: str, **more) -> DataFrame:
+    """n, low, high and exact percentiles of value per group. Equal values are counted before, over all tasks, so a group's buffer holds its distinct values once."""
+    counted = df.groupBy(*keys, "value").agg(F.count("*").alias("_n"), *(f.alias(name) for name, (f, _) in more.items()))
+    out = counted.groupBy(*keys).agg(F.sum("_n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"), F.percentile("value", [0.02, 0.5, 0.98], F.col("_n")).alias("_p"), *(f.alias(name) for name, (_, f) in more.items()))
+    return out.withColumns({"p02": F.col("_p")[0], "p50": F.col("_p")[1], "p98": F.col("_p")[2]}).drop("_p")
 
 
 def _described(df: DataFrame, *keys: str) -> DataFrame:
@@ -22,14 +25,13 @@ def _described(df: DataFrame, *keys: str) -> DataFrame:
 
 def slice_stats(observations: DataFrame) -> DataFrame:
     """Per dataset and slice; missing values take no part."""
-    rows = observations.filter("value IS NOT NULL").groupBy("dataset", "slice_key")
-    return _described(rows.agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"), *_percentiles()), "dataset", "slice_key")
+    return _described(_spread(observations.filter("value IS NOT NULL"), "dataset", "slice_key"), "dataset", "slice_key")
 
 
 def dataset_stats(observations: DataFrame) -> DataFrame:
     """Per dataset; the count includes missing values."""
-    rows = observations.groupBy("dataset").agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"), *_percentiles(), F.min("year").alias("y0"), F.max("year").alias("y1"))
-    return _described(rows, "dataset", "y0", "y1")
+    years = {"y0": (F.min("year"), F.min("y0")), "y1": (F.max("year"), F.max("y1"))}
+    return _described(_spread(observations, "dataset", **years), "dataset", "y0", "y1")
 
 
 def level_universe(observations: DataFrame, regions: DataFrame, levels: int = 4) -> DataFrame:
