@@ -373,7 +373,7 @@ def read_cube(spark: SparkSession, sf: str) -> DataFrame:
     years = [r[0] for r in o.select("year").distinct().orderBy("year").limit(100).collect()]
     wide = o.groupBy(F.concat_ws(",", F.col("dims")["flag"], F.col("dims")["status"], "geo").alias("key")).pivot("year", years).agg(F.first("value"))
     head = "flag,status,geo\\TIME_PERIOD"
-    cells = wide.select(F.col("key").alias(head), *(F.coalesce(F.format_string("%.4f p", F.col(f"`{y}`")), F.lit(":")).alias(str(y)) for y in years))
+    cells = wide.select(F.col("key").alias(head), *(F.when(F.col(f"`{y}`").isNotNull(), F.format_string("%.4f p", F.col(f"`{y}`"))).otherwise(":").alias(str(y)) for y in years))
     got = readers.cube_tsv(spark, _csv(cells, scratch(spark, "cube"), "\t"), "1-URGENT")
     return got.select("geo", F.year("time").alias("year"), "slice_key", "value")
 
