@@ -569,3 +569,24 @@ def test_pipeline(spark, sf):
     ids = {r["doc_id"] for r in corpus_pipeline.run(spark, sf).select("doc_id").distinct().collect()}
     grouped = simhash.near_duplicates(cut, size=5, repeats=False).collect()
     assert ids == {r["component_id"] for r in grouped}
+
+
+def test_pipeline_cases(spark):
+    """Nulls, empty and long texts, repeated rows, ties, clashing and missing columns, and an empty table, through all stages."""
+    import corpus_pipeline
+
+    en, fr = "the cat and the dog in the house with the mouse ", "le chat et le chien dans la maison avec la souris "
+    rows = [(1, None, "en"), (2, "", "en"), (3, "12 !?", "en"), (4, en * 3, "en"), (4, en * 3, "en"), (5, fr * 3, "fr"), (None, fr * 3, "fr"), (6, " ".join(random.Random(1).choices(en.split(), k=30_000)), "en"), (7, "\n".join([fr * 6] * 2), None), (None, "the dog sat near a hat", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumns({c: F.lit(1) for c in ("score", "lang_pred", "_tf_key", "_row", "fp", "component", "shingles", "extra0")})
+    docs_ = df
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs_ = stage(spark, docs_, "")
+        assert docs_.columns == df.columns
+    kept = [(r["doc_id"], r["text"]) for r in docs_.collect()]
+    assert len(kept) == len(set(kept)) and {k for k, _ in kept} <= {4, 5, 6, 7, None} and {4, 5, 6} <= {k for k, _ in kept}
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs_, "")
+    assert packed.select("doc_id").distinct().count() == len({k for k, _ in kept})
+    empty = df.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, empty, "")
+        assert empty.count() == 0
