@@ -57,6 +57,8 @@ class RankArrayBpe:
         self.specials = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.strings = {i: s for s, i in [*self.vocab.items(), *self.specials.items()]}
         split = next(x for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
+        if not (model["type"] == "BPE" and self.suffix and spec["decoder"] is None and all("<" in x for x in self.specials)):
+            raise ValueError("not a tokenizer of the kind that this encoder knows")
         self.words = regex.compile(split["pattern"]["Regex"])
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
         alphabet = byte_alphabet()

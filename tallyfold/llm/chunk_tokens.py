@@ -16,6 +16,7 @@ A new chunk is cut further where a token always ends: at signs behind the last l
 from __future__ import annotations
 
 import functools
+import json
 import os
 import unicodedata
 from array import array
@@ -81,11 +82,26 @@ class _Known(dict):
         return got
 
 
+def check_kind(spec: dict, split: str) -> None:
+    """Refuse a tokenizer file that ``split`` doesn't hold for: ids would be wrong without a word."""
+    kinds = lambda part: {x["type"] for x in (part or {}).get("normalizers", (part or {}).get("pretokenizers", [part] if part else []))}
+    before, cut, model = kinds(spec["normalizer"]), kinds(spec["pre_tokenizer"]), spec["model"]
+    suits = model["type"] == "BPE" and all(t["content"].startswith("<|") and not (t["lstrip"] or t["rstrip"]) for t in spec["added_tokens"])
+    if split == "words":
+        suits = suits and "Lowercase" in before and {"Split", "ByteLevel"} <= cut and bool(model.get("end_of_word_suffix"))
+    elif split == "leading_space":
+        suits = suits and not before and cut == {"ByteLevel"} and not spec["pre_tokenizer"]["add_prefix_space"] and spec["pre_tokenizer"]["use_regex"] and not model.get("end_of_word_suffix")
+    if split not in ("whole", "words", "leading_space") or split != "whole" and not suits:
+        raise ValueError(f"split={split!r} doesn't suit this tokenizer; split='whole' does")
+
+
 class ChunkTokens:
     def __init__(self, path: str, split: str = "whole", remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            check_kind(json.load(f), split)
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()

@@ -204,6 +204,14 @@ def test_encoders_match_the_library():
         assert ours.decode(w.ids) == word.decode(w.ids, skip_special_tokens=False)
 
 
+def test_other_tokenizers_are_refused():
+    for name, split in ((queries.WORD_BPE, "leading_space"), (queries.BYTE_BPE, "words"), (queries.BYTE_BPE, "other")):
+        with pytest.raises(ValueError):
+            ChunkTokens(queries.tokenizer_file(name), split)
+    with pytest.raises((ValueError, KeyError, StopIteration)):
+        bpe.RankArrayBpe(queries.tokenizer_file(queries.BYTE_BPE))
+
+
 def test_bpe_cases(spark):
     library = tokenizer(queries.WORD_BPE)
     df, path = docs(spark, ODD), queries.tokenizer_file(queries.WORD_BPE)
