@@ -1,11 +1,11 @@
-"""The ten operators as queries over whole tables, with their SQL where it can express them."""
+"""The operators as queries over whole tables, with their SQL where it can express them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import ann, bpe, langid, line_dedup, minhash, packing, simhash, url_filter, warc, wavelet
+from tallyfold.llm import align, ann, bpe, langid, line_dedup, minhash, packing, simhash, url_filter, warc, wavelet
 from tallyfold.llm.common import batches, materialise, scratch_path, table
 
 
@@ -21,7 +21,7 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
         return materialise(df, name)
 
 
-WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+WORD_BPE, BYTE_BPE, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
 
@@ -89,6 +89,12 @@ def fingerprint_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def alignment_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    with batches(spark):
+        return materialise(align.align(docs, tokenizer_file(BYTE_BPE), tokenizer_file(PIECES)), "alignments")
+
+
 QUERIES = {
     "op1_line_dedup": line_dedup_query,
     "op2_url_filters": url_filter_query,
@@ -100,6 +106,7 @@ QUERIES = {
     "op8_ann": ann_query,
     "op9_warc": warc_query,
     "op10_minhash": fingerprint_query,
+    "op12_alignment": alignment_query,
 }
 
 ORACLE_SQL = {
