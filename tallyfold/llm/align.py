@@ -280,7 +280,7 @@ def pair_counts(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -
 
     def vector_of(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left):
-            return pd.DataFrame({"bucket": [], "counts": []}).astype({"bucket": "int64"})
+            return pd.DataFrame({"bucket": [], "counts": []}).astype({"bucket": "int64", "counts": object})
         keys, asked = np.asarray(right["keys"].iloc[0]), left["pair"].to_numpy(dtype=np.int64)
         place = Function(right["hash"].iloc[0])(asked)
         if (place < 0).any() or (keys[place] != asked).any():

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import align, ann, bpe, langid, line_dedup, minhash, packing, simhash, url_filter, warc, wavelet
+from tallyfold.llm import align, ann, bpe, langid, lexical, line_dedup, minhash, ngram_join, packing, simhash, url_filter, warc, wavelet
 from tallyfold.llm.common import batches, materialise, scratch_path, table
 
 
@@ -89,12 +89,20 @@ def fingerprint_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lexical_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def alignment_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     with batches(spark):
         return materialise(align.align(docs, tokenizer_file(BYTE_BPE), tokenizer_file(PIECES)), "alignments")
 
 
+def ngram_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": line_dedup_query,
     "op2_url_filters": url_filter_query,
@@ -106,7 +114,9 @@ QUERIES = {
     "op8_ann": ann_query,
     "op9_warc": warc_query,
     "op10_minhash": fingerprint_query,
+    "op11_lexical_search": lexical_query,
     "op12_alignment": alignment_query,
+    "op13_ngram_join": ngram_join_query,
 }
 
 ORACLE_SQL = {
@@ -142,4 +152,22 @@ ORACLE_SQL = {
             FROM digests)
         SELECT page_id, payload_bytes, payload_digest, CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN place > 1 THEN first END AS refers_to
         FROM placed JOIN digits USING (hex)""",
+    "op11_lexical_search": r"""
+        WITH words AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents),
+        tfs AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+        sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tfs GROUP BY doc_id),
+        whole AS (SELECT count(*) AS documents, sum(n)::BIGINT AS terms FROM sizes),
+        asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * any_value(documents) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM tfs, whole WHERE term IN (SELECT term FROM asked) GROUP BY term),
+        scored AS (
+            SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * documents) // terms)))))::BIGINT AS score
+            FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN sizes USING (doc_id), whole GROUP BY item_id, doc_id)
+        SELECT item_id, rank::INT AS rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 10""",
 }
