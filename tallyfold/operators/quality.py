@@ -140,3 +140,27 @@ def gate(rows: DataFrame, broken: DataFrame) -> DataFrame:
     if n := broken.count():
         raise ValueError(f"{n} violations of the shape; nothing is written")
     return rows
+
+
+def resolver_checks(cases: DataFrame, resolved: DataFrame, duplicates: DataFrame | None = None) -> DataFrame:
+    """Expected answers against a resolver's: cases(case, expect, id, tier, least, entity), resolved(id, hint, tier, score, entity): case, expect, ok, said.
+
+    expect is one of: confident (matched or ambiguous at least at that score), refused (nothing matched, or only below that score), tier (matched by that very tier, at least at that score, never
+    ambiguous), entity (matched with that entity). duplicates(node, canonical) are known to be one: a match with either counts as the other. A case without an answer fails, whatever it expects.
+    """
+    got = resolved.select(F.col("id").alias("_id"), "hint", F.col("tier").alias("got_tier"), "score", F.col("entity").alias("got"))
+    rows = cases.join(got, F.col("id").eqNullSafe(F.col("_id")), "left")
+    if duplicates is not None:
+        to = lambda c: duplicates.select(F.col("node").alias(f"_{c}_node"), F.col("canonical").alias(f"_{c}"))
+        rows = rows.join(to("e"), F.col("entity") == F.col("_e_node"), "left").join(to("g"), F.col("got") == F.col("_g_node"), "left")
+        rows = rows.withColumns({"entity": F.coalesce("_e", "entity"), "got": F.coalesce("_g", "got")})
+    score, found = F.coalesce("score", F.lit(0.0)), F.col("hint") == "matched"
+    ok = (
+        F.when(F.col("_id").isNull(), False)
+        .when(F.col("expect") == "confident", F.col("hint").isin("matched", "ambiguous") & (score >= F.col("least")))
+        .when(F.col("expect") == "refused", ~found & ((F.col("hint") == "no_match") | (score < F.col("least"))))
+        .when(F.col("expect") == "tier", found & (F.col("got_tier") == F.col("tier")) & (score >= F.col("least")))
+        .when(F.col("expect") == "entity", found & (F.col("got") == F.col("entity")))
+    )
+    said = F.concat_ws(" ", F.coalesce("hint", F.lit("unanswered")), F.coalesce("got_tier", F.lit("-")))
+    return rows.select("case", "expect", F.coalesce(ok, F.lit(False)).alias("ok"), said.alias("said"))

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyfold.functions import scalars as S
 from tallyfold.operators import finance, graph, procurement, quality, resolve, search, stats
 from tallyfold.plans import adhoc
-from tallyfold.plans.views import filings, notices, observations, prices, regions, table
+from tallyfold.plans.views import filings, notices, observations, prices, regions, scratch, table
 from tallyfold.streaming import dirty_set
 
 QUERIES: dict = {}
@@ -438,12 +436,12 @@ def dirty_set_fold(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def dirty_set_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The same through a stream over the table's files."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    at = f"{named.rstrip('/')}/tallyfold-stream/{uuid.uuid4().hex}"
+    """The same from a stream's keyed state over the table's files."""
+    checkpoint = scratch(spark, "dirty-set")
     e = table(spark, sf, "events")
     # A stream reads a folder; a table in one file is read through a pattern on its folder.
-    return _shown(dirty_set.stream_fold(spark, f"{sf}/events.parque[t]", e.schema, _changes, f"{at}/checkpoint", f"{at}/state"))
+    dirty_set.coalesce_stream(spark, f"{sf}/events.parque[t]", e.schema, _changes, checkpoint)
+    return _shown(dirty_set.state(spark, checkpoint))
 
 
 @query

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.functions import scalars as S
+from tallyfold.sources.scratch import scratch as scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,12 +76,3 @@ def filings_full(spark: SparkSession, sf_dir: str) -> DataFrame:
         "prepaid": F.when(c("company") % 2 == 1, c("shares") * 0.1), "operating_cashflow": c("revenue") * 0.2, "capex": F.when(c("company") % 4 > 0, c("revenue") * 0.05),
         "interest_expense": F.when(c("company") % 3 > 0, c("revenue") * 0.01), "long_term_debt": F.when(c("company") % 5 > 0, c("debt") * 0.8)})
 
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share: spark.checkpoint.dir, or a local one on a local master where that is unset."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        named = "file://" + tempfile.mkdtemp(prefix="spark-tallyfold-")
-    return f"{named.rstrip('/')}/{name}-{uuid.uuid4().hex}"

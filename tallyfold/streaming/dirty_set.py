@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-#: The 24 languages whose label edits count, and the one for all.
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: The 24 languages whose label edits count, and the one for all; fixed values.
 LANGUAGES = ("bg", "cs", "da", "de", "el", "en", "es", "et", "fi", "fr", "ga", "hr", "hu", "it", "lt", "lv", "mt", "nl", "pl", "pt", "ro", "sk", "sl", "sv", "mul")
 
 
@@ -33,20 +38,67 @@ def fold(events: DataFrame) -> DataFrame:
         F.max_by("deleted", F.struct("ts", "seq")).alias("is_deleted"))
 
 
-def stream_fold(spark: SparkSession, source: str, schema: str, shape, checkpoint: str, sink: str) -> DataFrame:
-    """Run all available files of a folder through a stream that folds them into the state at sink, then read the state.
+STATE = "first_seen timestamp, last_changed timestamp, last_seq long, edit_count long, is_deleted boolean"
 
-    Each micro-batch writes its distinct events under its batch number (overwritten if the batch runs again); reading folds all of them, so an event that is delivered
-    again, in the same batch or a later one, counts once, as in the batch form. compact() puts what the batches wrote into one.
-    """
-    def upsert(batch: DataFrame, number: int) -> None:
-        batch.select("entity", "ts", "seq", "deleted").dropDuplicates(["entity", "seq", "ts"]).write.mode("overwrite").parquet(f"{sink}/batch={number}")
 
-    stream = shape(spark.readStream.schema(schema).option("maxFilesPerTrigger", 100).parquet(source))
-    stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return fold(spark.read.parquet(sink))
+class Coalescing(StatefulProcessor):
+    """One value per entity: first and last change, the last event's number, edits, and whether that event deletes. With ``keep_deleted_ms`` a timer in event time drops the value of an entity
+    that was deleted so long ago and hasn't changed since."""
+
+    def __init__(self, keep_deleted_ms: int | None = None):
+        self.keep_deleted_ms = keep_deleted_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.entity = handle.getValueState("entity", STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        first, last, seq, edits, deleted = self.entity.get() if self.entity.exists() else (None, None, None, 0, False)
+        for r in rows:
+            edits += 1
+            first = r["ts"] if first is None else min(first, r["ts"])
+            if last is None or (r["ts"], r["seq"]) > (last, seq):
+                last, seq, deleted = r["ts"], r["seq"], r["deleted"]
+        self.entity.update((first, last, seq, edits, deleted))
+        if self.keep_deleted_ms is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            if deleted:
+                self.handle.registerTimer(int(last.timestamp() * 1000) + self.keep_deleted_ms)
+        yield Row(entity=key[0], first_seen=first, last_changed=last, last_seq=seq, edit_count=edits, is_deleted=deleted)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        self.entity.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def coalesce_stream(spark: SparkSession, source: str, schema: str, shape, checkpoint: str, lateness: str = "30 days", keep_deleted_ms: int | None = None, changes: str | None = None, files: int = 100) -> None:
+    """Take all new files of a folder into the keyed state under checkpoint, which is the cursor too: a stream that is started again goes on behind the last file that it has finished.
+
+    State is a value per entity in RocksDB, whatever the number of events. An event that is delivered again (same entity, seq) within ``lateness`` of event time counts once; one that comes later
+    than that is left out, like every event before the watermark. With ``changes`` each round's new values are appended there as Parquet. The number of state partitions is the session's
+    spark.sql.shuffle.partitions at the first start.
+    """
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        events = shape(spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(source))
+        events = events.select("entity", F.col("ts").cast("timestamp").alias("ts"), "seq", "deleted").withWatermark("ts", lateness).dropDuplicatesWithinWatermark(["entity", "seq"])
+        kind = events.schema["entity"].dataType.simpleString()
+        values = events.groupBy("entity").transformWithState(Coalescing(keep_deleted_ms), f"entity {kind}, {STATE}", "append", "eventTime" if keep_deleted_ms is not None else "none")
+        out = values.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        (out.format("parquet").start(changes) if changes else out.format("noop").start()).awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset(PROVIDER)
+        else:
+            spark.conf.set(PROVIDER, before)
 
 
-def compact(spark: SparkSession, sink: str, out: str) -> None:
-    """Write the distinct events of a sink as one batch to a new folder, which then serves as the sink."""
-    spark.read.parquet(sink).select("entity", "ts", "seq", "deleted").dropDuplicates(["entity", "seq", "ts"]).write.parquet(f"{out}/batch=0")
+def state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The dirty set as it stands, a row per entity, read from the state store itself."""
+    values = spark.read.format("statestore").option("operatorId", "0").option("stateVarName", "entity").load(checkpoint)
+    return values.select("key.entity", "value.first_seen", "value.last_changed", "value.last_seq", "value.edit_count", "value.is_deleted")

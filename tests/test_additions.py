@@ -60,20 +60,6 @@ def test_fusion_without_one_list(spark):
         search.fuse(None, None, "id")
 
 
-def test_repeated_delivery_in_the_stream(spark, tmp_path):
-    rows = spark.createDataFrame([("e", 1, 1, False), ("e", 1, 1, False), ("e", 2, 2, True)], "entity string, ts int, seq long, deleted boolean")
-    at = str(tmp_path)
-    for i in range(2):  # the same events in two files and, by maxFilesPerTrigger, perhaps in two batches
-        rows.coalesce(1).write.mode("append").parquet(f"{at}/in")
-    state = dirty_set.stream_fold(spark, f"{at}/in", "entity string, ts int, seq long, deleted boolean", lambda d: d, f"{at}/c", f"{at}/s")
-    assert got(state) == got(dirty_set.fold(rows)) == [("e", 1, 2, 2, True)]
-    rows.coalesce(1).write.mode("append").parquet(f"{at}/in")
-    again = dirty_set.stream_fold(spark, f"{at}/in", "entity string, ts int, seq long, deleted boolean", lambda d: d, f"{at}/c", f"{at}/s")
-    assert got(again) == [("e", 1, 2, 2, True)]
-    dirty_set.compact(spark, f"{at}/s", f"{at}/t")
-    assert spark.read.parquet(f"{at}/t").count() == 2
-
-
 def test_short_screen(spark):
     day = lambda i: dt.date(2024, 1, 1) + dt.timedelta(days=i)
     rows = [("A", day(i), 1.5 + 0.5 * (i % 2), 1.0, 1.2 + 0.1 * (i % 2), 2e6) for i in range(40)] + [("B", day(i), 9.0, 8.0, 8.5, 10.0) for i in range(3)]

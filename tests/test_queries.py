@@ -6,9 +6,9 @@ import os
 import duckdb
 import pytest
 
-from tallyfold.plans import ledger_queries, oracles, page_queries, queries, reader_queries, register_queries
+from tallyfold.plans import ledger_queries, oracles, page_queries, queries, reader_queries, register_queries, store_queries
 
-_MORE = (register_queries, page_queries, ledger_queries, reader_queries)
+_MORE = (register_queries, page_queries, ledger_queries, reader_queries, store_queries)
 QUERIES = queries.QUERIES | {k: v for m in _MORE for k, v in m.QUERIES.items()}
 ORACLE_SQL = oracles.ORACLE_SQL | {k: v for m in _MORE for k, v in m.ORACLE_SQL.items()}
 
