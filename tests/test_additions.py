@@ -24,6 +24,10 @@ REFUSED = [
     "LOAD DATA INPATH '/tmp/x' INTO TABLE known", "MSCK REPAIR TABLE known", "REFRESH TABLE known", "COMMENT ON TABLE known IS 'x'", "DROP VIEW known", "SET a = b", "TRUNCATE TABLE known", "ADD JAR '/tmp/x.jar'",
     "INSERT INTO known VALUES (1)", "DESCRIBE known", "SHOW TABLES", "EXPLAIN SELECT 1", "SELECT * FROM (SELECT reflect('java.lang.System', 'lineSeparator') AS x)", "SELECT (SELECT reflect('java.lang.System', 'lineSeparator'))",
     "SELECT 1 WHERE EXISTS (SELECT * FROM text.`/etc/hostname`)", "WITH a AS (SELECT * FROM text.`/etc/hostname`) SELECT * FROM a", "SELECT x FROM known WHERE x IN (SELECT value FROM text.`/etc/hostname`)",
+    "SELECT IDENTIFIER('reflect')('java.lang.System', 'getProperty', 'java.version')", "SELECT IDENTIFIER('java_' || 'method')('java.lang.Math', 'abs', 1)", "SELECT * FROM IDENTIFIER('known')", "SELECT IDENTIFIER('x') FROM known",
+    "SELECT IDENTIFIER(reflect('java.lang.System', 'lineSeparator')) FROM known", "SELECT * FROM known LATERAL VIEW IDENTIFIER('explode')(array(1)) t AS y", "SELECT transform(array(1), y -> reflect('java.lang.System', 'lineSeparator'))",
+    "SELECT system.builtin.reflect('java.lang.System', 'lineSeparator')", "SELECT session_user()", "SELECT input_file_name() FROM known", "SELECT from_csv('1', 'a INT')", "SELECT sum(x) FILTER (WHERE reflect('a', 'b') = '') FROM known",
+    "SELECT x FROM known ORDER BY reflect('java.lang.System', 'lineSeparator')", "SELECT rank() OVER (ORDER BY java_method('java.lang.System', 'lineSeparator')) FROM known",
     "FROM known INSERT OVERWRITE DIRECTORY '/tmp/x' USING csv SELECT x", "SELECT * FROM python_worker_logs()", "SELECT * FROM nowhere", "BEGIN SELECT 1; END",
 ]
 
@@ -43,6 +47,8 @@ def test_guard_lets_queries_through(spark):
         "SELECT x FROM known ORDER BY x DESC LIMIT 1": [(2,)], "WITH a AS (SELECT x FROM known WHERE x > :least) SELECT count(*) FROM a": [(2,)],
         "SELECT a.x FROM known a JOIN known b ON a.x = b.x + 1 WHERE a.x IN (SELECT max(x) FROM known)": [(2,)], "SELECT sum(x) OVER () AS s FROM known UNION SELECT 7": [(3,), (7,)],
         "SELECT x, count(*) FROM known GROUP BY x HAVING x = 0": [(0, 1)], "VALUES (1), (2)": [(1,), (2,)], "SELECT explode(array(1, 2))": [(1,), (2,)], "SELECT id FROM range(2)": [(0,), (1,)],
+        "SELECT CASE WHEN x BETWEEN 1 AND 2 THEN upper('a' || x) ELSE NULL END AS c FROM known WHERE x IS NOT NULL AND x NOT IN (7)": [(None,), ("A1",), ("A2",)], "SELECT transform(array(x), y -> y + 1)[0] FROM known": [(1,), (2,), (3,)],
+        "SELECT x % 2 AS g, count(DISTINCT x), sum(x) FILTER (WHERE x > 0) FROM known GROUP BY ROLLUP (x % 2)": [(0, 2, 2), (1, 1, 1), (None, 3, 3)], "SELECT year(DATE '2020-01-01'), CAST('1' AS INT), extract(MONTH FROM DATE '2020-05-01'), coalesce(NULL, -1)": [(2020, 1, 5, -1)],
         "SELECT x FROM known PIVOT (count(x) FOR x IN (0, 1))": None, "SELECT x FROM known EXCEPT SELECT 1": [(0,), (2,)], "SELECT k.x, y FROM known k LATERAL VIEW explode(array(x)) t AS y WHERE x = 1": [(1, 1)],
     }.items():
         if want is not None:
