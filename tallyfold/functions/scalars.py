@@ -89,3 +89,22 @@ def uuid5(namespace: str, name: Column) -> Column:
 def cosine(a: Column, b: Column) -> Column:
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
     return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+
+
+#: Days of a named price window; fixed values.
+WINDOW_DAYS = {"1d": 1, "5d": 5, "1mo": 30, "3mo": 90, "6mo": 180, "1y": 365, "2y": 730, "3y": 1095, "5y": 1825, "10y": 3650, "max": 36500}
+
+
+def window_start(name: str, as_of: Column) -> Column:
+    """The first day of a window that ends on a day: a name of WINDOW_DAYS, or any number with y (365 days each), mo (30) or d; anything else is a year."""
+    days = WINDOW_DAYS.get(name)
+    if days is None:
+        number, unit = next(((name[: -len(u)], n) for u, n in (("mo", 30), ("y", 365), ("d", 1)) if name.endswith(u)), ("", 0))
+        days = int(number) * unit if number.lstrip("-").isdigit() else 365
+    return F.date_sub(as_of, days)
+
+
+def kept_period(p: Column, start_year: int | None) -> Column:
+    """Whether a period counts: one that can be read and, with a start year, doesn't begin before it."""
+    start = period_start(p)
+    return start.isNotNull() if start_year is None else F.coalesce(F.year(start) >= start_year, F.lit(False))

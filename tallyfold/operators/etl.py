@@ -25,10 +25,17 @@ def replace_entities(stored: DataFrame, incoming: DataFrame, gone: DataFrame | N
     return kept.unionByName(new.select(*stored.columns))
 
 
-def entity_triples(rows: DataFrame, entity: str, languages: list[str]) -> DataFrame:
-    """rows(subject, predicate, object, language): those about the entity itself, in wanted languages or none, without places on other globes."""
-    lang = F.col("language")
-    return rows.filter((F.col("subject") == entity) & (lang.isNull() | lang.isin(languages)) & ~F.coalesce(F.col("object").startswith("<http"), F.lit(False)))
+#: The type of literals that are places; a fixed value.
+WKT = "http://www.opengis.net/ont/geosparql#wktLiteral"
+
+
+def entity_triples(rows: DataFrame, entity: str | F.Column, languages: list[str]) -> DataFrame:
+    """rows(subject, predicate, object, language, datatype): those about the entity (one, or a column with each row's own) itself, in wanted languages, however they are written, or none. Of places
+    those on other globes go, whose text begins with the globe's address; other objects may begin as they like."""
+    wanted = entity if isinstance(entity, F.Column) else F.lit(entity)
+    lang = F.lower("language")
+    elsewhere = (F.col("datatype") == WKT) & F.col("object").startswith("<")
+    return rows.filter((F.col("subject") == wanted) & (lang.isNull() | lang.isin([x.lower() for x in languages])) & ~F.coalesce(elsewhere, F.lit(False)))
 
 
 def closure(works: DataFrame, *links: tuple[DataFrame, str, str]) -> DataFrame:

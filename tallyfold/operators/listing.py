@@ -37,7 +37,8 @@ def in_region(df: DataFrame, prefix: str | None, region: str = "nuts", country:
 
 
 def page(df: DataFrame, order: list[Column], limit: int, offset: int = 0, most: int = 200) -> DataFrame:
-    """Rows offset + 1 to offset + limit in an order that the caller makes total, with has_more: one row more is read to tell. A top-k per task, no global sort."""
+    """Rows offset + 1 to offset + limit in an order that the caller makes total, with has_more: one row more is read to tell. A page has at most ``most`` rows, as with pages of a
+    service: a larger limit is that limit, and has_more then says that there are more. A top-k per task, no global sort."""
     limit = min(limit, most)
     place = "_place"
     top = df.orderBy(*order).limit(offset + limit + 1).withColumn(place, F.row_number().over(Window.orderBy(*order)))
@@ -86,3 +87,19 @@ def first_of(df: DataFrame, key: str, exact: DataFrame, fallback: DataFrame, fal
     b = fallback.select(F.col(fallback_key).alias("_f"), F.col(out).alias("_b")).distinct()
     both = df.join(a, F.col(key).eqNullSafe(F.col("_k")), "left").join(b, F.col(fallback_key) == F.col("_f"), "left")
     return both.withColumns({out: F.coalesce("_a", "_b"), "via": F.when(F.col("_a").isNotNull(), "key").when(F.col("_b").isNotNull(), "fallback")}).drop("_k", "_a", "_f", "_b")
+
+
+#: How a version 5 or any other UUID begins.
+UUID = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-"
+
+
+def by_identity(wanted: DataFrame, listings: DataFrame, rows: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
+    """wanted(id): rows of the company that each id names, with id and source. An id that begins like a UUID is the company's own, any other one a ticker, looked up in listings(ticker, company); tickers
+    whose company has no rows take those of fallback(ticker, ...), whose other columns are those of rows(company, ...) without company."""
+    own = wanted.filter(F.col("id").rlike(UUID)).select("id", F.col("id").alias("company"))
+    listed = wanted.filter(~F.col("id").rlike(UUID)).join(listings.select(F.col("ticker").alias("id"), "company").distinct(), "id")
+    found = own.unionByName(listed.select("id", "company")).join(rows, "company").withColumn("source", F.lit("store"))
+    if fallback is None:
+        return found
+    missing = wanted.filter(~F.col("id").rlike(UUID)).join(found.select("id").distinct(), "id", "left_anti")
+    return found.unionByName(missing.join(fallback.withColumnRenamed("ticker", "id"), "id").withColumn("source", F.lit("filings")), allowMissingColumns=True)

@@ -273,13 +273,16 @@ def replaced_entities(spark: SparkSession, sf: str) -> DataFrame:
     return got.groupBy("predicate").agg(F.count("*").alias("n"), F.count_if(F.col("object") == "new").alias("new"))
 
 
-@query("""SELECT event_type, count(*) AS n FROM events WHERE user_id % 50 = 7 AND coalesce(nullif(['de', 'fr', 'xx', ''][event_id % 4 + 1], ''), 'de') IN ('de', 'fr') AND event_id % 5 > 0 GROUP BY 1""")
+@query("""SELECT user_id, event_type, count(*) AS n FROM events WHERE coalesce(nullif(['de', 'fr', 'xx', ''][event_id % 4 + 1], ''), 'de') IN ('de', 'fr') AND NOT (event_id % 5 = 0 AND event_id % 3 = 0) AND event_id % 7 > 0 GROUP BY ALL""")
 def entity_statements(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as statements about users in languages; those on another globe and in other languages go."""
-    e = table(spark, sf, "events").filter("user_id % 50 = 7")
-    lang = F.nullif(F.element_at(F.array(*map(F.lit, ["de", "fr", "xx", ""])), (F.col("event_id") % 4 + 1).cast("int")), F.lit(""))
-    rows = e.select(F.lit("Q7").alias("subject"), F.col("event_type").alias("predicate"), F.when(F.col("event_id") % 5 == 0, "<http://globe/Q405> Point(1 2)").otherwise("x").alias("object"), lang.alias("language"))
-    return etl.entity_triples(rows, "Q7", ["de", "fr"]).groupBy(F.col("predicate").alias("event_type")).agg(F.count("*").alias("n"))
+    """Events as statements about users in languages: those about others, in other languages and about places on another globe go; an address that is no place stays."""
+    e = table(spark, sf, "events")
+    k = F.col("event_id")
+    user = F.concat(F.lit("Q"), "user_id")
+    lang = F.nullif(F.element_at(F.array(*map(F.lit, ["De", "FR", "xx", ""])), (k % 4 + 1).cast("int")), F.lit(""))
+    rows = e.select("user_id", F.when(k % 7 == 0, "Q0other").otherwise(user).alias("subject"), F.col("event_type").alias("predicate"), F.when(k % 5 == 0, "<http://globe/Q405> Point(1 2)").otherwise("x").alias("object"), lang.alias("language"),
+                    F.when(k % 3 == 0, etl.WKT).alias("datatype"))
+    return etl.entity_triples(rows, user, ["de", "fr"]).groupBy("user_id", F.col("predicate").alias("event_type")).agg(F.count("*").alias("n"))
 
 
 _MARKS = "m AS (SELECT event_type AS source, max(ts) FILTER (event_id % 3 = 0) AS mark FROM events WHERE event_type <> 'error' GROUP BY 1)"
@@ -366,16 +369,20 @@ def _xml(df: DataFrame, path: str, row: str) -> str:
     return path
 
 
-@query(f"""WITH {O.OBSERVATIONS} SELECT geo, year::INT AS year, slice_key, value FROM observations WHERE dataset = '1-URGENT' AND value IS NOT NULL""")
+@query(f"""WITH {O.OBSERVATIONS} SELECT dataset, geo, year::INT AS year, slice_key, value FROM observations WHERE value IS NOT NULL""")
 def read_cube(spark: SparkSession, sf: str) -> DataFrame:
-    """Observations written as a wide statistics file (periods as columns, ``:`` for what is missing) and read back."""
-    o = observations(spark, sf).filter("dataset = '1-URGENT'")
-    years = [r[0] for r in o.select("year").distinct().orderBy("year").limit(100).collect()]
-    wide = o.groupBy(F.concat_ws(",", F.col("dims")["flag"], F.col("dims")["status"], "geo").alias("key")).pivot("year", years).agg(F.first("value"))
-    head = "flag,status,geo\\TIME_PERIOD"
-    cells = wide.select(F.col("key").alias(head), *(F.when(F.col(f"`{y}`").isNotNull(), F.format_string("%.4f p", F.col(f"`{y}`"))).otherwise(":").alias(str(y)) for y in years))
-    got = readers.cube_tsv(spark, _csv(cells, scratch(spark, "cube"), "\t"), "1-URGENT")
-    return got.select("geo", F.year("time").alias("year"), "slice_key", "value")
+    """Each dataset's observations written as a wide statistics file (periods as columns, ``:`` for what is missing) and read back, whatever the number of periods."""
+    every, out = observations(spark, sf), None
+    years = [r[0] for r in every.select("year").distinct().orderBy("year").collect()]  # a file's header: it is one line
+    for (dataset,) in every.select("dataset").distinct().orderBy("dataset").collect():
+        o = every.filter(F.col("dataset") == dataset)
+        wide = o.groupBy(F.concat_ws(",", F.col("dims")["flag"], F.col("dims")["status"], "geo").alias("key")).pivot("year", years).agg(F.first("value"))
+        head = "flag,status,geo\\TIME_PERIOD"
+        cells = wide.select(F.col("key").alias(head), *(F.when(F.col(f"`{y}`").isNotNull(), F.format_string("%.4f p", F.col(f"`{y}`"))).otherwise(":").alias(str(y)) for y in years))
+        got = readers.cube_tsv(spark, _csv(cells, scratch(spark, "cube"), "\t"), dataset)
+        part = got.select(F.lit(dataset).alias("dataset"), "geo", F.year("time").alias("year"), "slice_key", "value")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query("""WITH g AS (SELECT 'AA' AS code, 'top' AS name UNION ALL SELECT 'AA' || chr((65 + n_nationkey)::INT), n_name FROM nation) SELECT code, name, length(code) - 2 AS level, CASE WHEN length(code) > 2 THEN substr(code, 1, length(code) - 1) END AS parent FROM g""")
@@ -503,12 +510,13 @@ def replaced_partitions(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {O.FILINGS} SELECT company::BIGINT AS company, year::VARCHAR AS year, CASE WHEN shares = floor(shares) THEN shares::BIGINT::VARCHAR END AS shares FROM filings WHERE company <= 20""")
+@query(f"""WITH {O.FILINGS} SELECT c_nationkey AS nation, year::VARCHAR AS year, company::VARCHAR AS company, CASE WHEN shares = floor(shares) THEN shares::BIGINT::VARCHAR END AS shares FROM filings JOIN customer ON company = c_custkey""")
 def written_spreadsheets(spark: SparkSession, sf: str) -> DataFrame:
-    """The first companies' filings as spreadsheets, read back as text."""
+    """All companies' filings as a spreadsheet for each nation, read back as text."""
     path = scratch(spark, "sheets")
-    sinks.spreadsheet(filings(spark, sf).filter("company <= 20"), path, "company", ["shares"])
-    return spark.read.option("header", True).schema("year string, shares string, company long").csv(path).select("company", "year", "shares")
+    nations = table(spark, sf, "customer").select(F.col("c_custkey").alias("company"), F.col("c_nationkey").alias("nation"))
+    sinks.spreadsheet(filings(spark, sf).join(nations, "company"), path, "nation", ["company", "shares"])
+    return spark.read.option("header", True).schema("year string, company string, shares string, nation int").csv(path).select("nation", "year", "company", "shares")
 
 
 @query("""SELECT s_suppkey::VARCHAR AS id, ['de', 'en', 'fr'][(s_suppkey % 3 + 1)::INT] AS source, array_to_string(list_filter(['de', 'en', 'fr'], lambda l: l <> ['de', 'en', 'fr'][(s_suppkey % 3 + 1)::INT]), ',') AS targets FROM supplier""")

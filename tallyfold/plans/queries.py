@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyfold.functions import scalars as S
-from tallyfold.operators import finance, graph, procurement, quality, resolve, search, stats
+from tallyfold.operators import finance, graph, procurement, quality, resolve, search, stats, text_index
 from tallyfold.plans import adhoc
 from tallyfold.plans.views import filings, notices, observations, prices, regions, scratch, table
 from tallyfold.streaming import dirty_set
@@ -381,7 +381,10 @@ def resolve_cascade(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def lexical_search(spark: SparkSession, sf: str) -> DataFrame:
-    return search.lexical(table(spark, sf, "documents"), ["the", "of", "and"])
+    """Documents with all three words, from an index that is written once and read by its words' buckets."""
+    path = scratch(spark, "words")
+    text_index.write_index(table(spark, sf, "documents"), path, ["text"], "doc_id")
+    return text_index.find(spark, path, ["the", "of", "and"], 1).withColumnRenamed("key", "doc_id")
 
 
 @query

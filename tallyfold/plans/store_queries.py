@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.functions import scalars as S
-from tallyfold.operators import catalogue, cube_store, matching, money, quality, routes, stats, text_index
+from tallyfold.operators import catalogue, cube_store, listing, money, procurement, quality, regional, routes, stats, text_index
 from tallyfold.plans import oracles as O
 from tallyfold.plans.ledger_queries import ORACLE_SQL as LEDGER_SQL
 from tallyfold.plans.ledger_queries import QUERIES as LEDGER
@@ -362,3 +362,86 @@ def gated_graphs(spark: SparkSession, sf: str) -> DataFrame:
     refused = artifacts.replace_graph(triples(s.filter("s_nationkey % 2 = 1"), F.col("s_suppkey") % 10 == 1), path, "even", *rule)
     kept = spark.read.schema("subject string, predicate string, object string, graph string").parquet(path).groupBy("graph", "predicate").agg(F.count("*").alias("n"))
     return kept.unionByName(refused.groupBy(F.lit("refused").alias("graph"), F.col("reason").alias("predicate")).agg(F.count("*").alias("n")))
+
+
+# Regions, identities and periods -----------------------------------------------------------------------------------
+
+_PLACED = O.CONTRACTS + """, located AS (SELECT s_suppkey AS company, 'R' || n_regionkey || lpad(n_nationkey::VARCHAR, 2, '0') AS code FROM supplier JOIN nation ON s_nationkey = n_nationkey UNION ALL SELECT s_suppkey, 'R0' || lpad((s_suppkey % 5)::VARCHAR, 2, '0') FROM supplier WHERE s_suppkey % 10 = 0),
+  codes AS (SELECT 'R' || r_regionkey AS code FROM region UNION SELECT 'R' || n_regionkey || lpad(n_nationkey::VARCHAR, 2, '0') FROM nation UNION SELECT 'R9')"""
+
+
+def _placed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Suppliers at their nations, every tenth in a second place; contracts; the regions with one that nobody is in."""
+    s, n = table(spark, sf, "supplier"), table(spark, sf, "nation")
+    code = F.concat(F.lit("R"), F.col("n_regionkey").cast("string"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
+    second = s.filter("s_suppkey % 10 = 0").select(F.col("s_suppkey").alias("company"), F.concat(F.lit("R0"), F.lpad((F.col("s_suppkey") % 5).cast("string"), 2, "0")).alias("code"))
+    located = s.join(n, s.s_nationkey == n.n_nationkey).select(F.col("s_suppkey").alias("company"), code.alias("code")).unionByName(second)
+    c = procurement.collapse_modifications(notices(spark, sf)).select(F.col("contract_key").alias("contract"), "company", "authority", F.col("current_value").alias("value"), "is_current", "low_confidence", "nation")
+    return located, c, regions(spark, sf).select("code").unionByName(spark.createDataFrame([("R9",)], "code string"))
+
+
+def _region_sql(name: str, level: int, value: str, scope: str = "", joined: bool = True) -> str:
+    source = "located l JOIN contracts c ON l.company = c.company" if joined else "located l"
+    return f"""SELECT '{name}' AS metric, w.code, coalesce(v.value, 0)::DOUBLE AS value FROM (SELECT code FROM codes WHERE length(code) = {level + 2} AND starts_with(code, '{scope}')) w
+      LEFT JOIN (SELECT substr(l.code, 1, {level + 2}) AS code, {value} AS value FROM {source} WHERE length(l.code) >= {level + 2} AND starts_with(l.code, '{scope}') GROUP BY 1) v ON v.code = w.code"""
+
+
+_MONEY_SUM = "round(sum(CASE WHEN is_current AND NOT low_confidence THEN current_value ELSE 0 END), 0)"
+
+
+@query(f"WITH {_PLACED} " + " UNION ALL ".join([
+    _region_sql("companies 0", 0, "count(DISTINCT l.company)", joined=False), _region_sql("companies 2 in R1", 2, "count(DISTINCT l.company)", "R1", joined=False),
+    _region_sql("contracts 2", 2, "count(DISTINCT CASE WHEN is_current THEN contract_key END)"), _region_sql("contracts_eur 0", 0, _MONEY_SUM), _region_sql("contracts_eur 2 in R0", 2, _MONEY_SUM, "R0")]))
+def region_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Three metrics on two levels, with and without a scope; regions without anything stay with 0."""
+    located, c, codes = _placed(spark, sf)
+    out = None
+    for metric, level, scope in (("companies", 0, None), ("companies", 2, "R1"), ("contracts", 2, None), ("contracts_eur", 0, None), ("contracts_eur", 2, "R0")):
+        name = f"{metric} {level}" + (f" in {scope}" if scope else "")
+        part = regional.by_region(located, c, codes, metric, level, scope).select(F.lit(name).alias("metric"), "code", S.rounded("value", 0).alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query(f"""WITH {_PLACED}, k AS (SELECT 'R' || n_regionkey AS code, n_nationkey FROM nation), f AS (SELECT min(company) AS company, min(authority) AS authority FROM contracts)
+  SELECT 'company' AS kind, k.code, round(sum(CASE WHEN is_current AND NOT low_confidence THEN current_value ELSE 0 END), 0)::DOUBLE AS value FROM contracts c JOIN k ON c.nation = k.n_nationkey WHERE c.company = (SELECT company FROM f) GROUP BY ALL
+  UNION ALL SELECT 'authority', l.code, count(DISTINCT CASE WHEN is_current THEN contract_key END)::DOUBLE FROM contracts c JOIN located l ON c.company = l.company WHERE c.authority = (SELECT authority FROM f) GROUP BY ALL""")
+def entity_regions(spark: SparkSession, sf: str) -> DataFrame:
+    """The first supplier's money by its customers' region, and the first customer's contracts by where its suppliers are."""
+    located, c, codes = _placed(spark, sf)
+    n = table(spark, sf, "nation")
+    countries = c.select("authority", "nation").distinct().join(n, F.col("nation") == n.n_nationkey).select("authority", F.concat(F.lit("R"), "n_regionkey").alias("code")).distinct()
+    first = c.agg(F.min("company").alias("company"), F.min("authority").alias("authority")).first()
+    own = regional.of_entity(c, located, countries, codes, "contracts_eur", 0, company=first["company"]).select(F.lit("company").alias("kind"), "code", S.rounded("value", 0).alias("value"))
+    return own.unionByName(regional.of_entity(c, located, countries, codes, "contracts", 2, authority=first["authority"]).select(F.lit("authority").alias("kind"), "code", "value"))
+
+
+@query(f"""WITH {O.FILINGS}, w AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN lpad(c_custkey::VARCHAR, 8, '0') || '-0000-5' ELSE 'T' || (c_custkey // 4) END AS id, c_custkey FROM customer WHERE c_custkey % 5 < 3),
+  i AS (SELECT DISTINCT id FROM w), r AS (SELECT id, CASE WHEN id LIKE 'T%' THEN substr(id, 2)::BIGINT ELSE substr(id, 1, 8)::BIGINT END AS company FROM i)
+  SELECT id, f.year::INT AS year, round(revenue, 2) AS revenue, 'store' AS source FROM r JOIN filings f USING (company) UNION ALL SELECT id, 0, 1.0::DOUBLE, 'filings' FROM r WHERE id LIKE 'T%' AND company NOT IN (SELECT company FROM filings)""")
+def filings_by_identity(spark: SparkSession, sf: str) -> DataFrame:
+    """Filings of companies asked for by UUID or by ticker; tickers of companies without any take a fallback's."""
+    from tallyfold.plans.views import filings
+
+    uuid = lambda c: F.concat(F.lpad(c.cast("string"), 8, "0"), F.lit("-0000-5"))
+    k = F.col("c_custkey")
+    c = table(spark, sf, "customer")
+    wanted = c.filter("c_custkey % 5 < 3").select(F.when(k % 2 == 0, uuid(k)).otherwise(F.concat(F.lit("T"), F.expr("c_custkey div 4"))).alias("id")).distinct()
+    listings = c.select(F.concat(F.lit("T"), k).alias("ticker"), uuid(k).alias("company")).unionByName(spark.createDataFrame([("T0", "00000000-0000-5")], "ticker string, company string")).distinct()
+    rows = filings(spark, sf).select(uuid(F.col("company")).alias("company"), F.col("year").cast("int").alias("year"), S.rounded("revenue", 2).alias("revenue"))
+    fallback = listings.select("ticker", F.lit(0).alias("year"), F.lit(1.0).alias("revenue"))
+    return listing.by_identity(wanted, listings, rows, fallback).select("id", "year", "revenue", "source")
+
+
+@query("""WITH p AS (SELECT CASE o_orderkey % 4 WHEN 0 THEN year(o_orderdate)::VARCHAR WHEN 1 THEN strftime(o_orderdate, '%Y-%m') WHEN 2 THEN year(o_orderdate) || '-Q' || quarter(o_orderdate) ELSE 'x' END AS period, year(o_orderdate) AS y, o_orderkey % 4 < 3 AS readable, o_orderdate::DATE AS day FROM orders), l AS (SELECT max(day) AS last FROM p)
+  SELECT period, count(*) AS n, count(*) FILTER (day >= last - 180) AS half, count(*) FILTER (day >= last - 730) AS two_years, count(*) FILTER (day >= last - 365) AS odd FROM p, l WHERE readable AND y >= 1995 GROUP BY 1""")
+def windowed_periods(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders by period from 1995 on, unreadable periods aside, and how many are in named windows before the last day."""
+    o = table(spark, sf, "orders")
+    d, k = F.to_date("o_orderdate"), F.col("o_orderkey") % 4
+    y = F.year("o_orderdate").cast("string")
+    p = F.when(k == 0, y).when(k == 1, F.date_format("o_orderdate", "yyyy-MM")).when(k == 2, F.concat(y, F.lit("-Q"), F.quarter("o_orderdate").cast("string"))).otherwise("x")
+    last = F.lit(o.agg(F.max(d)).first()[0])
+    rows = o.select(p.alias("period"), d.alias("day")).filter(S.kept_period(F.col("period"), 1995))
+    within = lambda name: F.count_if(F.col("day") >= S.window_start(name, last))
+    return rows.groupBy("period").agg(F.count("*").alias("n"), within("6mo").alias("half"), within("2y").alias("two_years"), within("soon").alias("odd"))
