@@ -22,9 +22,9 @@ import hashlib
 import json
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, pairwise, product
+from itertools import chain, pairwise
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -44,22 +44,53 @@ KEYS, SLICE, HELD = 1 << 16, 1 << 21, 1 << 20
 #: Rows of a bucket that one task turns into a vector.
 PART = 1 << 20
 #: Aligned pieces that a worker remembers.
-REMEMBERED = 150_000
-#: Bits of an id of B in a pair.
-B_BITS = 24
+REMEMBERED = 200_000
+#: Bits of an id of B in a pair; links of a group that are written out one by one.
+B_BITS, LARGE = 24, 4_096
+#: How byte-level tokenizers of this kind cut a text; a fixed value, as the tokenizers library has it.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _TAILS = ".,;:!?*%$#&|-()[]"
 _LINE = rf"[^\W\d_]+[{re.escape(_TAILS)}]*"
 _WORDS = re.compile(rf"{_LINE}(?:\n{_LINE})*")
 _UNITS = re.compile(rf"[^\W\d_]+|[{re.escape(_TAILS)}]+|\n")
 
 
-class Aligned:
-    """What a piece of text adds to its document; it is valid if its tokens spell it. pairs: distinct linked ids (A << B_BITS | B), each met so many times."""
+class Aligned(NamedTuple):
+    """What a piece of text adds to its document, as bytes: sums (64-bit: tokens of A, of B, groups, links), distinct linked pairs (64-bit, A << B_BITS | B), how often each is met
+    (32-bit), and the groups in writing. None of it if the tokens don't spell the piece."""
 
-    __slots__ = ("valid", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times")
+    valid: bool = False
+    sums: bytes = bytes(32)
+    pairs: bytes = b""
+    times: bytes = b""
+    groups: str = ""
 
-    def __init__(self, valid: bool, n_a: int = 0, n_b: int = 0, n_groups: int = 0, n_links: int = 0, groups: str = "", pairs: list[int] | tuple = (), times: list[int] | tuple = ()):
-        self.valid, self.n_a, self.n_b, self.n_groups, self.n_links, self.groups, self.pairs, self.times = valid, n_a, n_b, n_groups, n_links, groups, pairs, times
+
+class Tokens:
+    """Tokens of several texts one after the other, with their bytes."""
+
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray, raw: np.ndarray, starts: np.ndarray):
+        """raw and starts: the bytes of all ids, and where each id's begin."""
+        self.ids, self.sizes = ids, sizes
+        self.lengths = (starts[1:] - starts[:-1])[ids]
+        self.ends = np.cumsum(self.lengths)
+        self.owner = np.repeat(np.arange(len(sizes)), sizes)
+        self.spelled = raw[np.repeat(starts[ids] - (self.ends - self.lengths), self.lengths) + np.arange(self.ends[-1] if len(ids) else 0)]
+        self.totals = np.bincount(self.owner, weights=self.lengths, minlength=len(sizes)).astype(np.int64)
+
+    def wrong(self, texts: list[bytes]) -> set[int]:
+        """Texts that these tokens don't spell."""
+        wanted = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+        if (self.totals == wanted).all():
+            at = np.flatnonzero(self.spelled != np.frombuffer(b"".join(texts), dtype=np.uint8))
+            return set(np.searchsorted(np.cumsum(wanted), at, side="right").tolist())
+        ends = np.cumsum(self.totals)
+        return {i for i, t in enumerate(texts) if self.spelled[ends[i] - self.totals[i] : ends[i]].tobytes() != t}
+
+    def without(self, gone: set[int], raw: np.ndarray, starts: np.ndarray) -> Tokens:
+        keep = np.ones(len(self.sizes), dtype=bool)
+        keep[list(gone)] = False
+        return Tokens(self.ids[keep[self.owner]], self.sizes[keep], raw, starts)
 
 
 class Aligner:
@@ -77,89 +108,124 @@ class Aligner:
         self.b = SentencePieceProcessor(model_file=b_path)
         back = {c: bytes([b]) for b, c in enumerate(byte_alphabet())}
         names = self.a.get_vocab(with_added_tokens=True)
-        self.a_bytes = [b""] * (max(names.values()) + 1)
+        a_bytes = [b""] * (max(names.values()) + 1)
         for token, i in names.items():
-            self.a_bytes[i] = b"".join(back[c] for c in token) if all(c in back for c in token) else token.encode()
+            a_bytes[i] = b"".join(back[c] for c in token) if all(c in back for c in token) else token.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        own = [p for i, p in enumerate(pieces) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))]
+        b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.of_a, self.of_b = ((np.frombuffer(b"".join(x), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in x])])) for x in (a_bytes, b_bytes))
+        self.vocabulary = len(a_bytes)
+        written = lambda n, sign: np.array([f"{i}{sign}" for i in range(n)], dtype=object)
+        self.signs_a = [written(len(a_bytes), s) for s in ",|"]
+        self.signs_b = [written(len(b_bytes), s) for s in (",", ";", "\n")]
         # Where no token reaches across, a text may be cut.
-        kinds = spec["pre_tokenizer"] or {}
-        self.cuts = not spec["normalizer"] and kinds.get("type") == "ByteLevel" and kinds.get("use_regex") and not kinds.get("add_prefix_space")
+        own = [p for i, p in enumerate(pieces) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))]
+        kinds, model = spec["pre_tokenizer"] or {}, spec["model"]
         beside = lambda x, y: x.isalpha() and y in _TAILS
+        self.cuts = not spec["normalizer"] and kinds.get("type") == "ByteLevel" and kinds.get("use_regex") and not kinds.get("add_prefix_space")
         self.cuts = self.cuts and not any("▁" in p.lstrip("▁") or "\n" in p or any(beside(x, y) or beside(y, x) for x, y in pairwise(p)) for p in own)
         self.cuts = self.cuts and self.b.encode("a  b") == [*self.b.encode("a "), self.b.piece_to_id("▁b")]
-        # Two generations: what isn't met again goes with the older one.
-        self.known: dict[tuple[bool, str], Aligned] = {}
-        self.older: dict[tuple[bool, str], Aligned] = {}
-
-    def align(self, text: bytes, a: list[int], b: list[int]) -> Aligned:
-        """Tokens a and b of the same bytes."""
-        a_text, b_text = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_text) != text or b"".join(b_text) != text:
-            return Aligned(False)
-        a_size, b_size = list(map(len, a_text)), list(map(len, b_text))
-        groups, met, links = [], {}, 0
-        i = j = at_a = at_b = first_i = first_j = 0
-        while i < len(a):
-            # Whoever is behind takes its next token; where both end alike, a group ends.
-            if at_a <= at_b:
-                at_a += a_size[i]
-                i += 1
-            while at_b < at_a:
-                at_b += b_size[j]
-                j += 1
-            if at_a == at_b:
-                x, y = a[first_i:i], b[first_j:j]
-                groups.append(f"{','.join(map(str, x))}|{','.join(map(str, y))}")
-                n = (i - first_i) * (j - first_j)
-                links += n
-                if n > 64:
-                    for (p, k), (q, m) in product(Counter(x).items(), Counter(y).items()):
-                        met[p << B_BITS | q] = met.get(p << B_BITS | q, 0) + k * m
-                else:
-                    for p in x:
-                        p <<= B_BITS
-                        for q in y:
-                            met[p | q] = met.get(p | q, 0) + 1
-                first_i, first_j = i, j
-        return Aligned(True, len(a), len(b), len(groups), links, ";".join(groups), list(met), list(met.values()))
+        # A vocabulary whose ids rank the merges can be asked in bulk by ranks.
+        self.ranked = None
+        merges = [m if isinstance(m, str) else " ".join(m) for m in model["merges"]]
+        if self.cuts and [model["vocab"].get(m.replace(" ", "")) for m in merges] == list(range(256, 256 + len(merges))):
+            import tiktoken
+
+            ranks = {a_bytes[i]: i for i in model["vocab"].values() if i < 256 + len(merges)}
+            self.ranked = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        # Two generations of pieces: what isn't met again goes with the older one.
+        self.known: dict[str, Aligned] = {}
+        self.older: dict[str, Aligned] = {}
+
+    def align(self, texts: list[bytes], a: Tokens, b: Tokens) -> list[Aligned]:
+        """The texts' alignments."""
+        if gone := a.wrong(texts) | b.wrong(texts):
+            left = iter(self.align([t for i, t in enumerate(texts) if i not in gone], a.without(gone, *self.of_a), b.without(gone, *self.of_b)))
+            return [Aligned() if i in gone else next(left) for i in range(len(texts))]
+        if not texts:
+            return []
+        in_a, in_b = (np.isin(x.ends, y.ends, assume_unique=True) for x, y in ((a, b), (b, a)))
+        of_a, of_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b  # the group of each token
+        n, m = np.bincount(of_a), np.bincount(of_b)
+        first_a, first_b = np.cumsum(n) - n, np.cumsum(m) - m
+        unit = a.owner[in_a]
+        # Every token of A with all of B in its group; large groups by their distinct ids.
+        times = np.where((n * m)[of_a] <= LARGE, m[of_a], 0)
+        at = np.repeat(first_b[of_a] - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
+        keys = np.repeat(a.owner << 41 | a.ids << B_BITS, times) | b.ids[at]
+        keys, met = np.unique(keys, return_counts=True)
+        for g in np.flatnonzero(n * m > LARGE).tolist():
+            (p, k), (q, l) = (np.unique(x.ids[f[g] : f[g] + c[g]], return_counts=True) for x, f, c in ((a, first_a, n), (b, first_b, m)))
+            keys = np.append(keys, ((unit[g] << 41 | p << B_BITS)[:, None] | q[None, :]).ravel())
+            met = np.append(met, (k[:, None] * l[None, :]).ravel())
+            keys, place = np.unique(keys, return_inverse=True)
+            met = np.bincount(place, weights=met).astype(np.int64)
+        count = lambda owner, weights=None: np.bincount(owner, weights=weights, minlength=len(texts)).astype(np.int64)
+        sums = np.stack([count(a.owner), count(b.owner), count(unit), count(unit, n * m)], axis=1)
+        # In writing, A's tokens of a group stand before B's.
+        parts = np.empty(len(a.ids) + len(b.ids), dtype=object)
+        parts[np.arange(len(a.ids)) + first_b[of_a]] = np.where(in_a, self.signs_a[1][a.ids], self.signs_a[0][a.ids])
+        last = np.append(b.owner[1:] != b.owner[:-1], True)
+        parts[np.arange(len(b.ids)) + (first_a + n)[of_b]] = np.where(last, self.signs_b[2][b.ids], np.where(in_b, self.signs_b[1][b.ids], self.signs_b[0][b.ids]))
+        written = "".join(parts.tolist()).split("\n")
+        bounds = np.searchsorted(keys >> 41, np.arange(len(texts) + 1)).tolist()
+        pairs, raw_times, raw_sums = (keys & ((1 << 41) - 1)).tobytes(), met.astype("<i4").tobytes(), sums.tobytes()
+        return [Aligned(True, raw_sums[32 * i : 32 * i + 32], pairs[8 * x : 8 * y], raw_times[4 * x : 4 * y], written[i]) for i, (x, y) in enumerate(pairwise(bounds))]
+
+    def tokens(self, lists: list[list[int]], of: tuple[np.ndarray, np.ndarray], skip: np.ndarray | None = None) -> Tokens:
+        """skip: how many tokens at the start of each list don't count."""
+        sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+        flat = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(sizes.sum()))
+        if skip is not None:
+            flat = flat[np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes) >= np.repeat(skip, sizes)]
+            sizes = sizes - skip
+        return Tokens(flat, sizes, *of)
 
     def whole(self, text: str) -> Aligned:
         a = self.a.encode(" " + text, add_special_tokens=False).ids
-        return self.align(b" " + text.encode(), a, self.b.encode(text, num_threads=1))
-
-    def learn(self, units: list[tuple[bool, str]]) -> None:
-        """Align new units: (stands behind a space, string)."""
-        said = [" " + u if spaced else u for spaced, u in units]
-        heard = [u if spaced else "\n" + u for spaced, u in units]
-        skip = len(self.b.encode("\n"))  # the space that B adds, and the line feed
-        found = zip(units, said, self.a.encode_batch_fast(said, add_special_tokens=False), self.b.encode(heard, num_threads=1), strict=True)
-        for unit, text, a, b in found:
-            self.known[unit] = self.align(text.encode(), a.ids, b if unit[0] else b[skip:])
+        return self.align([b" " + text.encode()], self.tokens([a], self.of_a), self.tokens([self.b.encode(text, num_threads=1)], self.of_b))[0]
+
+    def learn(self, units: list[str]) -> None:
+        """Align new pieces; one that stands behind a space begins with it."""
+        if not units:
+            return
+        units.sort(key=lambda u: "\n" in u)
+        plain = len(units) - sum("\n" in u for u in units)
+        lists = []
+        if self.ranked and plain:
+            ids = np.array(self.ranked.encode_ordinary("\n".join(units[:plain])), dtype=np.int64)
+            stops = np.flatnonzero(ids == self.a.token_to_id(byte_alphabet()[10]))
+            if len(stops) == plain - 1:
+                lists = [x.tolist() for x in np.split(ids[ids != ids[stops[0]]], stops - np.arange(len(stops)))] if len(stops) else [ids.tolist()]
+        lists += [x.ids for x in self.a.encode_batch_fast(units[len(lists) :], add_special_tokens=False)]
+        behind = np.array([u[0] == " " for u in units])
+        heard = self.b.encode([u[1:] if u[0] == " " else "\n" + u for u in units], num_threads=1)
+        skip = np.where(behind, 0, len(self.b.encode("\n")))  # the space that B adds, and the line feed
+        made = self.align([u.encode() for u in units], self.tokens(lists, self.of_a), self.tokens(heard, self.of_b, skip))
+        self.known.update(zip(units, made, strict=True))
 
     def units(self, chunks: list[str]) -> tuple[list[Aligned], np.ndarray, np.ndarray]:
         """Pieces that chunks are made of, the pieces' numbers chunk by chunk, and how many each chunk has. A chunk stands behind a space and holds no other."""
-        codes: dict[tuple[bool, str], int] = {}
+        codes: dict[str, int] = {}
         flat, sizes = [], []
         for text in chunks:
-            parts = _UNITS.findall(text) if _WORDS.fullmatch(text) else ()
-            if not parts or not all(u.isalpha() or u[0] in _TAILS or u == "\n" for u in parts):
-                parts = (text,)
-            sizes.append(len(parts))
-            flat.append(codes.setdefault((True, parts[0]), len(codes)))
-            for u in parts[1:]:
-                flat.append(codes.setdefault((False, u), len(codes)))
+            if not text.isalpha() and _WORDS.fullmatch(text):
+                first, *more = _UNITS.findall(text)
+                if all(u.isalpha() or u[0] in _TAILS or u == "\n" for u in (first, *more)):
+                    flat.append(codes.setdefault(" " + first, len(codes)))
+                    for u in more:
+                        flat.append(codes.setdefault(u, len(codes)))
+                    sizes.append(1 + len(more))
+                    continue
+            flat.append(codes.setdefault(" " + text, len(codes)))
+            sizes.append(1)
         known, older = self.known, self.older
         found = [known.get(u) or older.get(u) for u in codes]
         if len(known) > REMEMBERED:
             self.known, self.older = {}, known
+        self.known.update((u, x) for u, x in zip(codes, found, strict=True) if x is not None)
         self.learn([u for u, x in zip(codes, found, strict=True) if x is None])
-        known = self.known
-        for u, x in zip(codes, found, strict=True):
-            if x is not None:
-                known[u] = x
-        return [x or known[u] for u, x in zip(codes, found, strict=True)], np.array(flat, dtype=np.int64), np.array(sizes, dtype=np.int64)
+        return list(map(self.known.__getitem__, codes)), np.array(flat, dtype=np.int64), np.array(sizes, dtype=np.int64)
 
 
 @functools.lru_cache(maxsize=2)
@@ -183,17 +249,17 @@ class Batch:
         chunk[ends[odd]] = len(sizes) + np.arange(len(odd))
         flat = np.concatenate([flat, len(made) + np.arange(len(odd))])
         sizes = np.concatenate([sizes, np.ones(len(odd), np.int64)])
-        made += [tools.whole(texts[i]) if texts[i] else Aligned(False) for i in odd]
+        made += [tools.whole(texts[i]) if texts[i] else Aligned() for i in odd]
         per = sizes[chunk]
         upto = np.concatenate([[0], np.cumsum(per)])
         self.place = flat[np.repeat((np.cumsum(sizes) - sizes)[chunk] - upto[:-1], per) + np.arange(upto[-1])]
         self.ends = upto[ends]
         self.valid = np.array([x.valid for x in made], dtype=bool)
-        self.sums = np.array([(x.n_a, x.n_b, x.n_groups, x.n_links) for x in made], dtype=np.int64).reshape(-1, 4)
+        self.sums = np.frombuffer(b"".join([x.sums for x in made]), dtype=np.int64).reshape(-1, 4)
         self.groups = [x.groups for x in made]
-        self.starts = np.concatenate([[0], np.cumsum([len(x.pairs) for x in made])]).astype(np.int64)
-        self.pairs = np.fromiter(chain.from_iterable(x.pairs for x in made), dtype=np.int64, count=self.starts[-1])
-        self.times = np.fromiter(chain.from_iterable(x.times for x in made), dtype=np.int64, count=self.starts[-1])
+        self.starts = np.concatenate([[0], np.cumsum([len(x.times) // 4 for x in made])]).astype(np.int64)
+        self.pairs = np.frombuffer(b"".join([x.pairs for x in made]), dtype=np.int64)
+        self.times = np.frombuffer(b"".join([x.times for x in made]), dtype="<i4").astype(np.int64)
         wrong = np.concatenate([[0], np.cumsum(~self.valid[self.place])])
         self.text_valid = wrong[self.ends[1:]] == wrong[self.ends[:-1]]
 
@@ -298,7 +364,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text", doc_id:
     counted = pair_counts(docs, a_path, b_path, text)
     number = counted.count()
     best = counted.select(F.explode(F.arrays_zip("keys", "counts")).alias("p")).groupBy(F.shiftright("p.keys", B_BITS).alias("a")).agg(F.max("p.counts").alias("most"))
-    highest = np.zeros(len(aligner(a_path, b_path).a_bytes), dtype=np.int64)
+    highest = np.zeros(aligner(a_path, b_path).vocabulary, dtype=np.int64)
     for r in best.toLocalIterator():  # a row for each id of A at most
         highest[r["a"]] = r["most"]
     width = max(1, slice_pairs // KEYS)
