@@ -1,6 +1,6 @@
 """Sets that share a bucket, compared in blocks: no task gets a whole large bucket, and pairs are compared in numpy without becoming rows.
 
-A bucket is cut into blocks by hash, each of at most about ``ROWS`` sets and ``ITEMS`` items (a longer set is a block of its own); every two blocks of a bucket, and each block with
+Buckets of more than ``HOT`` sets are first dealt anew by further bands (``refined``), so only sets that agree on several bands stay together. A bucket is cut into blocks by hash, each of at most about ``ROWS`` sets and ``ITEMS`` items (a longer set is a block of its own); every two blocks of a bucket, and each block with
 itself, meet in one group. Within a group, one side's items are a sorted list with their owners, so a set's shares with all others cost a bisection and a count.
 """
 
@@ -13,8 +13,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.llm.common import materialise
+
 ROWS = 1_024
 ITEMS = 500_000
+#: Rows of a bucket that is dealt anew, and how often.
+HOT, LEVELS = 4 * ROWS, 3
 
 
 class Postings:
@@ -39,6 +43,29 @@ class Postings:
         return np.flatnonzero((both > 0) & (10 * both >= tenths * (len(x) + self.sizes - both)))
 
 
+def refined(rows: DataFrame, bands: DataFrame, key: str, bucket: str = "band") -> DataFrame:
+    """rows(bucket, key, ...), bands(key, bands: array): the rows with each bucket of over HOT rows cut into buckets of the sets that agree on one more band, for every band, until they are small or LEVELS
+    bands were added. The rows move without their sets: a hot bucket's are as many as there are bands, whatever its size, and sets that agree on nothing else part here.
+
+    Of a pair that is alike nearly all stay together: it agrees on some other of the bands with the chance that it shares a bucket at all, so a level loses as much as the banding itself. A bucket that is
+    still hot then stays whole."""
+    others = [c for c in rows.columns if c not in (key, bucket)]
+    waiting, done = rows.withColumn("_used", F.array().cast("array<int>")), None
+    for level in range(LEVELS + 1):
+        sizes = waiting.groupBy(bucket).agg(F.count("*").alias("_n")).filter("_n > 1")
+        placed = waiting.join(sizes, bucket)
+        small = placed.filter(F.col("_n") <= HOT) if level < LEVELS else placed
+        small = small.select(bucket, key, *others)
+        done = small if done is None else done.unionByName(small)
+        if level == LEVELS or sizes.filter(F.col("_n") > HOT).limit(1).count() == 0:
+            return done
+        hot = placed.filter(F.col("_n") > HOT).join(bands.select(F.col(key), F.posexplode("bands").alias("_place", "_band")), key)
+        # The bucket's own band is the same for all and would bring them together again.
+        fresh = hot.filter((F.col("_band") != F.col(bucket)) & ~F.array_contains("_used", F.col("_place")))
+        waiting = materialise(fresh.select(F.xxhash64(bucket, "_place", "_band").alias(bucket), key, *others, F.array_append("_used", F.col("_place")).alias("_used")), "refined")
+    return done
+
+
 def compare_in_blocks(rows: DataFrame, bucket: str, key: str, items: str, compare: Callable[[pd.DataFrame, pd.DataFrame, bool], pd.DataFrame], schema: str) -> DataFrame:
     """rows: a bucket, a bigint key and an array of distinct bigints each. compare(left, right, same) gets the rows of two blocks of a bucket, once for every two
     blocks; same tells that both are one block."""

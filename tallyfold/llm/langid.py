@@ -20,11 +20,11 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyfold.llm.common import slices
+from tallyfold.llm.common import materialise, slices
 
 SAMPLE_DOCS = 150
 LEAST_DOCS = 5
@@ -58,19 +58,21 @@ def excerpt(raw: bytes, room: int) -> bytes:
     return b" ".join(raw[i : i + block] for i in at)[:room]
 
 
-def train(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, bytes]:
-    """The dictionary of each language, most frequent language first; rows without text, letters or language teach nothing."""
-    labelled = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(key).alias("h")).filter("lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES + 1).collect()
+def train(rows: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, bytes]:
+    """The dictionary of each language, most frequent language first; rows without text, letters or language teach nothing. Every language with a row that has a letter is learned: from its distinct
+    texts with the smallest hashes, SAMPLE_DOCS of them at most (fewer where there are many languages), whatever ids, repeats and nulls the rows have."""
+    labelled = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("lang IS NOT NULL AND text RLIKE '\\\\p{L}'").withColumn("h", F.xxhash64("text"))
+    texts = materialise(labelled.groupBy("lang", "h").agg(F.count("*").alias("n")), "labelled")
+    counts = texts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES + 1).collect()
     if not counts:
         return {}
     if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"over {MOST_LANGUAGES} distinct values of {lang}")
     docs, size = max(LEAST_DOCS, min(SAMPLE_DOCS, SAMPLE_ROWS // len(counts))), min(DICTIONARY_BYTES, ALL_BYTES // len(counts))
-    # A row is in the sample if its hash falls into the language's share: about so many rows a language, whatever the table's size. The share of a language with few
-    # rows is doubled, so that one with a handful of rows isn't missed by chance.
-    share = F.create_map(*(x for r in counts for x in (F.lit(r["lang"]), F.lit(2 * docs / r["n"] if r["n"] <= 4 * docs else docs / r["n"]))))[F.col("lang")]
-    drawn = labelled.filter(F.pmod(F.col("h"), F.lit(1_000_003)) / 1_000_003.0 < share)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    chosen = materialise(texts.withColumn("place", place).filter(F.col("place") <= docs).select("lang", "h"), "chosen")
+    # At most SAMPLE_ROWS rows of a label and a number, or LEAST_DOCS for each label.
+    drawn = labelled.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.first("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

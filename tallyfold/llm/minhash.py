@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.blocks import Postings, compare_in_blocks
+from tallyfold.llm.blocks import Postings, compare_in_blocks, refined
 from tallyfold.llm.common import batches as bounded
 from tallyfold.llm.common import materialise, slices
 
@@ -113,27 +113,33 @@ def edited(text: str, following: str) -> str:
 
 
 def in_order(docs: DataFrame, buckets: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Rows dealt so that a bucket holds a range of doc_id in descending order and, as ``borrowed`` row, the first row of the next bucket.
+    """Rows dealt so that a bucket holds a range of (doc_id descending, hash of the text) and, as ``borrowed`` row, the first row of the next bucket.
 
-    The bounds are quantiles of doc_id (at most ``buckets`` numbers); the heads of buckets are one row each.
+    The bounds are quantiles of doc_id (at most ``buckets`` numbers). A doc_id, or the missing one, with more than two buckets' rows is a bound too and is cut into as many buckets as it needs by
+    ranges of the hash. The heads of buckets are one row each.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     light = rows.select("doc_id", F.xxhash64("text").alias("h"))
-    # The only things that reach the driver: at most ``buckets`` bounds, then at most as many heads (two numbers each).
-    bounds = light.agg(F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)], 10_000).alias("q")).first()["q"] or []
-    bounds = sorted(set(bounds), reverse=True)
-    # A null doc_id is last; bucket numbers rise as doc_ids fall.
-    def bucket(column):
-        column = F.coalesce(F.size(F.filter(F.array(*map(F.lit, bounds)).cast("array<bigint>"), lambda b: b > column)), F.lit(0))
-        return column
-
-    number = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(bucket(F.col("doc_id")))
+    # The only things that reach the driver: at most ``buckets`` bounds, half as many frequent ids, then at most three times as many heads (two numbers each).
+    total, bounds = light.agg(F.count("*"), F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)], 10_000)).first()
+    often = light.groupBy("doc_id").count().filter(F.col("count") * buckets > 2 * total).collect() if total else []
+    pieces = {r["doc_id"]: -(-r["count"] * buckets // total) for r in often}
+    bounds = sorted({*(bounds or []), *(i for i in pieces if i is not None)}, reverse=True)
+    # Bucket numbers rise as doc_ids fall; a null doc_id is last. Among the ids of a bound's bucket the bound is the smallest, so its pieces come behind the others.
+    most = 1 + max(pieces.values(), default=0)
+    above = F.coalesce(F.size(F.filter(F.array(*map(F.lit, bounds)).cast("array<bigint>"), lambda b: b > F.col("doc_id"))), F.lit(0))
+    above = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(above)
+    piece = F.lit(0)
+    for i, n in pieces.items():
+        part = 1 + F.floor((F.col("h") / F.lit(2.0**64) + 0.5) * n)
+        piece = F.when(F.col("doc_id").eqNullSafe(F.lit(i)), F.least(part, F.lit(n))).otherwise(piece)
+    number = (above * most + piece).cast("int")
     heads = light.withColumn("bucket", number).groupBy("bucket").agg(F.max(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", F.bitwise_not(F.col("h")).alias("g"))).alias("head")).collect()
     heads = sorted(heads, key=lambda r: r["bucket"])
     lend = [(r["head"]["doc_id"], ~r["head"]["g"], heads[i - 1]["bucket"]) for i, r in enumerate(heads)]
     spark = docs.sparkSession
     lent = spark.createDataFrame(lend, "head_id long, head_h long, lender int") if lend else spark.createDataFrame([], "head_id long, head_h long, lender int")
-    keyed = rows.withColumns({"h": F.xxhash64("text"), "bucket": number.cast("int")})
+    keyed = rows.withColumn("h", F.xxhash64("text")).withColumn("bucket", number)
     # At most ``buckets`` rows of three numbers.
     keyed = keyed.join(F.broadcast(lent), F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("h") == F.col("head_h")), "left")
     both = F.array_compact(F.array(F.struct(F.col("bucket").alias("b"), F.lit(0).alias("borrowed")), F.when(F.col("lender").isNotNull(), F.struct(F.col("lender").alias("b"), F.lit(1).alias("borrowed")))))
@@ -202,27 +208,28 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
 def near_pairs(docs: DataFrame, threshold: float = SIMILARITY, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """(members, pairs): members(doc_id, class) has a row per document; a class is all texts of one shingle set, named by the set's hash, whatever their ids.
-    pairs(a, b, jaccard), a < b, links classes of at least the threshold (in tenths) that share a band; copies are never paired with each other. Each pair is made by the first
-    band that both have, in blocks of the band's classes, so a common band is no one task's. Texts without words are one class without links."""
+    pairs(a, b, jaccard), a < b, links classes of at least the threshold (in tenths) that share a band; copies are never paired with each other. A band that very many classes share is dealt anew by further
+    bands, then compared in blocks, so a common band is no one task's. Texts without words are one class without links."""
     with bounded(docs.sparkSession):
         prints = materialise(fingerprints(docs, text, doc_id), "minhash")
     keyed = prints.withColumn("class", F.xxhash64("shingle_set"))
     classes = materialise(keyed.groupBy("class").agg(F.first("fingerprint").alias("fingerprint"), F.first("shingle_set").alias("set")), "classes")
     width, tenths = PERMUTATIONS // BANDS * 8, round(threshold * 10)
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring(F.col("fingerprint"), i * width + 1, F.lit(width))))
-    banded = classes.filter(F.size("set") > 0).select("class", "set", band.alias("bands")).select("*", F.posexplode("bands").alias("place", "band"))
+    classes_bands = classes.filter(F.size("set") > 0).select("class", band.alias("bands"))
+    dealt = refined(classes_bands.select("class", F.explode("bands").alias("band")), classes_bands, "class")
+    banded = dealt.join(classes.select("class", "set"), "class")
 
     def compare(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
         held, out = Postings(right["set"].tolist()), []
-        names, bands = right["class"].tolist(), np.array(right["bands"].tolist())
-        for i, x in enumerate(left["set"]):
-            name, place = left["class"].iloc[i], left["place"].iloc[i]
-            own, both = np.array(left["bands"].iloc[i]), None
+        names = right["class"].tolist()
+        for name, x in zip(left["class"].tolist(), left["set"], strict=True):
+            both = None
             for j in held.alike(x, tenths).tolist():
-                if (same and name >= names[j]) or (own[:place] == bands[j][:place]).any():
-                    continue
-                both = held.shared(x) if both is None else both
-                out.append((min(name, names[j]), max(name, names[j]), both[j] / (len(x) + held.sizes[j] - both[j])))
+                if not same or name < names[j]:
+                    both = held.shared(x) if both is None else both
+                    out.append((min(name, names[j]), max(name, names[j]), both[j] / (len(x) + held.sizes[j] - both[j])))
         return pd.DataFrame(out, columns=["a", "b", "jaccard"]).astype({"a": "int64", "b": "int64", "jaccard": "float64"})
 
-    return keyed.select("doc_id", "class"), compare_in_blocks(banded, "band", "class", "set", compare, "a long, b long, jaccard double")
+    pairs = compare_in_blocks(banded, "band", "class", "set", compare, "a long, b long, jaccard double").distinct()
+    return keyed.select("doc_id", "class"), pairs

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.blocks import Postings, compare_in_blocks
+from tallyfold.llm.blocks import Postings, compare_in_blocks, refined
 from tallyfold.llm.common import batches, materialise, slices, unsigned_hex
 from tallyfold.llm.components import components
 from tallyfold.llm.minhash import BANDS, PERMUTATIONS, signatures
@@ -266,7 +266,8 @@ def likeness_links(docs: DataFrame, prints: DataFrame, edges: DataFrame, size: i
     with batches(spark):
         found = materialise(confirmed(tried, sets), "found")
     # Then what is left in different components, in blocks.
-    rest = in_buckets(buckets.drop("component"), edges.unionByName(found)).join(sets, "text_hash").select("band", "text_hash", "fp", "component", "set")
+    mixed = refined(in_buckets(buckets.drop("component"), edges.unionByName(found)), texts.select("text_hash", "bands"), "text_hash")
+    rest = mixed.join(sets, "text_hash").select("band", "text_hash", "fp", "component", "set")
     more = materialise(compare_in_blocks(rest, "band", "text_hash", "set", _join_components, "a long, b long").distinct(), "found")
     return found.unionByName(more)
 
