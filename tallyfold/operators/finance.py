@@ -59,6 +59,14 @@ def valuation(filings: DataFrame) -> DataFrame:
         "ev": c("ev"), "ev_ebitda": S.safe_div(c("ev"), c("ebitda")), "ev_revenue": S.safe_div(c("ev"), c("revenue")), "ev_ebit": S.safe_div(c("ev"), c("operating_income"))}.items()))
 
 
+def change_ranks(prices: DataFrame) -> DataFrame:
+    """ticker, date, probability: each day's place by its rise, falling, as a share of the ticker's days; equal rises in order of the days, the first day counts as no change."""
+    w = Window.partitionBy("ticker")
+    before = F.lag("close").over(w.orderBy("date"))
+    changed = prices.withColumn("change", F.coalesce((F.col("close") - before) / F.nullif(before, F.lit(0.0)), F.lit(0.0)))
+    return changed.select("ticker", "date", S.rounded(F.row_number().over(w.orderBy(F.desc("change"), "date")) / F.count("*").over(w), 6).alias("probability"))
+
+
 def recent(prices: DataFrame, months: int = 6) -> DataFrame:
     """Rows of the last months before each ticker's newest date."""
     newest = F.max("date").over(Window.partitionBy("ticker"))
@@ -193,3 +201,19 @@ def as_series(filings: DataFrame, renamed: dict[str, str]) -> DataFrame:
 def raw_dataset(full: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Annual rows beside the market snapshot, as the spreadsheet has them: capital expenditure as an outflow."""
     return full.join(snapshot, "company", "left").withColumn("capex", -F.abs("capex"))
+
+
+def enterprise_multiples(filings: DataFrame, snapshot: DataFrame, companies: DataFrame | None = None) -> DataFrame:
+    """snapshot(company, price, shares): market value, net debt of the newest year (missing debt and cash count as 0), their sum and its multiples of EBITDA (of the newest year that has it), revenue,
+    free cash flow and operating income. A company without filings has its market value alone; one of companies(company) that nothing is known of has only missing values."""
+    c = F.col
+    rows = _with_inputs(filings, (*VALUATION_INPUTS, *INPUTS)).withColumns({
+        "ebitda": c("operating_income") + F.coalesce("depreciation", F.lit(0.0)), "net_debt": F.coalesce("long_term_debt", F.lit(0.0)) - F.coalesce("cash", F.lit(0.0)), "fcf": c("operating_cashflow") - F.abs("capex")})
+    newest = rows.groupBy("company").agg(*(F.max_by(x, "year").alias(x) for x in ("net_debt", "revenue", "fcf", "operating_income")), F.max_by("ebitda", F.when(c("ebitda").isNotNull(), c("year"))).alias("ebitda"))
+    held = snapshot.select("company", F.when((c("shares") > 0) & (c("price") > 0), c("price") * c("shares")).alias("market_cap"))
+    out = held.join(newest, "company", "full")
+    if companies is not None:
+        out = companies.select("company").distinct().join(out, "company", "left")
+    out = out.withColumn("ev", c("market_cap") + c("net_debt"))
+    of = {"market_cap": c("market_cap"), "net_debt": c("net_debt"), "ev": c("ev"), "ev_ebitda": S.safe_div(c("ev"), c("ebitda")), "ev_revenue": S.safe_div(c("ev"), c("revenue")), "ev_fcf": S.safe_div(c("ev"), c("fcf")), "ev_ebit": S.safe_div(c("ev"), c("operating_income"))}
+    return out.select("company", *(S.rounded(x, 4).alias(n) for n, x in of.items()))

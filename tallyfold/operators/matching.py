@@ -164,3 +164,8 @@ def find_tickers(known: DataFrame, text: str, limit: int = 50) -> DataFrame:
     hit = known.filter(F.lower("name").contains(q) | F.lower("symbol").contains(q))
     tier = F.when(F.lower("symbol") == q, 3).when(F.lower("symbol").startswith(q), 1).otherwise(0)
     return hit.withColumns({"tier": tier, "source": F.when(F.col("currency") == "USD", "edgar").otherwise("esef")}).orderBy(F.desc("tier"), "symbol", "name").limit(limit)
+
+
+def lookup_keys(rows: DataFrame, known: DataFrame, key: str, found: str) -> DataFrame:
+    """rows with what their key is known as (the least, if a key has several); rows without are left out. Each key is looked up once, however many rows have it."""
+    return rows.join(known.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(found).alias(found)), key)

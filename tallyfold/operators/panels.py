@@ -112,3 +112,8 @@ def growth(rows: DataFrame, key: str, value: str) -> DataFrame:
     """Change to the previous year present, in per cent of its absolute value; NULL after a missing or zero year."""
     before = F.lag(value).over(Window.partitionBy(key).orderBy("year"))
     return rows.withColumn("growth", F.when(before != 0, (F.col(value) - before) / F.abs(before) * 100))
+
+
+def granted(rows: DataFrame, by: str, amount: Column) -> DataFrame:
+    """Per group the grants and their sum; one without an amount counts, with 0."""
+    return rows.groupBy(by).agg(F.count("*").alias("n"), S.rounded(F.sum(F.coalesce(amount, F.lit(0.0))), 0).alias("granted"))

@@ -153,3 +153,21 @@ def correct_scale(history: DataFrame, key: str, order: list[str], floor: float)
     """history(key, estimate, total, payable, country, ...): the newest state of each key whose total reaches the floor, brought to scale and scored again, where that changes it."""
     newest = history.groupBy(key).agg(F.max_by(F.struct(*history.columns), F.struct(*order)).alias("_n")).select("_n.*").filter(F.col("total") >= floor)
     return value_confidence(normalise_scale(newest).filter("scale_tier IS NOT NULL"))
+
+
+def contract_details(contracts: DataFrame, authorities: DataFrame, awards: DataFrame) -> DataFrame:
+    """contracts(contract, authority), authorities(authority, name, country), awards(contract, place, party, part): contract, authority (name, country) and award (lines, parties, first_part) as a detail
+    page nests them; award is missing where nothing was awarded."""
+    of = awards.groupBy("contract").agg(F.struct(F.count("*").alias("lines"), F.count_distinct("party").alias("parties"), F.min_by("part", F.struct("place", "part", "party")).alias("first_part")).alias("award"))
+    named = authorities.select("authority", F.struct("name", "country").alias("_named"))
+    return contracts.select("contract", "authority").join(named, "authority").join(of, "contract", "left").select("contract", F.col("_named").alias("authority"), "award")
+
+
+def company_profile(companies: DataFrame, contracts: DataFrame, filings: DataFrame) -> DataFrame:
+    """companies(company, name, country), contracts(company, authority, current_value, is_current, low_confidence), filings(company, year, revenue): a row per company with its contracts, trusted value,
+    authorities, newest filing and years on file; zeros and missing values where it has none."""
+    trusted = F.when(F.col("is_current") & ~F.coalesce("low_confidence", F.lit(False)), F.coalesce("current_value", F.lit(0.0))).otherwise(0.0)
+    won = contracts.groupBy("company").agg(F.count_if("is_current").alias("contracts"), F.sum(trusted).alias("value"), F.count_distinct("authority").alias("authorities"))
+    filed = filings.groupBy("company").agg(F.count("*").alias("years"), F.max("year").alias("newest"), F.max_by("revenue", "year").alias("revenue"))
+    out = companies.join(won, "company", "left").join(filed, "company", "left")
+    return out.select("company", "name", "country", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("contracts", "authorities", "years")), F.coalesce("value", F.lit(0.0)).alias("value"), "newest", "revenue")

@@ -549,6 +549,5 @@ def verified_files(spark: SparkSession, sf: str) -> DataFrame:
 def price_universe(spark: SparkSession, sf: str) -> DataFrame:
     """Suppliers with their parts as listings, exported as JSON lines and read back."""
     path = scratch(spark, "universe")
-    li = table(spark, sf, "lineitem").groupBy(F.concat(F.lit("s"), "l_suppkey").alias("ticker")).agg(F.count_distinct("l_partkey").alias("listings"), F.min("l_partkey").alias("first"))
-    li.write.json(path)
-    return spark.read.schema("ticker string, listings long, first long").json(path)
+    sinks.export_universe(table(spark, sf, "lineitem").select(F.concat(F.lit("s"), "l_suppkey").alias("ticker"), F.col("l_partkey").alias("listing")), path)
+    return sinks.read_universe(spark, path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions import codes, identifiers
 from tallyfold.functions import scalars as S
-from tallyfold.operators import etl, graph, listing, procurement
+from tallyfold.operators import etl, graph, listing, matching, panels, procurement
 from tallyfold.plans import oracles as O
 from tallyfold.plans.queries import _trade_edges
 from tallyfold.plans.views import notices, observations, prices, regions, table
@@ -96,9 +96,10 @@ def json_amounts(spark: SparkSession, sf: str) -> DataFrame:
 def contract_details(spark: SparkSession, sf: str) -> DataFrame:
     """An order with its authority, country and parties, as a detail page nests them."""
     o, c, n, li = (table(spark, sf, t) for t in ("orders", "customer", "nation", "lineitem"))
-    lines = li.groupBy(F.col("l_orderkey").alias("k")).agg(F.struct(F.count("*").alias("lines"), F.count_distinct("l_suppkey").alias("parties"), F.min(F.struct("l_linenumber", "l_partkey", "l_suppkey"))["l_partkey"].alias("first_part")).alias("award"))
-    detail = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(lines, F.col("o_orderkey") == F.col("k"), "left").select("o_orderkey", F.struct(F.col("c_name").alias("name"), F.col("n_name").alias("country")).alias("authority"), "award")
-    return detail.select("o_orderkey", F.col("authority.name").alias("authority"), "authority.country", F.coalesce("award.lines", F.lit(0)).alias("lines"), F.coalesce("award.parties", F.lit(0)).alias("parties"), "award.first_part")
+    authorities = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("authority"), F.col("c_name").alias("name"), F.col("n_name").alias("country"))
+    awards = li.select(F.col("l_orderkey").alias("contract"), F.col("l_linenumber").alias("place"), F.col("l_suppkey").alias("party"), F.col("l_partkey").alias("part"))
+    detail = procurement.contract_details(o.select(F.col("o_orderkey").alias("contract"), F.col("o_custkey").alias("authority")), authorities, awards)
+    return detail.select(F.col("contract").alias("o_orderkey"), F.col("authority.name").alias("authority"), "authority.country", F.coalesce("award.lines", F.lit(0)).alias("lines"), F.coalesce("award.parties", F.lit(0)).alias("parties"), "award.first_part")
 
 
 # Joins and unions --------------------------------------------------------------------------------------------------
@@ -143,14 +144,14 @@ def key_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Customers to suppliers by the number in their names, each distinct key looked up once."""
     c = table(spark, sf, "customer").select("c_custkey", F.substring("c_name", 10, 20).alias("lei"))
     s = table(spark, sf, "supplier").select("s_suppkey", F.substring("s_name", 10, 20).alias("lei"))
-    return c.join(s.groupBy("lei").agg(F.min("s_suppkey").alias("s_suppkey")), "lei").select("c_custkey", "s_suppkey")
+    return matching.lookup_keys(c, s, "lei", "s_suppkey").select("c_custkey", "s_suppkey")
 
 
 @query(f"""SELECT o_orderpriority, count(*) AS n, {R('sum(coalesce(CASE WHEN o_orderstatus <> %s THEN o_totalprice END, 0))' % "'P'", 0)} AS granted FROM orders GROUP BY 1""")
 def grants_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as grants; pending ones have no amount yet and count with 0."""
     amount = F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice"))
-    return table(spark, sf, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("n"), S.rounded(F.sum(F.coalesce(amount, F.lit(0.0))), 0).alias("granted"))
+    return panels.granted(table(spark, sf, "orders"), "o_orderpriority", amount)
 
 
 @query("""WITH w AS (SELECT DISTINCT o_orderkey AS id FROM orders WHERE o_orderpriority = '1-URGENT'), e AS (SELECT DISTINCT l_orderkey * 10 + l_linenumber + 1000000000 AS id, l_partkey FROM lineitem WHERE l_orderkey IN (SELECT id FROM w))
@@ -353,12 +354,7 @@ def region_edges(spark: SparkSession, sf: str) -> DataFrame:
   SELECT ticker, date::VARCHAR AS date, {R('row_number() OVER (PARTITION BY ticker ORDER BY change DESC, date) / (count(*) OVER (PARTITION BY ticker))::DOUBLE', 6)} AS probability FROM c""")
 def change_ranks(spark: SparkSession, sf: str) -> DataFrame:
     """Each day's rank by its rise, ties in order of the days, as a share of the days."""
-    from pyspark.sql import Window
-
     from tallyfold.operators import finance
 
-    w = Window.partitionBy("ticker")
-    before = F.lag("close").over(w.orderBy("date"))
-    p = finance.recent(prices(spark, sf)).withColumn("change", F.coalesce((F.col("close") - before) / F.nullif(before, F.lit(0.0)), F.lit(0.0)))
-    share = F.row_number().over(w.orderBy(F.desc("change"), "date")) / F.count("*").over(w)
-    return p.select("ticker", F.col("date").cast("string").alias("date"), S.rounded(share, 6).alias("probability"))
+    got = finance.change_ranks(finance.recent(prices(spark, sf)))
+    return got.select("ticker", F.col("date").cast("string").alias("date"), "probability")

@@ -445,3 +445,46 @@ def windowed_periods(spark: SparkSession, sf: str) -> DataFrame:
     rows = o.select(p.alias("period"), d.alias("day")).filter(S.kept_period(F.col("period"), 1995))
     within = lambda name: F.count_if(F.col("day") >= S.window_start(name, last))
     return rows.groupBy("period").agg(F.count("*").alias("n"), within("6mo").alias("half"), within("2y").alias("two_years"), within("soon").alias("odd"))
+
+
+# Companies ---------------------------------------------------------------------------------------------------------
+
+@query(f"""WITH {O.FILINGS}, l AS (SELECT company, year, revenue, operating_income, operating_income + depreciation AS ebitda, CASE WHEN company % 5 > 0 THEN debt * 0.8::DOUBLE ELSE 0 END - coalesce(cash, 0) AS net_debt, revenue * 0.2::DOUBLE - abs(CASE WHEN company % 4 > 0 THEN revenue * 0.05::DOUBLE END) AS fcf FROM filings QUALIFY year = max(year) OVER (PARTITION BY company)),
+  s AS (SELECT c_custkey AS company, CASE WHEN c_custkey % 6 > 0 THEN c_acctbal END AS price, c_nationkey * 10 AS shares FROM customer WHERE c_custkey % 7 > 0),
+  e AS (SELECT c_custkey AS company, CASE WHEN shares > 0 AND price > 0 THEN price * shares END AS market_cap, net_debt, revenue, fcf, ebitda, operating_income FROM customer LEFT JOIN s ON s.company = c_custkey LEFT JOIN l ON l.company = c_custkey),
+  v AS (SELECT *, market_cap + net_debt AS ev FROM e)
+  SELECT company, round(market_cap, 4) AS market_cap, round(net_debt, 4) AS net_debt, round(ev, 4) AS ev, round(nullif(ev, 0) / nullif(ebitda, 0), 4) AS ev_ebitda, round(nullif(ev, 0) / nullif(revenue, 0), 4) AS ev_revenue, round(nullif(ev, 0) / nullif(fcf, 0), 4) AS ev_fcf, round(nullif(ev, 0) / nullif(operating_income, 0), 4) AS ev_ebit FROM v""")
+def enterprise_multiples(spark: SparkSession, sf: str) -> DataFrame:
+    """Every customer as a company with a market of its own: some without a price, without shares, without filings or without anything."""
+    from tallyfold.operators import finance
+    from tallyfold.plans.views import filings_full
+
+    c = table(spark, sf, "customer")
+    market = c.filter("c_custkey % 7 > 0").select(F.col("c_custkey").alias("company"), F.when(F.col("c_custkey") % 6 > 0, F.col("c_acctbal")).alias("price"), (F.col("c_nationkey") * 10).alias("shares"))
+    return finance.enterprise_multiples(filings_full(spark, sf), market, c.select(F.col("c_custkey").alias("company")))
+
+
+@query(f"""WITH {O.CONTRACTS}, {O.FILINGS.strip()}, w AS (SELECT company, count(*) FILTER (is_current) AS contracts, round(sum(CASE WHEN is_current AND NOT low_confidence THEN current_value ELSE 0 END), 0) AS value, count(DISTINCT authority) AS authorities FROM contracts GROUP BY 1),
+  y AS (SELECT company, count(*) AS years, max(year)::INT AS newest, max_by(revenue, year) AS revenue FROM filings GROUP BY 1)
+  SELECT s_suppkey AS company, s_name AS name, n_name AS country, coalesce(contracts, 0) AS contracts, coalesce(authorities, 0) AS authorities, coalesce(years, 0) AS years, coalesce(value, 0)::DOUBLE AS value, newest, round(revenue, 2) AS revenue
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN w ON w.company = s_suppkey LEFT JOIN y ON y.company = s_suppkey""")
+def company_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers with what they won and, as the customers of the same number, what they filed."""
+    from tallyfold.plans.views import filings
+
+    s, n = table(spark, sf, "supplier"), table(spark, sf, "nation")
+    companies = s.join(n, s.s_nationkey == n.n_nationkey).select(F.col("s_suppkey").alias("company"), F.col("s_name").alias("name"), F.col("n_name").alias("country"))
+    got = procurement.company_profile(companies, procurement.collapse_modifications(notices(spark, sf)), filings(spark, sf))
+    return got.select("company", "name", "country", "contracts", "authorities", "years", S.rounded("value", 0).alias("value"), F.col("newest").cast("int").alias("newest"), S.rounded("revenue", 2).alias("revenue"))
+
+
+_UUID = "substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', ('0x' || substr(h, 17, 1))::INT % 4 + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12)"
+
+#: The query is an older one; this is its SQL.
+ORACLE_SQL["resolve_cascade"] = f"""WITH w AS (SELECT s_suppkey AS id, s_acctbal AS tax, upper(trim(replace(s_name, 'Supplier#', 'Customer#'))) AS name, s_nationkey AS country FROM supplier),
+  k AS (SELECT c_custkey AS entity, c_acctbal AS tax, upper(trim(c_name)) AS name, c_nationkey AS country FROM customer),
+  t AS (SELECT w.*, (SELECT min(entity) FROM k WHERE k.tax = w.tax) AS by_tax, (SELECT min(entity) FROM k WHERE k.name = w.name AND k.country = w.country) AS by_name FROM w),
+  f AS (SELECT t.id, count(DISTINCT k.entity) AS n, min(k.entity) AS entity FROM t JOIN k ON k.country = t.country AND 1 - levenshtein(k.name, t.name) / greatest(length(k.name), length(t.name))::DOUBLE >= 0.9 WHERE by_tax IS NULL AND by_name IS NULL GROUP BY 1),
+  h AS (SELECT id, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || (country || ':' || name)::BLOB) AS h FROM t)
+  SELECT id, coalesce(by_tax::VARCHAR, by_name::VARCHAR, CASE WHEN f.n = 1 THEN f.entity::VARCHAR END, {_UUID}) AS entity, CASE WHEN by_tax IS NOT NULL THEN 'tax' WHEN by_name IS NOT NULL THEN 'name' WHEN f.n = 1 THEN 'fuzzy' ELSE 'minted' END AS tier
+  FROM t JOIN h USING (id) LEFT JOIN f USING (id)"""

@@ -68,3 +68,13 @@ def erase(persons: DataFrame, tables: dict[str, tuple[DataFrame, str]]) -> tuple
         n = rows.join(gone, rows[column] == F.col("_gone"), "left_semi").agg(F.count("*").alias("erased")).select(F.lit(name).alias("table"), "erased")
         counts = n if counts is None else counts.unionByName(n)
     return left, counts
+
+
+def export_universe(listings: DataFrame, path: str) -> None:
+    """listings(ticker, listing): a JSON line per ticker with the number of its distinct listings and the first of them; tickers without a name are left out."""
+    named = listings.filter("ticker IS NOT NULL AND ticker <> ''")
+    named.groupBy("ticker").agg(F.count_distinct("listing").alias("listings"), F.min("listing").alias("first")).write.mode("overwrite").json(path)
+
+
+def read_universe(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("ticker string, listings long, first long").json(path)
