@@ -217,3 +217,12 @@ def enterprise_multiples(filings: DataFrame, snapshot: DataFrame, companies: Dat
     out = out.withColumn("ev", c("market_cap") + c("net_debt"))
     of = {"market_cap": c("market_cap"), "net_debt": c("net_debt"), "ev": c("ev"), "ev_ebitda": S.safe_div(c("ev"), c("ebitda")), "ev_revenue": S.safe_div(c("ev"), c("revenue")), "ev_fcf": S.safe_div(c("ev"), c("fcf")), "ev_ebit": S.safe_div(c("ev"), c("operating_income"))}
     return out.select("company", *(S.rounded(x, 4).alias(n) for n, x in of.items()))
+
+
+def price_ages(tickers: DataFrame, prices: DataFrame, as_of: Column, fresh: int = 7, ageing: int = 30) -> DataFrame:
+    """tickers(ticker, sector): per sector how many have a newest price of at most so many days, of more, of more still, or none at all, and the share of fresh ones among those with prices."""
+    newest = prices.groupBy("ticker").agg(F.max("date").alias("_newest"))
+    age = F.datediff(as_of, F.col("_newest"))
+    n = {"fresh": age <= fresh, "ageing": (age > fresh) & (age <= ageing), "stale": age > ageing, "never": F.col("_newest").isNull()}
+    out = tickers.join(newest, "ticker", "left").groupBy("sector").agg(F.count("*").alias("tickers"), *(F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in n.items()))
+    return out.withColumn("fresh_pct", S.rounded(F.col("fresh") / F.nullif(F.col("tickers") - F.col("never"), F.lit(0)) * 100, 1))

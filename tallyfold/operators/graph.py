@@ -93,6 +93,17 @@ def degrees(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return out.withColumns({"p50": S.rounded(F.col("_p")[0], 4), "p95": S.rounded(F.col("_p")[1], 4)}).drop("_p")
 
 
+#: Classes of degrees as reports show them: name, least and most; fixed values.
+DEGREE_CLASSES = (("isolated", 0, 0), ("d1", 1, 1), ("d2_5", 2, 5), ("d6_10", 6, 10), ("d11_50", 11, 50), ("d51_100", 51, 100), ("d101_500", 101, 500), ("d501", 501, 1 << 62))
+
+
+def degree_classes(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """nodes(kind, node): per kind the nodes in each of the eight classes of degree; both ends of an edge count."""
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+    degree = F.coalesce("degree", F.lit(0))
+    return nodes.join(ends, "node", "left").groupBy("kind").agg(F.count("*").alias("nodes"), *(F.count_if(degree.between(low, high)).alias(name) for name, low, high in DEGREE_CLASSES))
+
+
 def typed_neighbourhood(edges: DataFrame, seeds: DataFrame, depth: int, kinds: list[str] | None = None, excluded: tuple[str, ...] = (), since: str | None = None, most: int = 500) -> tuple[DataFrame, DataFrame]:
     """edges(src, dst, kind, day), seeds(node): (nodes, edges) within depth of the seeds. Edges of other kinds than the wanted, of excluded kinds, and from before a day
     don't count. At most ``most`` nodes by (hops, node), and the edges between them. Each frontier is what the hop before added, so a hop reads the edges once."""

@@ -171,3 +171,17 @@ def company_profile(companies: DataFrame, contracts: DataFrame, filings: DataFra
     filed = filings.groupBy("company").agg(F.count("*").alias("years"), F.max("year").alias("newest"), F.max_by("revenue", "year").alias("revenue"))
     out = companies.join(won, "company", "left").join(filed, "company", "left")
     return out.select("company", "name", "country", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("contracts", "authorities", "years")), F.coalesce("value", F.lit(0.0)).alias("value"), "newest", "revenue")
+
+
+def outlier_months(notices: DataFrame, factor: float = 3.0, least: int = 500) -> DataFrame:
+    """Months (of pub_date) with at least so many notices whose mean value is over ``factor`` times the median of such months' means: month, n, mean."""
+    m = notices.groupBy(F.date_format("pub_date", "yyyy-MM").alias("month")).agg(F.avg("total").alias("mean"), F.count("*").alias("n")).filter(F.col("n") >= least)
+    middle = m.agg(F.percentile("mean", 0.5).alias("_middle"))  # one row, of one row a month
+    return m.crossJoin(F.broadcast(middle)).filter(F.col("mean") > factor * F.col("_middle")).select("month", "n", S.rounded("mean", 4).alias("mean"))
+
+
+def sector_totals(contracts: DataFrame, country: str | None = None, year: int | None = None, limit: int = 20) -> DataFrame:
+    """The sectors of most trusted value, of one country or year if given."""
+    rows = contracts if country is None else contracts.filter(F.col("country") == country)
+    rows = rows if year is None else rows.filter(F.year("pub_date") == year)
+    return totals(rows, "division").orderBy(F.desc("total_value"), "division").limit(limit)

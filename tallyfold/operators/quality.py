@@ -164,3 +164,13 @@ def resolver_checks(cases: DataFrame, resolved: DataFrame, duplicates: DataFrame
     )
     said = F.concat_ws(" ", F.coalesce("hint", F.lit("unanswered")), F.coalesce("got_tier", F.lit("-")))
     return rows.select("case", "expect", F.coalesce(ok, F.lit(False)).alias("ok"), said.alias("said"))
+
+
+def overdue(runs: DataFrame, cadence: DataFrame, now: Column) -> DataFrame:
+    """runs(job, started, status), cadence(job, hours): jobs whose last success is older than their cadence, or that have none: job, hours (since then, rounded; missing if never), allowed, said."""
+    last = runs.filter("status = 'success'").groupBy("job").agg(F.max("started").alias("_last"))
+    age = (F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("_last").cast("timestamp"))) / 3_600_000_000
+    rows = cadence.select("job", F.col("hours").alias("allowed")).join(last, "job", "left").withColumns({"_age": age, "hours": F.floor(age + 0.5).cast("long")})
+    late = rows.filter(F.col("_age").isNull() | (F.col("_age") > F.col("allowed")))
+    said = F.concat(F.col("job"), F.lit(" ("), F.coalesce(F.col("hours").cast("string"), F.lit("never")), F.lit("h/"), F.col("allowed").cast("string"), F.lit("h)"))
+    return late.select("job", "hours", "allowed", said.alias("said"))

@@ -25,7 +25,7 @@ def _contracts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def sector_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return procurement.totals(_contracts(spark, sf), "division").orderBy(F.desc("total_value"), "division").limit(20)
+    return procurement.sector_totals(_contracts(spark, sf))
 
 
 @query
@@ -130,9 +130,7 @@ def value_timeline(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def outlier_months(spark: SparkSession, sf: str) -> DataFrame:
     """Months whose mean value is over one and a half times the median of the months."""
-    m = notices(spark, sf).groupBy(F.date_format("pub_date", "yyyy-MM").alias("month")).agg(F.avg("total").alias("mean"), F.count("*").alias("n")).filter("n >= 30")
-    middle = m.agg(F.percentile("mean", 0.5).alias("middle"))
-    return m.crossJoin(F.broadcast(middle)).filter("mean > 1.5 * middle").select("month", "n", S.rounded("mean", 4).alias("mean"))
+    return procurement.outlier_months(notices(spark, sf), 1.5, 30)
 
 
 @query

@@ -478,6 +478,47 @@ def company_profiles(spark: SparkSession, sf: str) -> DataFrame:
     return got.select("company", "name", "country", "contracts", "authorities", "years", S.rounded("value", 0).alias("value"), F.col("newest").cast("int").alias("newest"), S.rounded("revenue", 2).alias("revenue"))
 
 
+# More panels --------------------------------------------------------------------------------------------------------
+
+@query(f"""WITH {O.EDGES}, d AS (SELECT node, count(*) AS degree FROM (SELECT src AS node FROM edges UNION ALL SELECT dst FROM edges) GROUP BY 1),
+  n AS (SELECT 'customer' AS kind, 'c' || c_custkey AS node FROM customer UNION ALL SELECT 'supplier', 's' || s_suppkey FROM supplier), k AS (SELECT kind, coalesce(degree, 0) AS d FROM n LEFT JOIN d USING (node))
+  SELECT kind, count(*) AS nodes, count(*) FILTER (d = 0) AS isolated, count(*) FILTER (d = 1) AS d1, count(*) FILTER (d BETWEEN 2 AND 5) AS d2_5, count(*) FILTER (d BETWEEN 6 AND 10) AS d6_10, count(*) FILTER (d BETWEEN 11 AND 50) AS d11_50,
+    count(*) FILTER (d BETWEEN 51 AND 100) AS d51_100, count(*) FILTER (d BETWEEN 101 AND 500) AS d101_500, count(*) FILTER (d > 500) AS d501 FROM k GROUP BY 1""")
+def degree_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers and suppliers that met in an order, by how many they met."""
+    from tallyfold.operators import graph
+
+    n = notices(spark, sf).select(F.concat(F.lit("c"), "authority").alias("src"), F.concat(F.lit("s"), "company").alias("dst")).distinct()
+    nodes = table(spark, sf, "customer").select(F.lit("customer").alias("kind"), F.concat(F.lit("c"), "c_custkey").alias("node")).unionByName(table(spark, sf, "supplier").select(F.lit("supplier").alias("kind"), F.concat(F.lit("s"), "s_suppkey").alias("node")))
+    return graph.degree_classes(n, nodes)
+
+
+@query("""WITH r AS (SELECT 'user ' || user_id AS job, ts AS started, CASE WHEN event_type = 'error' THEN 'failed' WHEN event_type = 'signup' THEN 'success' ELSE 'running' END AS status FROM events),
+  c AS (SELECT DISTINCT 'user ' || user_id AS job, 24 * (1 + user_id % 5) AS allowed FROM events UNION ALL SELECT 'idle', 240), n AS (SELECT max(ts) AS now FROM events), l AS (SELECT job, max(started) AS last FROM r WHERE status = 'success' GROUP BY 1),
+  a AS (SELECT job, allowed, (epoch_us(now) - epoch_us(last)) / 3600000000.0::DOUBLE AS age FROM c LEFT JOIN l USING (job), n)
+  SELECT job, floor(age + 0.5)::BIGINT AS hours, allowed, job || ' (' || coalesce(floor(age + 0.5)::BIGINT::VARCHAR, 'never') || 'h/' || allowed || 'h)' AS said FROM a WHERE age IS NULL OR age > allowed""")
+def overdue_jobs(spark: SparkSession, sf: str) -> DataFrame:
+    """Users as jobs, signups as successes, each with a cadence of its own, judged at the newest event; one job never ran."""
+    e = table(spark, sf, "events")
+    job = F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("job")
+    runs = e.select(job, F.col("ts").alias("started"), F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "signup", "success").otherwise("running").alias("status"))
+    cadence = e.select(job, (24 * (1 + F.col("user_id") % 5)).alias("hours")).distinct().unionByName(spark.createDataFrame([("idle", 240)], "job string, hours long"))
+    return quality.overdue(runs, cadence, F.lit(e.agg(F.max(F.col("ts").cast("timestamp"))).first()[0]))
+
+
+@query(f"""WITH {O.PRICES}, t AS (SELECT DISTINCT p_brand AS ticker, 'even' AS sector FROM part WHERE right(p_brand, 1)::INT % 2 = 0 UNION ALL SELECT DISTINCT p_brand, 'odd' FROM part WHERE right(p_brand, 1)::INT % 2 = 1 UNION ALL SELECT 'none', 'odd'),
+  a AS (SELECT sector, datediff('day', newest, DATE '1998-11-25') AS age FROM t LEFT JOIN (SELECT ticker, max(date) AS newest FROM prices GROUP BY 1) USING (ticker))
+  SELECT sector, count(*) AS tickers, count(*) FILTER (age <= 7) AS fresh, count(*) FILTER (age BETWEEN 8 AND 30) AS ageing, count(*) FILTER (age > 30) AS stale, count(*) FILTER (age IS NULL) AS never, round(count(*) FILTER (age <= 7) / nullif(count(age), 0)::DOUBLE * 100, 1) AS fresh_pct FROM a GROUP BY 1""")
+def price_ages(spark: SparkSession, sf: str) -> DataFrame:
+    """Brands as tickers in two sectors, judged at a day; one has no price."""
+    from tallyfold.operators import finance
+    from tallyfold.plans.views import prices
+
+    last = F.substring("p_brand", -1, 1).cast("int")
+    t = table(spark, sf, "part").select(F.col("p_brand").alias("ticker"), F.when(last % 2 == 0, "even").otherwise("odd").alias("sector")).distinct()
+    return finance.price_ages(t.unionByName(spark.createDataFrame([("none", "odd")], "ticker string, sector string")), prices(spark, sf), F.lit("1998-11-25").cast("date"))
+
+
 _UUID = "substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', ('0x' || substr(h, 17, 1))::INT % 4 + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12)"
 
 #: The query is an older one; this is its SQL.

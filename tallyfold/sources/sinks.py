@@ -78,3 +78,24 @@ def export_universe(listings: DataFrame, path: str) -> None:
 
 def read_universe(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("ticker string, listings long, first long").json(path)
+
+
+def headed_sheets(snapshot: DataFrame, annual: DataFrame, path: str, fields: dict[str, str]) -> None:
+    """A text file per ticker, as the spreadsheet lays it out: three rows of metadata (market, last quarter, dividend and split), the columns' names, and the years, newest first.
+
+    snapshot(ticker, price, avg_volume, current_assets, inventory, prepaid, current_liabilities, debt, equity, shares, dividend_day, dividend, split_year, split_ratio), annual(ticker, year, ...), fields:
+    shown name to column of annual. Missing figures are empty, a missing split ratio is No; a ticker without a snapshot has no file.
+    """
+    shown = lambda c: F.coalesce(I.shown_number(F.col(c).cast("double")), F.lit(""))
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    row = lambda *parts: F.concat_ws(",", *(F.lit(p) if isinstance(p, str) else p for p in parts))
+    quarter = [x for name, c in (("Cur Assets", "current_assets"), ("Inv.", "inventory"), ("PrePaidEx.", "prepaid"), ("Cur Liabi.", "current_liabilities"), ("debt", "debt"), ("equity", "equity"), ("shares", "shares")) for x in (name, shown(c))]
+    head = [
+        row("Ticker", F.col("ticker"), "Price", shown("price"), "Avg. Volume", shown("avg_volume")), row(*quarter),
+        row("Last Div", text("dividend_day"), "Amount", shown("dividend"), "Last Split", text("split_year"), "Split Ratio", F.when(F.col("split_ratio").isNull(), "No").otherwise(shown("split_ratio"))),
+        row("Year", *fields),
+    ]
+    heads = snapshot.select("ticker", F.posexplode(F.array(*head)).alias("place", "line"))
+    years = annual.join(snapshot.select("ticker").distinct(), "ticker", "left_semi").select("ticker", (F.lit(100_000) - F.col("year")).cast("int").alias("place"), row(F.col("year").cast("string"), *(shown(c) for c in fields.values())).alias("line"))
+    lines = heads.unionByName(years)
+    lines.repartition("ticker").sortWithinPartitions("ticker", "place", "line").select("ticker", "line").write.mode("overwrite").partitionBy("ticker").text(path)

@@ -276,3 +276,50 @@ def test_divisors_and_lags_are_joins(spark):
     assert "Subquery" not in plan_of(found) and "CartesianProduct" not in plan_of(found)
     lag = cube_store.lags(spark.createDataFrame([("x", 5), ("x", 9)], "stream string, seq long"), spark.createDataFrame([("r", "x", 4), ("q", "x", None), ("r", "y", 3)], "reader string, stream string, seq long"))
     assert got(lag) == [("q", "x", 9), ("r", "x", 5), ("r", "y", 0)]
+
+
+def test_sheets_have_their_heads(spark, tmp_path):
+    from tallyfold.sources import sinks
+
+    cols = "ticker string, price double, avg_volume double, current_assets double, inventory double, prepaid double, current_liabilities double, debt double, equity double, shares double, dividend_day date, dividend double, split_year int, split_ratio double"
+    snapshot = spark.createDataFrame([("A", 1.5, 1000.0, 5.0, None, 0.5, 2.0, 3.0, 4.0, 10.0, dt.date(2020, 5, 1), 0.25, None, None), ("B", None, None, None, None, None, None, None, None, None, None, None, 2019, 2.0)], cols)
+    annual = spark.createDataFrame([("A", 2019, 7.0, None), ("A", 2020, 8.25, 9.0), ("C", 2020, 1.0, 1.0)], "ticker string, year int, revenue double, earnings double")
+    sinks.headed_sheets(snapshot, annual, str(tmp_path / "s"), {"Revenue": "revenue", "Earnings": "earnings"})
+    lines = lambda t: [x for f in sorted(Path(tmp_path, "s", f"ticker={t}").glob("part-*")) for x in f.read_text().splitlines()]
+    assert lines("A") == ["Ticker,A,Price,1.50,Avg. Volume,1000", "Cur Assets,5,Inv.,,PrePaidEx.,0.50,Cur Liabi.,2,debt,3,equity,4,shares,10", "Last Div,2020-05-01,Amount,0.25,Last Split,,Split Ratio,No", "Year,Revenue,Earnings", "2020,8.25,9", "2019,7,"]
+    assert lines("B")[0] == "Ticker,B,Price,,Avg. Volume," and lines("B")[2].endswith("Last Split,2019,Split Ratio,2") and len(lines("B")) == 4
+    assert not Path(tmp_path, "s", "ticker=C").exists()
+
+
+def test_windows_periods_and_identities(spark):
+    from tallyfold.functions import scalars
+    from tallyfold.operators import listing
+
+    day = F.lit("2020-12-31").cast("date")
+    names = ["6mo", "1y", "max", "4y", "18mo", "10d", "soon", "xy", "y"]
+    row = spark.range(1).select(*(F.datediff(day, scalars.window_start(n, day)).alias(n) for n in names)).first()
+    assert list(row) == [180, 365, 36500, 1460, 540, 10, 365, 365, 365]
+    periods = spark.createDataFrame([("2019",), ("2020-Q2",), ("2018-12",), ("x",), (None,)], "p string")
+    assert got(periods.filter(scalars.kept_period(F.col("p"), 2019))) == [("2019",), ("2020-Q2",)] and periods.filter(scalars.kept_period(F.col("p"), None)).count() == 3
+    uuid = "0a1b2c3d-0000-5aaa-8bbb-cccccccccccc"
+    wanted = spark.createDataFrame([(uuid,), (uuid.upper(),), ("AAA",), ("BBB",), ("CCC",), (None,)], "id string")
+    listings = spark.createDataFrame([("AAA", uuid), ("BBB", "other")], "ticker string, company string")
+    rows = spark.createDataFrame([(uuid, 2020)], "company string, year int")
+    back = spark.createDataFrame([("BBB", 1), ("CCC", 2)], "ticker string, year int")
+    assert got(listing.by_identity(wanted, listings, rows, back).select("id", "year", "source")) == sorted([(uuid, 2020, "store"), ("AAA", 2020, "store"), ("BBB", 1, "filings"), ("CCC", 2, "filings")], key=repr)
+
+
+def test_regions_refuse_what_they_cannot_answer(spark):
+    from tallyfold.operators import regional
+
+    located = spark.createDataFrame([(1, "AA11"), (1, "AA12"), (2, "AB11"), (3, "A")], "company long, code string")
+    contracts = spark.createDataFrame([(10, 1, 5.0, True, False), (11, 1, 9.0, True, True), (12, 2, 1.0, False, False)], "contract long, company long, value double, is_current boolean, low_confidence boolean")
+    codes = spark.createDataFrame([(c,) for c in ("AA", "AB", "AC", "AA1", "AB1", "AA11", "AA12")], "code string")
+    by = lambda *a, **k: dict(regional.by_region(located, contracts, codes, *a, **k).collect())
+    assert by("companies", 0) == {"AA": 1.0, "AB": 1.0, "AC": 0.0} and by("contracts", 1) == {"AA1": 2.0, "AB1": 0.0}
+    assert by("contracts_eur", 0) == {"AA": 10.0, "AB": 0.0, "AC": 0.0}  # once for each place
+    assert by("companies", 2, scope="AA1") == {"AA11": 1.0, "AA12": 1.0}
+    assert by("companies", 0, connected=spark.createDataFrame([(2,)], "company long")) == {"AA": 0.0, "AB": 1.0, "AC": 0.0}
+    for wrong in (("companies", 4), ("money", 0), ("companies", 3)):
+        with pytest.raises(ValueError):
+            regional.by_region(located, contracts, codes, *wrong)
