@@ -38,7 +38,8 @@ def fold(events: DataFrame) -> DataFrame:
         F.max_by("deleted", F.struct("ts", "seq")).alias("is_deleted"))
 
 
-STATE = "first_seen timestamp, last_changed timestamp, last_seq long, edit_count long, is_deleted boolean"
+#: Times are kept in microseconds, which have no zone to lose.
+STATE = "first_seen long, last_changed long, last_seq long, edit_count long, is_deleted boolean"
 
 
 class Coalescing(StatefulProcessor):
@@ -56,15 +57,15 @@ class Coalescing(StatefulProcessor):
         first, last, seq, edits, deleted = self.entity.get() if self.entity.exists() else (None, None, None, 0, False)
         for r in rows:
             edits += 1
-            first = r["ts"] if first is None else min(first, r["ts"])
-            if last is None or (r["ts"], r["seq"]) > (last, seq):
-                last, seq, deleted = r["ts"], r["seq"], r["deleted"]
+            first = r["at"] if first is None else min(first, r["at"])
+            if last is None or (r["at"], r["seq"]) > (last, seq):
+                last, seq, deleted = r["at"], r["seq"], r["deleted"]
         self.entity.update((first, last, seq, edits, deleted))
         if self.keep_deleted_ms is not None:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
             if deleted:
-                self.handle.registerTimer(int(last.timestamp() * 1000) + self.keep_deleted_ms)
+                self.handle.registerTimer(last // 1000 + self.keep_deleted_ms)
         yield Row(entity=key[0], first_seen=first, last_changed=last, last_seq=seq, edit_count=edits, is_deleted=deleted)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
@@ -88,7 +89,8 @@ def coalesce_stream(spark: SparkSession, source: str, schema: str, shape, checkp
         events = shape(spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(source))
         events = events.select("entity", F.col("ts").cast("timestamp").alias("ts"), "seq", "deleted").withWatermark("ts", lateness).dropDuplicatesWithinWatermark(["entity", "seq"])
         kind = events.schema["entity"].dataType.simpleString()
-        values = events.groupBy("entity").transformWithState(Coalescing(keep_deleted_ms), f"entity {kind}, {STATE}", "append", "eventTime" if keep_deleted_ms is not None else "none")
+        events = events.withColumn("at", F.unix_micros("ts"))
+        values = _timed(events.groupBy("entity").transformWithState(Coalescing(keep_deleted_ms), f"entity {kind}, {STATE}", "append", "eventTime" if keep_deleted_ms is not None else "none"))
         out = values.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True)
         (out.format("parquet").start(changes) if changes else out.format("noop").start()).awaitTermination()
     finally:
@@ -101,4 +103,8 @@ def coalesce_stream(spark: SparkSession, source: str, schema: str, shape, checkp
 def state(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The dirty set as it stands, a row per entity, read from the state store itself."""
     values = spark.read.format("statestore").option("operatorId", "0").option("stateVarName", "entity").load(checkpoint)
-    return values.select("key.entity", "value.first_seen", "value.last_changed", "value.last_seq", "value.edit_count", "value.is_deleted")
+    return _timed(values.select("key.entity", "value.*"))
+
+
+def _timed(values: DataFrame) -> DataFrame:
+    return values.withColumns({c: F.timestamp_micros(c) for c in ("first_seen", "last_changed")})
