@@ -220,7 +220,7 @@ def search(table: DataFrame, is_query: str = "vec_id % 100 = 0", k: int = 10, ve
     filled = F.expr(f"IF(size(v) < {longest}, concat(v, array_repeat(0.0D, {longest} - size(v))), v)")
     clean = materialise(clean.withColumn("v", filled), "vectors")
     total = clean.count()
-    sample = clean.withColumn("h", F.xxhash64("v")).orderBy("h", "vec_id").limit(4 * SAMPLE).dropDuplicates(["h"]).orderBy("h").limit(SAMPLE).select("v").collect()
+    sample = clean.withColumn("h", F.xxhash64("v")).dropDuplicates(["h"]).orderBy("h").limit(SAMPLE).select("v").collect()
     router = fit(np.array([r["v"] for r in sample]), total)
 
     # Of equal vectors the k + 1 smallest ids; the limit works before the shuffle too.

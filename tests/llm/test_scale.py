@@ -59,3 +59,16 @@ def test_a_hot_band_is_dealt_anew_not_squared(spark, monkeypatch):
     same = spark.createDataFrame([(i, [1, 2, 3, 4]) for i in range(50)], "key long, bands array<long>")
     whole = blocks.refined(same.select("key", F.explode("bands").alias("band")), same, "key")
     assert {r["n"] for r in whole.groupBy("band").agg(F.count_distinct("key").alias("n")).collect()} == {50}
+
+
+def test_archive_buckets_go_by_bytes(spark, tmp_path, monkeypatch):
+    from tallyfold.llm import warc
+
+    monkeypatch.setattr(warc, "BUCKET_BYTES", 1_000)
+    pages = spark.createDataFrame([(i, f"http://h/{i}", f"{i:03d}" * 40) for i in range(200)], "page_id long, url string, html string")
+    out = str(tmp_path / "a")
+    warc.write_archive(pages, out)
+    assert spark.read.parquet(f"{out}/layout").first()["buckets"] == 24  # 24,000 bytes
+    assert warc.read_payloads(spark, out).count() == 200 and warc.read_index(spark, out).filter("record_type = 'response'").count() == 200
+    joined = warc.reconstruct(spark, out)
+    assert "ShuffledHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
