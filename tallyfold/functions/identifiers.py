@@ -84,6 +84,23 @@ def region_parent(code: Column) -> Column:
     return F.when(region_level(code) > 0, F.substring(code, F.lit(1), F.length(code) - 1))
 
 
+def region_country(code: Column) -> Column:
+    """The ISO country of a region code: its first two letters, with the statistics' own EL and UK as GR and GB; NULL where it is no region code."""
+    two = F.substring(code, 1, 2)
+    return F.when(region_level(code).isNotNull(), F.when(two == "EL", "GR").when(two == "UK", "GB").otherwise(two))
+
+
+def valid_region(code: Column, level: int | None = None) -> Column:
+    """Whether it is a region code, of that level if one is given; extra-regional codes (Z behind the country) are none."""
+    found = region_level(code)
+    return F.coalesce(found.isNotNull() & ~code.rlike("^[A-Z]{2}Z+$") & (F.lit(True) if level is None else found == level), F.lit(False))
+
+
+def first_date(*tagged: tuple[str, Column]) -> Column:
+    """The first of the columns that holds a date, as a struct (date, source), source being its tag; NULL where none does."""
+    return F.coalesce(*(F.when(date_of(c).isNotNull(), F.struct(date_of(c).alias("date"), F.lit(tag).alias("source"))) for tag, c in tagged))
+
+
 def duration_seconds(x: Column) -> Column:
     """1d, 12h, 30m, 90s; else NULL."""
     unit = F.regexp_extract(x, r"([dhms])$", 1)

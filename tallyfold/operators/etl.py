@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import UTC, datetime
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,18 @@ def triples(df: DataFrame, subject: Column, fields: dict[str, Column]) -> DataFr
     return df.select(subject.alias("subject"), F.explode(pairs).alias("t")).select("subject", "t.predicate", "t.object").filter("object IS NOT NULL")
 
 
+def edge_triples(edges: DataFrame, predicates: dict[str, str], subject: Column, target: Column, fields: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """edges(kind, ...): (triples, unmapped): a triple for each edge whose kind has a predicate; an edge with fields of its own is a node as well, named by both its ends, with a triple per field. unmapped
+    counts the edges of kinds without a predicate, which would otherwise be lost without a word."""
+    to = F.create_map(*(F.lit(x) for kv in predicates.items() for x in kv))
+    named = edges.withColumns({"subject": subject, "object": target, "predicate": F.try_element_at(to, F.col("kind"))})
+    known = named.filter("predicate IS NOT NULL AND subject IS NOT NULL AND object IS NOT NULL")
+    out = known.select("subject", "predicate", "object")
+    if fields:
+        out = out.unionByName(triples(known, F.concat_ws("/", "subject", "predicate", "object"), fields))
+    return out.distinct(), named.filter("predicate IS NULL").groupBy("kind").agg(F.count("*").alias("n"))
+
+
 def replace_entities(stored: DataFrame, incoming: DataFrame, gone: DataFrame | None = None) -> DataFrame:
     """All triples of the subjects that come in are replaced; those of gone(subject) only go."""
     touched = incoming.select("subject").unionByName(gone.select("subject")).distinct() if gone is not None else incoming.select("subject").distinct()
@@ -114,6 +128,18 @@ def registry_metrics(registry: DataFrame, metrics: DataFrame, runs_of: DataFrame
     return out.withColumns({"events": F.coalesce("events", F.lit(0)), "runs": F.coalesce("runs", F.lit(0))})
 
 
+_INTROSPECTED: dict[tuple, tuple[float, list]] = {}
+
+
+def introspect_kept(spark: SparkSession, names: list[str], seconds: float = 600.0, clock=time.monotonic) -> list[tuple[str, str, str]]:
+    """What introspect says, asked again only after so many seconds."""
+    key = (id(spark), tuple(sorted(names)))
+    at, known = _INTROSPECTED.get(key, (None, None))
+    if known is None or clock() - at >= seconds:
+        _INTROSPECTED[key] = (clock(), introspect(spark, names))
+    return _INTROSPECTED[key][1]
+
+
 def introspect(spark: SparkSession, names: list[str]) -> list[tuple[str, str, str]]:
     """(table, column, type) of tables and views that the session knows."""
     return [(t, f.name, f.dataType.simpleString()) for t in sorted(names) for f in spark.table(t).schema.fields]

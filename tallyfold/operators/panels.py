@@ -117,3 +117,13 @@ def growth(rows: DataFrame, key: str, value: str) -> DataFrame:
 def granted(rows: DataFrame, by: str, amount: Column) -> DataFrame:
     """Per group the grants and their sum; one without an amount counts, with 0."""
     return rows.groupBy(by).agg(F.count("*").alias("n"), S.rounded(F.sum(F.coalesce(amount, F.lit(0.0))), 0).alias("granted"))
+
+
+def parties(resolved: DataFrame) -> DataFrame:
+    """resolved(notice_id, place, company, name, is_winner, layer, tier, confidence, created): a row per notice, company and role (winner, named_tenderer), the first by place, with where the match came
+    from: its tier, or vat for layer 1; no confidence for a company that was made for it. Suppliers without a name can't be shown and are left out."""
+    role = F.when(F.coalesce("is_winner", F.lit(True)), "winner").otherwise("named_tenderer")
+    rows = resolved.filter("name IS NOT NULL AND name <> ''").withColumns({
+        "role": role, "match_tier": F.coalesce("tier", F.when(F.col("layer") == 1, "vat")), "match_confidence": F.when(~F.coalesce("created", F.lit(False)), F.col("confidence"))})
+    first = rows.groupBy("notice_id", "company", "role").agg(F.min_by(F.struct("name", "match_tier", "match_confidence", "layer"), "place").alias("p"), F.count("*").alias("lots"))
+    return first.select("notice_id", "company", "role", "p.name", "p.match_tier", "p.match_confidence", F.col("p.layer").alias("match_layer"), "lots")

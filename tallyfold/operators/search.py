@@ -57,3 +57,21 @@ def tiered(names: DataFrame, query: str, limit: int = 50) -> DataFrame:
     q, n = F.lit(query.lower()), F.lower("name")
     hit = names.filter(F.contains(n, q)).withColumn("tier", F.when(n == q, 4).when(n.startswith(q), 2).otherwise(0))
     return hit.select("kind", "key", "name", "tier").orderBy("kind", F.desc("tier"), F.length("name"), "name", "key").limit(limit)
+
+
+def companies(names: DataFrame, listings: DataFrame, awarded: DataFrame, query: str, limit: int = 10) -> DataFrame:
+    """names(company, name), listings(company, ticker), awarded(company): companies by a text in their name or at the start of a ticker: company, name, ticker, source, tier.
+
+    Listed ones come first, then those with contracts, then the others; in each by tier (name equal 4, ticker equal 3, name begins 2, ticker begins 1, name contains 0), shorter name, name. A company is
+    there once, by the first of these that it belongs to, with the least of its tickers. Tickers count for listed companies alone. A top-k per task, no global sort.
+    """
+    q, name, ticker = F.lit(query.lower()), F.lower("name"), F.lower("ticker")
+    contained, begun = F.contains(name, q), F.coalesce(ticker.startswith(q), F.lit(False))
+    tier = F.when(name == q, 4).when(F.coalesce(ticker == q, F.lit(False)), 3).when(name.startswith(q), 2).when(begun, 1).otherwise(0)
+    listed = names.join(listings.filter("ticker IS NOT NULL"), "company").filter(contained | begun)
+    listed = listed.groupBy("company", "name").agg(F.max(tier).alias("tier"), F.min("ticker").alias("ticker")).withColumn("source", F.lit(1))
+    rest = names.filter(contained).join(listed.select("company"), "company", "left_anti").withColumn("ticker", F.lit(None).cast("string")).withColumn("tier", tier)
+    known = awarded.select("company").distinct().withColumn("_won", F.lit(True))
+    rest = rest.join(known, "company", "left").withColumn("source", F.when(F.col("_won"), 2).otherwise(3))
+    both = listed.select("company", "name", "ticker", "source", "tier").unionByName(rest.select("company", "name", "ticker", "source", "tier"))
+    return both.orderBy("source", F.desc("tier"), F.length("name"), "name", "company").limit(limit)

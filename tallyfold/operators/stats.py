@@ -65,6 +65,12 @@ def series(observations: DataFrame, dataset: str, level: int | None = None, geo:
     return out.orderBy("geo", "year", "slice_key").limit(limit)
 
 
+def bounded_series(observations: DataFrame, dataset: str, limit: int = 100_000, **filters) -> tuple[DataFrame, bool]:
+    """series(...) with whether there are more rows than limit: one row more is asked for."""
+    got = series(observations, dataset, limit=limit + 1, **filters)
+    return got.limit(limit), got.count() > limit
+
+
 def bivariate(x: DataFrame, y: DataFrame, limit: int = 20) -> DataFrame:
     """Two measures of the same regions."""
     return x.select("geo", S.rounded("value", 4).alias("x")).join(y.select("geo", S.rounded("value", 4).alias("y")), "geo").orderBy(F.desc("x"), "geo").limit(limit)

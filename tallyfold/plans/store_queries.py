@@ -519,6 +519,67 @@ def price_ages(spark: SparkSession, sf: str) -> DataFrame:
     return finance.price_ages(t.unionByName(spark.createDataFrame([("none", "odd")], "ticker string, sector string")), prices(spark, sf), F.lit("1998-11-25").cast("date"))
 
 
+# Search, parties, edges and codes ----------------------------------------------------------------------------------
+
+@query("""WITH n AS (SELECT p_partkey AS company, p_name AS name FROM part), l AS (SELECT p_partkey AS company, 'blu' || p_size AS ticker FROM part WHERE p_partkey % 3 = 0 UNION ALL SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'blue' ELSE 'zz' || p_partkey END FROM part WHERE p_partkey % 6 = 0 OR p_partkey % 5 = 0),
+  a AS (SELECT DISTINCT l_partkey AS company FROM lineitem WHERE l_quantity > 48),
+  t AS (SELECT company, name, min(ticker) AS ticker, 1 AS source, max(CASE WHEN lower(name) = 'blue' THEN 4 WHEN lower(ticker) = 'blue' THEN 3 WHEN starts_with(lower(name), 'blue') THEN 2 WHEN starts_with(lower(ticker), 'blue') THEN 1 ELSE 0 END) AS tier FROM n JOIN l USING (company) WHERE contains(lower(name), 'blue') OR starts_with(lower(ticker), 'blue') GROUP BY ALL
+    UNION ALL SELECT company, name, NULL, CASE WHEN company IN (SELECT company FROM a) THEN 2 ELSE 3 END, CASE WHEN lower(name) = 'blue' THEN 4 WHEN starts_with(lower(name), 'blue') THEN 2 ELSE 0 END FROM n WHERE contains(lower(name), 'blue') AND company NOT IN (SELECT company FROM n JOIN l USING (company) WHERE contains(lower(name), 'blue') OR starts_with(lower(ticker), 'blue')))
+  SELECT company, name, ticker, source, tier FROM t ORDER BY source, tier DESC, length(name), name, company LIMIT 40""")
+def company_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts as companies, some listed once or twice, some with large orders: what Blue finds."""
+    from tallyfold.operators import search
+
+    p, k = table(spark, sf, "part"), F.col("p_partkey")
+    first = p.filter("p_partkey % 3 = 0").select(k.alias("company"), F.concat(F.lit("blu"), "p_size").alias("ticker"))
+    second = p.filter("p_partkey % 6 = 0 OR p_partkey % 5 = 0").select(k.alias("company"), F.when(k % 2 == 0, "blue").otherwise(F.concat(F.lit("zz"), k)).alias("ticker"))
+    won = table(spark, sf, "lineitem").filter("l_quantity > 48").select(F.col("l_partkey").alias("company"))
+    return search.companies(p.select(k.alias("company"), F.col("p_name").alias("name")), first.unionByName(second), won, "Blue", 40)
+
+
+@query("""WITH r AS (SELECT l_orderkey AS notice_id, (l_linenumber, l_partkey, l_extendedprice) AS place, l_suppkey % 20 AS company, CASE WHEN l_suppkey % 20 = 3 THEN '' ELSE 'S' || (l_partkey % 3) END AS name, l_returnflag <> 'R' AS win, l_linenumber % 3 AS layer, CASE WHEN l_linenumber = 5 THEN 'lei' END AS tier, l_discount AS confidence, l_partkey % 4 = 0 AS created FROM lineitem),
+  f AS (SELECT notice_id, company, CASE WHEN win THEN 'winner' ELSE 'named_tenderer' END AS role, min_by({'name': name, 'tier': coalesce(tier, CASE WHEN layer = 1 THEN 'vat' END), 'confidence': CASE WHEN NOT created THEN confidence END, 'layer': layer}, place) AS p, count(*) AS lots FROM r WHERE name <> '' GROUP BY ALL)
+  SELECT notice_id, company, role, p.name AS name, p.tier AS match_tier, p.confidence AS match_confidence, p.layer AS match_layer, lots FROM f""")
+def notice_parties(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines as resolved suppliers of notices: returned ones lost, some have no name, some companies were made for it."""
+    from tallyfold.operators import panels
+
+    k, n = F.col("l_partkey"), F.col("l_linenumber")
+    r = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("notice_id"), F.struct("l_linenumber", "l_partkey", "l_extendedprice").alias("place"), (F.col("l_suppkey") % 20).alias("company"), F.when(F.col("l_suppkey") % 20 == 3, "").otherwise(F.concat(F.lit("S"), k % 3)).alias("name"),
+        (F.col("l_returnflag") != "R").alias("is_winner"), (n % 3).alias("layer"), F.when(n == 5, "lei").alias("tier"), F.col("l_discount").alias("confidence"), (k % 4 == 0).alias("created"))
+    return panels.parties(r)
+
+
+@query("""WITH e AS (SELECT DISTINCT 's' || l_suppkey AS subject, CASE l_returnflag WHEN 'A' THEN 'awardedTo' WHEN 'N' THEN 'namedIn' END AS predicate, 'o' || l_orderkey AS object, l_returnflag AS kind FROM lineitem)
+  SELECT predicate, count(*) AS n FROM e WHERE predicate IS NOT NULL GROUP BY 1 UNION ALL SELECT 'kind', count(*) FROM e WHERE predicate IS NOT NULL UNION ALL SELECT 'unmapped R', count(*) FROM lineitem WHERE l_returnflag = 'R' HAVING count(*) > 0""")
+def edge_triples(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines as edges of three kinds between suppliers and orders, of which two have a predicate."""
+    from tallyfold.operators import etl
+
+    li = table(spark, sf, "lineitem").withColumn("kind", F.col("l_returnflag"))
+    known, unknown = etl.edge_triples(li, {"A": "awardedTo", "N": "namedIn"}, F.concat(F.lit("s"), "l_suppkey"), F.concat(F.lit("o"), "l_orderkey"), {"kind": F.col("kind")})
+    return known.groupBy("predicate").agg(F.count("*").alias("n")).unionByName(unknown.select(F.concat(F.lit("unmapped "), "kind").alias("predicate"), "n"))
+
+
+@query("""WITH c AS (SELECT CASE c_custkey % 6 WHEN 0 THEN 'EL' WHEN 1 THEN 'UK' || (c_custkey % 7) WHEN 2 THEN 'FRZ' WHEN 3 THEN 'de11' WHEN 4 THEN 'DE' || (c_custkey % 1000 + 1000) ELSE 'FR1' || (c_custkey % 9) END AS code,
+    CASE c_custkey % 3 WHEN 0 THEN '2020-01-0' || (c_custkey % 9 + 1) WHEN 1 THEN 'soon' END AS sent, CASE WHEN c_custkey % 2 = 0 THEN '05/06/2021' END AS published FROM customer),
+  v AS (SELECT *, regexp_matches(code, '^[A-Z]{2}[A-Z0-9]{0,3}$') AS ok FROM c)
+  SELECT code, CASE WHEN ok THEN CASE substr(code, 1, 2) WHEN 'EL' THEN 'GR' WHEN 'UK' THEN 'GB' ELSE substr(code, 1, 2) END END AS country, ok AND NOT regexp_matches(code, '^[A-Z]{2}Z+$') AS valid, ok AND length(code) = 4 AS level2,
+    CASE WHEN sent LIKE '2020%' THEN sent WHEN published IS NOT NULL THEN '2021-06-05' END AS day, CASE WHEN sent LIKE '2020%' THEN 'sent' WHEN published IS NOT NULL THEN 'published' END AS source, count(*) AS n FROM v GROUP BY ALL""")
+def tagged_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Region codes of several kinds with their country and validity, and the first date that can be read with where it is from."""
+    from tallyfold.functions import identifiers as I
+
+    k = F.col("c_custkey")
+    text = lambda c: c.cast("string")
+    code = F.when(k % 6 == 0, "EL").when(k % 6 == 1, F.concat(F.lit("UK"), text(k % 7))).when(k % 6 == 2, "FRZ").when(k % 6 == 3, "de11").when(k % 6 == 4, F.concat(F.lit("DE"), text(k % 1000 + 1000))).otherwise(F.concat(F.lit("FR1"), text(k % 9)))
+    rows = table(spark, sf, "customer").select(code.alias("code"), F.when(k % 3 == 0, F.concat(F.lit("2020-01-0"), text(k % 9 + 1))).when(k % 3 == 1, "soon").alias("sent"), F.when(k % 2 == 0, "05/06/2021").alias("published"))
+    found = I.first_date(("sent", F.col("sent")), ("published", F.col("published")))
+    out = rows.select("code", I.region_country(F.col("code")).alias("country"), I.valid_region(F.col("code")).alias("valid"), I.valid_region(F.col("code"), 2).alias("level2"), found["date"].cast("string").alias("day"), found["source"].alias("source"))
+    return out.groupBy(*out.columns).agg(F.count("*").alias("n"))
+
+
 _UUID = "substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', ('0x' || substr(h, 17, 1))::INT % 4 + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12)"
 
 #: The query is an older one; this is its SQL.

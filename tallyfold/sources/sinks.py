@@ -39,6 +39,19 @@ def spreadsheet(rows: DataFrame, path: str, key: str, fields: list[str]) -> None
     shown.repartition(key).sortWithinPartitions(key, F.desc("year")).write.mode("overwrite").option("header", True).option("emptyValue", "").partitionBy(key).csv(path)
 
 
+#: The language that names of a country are in, by ISO alpha-2; fixed values.
+COUNTRY_LANGUAGE = {
+    "AT": "de", "BE": "nl", "BG": "bg", "CY": "el", "CZ": "cs", "DE": "de", "DK": "da", "EE": "et", "ES": "es", "FI": "fi", "FR": "fr", "GR": "el", "HR": "hr", "HU": "hu", "IE": "en", "IT": "it",
+    "LT": "lt", "LU": "fr", "LV": "lv", "MT": "mt", "NL": "nl", "PL": "pl", "PT": "pt", "RO": "ro", "SE": "sv", "SI": "sl", "SK": "sk", "GB": "en",
+}
+
+
+def source_language(lang: F.Column, country: F.Column) -> F.Column:
+    """The language that is stated, else the country's, else English."""
+    known = F.create_map(*(F.lit(x) for kv in COUNTRY_LANGUAGE.items() for x in kv))
+    return F.coalesce(F.nullif(F.lower(F.trim(lang)), F.lit("")), F.try_element_at(known, F.upper(country)), F.lit("en"))
+
+
 def translation_requests(names: DataFrame, path: str, languages: list[str]) -> None:
     """names(id, name, lang) as JSON lines (id, name, source, targets): all languages but the name's own; no language counts as English."""
     source = F.coalesce("lang", F.lit("en"))

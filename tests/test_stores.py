@@ -323,3 +323,24 @@ def test_regions_refuse_what_they_cannot_answer(spark):
     for wrong in (("companies", 4), ("money", 0), ("companies", 3)):
         with pytest.raises(ValueError):
             regional.by_region(located, contracts, codes, *wrong)
+
+
+def test_kept_introspection_bounded_series_and_languages(spark):
+    from tallyfold.operators import etl, stats
+    from tallyfold.sources import sinks
+
+    spark.range(1).createOrReplaceTempView("kept_view")
+    now = [0.0]
+    ask = lambda: etl.introspect_kept(spark, ["kept_view"], 600, lambda: now[0])
+    assert ask() == [("kept_view", "id", "bigint")]
+    spark.range(1).withColumnRenamed("id", "other").createOrReplaceTempView("kept_view")
+    now[0] = 599
+    assert ask()[0][1] == "id"
+    now[0] = 600
+    assert ask()[0][1] == "other"
+    o = spark.createDataFrame([("d", "AA11", 2000 + i, "s", 1.0, {"k": "v"}) for i in range(5)], "dataset string, geo string, year int, slice_key string, value double, dims map<string, string>")
+    for limit, more in ((4, True), (5, False), (9, False)):
+        rows, truncated = stats.bounded_series(o, "d", limit, level=2)
+        assert rows.count() == min(limit, 5) and truncated == more
+    names = spark.createDataFrame([(" FR ", "DE"), (None, "gr"), ("", "XX"), (None, None)], "lang string, country string")
+    assert [r[0] for r in names.select(sinks.source_language(F.col("lang"), F.col("country"))).collect()] == ["fr", "el", "en", "en"]
