@@ -34,9 +34,9 @@ from tallyfold.llm.common import materialise, scratch_path, slices
 #: Items and terms of a group, about.
 ITEMS, TERMS = 4_096, 1 << 16
 #: Documents and postings of a shard at most, and bytes of its documents-by-terms matrix.
-SHARD_DOCS, SHARD_POSTINGS, SHARD_BYTES = 1 << 14, 1 << 22, 64 << 20
+SHARD_DOCS, SHARD_POSTINGS, SHARD_BYTES = 1 << 12, 1 << 20, 16 << 20
 #: Documents of a block, about; documents of a list that has no summary; dimensions in which documents are compared.
-BLOCK, SHORT, DIMENSIONS = 256, 16, 32
+BLOCK, SHORT, DIMENSIONS = 128, 16, 32
 #: The largest possible impact; it is cut into this many levels.
 FULL, LEVELS = 1_000_000, 255
 #: Blocks that are looked into first.
