@@ -169,3 +169,29 @@ def find_tickers(known: DataFrame, text: str, limit: int = 50) -> DataFrame:
 def lookup_keys(rows: DataFrame, known: DataFrame, key: str, found: str) -> DataFrame:
     """rows with what their key is known as (the least, if a key has several); rows without are left out. Each key is looked up once, however many rows have it."""
     return rows.join(known.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(found).alias(found)), key)
+
+
+#: Exchange codes of the listings' source and the suffixes that other sources write for the same venue; fixed values.
+VENUE_SUFFIXES = {
+    "GY": "DE", "GF": "DE", "SM": "MC", "SQ": "MC", "IM": "MI", "NA": "AS", "FP": "PA", "LN": "L", "NO": "OL", "SS": "ST", "DC": "CO", "FH": "HE", "ID": "IR", "PW": "WA", "PL": "LS",
+}
+
+
+def retirements(suspects: DataFrame, canonical: DataFrame) -> DataFrame:
+    """suspects(company, lei, ticker), canonical(lei, ticker, exchange, place): suspects that aren't canonical, with the canonical ticker that stands for them and by what: company, ticker, replacement, tier.
+
+    Tiers: symbol (the suspect without its suffix is a canonical ticker), venue (its suffix is the exchange of one, as written or by VENUE_SUFFIXES), sole (there is only one); of several the first by
+    place. A suspect whose LEI has no canonical listing, or none of these, is left alone: absence of evidence retires nothing.
+    """
+    to = F.create_map(*(F.lit(x) for kv in VENUE_SUFFIXES.items() for x in kv))
+    c = canonical.select("lei", F.col("ticker").alias("_canon"), F.nullif(F.trim("exchange"), F.lit("")).alias("_raw"), "place")
+    c = c.withColumns({"_alias": F.coalesce(F.try_element_at(to, F.col("_raw")), F.col("_raw"))})
+    s = suspects.select("company", "lei", "ticker").distinct().join(canonical.select("lei", "ticker").distinct(), ["lei", "ticker"], "left_anti")
+    dotted = F.contains("ticker", F.lit("."))
+    s = s.withColumns({"_bare": F.when(dotted, F.regexp_replace("ticker", r"\.[^.]*$", "")).otherwise(F.col("ticker")), "_suffix": F.when(dotted, F.substring_index("ticker", ".", -1))})
+    met = s.join(c, "lei")
+    by_symbol, by_venue = F.col("_canon") == F.col("_bare"), (F.col("_suffix") != "") & ((F.col("_suffix") == F.col("_raw")) | (F.col("_suffix") == F.col("_alias")))
+    best = met.groupBy("company", "lei", "ticker").agg(
+        F.min_by("_canon", F.when(by_symbol, F.col("place"))).alias("symbol"), F.min_by("_canon", F.when(by_venue, F.col("place"))).alias("venue"), F.when(F.count("*") == 1, F.min("_canon")).alias("sole"))
+    tier = F.when(F.col("symbol").isNotNull(), "symbol").when(F.col("venue").isNotNull(), "venue").when(F.col("sole").isNotNull(), "sole")
+    return best.select("company", "ticker", F.coalesce("symbol", "venue", "sole").alias("replacement"), tier.alias("tier")).filter("replacement IS NOT NULL")

@@ -580,6 +580,43 @@ def tagged_codes(spark: SparkSession, sf: str) -> DataFrame:
     return out.groupBy(*out.columns).agg(F.count("*").alias("n"))
 
 
+@query("""WITH s AS (SELECT DISTINCT c_custkey AS company, c_custkey % 90 AS lei, CASE c_custkey % 4 WHEN 0 THEN 'T' || (c_custkey % 90) || '.L' WHEN 1 THEN 'X' || c_custkey || '.DE' WHEN 2 THEN 'T' || (c_custkey % 90) ELSE 'Y' || c_custkey END AS ticker FROM customer),
+  c AS (SELECT s_suppkey % 70 AS lei, CASE WHEN s_suppkey % 3 = 0 THEN 'U' || s_suppkey ELSE 'T' || (s_suppkey % 70) END AS ticker, ['LN', 'GY', 'DE', ''][s_suppkey % 4 + 1] AS exchange, s_suppkey AS place FROM supplier WHERE s_suppkey <= 90),
+  a AS (SELECT CASE exchange WHEN 'LN' THEN 'L' WHEN 'GY' THEN 'DE' ELSE exchange END AS alias, * FROM c),
+  m AS (SELECT s.company, s.ticker, min_by(a.ticker, place) FILTER (a.ticker = split_part(s.ticker, '.', 1)) AS symbol, min_by(a.ticker, place) FILTER (contains(s.ticker, '.') AND exchange <> '' AND split_part(s.ticker, '.', 2) IN (exchange, alias)) AS venue, CASE WHEN count(*) = 1 THEN min(a.ticker) END AS sole
+    FROM s JOIN a USING (lei) WHERE (lei, s.ticker) NOT IN (SELECT (lei, ticker) FROM c) GROUP BY ALL)
+  SELECT company, ticker, coalesce(symbol, venue, sole) AS replacement, CASE WHEN symbol IS NOT NULL THEN 'symbol' WHEN venue IS NOT NULL THEN 'venue' ELSE 'sole' END AS tier FROM m WHERE coalesce(symbol, venue, sole) IS NOT NULL""")
+def retired_listings(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers with tickers of several makes against suppliers' as canonical listings."""
+    from tallyfold.operators import matching
+
+    k, n = F.col("c_custkey"), F.col("s_suppkey")
+    text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
+    ticker = F.when(k % 4 == 0, text("T", k % 90, ".L")).when(k % 4 == 1, text("X", k, ".DE")).when(k % 4 == 2, text("T", k % 90)).otherwise(text("Y", k))
+    suspects = table(spark, sf, "customer").select(k.alias("company"), (k % 90).alias("lei"), ticker.alias("ticker"))
+    canonical = table(spark, sf, "supplier").filter("s_suppkey <= 90").select((n % 70).alias("lei"), F.when(n % 3 == 0, text("U", n)).otherwise(text("T", n % 70)).alias("ticker"), F.element_at(F.array(*map(F.lit, ("LN", "GY", "DE", ""))), (n % 4 + 1).cast("int")).alias("exchange"), n.alias("place"))
+    return matching.retirements(suspects, canonical)
+
+
+@query("""SELECT lpad(c_custkey::VARCHAR, 20, 'A') AS lei, c_name AS name, CASE c_nationkey % 2 WHEN 0 THEN 'AAA' ELSE 'B1' END AS country, (c_custkey % 700)::VARCHAR AS postal_code, CASE WHEN c_custkey % 3 = 0 THEN 'F1' WHEN c_custkey % 3 = 1 THEN 'other form' END AS legal_form, c_custkey % 4 > 0 AS active, 'GENERAL' AS entity_kind,
+  'N' || c_custkey AS registered_as, c_mktsegment AS jurisdiction, 'ISSUED' AS registration_status, 'City ' || c_nationkey AS city, 'AAA' AS hq_country, CASE WHEN c_custkey % 2 = 0 THEN 'alias ' || c_custkey || ',second' END AS aliases FROM customer""")
+def read_entity_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers written as whole LEI records and read back."""
+    from tallyfold.sources import readers
+
+    k, path = F.col("c_custkey"), scratch(spark, "lei")
+    text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
+    legal = F.struct(F.lit(" ").alias("FirstAddressLine"), text("City ", F.col("c_nationkey")).alias("City"), F.when(F.col("c_nationkey") % 2 == 0, "a1").otherwise("B1").alias("Country"), (k % 700).cast("string").alias("PostalCode"))
+    entity = F.struct(
+        F.col("c_name").alias("LegalName"), F.when(k % 2 == 0, F.struct(F.array(text(" alias ", k), F.lit("second"), F.lit(" ")).alias("OtherEntityName"))).alias("OtherEntityNames"), legal.alias("LegalAddress"), F.struct(F.lit("A1").alias("Country")).alias("HeadquartersAddress"),
+        F.struct(text("N", k).alias("RegistrationAuthorityEntityID")).alias("RegistrationAuthority"), F.col("c_mktsegment").alias("LegalJurisdiction"), F.lit("GENERAL").alias("EntityCategory"),
+        F.struct(F.when(k % 3 == 0, "F1").alias("EntityLegalFormCode"), F.when(k % 3 == 1, "other form").alias("OtherLegalForm")).alias("LegalForm"), F.when(k % 4 > 0, "ACTIVE").otherwise("INACTIVE").alias("EntityStatus"))
+    rows = table(spark, sf, "customer").select(F.lpad(k.cast("string"), 20, "A").alias("LEI"), entity.alias("Entity"), F.struct(F.lit("ISSUED").alias("RegistrationStatus")).alias("Registration"))
+    rows.write.format("xml").option("rootTag", "data").option("rowTag", "LEIRecord").save(path)
+    got = readers.legal_entity_records_xml(spark, path, spark.createDataFrame([("A1", "AAA")], "alpha2 string, alpha3 string"))
+    return got.select("lei", "name", "country", "postal_code", "legal_form", "active", "entity_kind", "registered_as", "jurisdiction", "registration_status", "city", "hq_country", F.array_join("aliases", ",").alias("aliases"))
+
+
 _UUID = "substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', ('0x' || substr(h, 17, 1))::INT % 4 + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12)"
 
 #: The query is an older one; this is its SQL.

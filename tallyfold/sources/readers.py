@@ -57,6 +57,37 @@ def legal_entities_xml(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.col("LEI").alias("lei"), F.col("Entity.LegalName").alias("name"), F.col("Entity.LegalAddress.Country").alias("country"), F.col("Entity.LegalAddress.PostalCode").alias("postcode")).filter(F.length("lei") == 20)
 
 
+#: An LEI record as the file nests it; optional parts may be missing anywhere.
+_ADDRESS = "struct<FirstAddressLine: string, City: string, Region: string, Country: string, PostalCode: string>"
+LEI_RECORD = (
+    f"LEI string, Entity struct<LegalName: string, OtherEntityNames: struct<OtherEntityName: array<string>>, LegalAddress: {_ADDRESS}, HeadquartersAddress: {_ADDRESS}, "
+    "RegistrationAuthority: struct<RegistrationAuthorityID: string, RegistrationAuthorityEntityID: string>, LegalJurisdiction: string, EntityCategory: string, "
+    "LegalForm: struct<EntityLegalFormCode: string, OtherLegalForm: string>, EntityStatus: string, EntityCreationDate: string>, Registration struct<RegistrationStatus: string>"
+)
+
+
+def legal_entity_records_xml(spark: SparkSession, path: str, countries: DataFrame | None = None) -> DataFrame:
+    """Whole LEI records: identity, both addresses, form, register, jurisdiction, status, creation and other names; what a record omits stays missing, nothing is inferred. countries(alpha2, alpha3) turns
+    the file's country codes into three letters; an LEI has 20 characters, records without an entity are left out."""
+    raw = spark.read.format("xml").option("rowTag", "LEIRecord").schema(LEI_RECORD).load(path).filter((F.length("LEI") == 20) & F.col("Entity").isNotNull())
+    text = lambda c: F.nullif(F.trim(c), F.lit(""))
+    e = lambda c: text(F.col(f"Entity.{c}"))
+    names = F.filter(F.transform("Entity.OtherEntityNames.OtherEntityName", lambda n: F.trim(n)), lambda n: n != "")
+    out = raw.select(
+        F.col("LEI").alias("lei"), e("LegalName").alias("name"), e("LegalAddress.Country").alias("country"), e("LegalAddress.PostalCode").alias("postal_code"),
+        F.coalesce(e("LegalForm.EntityLegalFormCode"), e("LegalForm.OtherLegalForm")).alias("legal_form"), F.coalesce(e("EntityStatus") == "ACTIVE", F.lit(False)).alias("active"), e("EntityCategory").alias("entity_kind"),
+        e("RegistrationAuthority.RegistrationAuthorityEntityID").alias("registered_as"), e("RegistrationAuthority.RegistrationAuthorityID").alias("registered_at"), e("LegalJurisdiction").alias("jurisdiction"),
+        text(F.col("Registration.RegistrationStatus")).alias("registration_status"), e("EntityCreationDate").alias("entity_creation_date"), e("LegalAddress.FirstAddressLine").alias("address"), e("LegalAddress.City").alias("city"),
+        e("LegalAddress.Region").alias("region"), e("HeadquartersAddress.FirstAddressLine").alias("hq_address"), e("HeadquartersAddress.City").alias("hq_city"), e("HeadquartersAddress.Region").alias("hq_region"),
+        e("HeadquartersAddress.Country").alias("hq_country"), e("HeadquartersAddress.PostalCode").alias("hq_postal_code"), F.when(F.size(names) > 0, names).alias("aliases"))
+    if countries is None:
+        return out
+    for column in ("country", "hq_country"):  # a table of some 250 codes
+        known = countries.select(F.col("alpha2").alias("_a2"), F.col("alpha3").alias("_a3")).distinct()
+        out = out.join(known, F.upper(column) == F.col("_a2"), "left").withColumn(column, F.coalesce("_a3", column)).drop("_a2", "_a3")
+    return out
+
+
 def annual_facts_json(spark: SparkSession, path: str, concepts: dict[str, list[str]]) -> DataFrame:
     """Company facts to (cik, year, field, value): annual forms only, first listed concept wins, later entries overwrite earlier ones, newest ten years."""
     order = spark.createDataFrame([(f, c, i) for f, cs in concepts.items() for i, c in enumerate(cs)], "field string, concept string, priority int")
