@@ -481,15 +481,17 @@ def read_catalogue(spark: SparkSession, sf: str) -> DataFrame:
     return registers.catalogue_tsv(spark, _csv(rows, scratch(spark, "toc"), "\t")).select("code", F.col("updated").cast("string").alias("updated"))
 
 
-@query("""SELECT 'Q' || p_partkey AS qid, p_name AS title, 1000.5::DOUBLE + p_size AS budget, coalesce(CASE WHEN p_size % 2 = 0 THEN 'FR10' END, 'FR1') AS region, 'Q9' || p_partkey AS beneficiary_qid FROM part WHERE p_partkey % 10 > 0""")
+@query("""SELECT 'Q' || p_partkey AS qid, p_name AS title, 1000.5::DOUBLE + p_size AS budget, coalesce(CASE WHEN p_size % 2 = 0 THEN 'FR10' END, 'FR1') AS region, 'Q9' || p_partkey AS beneficiary_qid, CASE WHEN p_size % 3 = 0 THEN 'F' || p_size ELSE 'code' END AS fund, p_type AS programme
+  FROM part WHERE p_partkey % 10 > 0 AND p_partkey % 7 > 1""")
 def read_projects(spark: SparkSession, sf: str) -> DataFrame:
-    """Parts as funded projects; a tenth have no item, sums are written with a comma, the finest region counts."""
+    """Parts as funded projects since 2020; a tenth have no item, a seventh no date, sums are written with a comma, the finest region counts."""
     k, none = F.col("p_partkey"), F.lit(None).cast("string")
     rows = table(spark, sf, "part").select(
         F.when(k % 10 > 0, F.concat(F.lit("http://x/Q"), k)).otherwise("none").alias("Operation_Unique_Identifier"), none.alias("Operation_Name_English"), F.col("p_name").alias("Operation_Name_Programme_Language"),
-        F.concat(F.lit("1,"), F.lpad(F.col("p_size").cast("string"), 3, "0"), F.lit(".5")).alias("Total_Eligible_Expenditure_amount"), F.lit("7").alias("Project_EU_Budget"), F.lit("03/04/2020").alias("Operation_Start_Date"), none.alias("Operation_End_Date"),
+        F.concat(F.lit("1,"), F.lpad(F.col("p_size").cast("string"), 3, "0"), F.lit(".5")).alias("Total_Eligible_Expenditure_amount"), F.lit("7").alias("Project_EU_Budget"), F.when(k % 7 == 0, "03/04/2019").when(k % 7 > 1, "03/04/2020").alias("Operation_Start_Date"), none.alias("Operation_End_Date"),
+        F.when(F.col("p_size") % 3 == 0, F.concat(F.lit("F"), "p_size")).alias("Fund_Name"), F.lit("code").alias("Fund_Code"), F.col("p_type").alias("Programme_Name"),
         none.alias("NUTS3_Code"), F.when(F.col("p_size") % 2 == 0, "FR10").alias("NUTS2_Code"), F.lit("FR1").alias("NUTS1_Code"), F.lit("FR").alias("CountryCode"), F.col("p_brand").alias("Beneficiary_Name"), F.concat(F.lit("http://x/Q9"), k).alias("Beneficiary_Unique_Identifier"))
-    return registers.projects_csv(spark, _csv(rows, scratch(spark, "projects"))).select("qid", "title", "budget", "region", "beneficiary_qid")
+    return registers.projects_csv(spark, _csv(rows, scratch(spark, "projects")), "2020-01-01").select("qid", "title", "budget", "region", "beneficiary_qid", "fund", "programme")
 
 
 @query("""SELECT 'customer' AS producer, c_custkey::VARCHAR AS key, c_name AS name FROM customer""")

@@ -60,11 +60,20 @@ def sanctions_xml(spark: SparkSession, path: str) -> DataFrame:
                       F.array_min(days).alias("designated"), F.get(programmes, F.lit(0)).alias("programme")).filter("reference IS NOT NULL")
 
 
+def _cleaned_xml(spark: SparkSession, path: str, row: str, schema: str) -> DataFrame:
+    """Records of an XML file that holds control characters, which no XML parser takes: the file is cut behind each record as text, the characters go, and each record is parsed by itself."""
+    parts = spark.read.option("lineSep", f"</{row}>").text(path)
+    opened = F.regexp_extract("value", rf"(?s)(<{row}[\s>].*)$", 1)
+    records = parts.select(opened.alias("r")).filter("r <> ''").select(F.concat(F.regexp_replace("r", r"[\x00-\x08\x0B\x0C\x0E-\x1F]", ""), F.lit(f"</{row}>")).alias("r"))
+    return records.select(F.from_xml("r", schema).alias("x")).select("x.*")
+
+
 def lobbyists_xml(spark: SparkSession, path: str) -> DataFrame:
-    """(id, name, country, category, cost_low, cost_high, registered, interests): a swapped cost band is put in order, a lone lower bound is both; 0 is not given."""
+    """(id, name, country, category, cost_low, cost_high, registered, interests): a swapped cost band is put in order, a lone lower bound is both; 0 is not given.
+    Control characters in the file are taken out."""
     schema = ("identificationCode string, name struct<originalName: string>, headOffice struct<country: string, city: string>, registrationCategory string, registrationDate string, "
               "financialData struct<closedYear: struct<costs: struct<`range`: struct<min: string, max: string>>>>, interests struct<interest: array<struct<name: string>>>")
-    raw = _xml(spark, path, "interestRepresentative", schema)
+    raw = _cleaned_xml(spark, path, "interestRepresentative", schema)
     bound = lambda b: F.coalesce(F.col(f"financialData.closedYear.costs.range.{b}").try_cast("long"), F.lit(0))
     low, high = bound("min"), bound("max")
     both = (low != 0) & (high != 0)
@@ -84,8 +93,12 @@ def codes_xml(spark: SparkSession, path: str, languages: dict[str, str]) -> Data
 
 
 def projects_csv(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
-    """(qid, title, budget, grant, start, end, region, country, beneficiary, beneficiary_qid); since goes by the start, else the end; the finest region code counts."""
+    """(qid, title, budget, grant, start, end, region, country, beneficiary, beneficiary_qid, description, fund, programme); since goes by the start, else the end, and takes out what has neither;
+    the finest region code counts; columns that a file hasn't are missing."""
     raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    optional = ("Operation_Summary_English", "Operation_Summary_Programme_Language", "Fund_Name", "Fund_Code", "Programme_Name")
+    raw = raw.withColumns({c: F.lit(None).cast("string") for c in optional if c not in raw.columns})
+    first = lambda size, *cs: F.substring(F.coalesce(*(_filled(F.col(c)) for c in cs)), 1, size)
     qid = lambda c: _filled(F.regexp_extract(c, r"(Q\d+)\s*$", 1))
     money = lambda c: F.regexp_replace(c, ",", "").try_cast("double")
     day = lambda c: I.date_of(F.trim(c))
@@ -93,7 +106,8 @@ def projects_csv(spark: SparkSession, path: str, since: str | None = None) -> Da
     out = raw.select(qid("Operation_Unique_Identifier").alias("qid"), F.coalesce(_filled(F.col("Operation_Name_English")), _filled(F.col("Operation_Name_Programme_Language"))).alias("title"),
                      money("Total_Eligible_Expenditure_amount").alias("budget"), money("Project_EU_Budget").alias("grant"), day("Operation_Start_Date").alias("start"), day("Operation_End_Date").alias("end"),
                      F.coalesce(*(_filled(F.col(f"NUTS{i}_Code")) for i in (3, 2, 1))).alias("region"), _filled(F.col("CountryCode")).alias("country"),
-                     F.when(~missing_name(name), name).alias("beneficiary"), qid("Beneficiary_Unique_Identifier").alias("beneficiary_qid")).filter("qid IS NOT NULL")
+                     F.when(~missing_name(name), name).alias("beneficiary"), qid("Beneficiary_Unique_Identifier").alias("beneficiary_qid"),
+                     first(2000, "Operation_Summary_English", "Operation_Summary_Programme_Language").alias("description"), first(200, "Fund_Name", "Fund_Code").alias("fund"), first(200, "Programme_Name").alias("programme")).filter("qid IS NOT NULL")
     return out.filter(F.coalesce("start", "end") >= F.lit(since).cast("date")) if since else out
 
 

@@ -344,3 +344,12 @@ def test_kept_introspection_bounded_series_and_languages(spark):
         assert rows.count() == min(limit, 5) and truncated == more
     names = spark.createDataFrame([(" FR ", "DE"), (None, "gr"), ("", "XX"), (None, None)], "lang string, country string")
     assert [r[0] for r in names.select(sinks.source_language(F.col("lang"), F.col("country"))).collect()] == ["fr", "el", "en", "en"]
+
+
+def test_control_characters_in_a_register_are_taken_out(spark, tmp_path):
+    from tallyfold.sources import registers
+
+    record = "<interestRepresentative><identificationCode>{0}</identificationCode><name><originalName>A\x02cme\n {0}</originalName></name><headOffice><country>FR</country></headOffice></interestRepresentative>"
+    (tmp_path / "r.xml").write_text('<?xml version="1.0"?>\n<list>\n' + "\n".join(record.format(i) for i in (1, 2, 3)) + "\n</list>\n")
+    rows = registers.lobbyists_xml(spark, str(tmp_path / "r.xml")).select("id", "name", "country")
+    assert got(rows) == [(str(i), f"Acme\n {i}", "FR") for i in (1, 2, 3)]
