@@ -88,8 +88,9 @@ def legal_entity_records_xml(spark: SparkSession, path: str, countries: DataFram
     return out
 
 
-def annual_facts_json(spark: SparkSession, path: str, concepts: dict[str, list[str]]) -> DataFrame:
-    """Company facts to (cik, year, field, value): annual forms only, first listed concept wins, later entries overwrite earlier ones, newest ten years."""
+def annual_facts_json(spark: SparkSession, path: str, concepts: dict[str, list[str]], first_year: int = 1990, last_year: int | None = None) -> DataFrame:
+    """Company facts to (cik, year, field, value): annual forms only, first listed concept wins, later entries overwrite earlier ones; of a company's ten newest years, whatever they hold, those from
+    first_year to last_year (the next year) are kept, as a filing can't be about the far future."""
     order = spark.createDataFrame([(f, c, i) for f, cs in concepts.items() for i, c in enumerate(cs)], "field string, concept string, priority int")
     schema = "cik long, facts map<string, map<string, struct<units: map<string, array<struct<end: string, val: double, fy: int, fp: string, form: string>>>>>>"
     raw = spark.read.schema(schema).option("multiLine", True).json(path)
@@ -97,6 +98,6 @@ def annual_facts_json(spark: SparkSession, path: str, concepts: dict[str, list[s
     entries = concept.select("cik", "concept", F.explode("fact.units").alias("unit", "list")).select("cik", "concept", F.posexplode("list").alias("place", "e"))
     annual = entries.filter(F.col("e.form").isin("10-K", "20-F", "40-F") & (F.col("e.fp") == "FY")).select("cik", "concept", "place", F.substring("e.end", 1, 4).try_cast("int").alias("year"), "e.val")
     best = Window.partitionBy("cik", "field", "year").orderBy("priority", F.desc("place"))
-    newest = Window.partitionBy("cik", "field").orderBy(F.desc("year"))
+    newest = Window.partitionBy("cik").orderBy(F.desc("year"))
     ranked = annual.join(F.broadcast(order), "concept").withColumn("n", F.row_number().over(best)).filter("n = 1")
-    return ranked.withColumn("n", F.dense_rank().over(newest)).filter("n <= 10").select("cik", "year", "field", F.col("val").alias("value"))
+    return ranked.withColumn("n", F.dense_rank().over(newest)).filter("n <= 10").filter(F.col("year").between(F.lit(first_year), F.lit(last_year) if last_year else F.year(F.current_date()) + 1)).select("cik", "year", "field", F.col("val").alias("value"))

@@ -353,3 +353,16 @@ def test_control_characters_in_a_register_are_taken_out(spark, tmp_path):
     (tmp_path / "r.xml").write_text('<?xml version="1.0"?>\n<list>\n' + "\n".join(record.format(i) for i in (1, 2, 3)) + "\n</list>\n")
     rows = registers.lobbyists_xml(spark, str(tmp_path / "r.xml")).select("id", "name", "country")
     assert got(rows) == [(str(i), f"Acme\n {i}", "FR") for i in (1, 2, 3)]
+
+
+def test_facts_of_the_far_future_are_no_filings(spark, tmp_path):
+    import json
+
+    from tallyfold.sources import readers
+
+    entry = lambda year, val, form="10-K", fp="FY": {"end": f"{year}-12-31", "val": val, "fy": year, "fp": fp, "form": form}
+    facts = {"cik": 7, "facts": {"us-gaap": {"Revenues": {"units": {"USD": [entry(y, y * 1.0) for y in (*range(2008, 2021), 2113)] + [entry(2020, 5.0), entry(2019, 9.0, "10-Q"), entry(2018, 9.0, fp="Q1")]}}, "Assets": {"units": {"USD": [entry(2012, 1.0), entry(2011, 1.0)]}}}}}
+    (tmp_path / "f.json").write_text(json.dumps(facts))
+    rows = {(r["field"], r["year"]): r["value"] for r in readers.annual_facts_json(spark, str(tmp_path / "f.json"), {"revenue": ["Revenues"], "assets": ["Assets"]}).collect()}
+    # The ten newest years are 2113 and 2012 to 2020; the first of them isn't plausible, and 2011 isn't among them.
+    assert rows == {("revenue", y): y * 1.0 for y in range(2012, 2020)} | {("revenue", 2020): 5.0, ("assets", 2012): 1.0}
