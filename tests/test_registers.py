@@ -129,7 +129,7 @@ def test_xml_registers(spark, folder):
 def test_text_registers(spark, folder):
     head = "Operation_Unique_Identifier,Operation_Name_English,Operation_Name_Programme_Language,Total_Eligible_Expenditure_amount,Project_EU_Budget,Operation_Start_Date,Operation_End_Date,NUTS3_Code,NUTS2_Code,NUTS1_Code,CountryCode,Beneficiary_Name,Beneficiary_Unique_Identifier\n"
     f = folder("k.csv", head + 'http://x/Q12,,"Pont, neuf","1,000.5",7,03/04/2020,,,FR10,FR1,FR,nan,http://x/Q9\nnone,a,b,1,1,,,,,,FR,B,\n')
-    assert got(registers.projects_csv(spark, f, "2020-01-01").drop("start", "end")) == [("Q12", "Pont, neuf", 1000.5, 7.0, "FR10", "FR", None, "Q9")]
+    assert got(registers.projects_csv(spark, f, "2020-01-01").drop("start", "end")) == [("Q12", "Pont, neuf", 1000.5, 7.0, "FR10", "FR", None, "Q9", None, None, None)]
     assert got(registers.isins_csv(spark, folder("i.csv", "LEI,ISIN\nA,X\nB,Y\n"), spark.createDataFrame([("A",)], "lei string"))) == [("A", "X")]
     with pytest.raises(ValueError):
         registers.isins_csv(spark, folder("j.csv", "ISIN,LEI\nA,X\n"))
