@@ -4,7 +4,7 @@ Terms are maximal runs of ASCII letters, digits and anything beyond ASCII, A-Z f
 length, an item's score the sum of term weight times impact (see ``search``).
 
 The index has shards of whole documents. In a shard each term's posting list is clustered by the similarity of its documents (projections of their impact vectors, each document to the nearest of
-evenly spread members of the list), and every cluster is a block with a summary: per term the largest impact in the block, in 255ths of the largest possible impact, rounded up. A block's bound for an
+evenly spread members of the list), and every cluster is a block with a summary: per term the largest impact in the block, in 63rds of the largest possible impact, rounded up. A block's bound for an
 item is the item's weights times that summary, never less than the score of any of its documents; lists of at most ``SHORT`` documents have no summary and are always looked into. For an item only
 lists without which the score to beat could be reached are opened, their blocks by falling bound, and a block is left out only when its bound is below the tenth best score. That score comes from a first round
 over all shards, in which every item looks into the best blocks only; the second round is complete. Documents that are looked at are scored exactly from their whole vectors.
@@ -18,6 +18,7 @@ terms or hits give no rows; empty tables give no rows; other columns are left ou
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import math
 from collections import Counter
@@ -34,11 +35,13 @@ from tallyfold.llm.common import materialise, scratch_path, slices
 #: Items and terms of a group, about.
 ITEMS, TERMS = 4_096, 1 << 16
 #: Documents and postings of a shard at most, and bytes of its documents-by-terms matrix.
-SHARD_DOCS, SHARD_POSTINGS, SHARD_BYTES = 1 << 12, 1 << 20, 16 << 20
+SHARD_DOCS, SHARD_POSTINGS, SHARD_BYTES = 1 << 10, 1 << 18, 4 << 20
 #: Documents of a block, about; documents of a list that has no summary; dimensions in which documents are compared.
-BLOCK, SHORT, DIMENSIONS = 128, 16, 32
+BLOCK, SHORT, DIMENSIONS = 64, 16, 32
 #: The largest possible impact; it is cut into this many levels.
-FULL, LEVELS = 1_000_000, 255
+FULL, LEVELS = 1_000_000, 63
+#: Bytes of a row group of the index, and rows of it that Spark decodes at once.
+ROW_GROUP, ROWS_AT_ONCE = 8 << 20, 1
 #: Blocks that are looked into first.
 FIRST = 4
 
@@ -160,7 +163,8 @@ def write_index(counted: DataFrame, path: str, width: int, documents: int, lengt
         if postings:
             yield out()
 
-    counted.mapInArrow(run, INDEX).write.parquet(path)
+    # A row is a shard of some megabytes, so row groups are small.
+    counted.mapInArrow(run, INDEX).write.option("parquet.block.size", ROW_GROUP).parquet(path)
 
 
 class Shard:
@@ -266,10 +270,22 @@ def _round(index: DataFrame, sent, floors: dict[int, int], k: int, complete: boo
 
     found = index.mapInArrow(run, "q long, doc_id long, score long")
     place = F.row_number().over(Window.partitionBy("q").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last()))
-    with bounded(spark, rows=1):
+    with bounded(spark, rows=1), few_rows_decoded(spark):
         return materialise(found.withColumn("rank", place).filter(F.col("rank") <= k), "ranked")
 
 
+@contextlib.contextmanager
+def few_rows_decoded(spark) -> Iterator[None]:
+    """Parquet rows are decoded so few at a time, for the actions within the block: a row of the index is large."""
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(ROWS_AT_ONCE))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _answer(docs: DataFrame, items: list[tuple[int, list[bytes]]], k: int, text: str, doc_id: str) -> DataFrame:
     """The ranked documents of one group of items."""
     spark = docs.sparkSession

@@ -39,7 +39,7 @@ def brute_ranking(texts, items, k=10):
     return out
 
 
-@pytest.mark.parametrize(("block", "short", "shard"), [(256, 16, 1 << 14), (4, 1, 64), (2, 0, 1 << 14)])
+@pytest.mark.parametrize(("block", "short", "shard"), [(64, 16, 1 << 10), (4, 1, 64), (2, 0, 1 << 10)])
 def test_search_like_brute_force(spark, monkeypatch, block, short, shard):
     monkeypatch.setattr(lexical, "BLOCK", block)
     monkeypatch.setattr(lexical, "SHORT", short)
