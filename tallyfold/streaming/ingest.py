@@ -39,8 +39,9 @@ def load_new(new: DataFrame, path: str, keys: list[str], load: int) -> None:
 
 
 def load_stream(spark: SparkSession, source: str, schema: str, shape, path: str, keys: list[str], checkpoint: str, event_time: str, lateness: str = "30 days", files: int = 100) -> None:
-    """Load all new files of a folder. What comes again within ``lateness`` of event time is left out by the stream's own state, anything older by the join with the loaded keys; a
-    micro-batch that is run again replaces what it wrote."""
+    """Load all new files of a folder. What comes again within ``lateness`` of event time is left out by the stream's own state, what other loads or a stream before have brought by the join
+    with the loaded keys; a micro-batch that is run again replaces what it wrote. A row that is later than ``lateness`` is left out even if it is new, as the state can't tell any more: choose it to cover
+    the source's delays, or load such rows with load_new."""
     rows = shape(spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(source))
     once = rows.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(keys)
     started = once.writeStream.foreachBatch(lambda batch, number: load_new(batch, path, keys, number)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
