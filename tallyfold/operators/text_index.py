@@ -24,8 +24,10 @@ def write_index(docs: DataFrame, path: str, fields: list[str], key: str, attribu
     """
     each = None
     for place, field in enumerate(fields):
-        words = tokens(field)
-        one = docs.select(F.col(key).alias("key"), *attributes, F.lit(place).alias("_field"), F.size(F.coalesce(words, F.array())).alias("_words"), F.explode(words).alias("term"))
+        # The words are counted below the explosion; beside it they would be cut from the text anew for every word.
+        cut = docs.select(F.col(key).alias("key"), *attributes, F.coalesce(tokens(field), F.array()).alias("_cut"))
+        sized = cut.select("key", *attributes, F.size("_cut").alias("_words"), "_cut")
+        one = sized.select("key", *attributes, F.lit(place).alias("_field"), "_words", F.explode("_cut").alias("term"))
         each = one if each is None else each.unionByName(one)
     counts = [F.count_if(F.col("_field") == i).cast("int").alias(f"tf{i}") for i in range(len(fields))]
     sizes = [F.max(F.when(F.col("_field") == i, F.col("_words"))).alias(f"n{i}") for i in range(len(fields))]
