@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm.common import batches, materialise
 
-#: Bytes of payload in a bucket, about: one task reads a bucket.
-BUCKET_BYTES = 256 << 20
+#: Bytes of payload and records in a bucket, about: one task reads a bucket, and holds the headers of its responses (some 500 bytes each) in a hash table.
+BUCKET_BYTES, BUCKET_ROWS = 256 << 20, 200_000
 LEAST_BYTES = 0
 HEADER_SCHEMA = "sha256 string, response boolean, header binary"
 PAYLOAD_SCHEMA = "sha256 string, payload binary"
@@ -89,9 +89,9 @@ def write_archive(pages: DataFrame, out: str, least_bytes: int = LEAST_BYTES, ht
     headers = typed.select("sha256", (F.col("record_type") == "response").alias("response"), _header(stamp).alias("header"))
     headers.write.mode("overwrite").parquet(f"{out}/headers")
     # One copy of each content: the aggregation keeps one payload per content and map task before the shuffle, which deals them as the buckets are.
-    # So many buckets that none holds over BUCKET_BYTES on average, and as many at least as a shuffle has parts.
-    total = pages.agg(F.coalesce(F.sum(F.octet_length(html)), F.lit(0))).first()[0]
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
+    # So many buckets that none holds over BUCKET_BYTES or BUCKET_ROWS on average, and as many at least as a shuffle has parts.
+    total, count = pages.agg(F.coalesce(F.sum(F.octet_length(html)), F.lit(0)), F.count("*")).first()
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES), -(-count // BUCKET_ROWS))
     stored, name = rows.select("sha256", "payload").dropDuplicates(["sha256"]), f"tallyfold_{uuid.uuid4().hex}"
     stored.write.mode("overwrite").option("compression", "zstd").option("path", f"{out}/payloads").bucketBy(buckets, "sha256").saveAsTable(name)
     spark.sql(f"DROP TABLE {name}")  # the name only; the files stay
@@ -122,6 +122,8 @@ def reconstruct(spark: SparkSession, path: str, with_payload_of_revisits: bool =
     """Per record: page_id, sha256, record (exact WARC bytes). Responses are joined with their payloads; revisits are records without payload, or filled from the store if so wanted."""
     headers = read_headers(spark, path).select("page_id", "sha256", "response", "header")
     filled = headers if with_payload_of_revisits else headers.filter("response")
+    if not with_payload_of_revisits:  # one header for each content; revisits may be any number, and are sorted
+        filled = filled.hint("shuffle_hash")
     whole = read_payloads(spark, path).join(filled, "sha256").select("page_id", "sha256", F.concat(F.col("header"), "payload", F.lit(END)).alias("record"))
     if with_payload_of_revisits:
         return whole
@@ -154,7 +156,7 @@ def check_responses(records: DataFrame) -> DataFrame:
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """Per record, from its header bytes: page_id, record_type, refers_to; and of the full payload, from the rebuilt response records: payload_bytes, payload_digest."""
     headers = read_headers(spark, path).select("page_id", "sha256", "record_type", "refers_to")
-    responses = read_payloads(spark, path).join(read_headers(spark, path).filter("response").select("sha256", "header"), "sha256")
+    responses = read_payloads(spark, path).join(read_headers(spark, path).filter("response").select("sha256", "header").hint("shuffle_hash"), "sha256")
     with batches(spark):
         contents = materialise(check_responses(responses.select("sha256", F.concat(F.col("header"), "payload", F.lit(END)).alias("record"))), "contents")
     return headers.join(contents.dropDuplicates(["sha256"]), "sha256").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -70,5 +70,8 @@ def test_archive_buckets_go_by_bytes(spark, tmp_path, monkeypatch):
     warc.write_archive(pages, out)
     assert spark.read.parquet(f"{out}/layout").first()["buckets"] == 24  # 24,000 bytes
     assert warc.read_payloads(spark, out).count() == 200 and warc.read_index(spark, out).filter("record_type = 'response'").count() == 200
-    joined = warc.reconstruct(spark, out)
-    assert "ShuffledHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" not in plan(warc.reconstruct(spark, out, with_payload_of_revisits=True)) and "ShuffledHashJoin" in plan(warc.reconstruct(spark, out))
+    monkeypatch.setattr(warc, "BUCKET_ROWS", 5)
+    warc.write_archive(pages, str(tmp_path / "b"))
+    assert spark.read.parquet(f"{tmp_path}/b/layout").first()["buckets"] == 40  # 200 records
