@@ -12,22 +12,57 @@ NAMESPACE = "6ba7b810-9dad-11d1-80b4-00c04fd430c8"
 FUZZY_LEAST = 0.90
 
 
-def near_names(xs: DataFrame, ys: DataFrame) -> DataFrame:
-    """xs(x, country), ys(y, country): all (x, y, country) of at least FUZZY_LEAST Levenshtein similarity by the longer name, each once.
+#: Edits up to which names are paired by their forms with that many characters left out; a name of 29 characters has 436 of them.
+DELETED = 2
+
+
+def _shortened(name: str, edits: str) -> F.Column:
+    """Distinct forms of a name with up to edits (0 to DELETED) characters left out."""
+    without = lambda s: f"transform(sequence(1, length({s})), _i -> concat(left({s}, _i - 1), substr({s}, _i + 1)))"
+    one = without(name)
+    two = f"flatten(transform({one}, _s -> if(_s = '', array(_s), {without('_s').replace('_i', '_j')})))"
+    return F.expr(f"array_distinct(CASE {edits} WHEN 0 THEN array({name}) WHEN 1 THEN concat(array({name}), {one}) ELSE concat(array({name}), {one}, {two}) END)")
+
+
+def _near_short(xs: DataFrame, ys: DataFrame) -> DataFrame:
+    """Candidates whose longer name allows at most DELETED edits: names that many edits apart have a form in common, however much of their text all names share.
+
+    A pair belongs to the edits of its longer name, a tenth of its length. A name can be the shorter one of a pair that allows one edit more; the characters
+    that it lacks there are edits already, so it leaves out fewer.
+    """
+    def forms(names: DataFrame, name: str) -> DataFrame:
+        k = f"CAST(length({name}) DIV 10 AS INT)"
+        edits = F.explode(F.expr(f"IF(length({name}) + {k} + 1 >= 10 * ({k} + 1), array({k}, {k} + 1), array({k}))"))
+        sized = names.select("country", name, edits.alias("edits")).filter(F.col("edits") <= DELETED).withColumn("out", F.expr(f"edits - greatest(0, 10 * edits - length({name}))"))
+        return sized.select("country", name, "edits", F.explode(_shortened(name, "out")).alias("form")).select("country", name, "edits", F.xxhash64("form").alias("form"))
+
+    return forms(xs, "x").join(forms(ys, "y"), ["country", "edits", "form"]).select("x", "y", "country")
+
+
+def _near_long(xs: DataFrame, ys: DataFrame) -> DataFrame:
+    """Candidates whose longer name allows more edits than DELETED.
 
     Within a tenth of the longer length, y has at most len(y) div 9 edits, so of one piece more than that at least one is in x unchanged, moved by no
     more places than there are edits. Pieces that most names of a country share make most of its pairs candidates.
     """
+    shortest = 10 * (DELETED + 1)
     cut = {"start": F.expr("CAST(i * y_len DIV (y_len DIV 9 + 1) AS INT)"), "size": F.expr("CAST((i + 1) * y_len DIV (y_len DIV 9 + 1) - i * y_len DIV (y_len DIV 9 + 1) AS INT)")}
     pieces = F.explode(F.expr("sequence(0, CAST(y_len DIV 9 AS INT))"))
-    y = ys.filter("y <> ''").distinct().withColumn("y_len", F.length("y")).withColumn("i", pieces).withColumns(cut)
+    # The longer name has the shortest length at least, the other one nine tenths of it.
+    y = ys.withColumn("y_len", F.length("y")).filter(F.col("y_len") >= shortest - shortest // 10).withColumn("i", pieces).withColumns(cut)
     y = y.select("country", "y_len", "i", "y", F.expr("substring(y, start + 1, size)").alias("piece"))
-    x = xs.filter("x <> ''").distinct().withColumn("x_len", F.length("x"))
-    x = x.withColumn("y_len", F.explode(F.expr("sequence(CAST(x_len - x_len DIV 10 AS INT), CAST(10 * x_len DIV 9 AS INT))"))).withColumn("i", pieces).withColumns(cut)
+    x = xs.withColumn("x_len", F.length("x")).filter(F.col("x_len") >= shortest - shortest // 10)
+    x = x.withColumn("y_len", F.explode(F.expr("sequence(CAST(x_len - x_len DIV 10 AS INT), CAST(10 * x_len DIV 9 AS INT))"))).filter(F.greatest("x_len", "y_len") >= shortest).withColumn("i", pieces).withColumns(cut)
     x = x.withColumn("most", F.expr("CAST(greatest(x_len, y_len) DIV 10 AS INT)")).withColumn("at", F.explode(F.expr("sequence(start - most, start + most)")))
     x = x.filter("at >= 0 AND at + size <= x_len").select("country", "y_len", "i", "x", F.expr("substring(x, at + 1, size)").alias("piece")).distinct()
+    return x.join(y, ["country", "y_len", "i", "piece"]).select("x", "y", "country")
+
+
+def near_names(xs: DataFrame, ys: DataFrame) -> DataFrame:
+    """xs(x, country), ys(y, country): all (x, y, country) of at least FUZZY_LEAST Levenshtein similarity by the longer name, each once."""
+    x, y = xs.filter("x <> ''").distinct(), ys.filter("y <> ''").distinct()
     score = 1 - F.levenshtein("x", "y") / F.greatest(F.length("x"), F.length("y"))
-    return x.join(y, ["country", "y_len", "i", "piece"]).filter(score >= FUZZY_LEAST).select("x", "y", "country").distinct()
+    return _near_short(x, y).unionByName(_near_long(x, y)).filter(score >= FUZZY_LEAST).select("x", "y", "country").distinct()
 
 
 def cascade(wanted: DataFrame, known: DataFrame) -> DataFrame:
