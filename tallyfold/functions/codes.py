@@ -83,7 +83,7 @@ def comparable(value: Column) -> Column:
     """Form in which values of two stores are compared: a number with at most four digits behind the point, else the trimmed text."""
     text = F.trim(value.cast("string"))
     number = text.try_cast("double")
-    shown = F.regexp_replace(F.regexp_replace(F.format_string("%.4f", number), "0+$", ""), r"\.$", "")
+    shown = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.format_string("%.4f", number), "0+$", ""), r"\.$", ""), "^-0$", "0")
     return F.when(text.rlike(r"^[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?$"), shown).otherwise(text)
 
 

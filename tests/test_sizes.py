@@ -22,3 +22,61 @@ def test_near_names_of_all_lengths(spark):
     score = 1 - F.levenshtein("x", "y") / F.greatest(F.length("x"), F.length("y"))
     want = sorted(map(tuple, x.join(y, "country").filter(score >= resolve.FUZZY_LEAST).select("x", "y", "country").collect()))
     assert sorted(map(tuple, resolve.near_names(x, y).collect())) == want
+
+
+def test_paths_meet_from_both_ends(spark):
+    from tallyfold.operators import graph
+
+    # A star with 300 leaves beside a chain: a walk from one end alone would reach all leaves from each leaf.
+    edges = spark.createDataFrame([("hub", f"leaf{i}") for i in range(300)] + [("a", "b"), ("b", "c"), ("c", "d"), ("d", "e"), ("e", "f")], "src string, dst string")
+    pairs = spark.createDataFrame([("leaf1", "leaf2"), ("leaf1", "hub"), ("a", "e"), ("a", "d"), ("a", "f"), ("a", "a"), ("a", "hub"), ("e", "a")], "src string, dst string")
+    got = {(r.src, r.dst): r.hops for r in graph.shortest_paths(edges, pairs, 4).collect()}
+    assert got == {("leaf1", "leaf2"): 2, ("leaf1", "hub"): 1, ("a", "e"): 4, ("a", "d"): 3, ("a", "a"): 0, ("e", "a"): 4}
+
+
+def test_store_differences_state_one_rule(spark, tmp_path):
+    import duckdb
+
+    from tallyfold.plans import ledger_queries as L
+
+    balances = [-0.0, 1.00005, 1.000049999, -0.00000005, 12.34, 0.0]
+    rows = [(i, f"Customer#{i}", 0, b, "S") for i, b in zip((1, 2, 3, 4, 5, 6), balances, strict=True)]
+    path = f"{tmp_path}/customer.parquet"
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").coalesce(1).write.parquet(path)
+    got = sorted(map(tuple, L.store_differences(spark, str(tmp_path)).collect()))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW customer AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    assert got == sorted(con.sql(L.ORACLE_SQL["store_differences"]).fetchall()) == [(3, "c_acctbal")]
+
+
+def test_xml_is_dealt_to_files(spark, tmp_path, monkeypatch):
+    from tallyfold.plans import ledger_queries as L
+
+    monkeypatch.setattr(L, "RECORDS_PER_FILE", 100)
+    path = L._xml(spark.range(0, 1000, 1, 1), f"{tmp_path}/x", "Row")
+    assert len(list((tmp_path / "x").glob("part-*"))) == 10
+    assert spark.read.format("xml").option("rowTag", "Row").schema("id long").load(path).agg(F.count_distinct("id")).first()[0] == 1000
+
+
+def test_cube_joins_its_lines_once(spark, sf, monkeypatch):
+    from tallyfold.plans import ledger_queries as L
+
+    names = []
+    real = L.kept
+    monkeypatch.setattr(L, "kept", lambda df, name: names.append(name) or real(df, name))
+    plan = L.read_cube(spark, sf)._jdf.queryExecution().toString()
+    assert names == ["observations"] and "lineitem" not in plan
+
+
+def test_index_counts_words_where_it_cuts_them(spark, tmp_path, monkeypatch):
+    from tallyfold.operators import text_index
+
+    plans = []
+    frame = type(spark.range(1))
+    real = frame.sortWithinPartitions
+    monkeypatch.setattr(frame, "sortWithinPartitions", lambda self, *c, **k: plans.append(self._jdf.queryExecution().executedPlan().toString()) or real(self, *c, **k))
+    docs = spark.createDataFrame([(1, "a b a", "c"), (2, None, "a")], "k long, t string, u string")
+    text_index.write_index(docs, f"{tmp_path}/i", ["t", "u"], "k")
+    assert plans[0].count("Exchange hashpartitioning") == 2 and "hashpartitioning(term" not in plans[0]
+    got = {(r.term, r.key, r.tf0, r.n0, r.tf1, r.n1) for r in spark.read.parquet(f"{tmp_path}/i/postings").collect()}
+    assert got == {("a", 1, 2, 3, 0, None), ("b", 1, 1, 3, 0, None), ("c", 1, 0, None, 1, 1), ("a", 2, 0, None, 1, 1)}
