@@ -218,10 +218,10 @@ def accounting_identity(spark: SparkSession, sf: str) -> DataFrame:
     return quality.broken_identity(f, "stated", "liabilities", "equity")
 
 
-@query("""WITH b AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN upper(c_name) ELSE c_name END AS c_name, CASE WHEN c_custkey % 15 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal FROM customer WHERE c_custkey % 7 > 0)
-  SELECT a.c_custkey, CASE WHEN b.c_custkey IS NULL THEN 'missing_right' WHEN a.c_name <> b.c_name THEN 'c_name' WHEN a.c_acctbal <> b.c_acctbal THEN 'c_acctbal' END AS difference FROM customer a LEFT JOIN b USING (c_custkey) WHERE difference IS NOT NULL""")
+@query("""WITH b AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN upper(c_name) ELSE ' ' || c_name END AS c_name, CASE WHEN c_custkey % 15 = 0 THEN c_acctbal + 1 ELSE c_acctbal + 1e-7::DOUBLE END AS c_acctbal FROM customer WHERE c_custkey % 7 > 0)
+  SELECT a.c_custkey, CASE WHEN b.c_custkey IS NULL THEN 'missing_right' WHEN trim(a.c_name) IS DISTINCT FROM trim(b.c_name) THEN 'c_name' WHEN a.c_acctbal::VARCHAR::DECIMAL(38, 4) IS DISTINCT FROM b.c_acctbal::VARCHAR::DECIMAL(38, 4) THEN 'c_acctbal' END AS difference FROM customer a LEFT JOIN b USING (c_custkey) WHERE difference IS NOT NULL""")
 def store_differences(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers against a mirror with missing rows, changed names and balances: the first field that differs."""
+    """Customers against a mirror with missing rows, changed names and balances, padded names and balances a ten millionth off: the first field whose trimmed text, or number to four digits, differs."""
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
     b = c.filter("c_custkey % 7 > 0").withColumns({"c_name": F.when(F.col("c_custkey") % 10 == 0, F.upper("c_name")).otherwise(F.concat(F.lit(" "), "c_name")), "c_acctbal": F.when(F.col("c_custkey") % 15 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal") + 1e-7)})
     return quality.first_difference(c, b, "c_custkey", ["c_name", "c_acctbal"])
