@@ -359,13 +359,18 @@ def kept_results(spark: SparkSession, sf: str) -> DataFrame:
 
 # Readers and writers -----------------------------------------------------------------------------------------------
 
+#: Records of an XML file at most: some tens of MB.
+RECORDS_PER_FILE = 50_000
+
+
 def _csv(df: DataFrame, path: str, sep: str = ",") -> str:
     df.write.option("header", True).option("sep", sep).csv(path)
     return path
 
 
 def _xml(df: DataFrame, path: str, row: str) -> str:
-    df.write.format("xml").option("rootTag", "data").option("rowTag", row).save(path)
+    """An XML file is read by one task, whatever its size, so the records are dealt to files that don't grow with the table."""
+    df.write.format("xml").option("rootTag", "data").option("rowTag", row).option("maxRecordsPerFile", RECORDS_PER_FILE).save(path)
     return path
 
 

@@ -10,6 +10,7 @@ from tallyfold.operators import catalogue, cube_store, listing, money, procureme
 from tallyfold.plans import oracles as O
 from tallyfold.plans.ledger_queries import ORACLE_SQL as LEDGER_SQL
 from tallyfold.plans.ledger_queries import QUERIES as LEDGER
+from tallyfold.plans.ledger_queries import _xml
 from tallyfold.plans.views import notices, observations, regions, scratch, table
 from tallyfold.sources import artifacts
 from tallyfold.streaming import ingest
@@ -612,8 +613,7 @@ def read_entity_records(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(text("N", k).alias("RegistrationAuthorityEntityID")).alias("RegistrationAuthority"), F.col("c_mktsegment").alias("LegalJurisdiction"), F.lit("GENERAL").alias("EntityCategory"),
         F.struct(F.when(k % 3 == 0, "F1").alias("EntityLegalFormCode"), F.when(k % 3 == 1, "other form").alias("OtherLegalForm")).alias("LegalForm"), F.when(k % 4 > 0, "ACTIVE").otherwise("INACTIVE").alias("EntityStatus"))
     rows = table(spark, sf, "customer").select(F.lpad(k.cast("string"), 20, "A").alias("LEI"), entity.alias("Entity"), F.struct(F.lit("ISSUED").alias("RegistrationStatus")).alias("Registration"))
-    rows.write.format("xml").option("rootTag", "data").option("rowTag", "LEIRecord").save(path)
-    got = readers.legal_entity_records_xml(spark, path, spark.createDataFrame([("A1", "AAA")], "alpha2 string, alpha3 string"))
+    got = readers.legal_entity_records_xml(spark, _xml(rows, path, "LEIRecord"), spark.createDataFrame([("A1", "AAA")], "alpha2 string, alpha3 string"))
     return got.select("lei", "name", "country", "postal_code", "legal_form", "active", "entity_kind", "registered_as", "jurisdiction", "registration_status", "city", "hq_country", F.array_join("aliases", ",").alias("aliases"))
 
 
