@@ -11,6 +11,7 @@ from tallyfold.operators import etl, finance, matching, procurement, quality, se
 from tallyfold.plans import oracles as O
 from tallyfold.plans.views import filings, filings_full, notices, observations, scratch, table
 from tallyfold.sources import readers, registers, sinks
+from tallyfold.sources.scratch import kept
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -377,7 +378,7 @@ def _xml(df: DataFrame, path: str, row: str) -> str:
 @query(f"""WITH {O.OBSERVATIONS} SELECT dataset, geo, year::INT AS year, slice_key, value FROM observations WHERE value IS NOT NULL""")
 def read_cube(spark: SparkSession, sf: str) -> DataFrame:
     """Each dataset's observations written as a wide statistics file (periods as columns, ``:`` for what is missing) and read back, whatever the number of periods."""
-    every, out = observations(spark, sf), None
+    every, out = kept(observations(spark, sf), "observations"), None  # a mean per cell: the lines are joined once, not once for each dataset
     years = [r[0] for r in every.select("year").distinct().orderBy("year").collect()]  # a file's header: it is one line
     for (dataset,) in every.select("dataset").distinct().orderBy("dataset").collect():
         o = every.filter(F.col("dataset") == dataset)
