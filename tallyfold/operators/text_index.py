@@ -20,15 +20,14 @@ def write_index(docs: DataFrame, path: str, fields: list[str], key: str, attribu
     """Under path: postings(term, key, attributes, and per field its frequency and number of words), partitioned by the bucket of the term and sorted by term in each file, and
     terms(term, documents), partitioned alike. A row of docs is one document; null and empty fields have no words; the attributes are for filters.
 
-    A text's words are counted before anything is shuffled, and the postings of a frequent word are dealt to several files, so no task gets all of them.
+    The texts are dealt by their key, so a text's words are counted where they are cut and only the counts are shuffled; the postings of a frequent word are dealt to several files, so no task
+    gets all of them.
     """
-    each = None
-    for place, field in enumerate(fields):
-        # The words are counted below the explosion; beside it they would be cut from the text anew for every word.
-        cut = docs.select(F.col(key).alias("key"), *attributes, F.coalesce(tokens(field), F.array()).alias("_cut"))
-        sized = cut.select("key", *attributes, F.size("_cut").alias("_words"), "_cut")
-        one = sized.select("key", *attributes, F.lit(place).alias("_field"), "_words", F.explode("_cut").alias("term"))
-        each = one if each is None else each.unionByName(one)
+    dealt_texts = docs.select(F.col(key).alias("key"), *attributes, *(F.col(f).alias(f"_text{i}") for i, f in enumerate(fields))).repartition("key")
+    # The words are cut below the explosion; beside it they would be cut from the text anew for every word.
+    cut = dealt_texts.select("key", *attributes, *(F.coalesce(tokens(f"_text{i}"), F.array()).alias(f"_cut{i}") for i in range(len(fields))))
+    tagged = lambda i: F.transform(f"_cut{i}", lambda w: F.struct(F.lit(i).alias("_field"), F.size(f"_cut{i}").alias("_words"), w.alias("term")))
+    each = cut.select("key", *attributes, F.explode(F.concat(*map(tagged, range(len(fields))))).alias("_w")).select("key", *attributes, "_w.*")
     counts = [F.count_if(F.col("_field") == i).cast("int").alias(f"tf{i}") for i in range(len(fields))]
     sizes = [F.max(F.when(F.col("_field") == i, F.col("_words"))).alias(f"n{i}") for i in range(len(fields))]
     postings = each.groupBy("term", "key", *attributes).agg(*counts, *sizes).withColumn("bucket", bucket_of("term", buckets))
