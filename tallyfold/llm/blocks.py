@@ -1,24 +1,63 @@
 """Sets that share a bucket, compared in blocks: no task gets a whole large bucket, and pairs are compared in numpy without becoming rows.
 
-Buckets of more than ``HOT`` sets are first dealt anew by further bands (``refined``), so only sets that agree on several bands stay together. A bucket is cut into blocks by hash, each of at most about ``ROWS`` sets and ``ITEMS`` items (a longer set is a block of its own); every two blocks of a bucket, and each block with
+Buckets of more than ``HOT`` sets are first dealt anew by parts of the sets of which alike ones have one in common (``parted``), which loses no pair; ``refined`` deals them by further bands instead, which may. A bucket is cut into blocks by hash, each of at most about ``ROWS`` sets and ``ITEMS`` items (a longer set is a block of its own); every two blocks of a bucket, and each block with
 itself, meet in one group. Within a group, one side's items are a sorted list with their owners, so a set's shares with all others cost a bisection and a count.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import materialise
+from tallyfold.llm.common import batches, materialise
+from tallyfold.llm.mph import mixed
 
 ROWS = 1_024
 ITEMS = 500_000
 #: Rows of a bucket that is dealt anew, and how often.
 HOT, LEVELS = 4 * ROWS, 3
+#: Sizes of a level grow by half; the first ends here.
+FIRST_LEVEL = 12
+
+
+def level_ends(most: int) -> list[int]:
+    ends = [FIRST_LEVEL]
+    while ends[-1] < most:
+        ends.append(ends[-1] * 3 // 2)
+    return ends
+
+
+def part_hashes(items: np.ndarray, percent: int) -> np.ndarray:
+    """The hashes (int64) that a set of distinct shingle hashes (uint64) is put under."""
+    n = len(items)
+    differ = n * (100 - percent) // percent
+    if not differ:  # only an equal set can link
+        return np.zeros(0, np.int64)
+    ends, out = level_ends(n), []
+    while 100 * n >= percent * (ends[-1] + 1):  # a set of the next level may link
+        ends.append(ends[-1] * 3 // 2)
+    spread, weights = mixed(items, 1), mixed(items, 2)
+    for at, end in enumerate(ends):
+        if end < n:
+            continue
+        parts = 2 * end * (100 - percent) // (100 + percent) + 1
+        part = (spread % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        starts = np.flatnonzero(np.diff(part[order], prepend=-1))
+        filled, sums = part[order][starts], np.add.reduceat(weights[order], starts)
+        names = (np.uint64(at + 1) << np.uint64(32)) + np.arange(parts, dtype=np.uint64)
+        own = mixed(sums ^ mixed(names[filled], 3), 4)
+        if len(own) > differ:
+            own = own[: differ + 1]
+        else:
+            own = np.append(own, mixed(mixed(np.delete(names, filled), 5), 6))
+        out.append(own)
+    return np.concatenate(out).view(np.int64)
 
 
 class Postings:
@@ -66,6 +105,33 @@ def refined(rows: DataFrame, bands: DataFrame, key: str, bucket: str = "band") -
     return done
 
 
+def parted(rows: DataFrame, sets: DataFrame, key: str, items: str, tenths: int, bucket: str = "band") -> DataFrame:
+    """rows(bucket, key, ...), sets(key, items): the rows, where those of buckets of over HOT rows are under new buckets, in which any two of them meet that are alike in at least so many tenths and unequal
+    or of four items and more. No such pair is lost, however large the bucket was; equal sets of fewer than four items don't meet.
+
+    A crowded key is once under each of its parts (``part_hashes``), whatever crowded buckets it was in; what shares a part is named by its smallest key, so rows with the same company in many parts are few.
+    A part that very many sets share stays whole."""
+    others = [c for c in rows.columns if c not in (key, bucket)]
+    sizes = rows.groupBy(bucket).agg(F.count("*").alias("_n"))
+    hot = materialise(sizes.filter(F.col("_n") > HOT).select(bucket), "hot")
+    if hot.limit(1).count() == 0:
+        return rows
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            lists = batch.column(items)
+            out = [part_hashes(lists[i].values.to_numpy(zero_copy_only=False).view(np.uint64), 10 * tenths) for i in range(len(batch))]
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(out, pa.list_(pa.int64()))], [key, "_parts"])
+
+    crowd = materialise(rows.join(hot, bucket, "left_semi").select(key, *others).dropDuplicates([key]), "crowd")
+    with batches(rows.sparkSession):
+        under = materialise(sets.join(crowd.select(key), key, "left_semi").select(key, items).mapInArrow(run, f"{key} long, _parts array<long>"), "parts")
+    under = under.select(key, F.explode("_parts").alias("_part"))
+    heads = under.groupBy("_part").agg(F.min(key).alias("_head"), F.max(key).alias("_last")).filter("_head < _last").select("_part", "_head")
+    met = under.join(heads, "_part").select(F.xxhash64(F.lit(13), "_head").alias(bucket), key).distinct()
+    return rows.join(hot, bucket, "left_anti").select(bucket, key, *others).unionByName(met.join(crowd, key).select(bucket, key, *others))
+
+
 def compare_in_blocks(rows: DataFrame, bucket: str, key: str, items: str, compare: Callable[[pd.DataFrame, pd.DataFrame, bool], pd.DataFrame], schema: str) -> DataFrame:
     """rows: a bucket, a bigint key and an array of distinct bigints each. compare(left, right, same) gets the rows of two blocks of a bucket, once for every two
     blocks; same tells that both are one block."""

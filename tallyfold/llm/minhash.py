@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.blocks import Postings, compare_in_blocks, refined
+from tallyfold.llm.blocks import Postings, compare_in_blocks, parted
 from tallyfold.llm.common import batches as bounded
 from tallyfold.llm.common import materialise, slices
 
@@ -208,8 +208,8 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
 def near_pairs(docs: DataFrame, threshold: float = SIMILARITY, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """(members, pairs): members(doc_id, class) has a row per document; a class is all texts of one shingle set, named by the set's hash, whatever their ids.
-    pairs(a, b, jaccard), a < b, links classes of at least the threshold (in tenths) that share a band; copies are never paired with each other. A band that very many classes share is dealt anew by further
-    bands, then compared in blocks, so a common band is no one task's. Texts without words are one class without links."""
+    pairs(a, b, jaccard), a < b, links classes of at least the threshold (in tenths) that share a band; copies are never paired with each other. A band that very many classes share is dealt anew by
+    parts of the sets, of which alike ones have one in common, then compared in blocks, so a common band is no one task's and no pair of it is lost. Texts without words are one class without links."""
     with bounded(docs.sparkSession):
         prints = materialise(fingerprints(docs, text, doc_id), "minhash")
     keyed = prints.withColumn("class", F.xxhash64("shingle_set"))
@@ -217,7 +217,7 @@ def near_pairs(docs: DataFrame, threshold: float = SIMILARITY, text: str = "text
     width, tenths = PERMUTATIONS // BANDS * 8, round(threshold * 10)
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring(F.col("fingerprint"), i * width + 1, F.lit(width))))
     classes_bands = classes.filter(F.size("set") > 0).select("class", band.alias("bands"))
-    dealt = refined(classes_bands.select("class", F.explode("bands").alias("band")), classes_bands, "class")
+    dealt = parted(classes_bands.select("class", F.explode("bands").alias("band")), classes.select("class", "set"), "class", "set", tenths)
     banded = dealt.join(classes.select("class", "set"), "class")
 
     def compare(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:

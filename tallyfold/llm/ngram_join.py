@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.llm.blocks import part_hashes
 from tallyfold.llm.common import batches as bounded
 from tallyfold.llm.common import materialise, slices
 from tallyfold.llm.components import components
@@ -35,47 +36,10 @@ from tallyfold.llm.simhash import shingle_hashes
 WORDS, PERCENT = 3, 90
 #: Sets and shingles of a shard, about.
 SHARD_ROWS, SHARD_ITEMS = 1_024, 500_000
-#: Sizes of a level grow by half; the first ends here.
-FIRST_LEVEL = 12
 #: Weighs a probe against a merged element when the long lists are chosen.
 MU = 0.0085
 
 
-def level_ends(most: int) -> list[int]:
-    ends = [FIRST_LEVEL]
-    while ends[-1] < most:
-        ends.append(ends[-1] * 3 // 2)
-    return ends
-
-
-def part_hashes(items: np.ndarray, percent: int) -> np.ndarray:
-    """The hashes (int64) that a set of distinct shingle hashes (uint64) is put under."""
-    n = len(items)
-    differ = n * (100 - percent) // percent
-    if not differ:  # only an equal set can link
-        return np.zeros(0, np.int64)
-    ends, out = level_ends(n), []
-    while 100 * n >= percent * (ends[-1] + 1):  # a set of the next level may link
-        ends.append(ends[-1] * 3 // 2)
-    spread, weights = mixed(items, 1), mixed(items, 2)
-    for at, end in enumerate(ends):
-        if end < n:
-            continue
-        parts = 2 * end * (100 - percent) // (100 + percent) + 1
-        part = (spread % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        starts = np.flatnonzero(np.diff(part[order], prepend=-1))
-        filled, sums = part[order][starts], np.add.reduceat(weights[order], starts)
-        names = (np.uint64(at + 1) << np.uint64(32)) + np.arange(parts, dtype=np.uint64)
-        own = mixed(sums ^ mixed(names[filled], 3), 4)
-        if len(own) > differ:
-            own = own[: differ + 1]
-        else:
-            own = np.append(own, mixed(mixed(np.delete(names, filled), 5), 6))
-        out.append(own)
-    return np.concatenate(out).view(np.int64)
-
-
 class Index:
     """An inverted index over sets: the sets that hold a shingle, as a sorted list."""
 

@@ -12,8 +12,8 @@ emits all its pairs, and no link is lost.
 
 Where shingles count once (``repeats=False``), texts whose shingle sets have a Jaccard similarity of ``LIKE`` or more link as well, as two bits are far tighter
 than that. Candidates share one of 16 bands of four MinHash values, which misses a pair of similarity 0.8 with a chance of 0.0002, and are confirmed on the
-sets. In each bucket of a band the texts are first held against one of them; buckets that texts of different groups are left in are then compared whole, in blocks, each
-pair within one task and without becoming a row.
+sets. In each bucket of a band the texts are first held against one of them; buckets that texts of different groups are left in are then compared in blocks, each
+pair within one task and without becoming a row. Very large ones are dealt by parts of the sets first, so that all their pairs that are alike still meet.
 
 Defined cases: a text without words (or null) has fingerprint zero and links like any other; fewer words than a shingle make one shingle of the
 whole sequence; repeated rows stay and share their group; a null doc_id takes part, but never names a group unless all its members are null;
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.blocks import Postings, compare_in_blocks, refined
+from tallyfold.llm.blocks import Postings, compare_in_blocks, parted
 from tallyfold.llm.common import batches, materialise, slices, unsigned_hex
 from tallyfold.llm.components import components
 from tallyfold.llm.minhash import BANDS, PERMUTATIONS, signatures
@@ -265,8 +265,8 @@ def likeness_links(docs: DataFrame, prints: DataFrame, edges: DataFrame, size: i
     tried = met.select(low.alias("l"), high.alias("h")).select(F.col("l.text_hash").alias("x"), F.col("h.text_hash").alias("y"), F.col("l.fp").alias("a"), F.col("h.fp").alias("b")).distinct()
     with batches(spark):
         found = materialise(confirmed(tried, sets), "found")
-    # Then what is left in different components, in blocks.
-    mixed = refined(in_buckets(buckets.drop("component"), edges.unionByName(found)), texts.select("text_hash", "bands"), "text_hash")
+    # Then what is left in different components, in blocks. Equal sets have one fingerprint, so they are in one component.
+    mixed = parted(in_buckets(buckets.drop("component"), edges.unionByName(found)), sets, "text_hash", "set", LIKE)
     rest = mixed.join(sets, "text_hash").select("band", "text_hash", "fp", "component", "set")
     more = materialise(compare_in_blocks(rest, "band", "text_hash", "set", _join_components, "a long, b long").distinct(), "found")
     return found.unionByName(more)

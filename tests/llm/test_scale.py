@@ -75,3 +75,28 @@ def test_archive_buckets_go_by_bytes(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "BUCKET_ROWS", 5)
     warc.write_archive(pages, str(tmp_path / "b"))
     assert spark.read.parquet(f"{tmp_path}/b/layout").first()["buckets"] == 40  # 200 records
+
+
+def test_a_hot_band_loses_no_likeness(spark, monkeypatch):
+    """Texts whose only common band is one that all texts have still link, in likeness_links and in near_pairs' buckets."""
+    from tallyfold.llm import simhash
+
+    monkeypatch.setattr(blocks, "ROWS", 8)
+    monkeypatch.setattr(blocks, "HOT", 16)
+    rng = random.Random(5)
+    texts = []
+    for i in range(40):
+        words = [f"w{rng.random()}" for _ in range(60)]
+        texts += [" ".join(words), " ".join([*words[:-4], "x", "y", "z", f"end{i}"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [set(simhash.shingle_hashes(t, 5, False).tolist()) for t in texts]
+    want = {(i, j) for i in range(len(sets)) for j in range(i) if 10 * len(sets[i] & sets[j]) >= simhash.LIKE * len(sets[i] | sets[j])}
+    assert len(want) == 40
+    prints = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("doc_id").alias("fp"), F.lit(56).cast("long").alias("shingles"), F.array(F.lit(7).cast("long")).alias("bands"))
+    none = spark.createDataFrame([], "a long, b long")
+    found = {(max(r), min(r)) for r in simhash.likeness_links(docs, prints, none, 5).collect()}
+    assert found == want
+    listed = spark.createDataFrame([(i, [x - (1 << 64) if x >> 63 else x for x in sorted(s)]) for i, s in enumerate(sets)], "key long, set array<long>")
+    dealt = blocks.parted(listed.select("key", F.lit(7).cast("long").alias("band")), listed, "key", "set", 8)
+    met = {(r["x"], r["y"]) for r in dealt.alias("x").join(dealt.alias("y"), "band").filter("x.key > y.key").select(F.col("x.key").alias("x"), F.col("y.key").alias("y")).collect()}
+    assert want <= met and len(met) < len(sets) ** 2 / 8
