@@ -80,3 +80,15 @@ def test_index_counts_words_where_it_cuts_them(spark, tmp_path, monkeypatch):
     assert plans[0].count("Exchange hashpartitioning") == 2 and "hashpartitioning(term" not in plans[0]
     got = {(r.term, r.key, r.tf0, r.n0, r.tf1, r.n1) for r in spark.read.parquet(f"{tmp_path}/i/postings").collect()}
     assert got == {("a", 1, 2, 3, 0, None), ("b", 1, 1, 3, 0, None), ("c", 1, 0, None, 1, 1), ("a", 2, 0, None, 1, 1)}
+
+
+def test_contracts_are_dealt_by_their_number(spark, sf, monkeypatch):
+    from tallyfold.plans import queries as Q
+    from tallyfold.plans import views
+    from tallyfold.sources import scratch
+
+    n = views.lines(spark, sf)
+    want = sorted(map(tuple, Q.collapse_modifications(spark, sf).collect()))
+    monkeypatch.setattr(scratch, "ROWS_PER_TASK", n // 11)
+    got = Q.collapse_modifications(spark, sf)
+    assert got.rdd.getNumPartitions() in (11, 12) and sorted(map(tuple, got.collect())) == want
