@@ -11,8 +11,9 @@ from tallyfold.plans import oracles as O
 from tallyfold.plans.ledger_queries import ORACLE_SQL as LEDGER_SQL
 from tallyfold.plans.ledger_queries import QUERIES as LEDGER
 from tallyfold.plans.ledger_queries import _xml
-from tallyfold.plans.views import notices, observations, regions, scratch, table
+from tallyfold.plans.views import lines, notices, observations, regions, scratch, table
 from tallyfold.sources import artifacts
+from tallyfold.sources.scratch import dealt
 from tallyfold.streaming import ingest
 
 QUERIES: dict = {}
@@ -475,7 +476,7 @@ def company_profiles(spark: SparkSession, sf: str) -> DataFrame:
 
     s, n = table(spark, sf, "supplier"), table(spark, sf, "nation")
     companies = s.join(n, s.s_nationkey == n.n_nationkey).select(F.col("s_suppkey").alias("company"), F.col("s_name").alias("name"), F.col("n_name").alias("country"))
-    got = procurement.company_profile(companies, procurement.collapse_modifications(notices(spark, sf)), filings(spark, sf))
+    got = procurement.company_profile(companies, dealt(procurement.collapse_modifications(notices(spark, sf)), lines(spark, sf), "company"), filings(spark, sf))
     return got.select("company", "name", "country", "contracts", "authorities", "years", S.rounded("value", 0).alias("value"), F.col("newest").cast("int").alias("newest"), S.rounded("revenue", 2).alias("revenue"))
 
 
