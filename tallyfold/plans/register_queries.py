@@ -10,7 +10,7 @@ from tallyfold.functions import scalars as S
 from tallyfold.operators import folding, graph, matching, panels, procurement, quality
 from tallyfold.plans import oracles as O
 from tallyfold.plans.queries import _trade_edges
-from tallyfold.plans.views import filings, notices, table
+from tallyfold.plans.views import filings, lines, notices, table
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -213,7 +213,7 @@ def duplicate_decisions(spark: SparkSession, sf: str) -> DataFrame:
 def merged_nodes(spark: SparkSession, sf: str) -> DataFrame:
     """Customers merged by tens: their suppliers."""
     c = table(spark, sf, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("node"), F.concat(F.lit("c"), F.expr("c_custkey div 10")).alias("canonical"))
-    return graph.merge_nodes(_trade_edges(spark, sf), c).groupBy("src").agg(F.count("*").alias("partners"))
+    return graph.merge_nodes(_trade_edges(spark, sf), c, lines(spark, sf)).groupBy("src").agg(F.count("*").alias("partners"))
 
 
 @query("""WITH n AS (SELECT 0 AS tier, s_name AS name, s_acctbal AS v FROM supplier WHERE s_acctbal > 5000 UNION ALL SELECT 1, s_name, s_acctbal FROM supplier UNION ALL SELECT 2, c_name, c_acctbal FROM customer)

@@ -92,3 +92,19 @@ def test_contracts_are_dealt_by_their_number(spark, sf, monkeypatch):
     monkeypatch.setattr(scratch, "ROWS_PER_TASK", n // 11)
     got = Q.collapse_modifications(spark, sf)
     assert got.rdd.getNumPartitions() in (11, 12) and sorted(map(tuple, got.collect())) == want
+
+
+def test_khop_lists_and_parts(spark, monkeypatch):
+    from tallyfold.operators import graph
+
+    monkeypatch.setattr(graph, "LIST", 4)
+    # A hub's neighbours come in several lists; walks of one seed that end alike leave a batch once.
+    edges = spark.createDataFrame([("hub", f"n{i}") for i in range(50)] + [(f"n{i}", f"m{i % 3}") for i in range(50)] + [("m0", "hub")], "src string, dst string")
+    got = {(r.seed, r.node): r.hops for r in graph.khop(edges, spark.createDataFrame([("m1",), ("hub",), ("alone",)], "node string"), 2).collect()}
+    want = {("alone", "alone"): 0, ("m1", "m1"): 0, ("m1", "hub"): 2, ("hub", "hub"): 0, ("hub", "m0"): 1, ("hub", "m1"): 2, ("hub", "m2"): 2}
+    want |= {("m1", f"n{i}"): 1 for i in range(50) if i % 3 == 1} | {("hub", f"n{i}"): 1 for i in range(50)}
+    assert got == want
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"seed": pa.array([1, 1, 2]), "part": pa.array([0, 0, 0], pa.int32()), "hops": pa.array([1, 1, 1], pa.int32()), "near": pa.array([[5, 6], [6, 7], [6]])})
+    assert next(graph._once(iter([batch]))).column("near").to_pylist() == [[5, 6, 7], [6]]
