@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.functions import identifiers as I
+from tallyfold.sources.scratch import kept
 
 #: Fixed value: days that an answer's date and the register's may differ.
 DAYS_APART = 45
+#: Words of the runs that needles are looked up by.
+RUNS = (1, 2, 4, 8)
 
 
 def _probed(needles: DataFrame, hay: DataFrame, parts: str) -> DataFrame:
@@ -17,8 +25,12 @@ def _probed(needles: DataFrame, hay: DataFrame, parts: str) -> DataFrame:
     A needle contained in a text shares all its parts with it, so also the one that the fewest texts have. One key per needle: no pair is made of
     frequent parts, unless a needle has nothing else. A needle with a part that no text has finds nothing and goes.
     """
-    wanted = needles.select("n_id", F.explode(parts).alias("part"))
-    held = hay.select("h_id", F.explode(parts).alias("part")).join(wanted.select("part").distinct(), "part", "left_semi")
+    return _met(needles.select("n_id", F.explode(parts).alias("part")), hay.select("h_id", F.explode(parts).alias("part")))
+
+
+def _met(wanted: DataFrame, held: DataFrame) -> DataFrame:
+    """wanted(n_id, part), held(h_id, part) as pairs that share the needle's rarest part."""
+    held = held.join(wanted.select("part").distinct(), "part", "left_semi")
     known = held.groupBy("part").agg(F.count("*").alias("n"))
     rare = wanted.join(known, "part", "left").groupBy("n_id").agg(F.min_by("part", F.struct(F.coalesce("n", F.lit(0)), "part")).alias("part"))
     return rare.join(held, "part").select("n_id", "h_id")
@@ -29,17 +41,56 @@ def _grams(x, size: int):
     return F.when(F.length(x) >= size, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(x) - size + 1), lambda i: F.substring(x, i, F.lit(size))))).otherwise(F.array().cast("array<string>"))
 
 
+def _runs(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """rows(key, words): (key, part), a hash for each run of size words; fewer words have none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
+        for batch in batches:
+            words = batch.column("words")
+            coded = pc.dictionary_encode(words.flatten())
+            h = np.array([xxh64_intdigest(w) for w in coded.dictionary.to_pylist()], dtype=np.uint64)[coded.indices.to_numpy()]
+            owner = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False))
+            n = len(h) - size + 1
+            if n < 1:
+                continue
+            part = np.zeros(n, dtype=np.uint64)
+            for k in range(size):
+                part = part * np.uint64(0x9E3779B97F4A7C15) + h[k : n + k]
+            whole = owner[:n] == owner[size - 1 :]
+            yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(owner[:n][whole])), pa.array(part[whole].view(np.int64))], [key, "part"])
+
+    rows = rows.select(key, "words")
+    return rows.mapInArrow(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, part long")
+
+
 def contained(needles: DataFrame, hay: DataFrame, size: int = 3) -> DataFrame:
     """needles(n_id, text), hay(h_id, text): distinct (n_id, h_id) where the normal text of the needle is a part of the other's; empty needles find nothing.
 
-    The inner words of a needle of three words or more are whole words of the text, so the rarest one finds the candidates. The ends of a needle may be
+    The inner words of a needle of three words or more are whole words of the text, in that order, so the rarest run of them, of up to eight words, finds the candidates. The ends of a needle may be
     parts of words: shorter needles go by their longest word, looked up by runs of up to size characters in the vocabulary first. Candidates are confirmed on
     the texts.
     """
-    n = needles.select("n_id", I.normal_text(F.col("text")).alias("t")).filter("t <> ''").withColumn("words", F.split("t", " "))
-    h = hay.select("h_id", I.normal_text(F.col("text")).alias("t"))
-    words = h.select("h_id", F.array_distinct(F.split("t", " ")).alias("parts"))
-    pairs = _probed(n.filter(F.size("words") > 2).select("n_id", F.expr("slice(words, 2, size(words) - 2)").alias("parts")), words, "parts")
+    n = kept(needles.select("n_id", I.normal_text(F.col("text")).alias("t")).filter("t <> ''").withColumn("words", F.split("t", " ")), "needles")
+    # Words are written too: an expression over all places of a text would cut it anew for each.
+    h = kept(hay.select("h_id", I.normal_text(F.col("text")).alias("t")).withColumn("words", F.split("t", " ")), "hay")
+    words = h.select("h_id", F.array_distinct("words").alias("parts"))
+    # Runs as long as the needle has, of RUNS: a run of words is far rarer than any one of them.
+    inner = n.filter(F.size("words") > 2).select("n_id", F.expr("slice(words, 2, size(words) - 2)").alias("words"))
+    longest = F.lit(1)
+    for k in RUNS:
+        longest = F.when(F.size("words") >= k, F.lit(k)).otherwise(longest)
+    inner = inner.withColumn("run", longest)
+    pairs = None
+    for k in sorted(r["run"] for r in inner.select("run").distinct().collect()):  # at most as many numbers as RUNS
+        held = _runs(h, "h_id", k)
+        wanted = kept(_runs(inner.filter(F.col("run") == k), "n_id", k).distinct(), "wanted")
+        held = kept(held.join(wanted.select("part").distinct(), "part", "left_semi"), "held")
+        found = _met(wanted, held)
+        pairs = found if pairs is None else pairs.unionByName(found)
+    if n.filter(F.size("words") <= 2).limit(1).count() == 0:
+        return _confirmed(pairs, n, h) if pairs is not None else n.select("n_id").crossJoin(h.select("h_id").limit(0))
     short = n.filter(F.size("words") <= 2).select("n_id", F.array_max(F.transform("words", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"].alias("w"))
     held = words.select("h_id", F.explode("parts").alias("word"))
     vocabulary = held.select(F.col("word").alias("h_id")).distinct()
@@ -47,8 +98,14 @@ def contained(needles: DataFrame, hay: DataFrame, size: int = 3) -> DataFrame:
         some = short.filter(F.length("w") == k) if k < size else short.filter(F.length("w") >= k)
         found = _probed(some.select("n_id", _grams(F.col("w"), k).alias("parts")), vocabulary.select("h_id", _grams(F.col("h_id"), k).alias("parts")), "parts")
         inside = found.withColumnRenamed("h_id", "word").join(some, "n_id").filter(F.col("word").contains(F.col("w"))).select("n_id", "word")
-        pairs = pairs.unionByName(inside.join(held, "word").select("n_id", "h_id"))
-    both = pairs.distinct().join(n.select("n_id", F.col("t").alias("n_t")), "n_id").join(h.withColumnRenamed("t", "h_t"), "h_id")
+        found = inside.join(held, "word").select("n_id", "h_id")
+        pairs = found if pairs is None else pairs.unionByName(found)
+    return _confirmed(pairs, n, h)
+
+
+def _confirmed(pairs: DataFrame, n: DataFrame, h: DataFrame) -> DataFrame:
+    """The pairs where the needle's text is a part of the other's."""
+    both = pairs.distinct().join(n.select("n_id", F.col("t").alias("n_t")), "n_id").join(h.select("h_id", F.col("t").alias("h_t")), "h_id")
     return both.filter(F.col("h_t").contains(F.col("n_t"))).select("n_id", "h_id").distinct()
 
 

@@ -108,3 +108,21 @@ def test_khop_lists_and_parts(spark, monkeypatch):
 
     batch = pa.RecordBatch.from_pydict({"seed": pa.array([1, 1, 2]), "part": pa.array([0, 0, 0], pa.int32()), "hops": pa.array([1, 1, 1], pa.int32()), "near": pa.array([[5, 6], [6, 7], [6]])})
     assert next(graph._once(iter([batch]))).column("near").to_pylist() == [[5, 6, 7], [6]]
+
+
+def test_contained_needles_are_met_by_runs(spark, monkeypatch):
+    """Texts of the same frequent words meet a needle only where a run of its words is theirs."""
+    from tallyfold.operators import matching
+
+    pairs = []
+    real = matching._confirmed
+    monkeypatch.setattr(matching, "_confirmed", lambda p, n, h: pairs.append(p.distinct().count()) or real(p, n, h))
+    words = [f"w{i}" for i in range(12)]
+    hay = spark.createDataFrame([(i, " ".join(words[i % 12:] + words[:i % 12][::-1])) for i in range(120)] + [(500, None), (501, "")], "h_id long, text string")
+    needles = spark.createDataFrame([(1, " ".join(words)), (2, "w3 w4 w5"), (3, "4 w5"), (4, "w9 w8 w7 w6 w5 w4"), (5, "")], "n_id long, text string")
+    got = sorted(map(tuple, matching.contained(needles.filter("n_id <> 3"), hay).collect()))
+    texts = {r.h_id: r.text or "" for r in hay.collect()}
+    want = sorted((n.n_id, k) for n in needles.collect() for k, t in texts.items() if n.text and n.text in t)
+    assert got == [x for x in want if x[0] != 3] and len(got) == 70
+    assert pairs[0] < 300  # by single words every text is met by every needle of three words or more: 360
+    assert sorted(map(tuple, matching.contained(needles, hay).collect())) == want
