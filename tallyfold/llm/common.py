@@ -45,9 +45,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextlib.contextmanager
-def batches(spark: SparkSession, rows: int = TEXT_ROWS_PER_BATCH, size: int = BATCH_BYTES) -> Iterator[None]:
-    """Bound the rows and bytes that Spark sends to a Python worker at once, for the actions within the block."""
-    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": str(size)}
+def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
     before = {k: spark.conf.get(k) for k in wanted}
     for k, v in wanted.items():
         spark.conf.set(k, v)
@@ -58,6 +56,18 @@ def batches(spark: SparkSession, rows: int = TEXT_ROWS_PER_BATCH, size: int = BA
             spark.conf.set(k, v)
 
 
+def batches(spark: SparkSession, rows: int = TEXT_ROWS_PER_BATCH, size: int = BATCH_BYTES) -> contextlib.AbstractContextManager[None]:
+    """Bound the rows and bytes that Spark sends to a Python worker at once, for the actions within the block."""
+    return _settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": str(size)})
+
+
+def early_filters(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """For the actions within the block, a shuffled join with filtered rows puts Spark's Bloom filter (1 MB) of their keys before the shuffle of the other side, whatever the sizes: few of the texts that no key
+    wants are moved. The join itself stays exact."""
+    sizes = "spark.sql.optimizer.runtime.bloomFilter."
+    return _settings(spark, {f"{sizes}applicationSideScanSizeThreshold": "0", f"{sizes}creationSideThreshold": "1000g"})
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut between rows so that a slice holds about ``size`` bytes of that string column, or one row: for results that are computed
     later, under whatever setting the session has then."""

@@ -12,7 +12,7 @@ emits all its pairs, and no link is lost.
 
 Where shingles count once (``repeats=False``), texts whose shingle sets have a Jaccard similarity of ``LIKE`` or more link as well, as two bits are far tighter
 than that. Candidates share one of 16 bands of four MinHash values, which misses a pair of similarity 0.8 with a chance of 0.0002, and are confirmed on the
-sets. In each bucket of a band the texts are first held against one of them; buckets that texts of different groups are left in are then compared in blocks, each
+sets. In each bucket of a band the texts are first held against one of them; what others of different groups are left in a bucket are then compared in blocks (once, where several buckets hold the same), each
 pair within one task and without becoming a row. Very large ones are dealt by parts of the sets first, so that all their pairs that are alike still meet.
 
 Defined cases: a text without words (or null) has fingerprint zero and links like any other; fewer words than a shingle make one shingle of the
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.blocks import Postings, compare_in_blocks, parted
-from tallyfold.llm.common import batches, materialise, slices, unsigned_hex
+from tallyfold.llm.common import batches, early_filters, materialise, slices, unsigned_hex
 from tallyfold.llm.components import components
 from tallyfold.llm.minhash import BANDS, PERMUTATIONS, signatures
 
@@ -196,15 +196,15 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int, text: str = "text") -> DataFrame:
-    """text_hash and set (sorted shingle hashes) of the texts in wanted(text_hash), each once."""
+    """text_hash and set (sorted shingle hashes) of the texts in wanted(text_hash), each once; wanted may have repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = [shingle_hashes(t or "", size, False).view(np.int64) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("text_hash"), pa.array(sets, pa.list_(pa.int64()))], ["text_hash", "set"])
 
-    once = docs.select(F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")).groupBy("text_hash").agg(F.first("text").alias("text"))
-    return once.join(wanted, "text_hash", "left_semi").mapInArrow(run, "text_hash long, set array<long>")
+    texts = docs.select(F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")).join(wanted, "text_hash", "left_semi")
+    return texts.groupBy("text_hash").agg(F.first("text").alias("text")).mapInArrow(run, "text_hash long, set array<long>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -254,10 +254,19 @@ def likeness_links(docs: DataFrame, prints: DataFrame, edges: DataFrame, size: i
         mixed = placed.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most")
         return materialise(placed.join(mixed.select("band"), "band"), "buckets")
 
+    def unmet(rows: DataFrame) -> DataFrame:
+        """The rows of whole buckets without the text that all others were held against, where those are still of more than one component; of buckets with the same texts one."""
+        heads = rows.groupBy("band").agg(F.min("text_hash").alias("head"))
+        others = rows.join(heads, "band").filter("text_hash <> head").drop("head")
+        names = [F.count("*").alias("n"), *(F.bit_xor(F.xxhash64(F.lit(i), "text_hash")).alias(f"name{i}") for i in range(2))]
+        open_ = others.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most"), *names).filter("least < most")
+        once = open_.groupBy("n", "name0", "name1").agg(F.min("band").alias("band"))
+        return materialise(others.join(once.select("band"), "band"), "unmet")
+
     exploded = texts.select("text_hash", "fp", "shingles", F.explode("bands").alias("band"))
     buckets = in_buckets(exploded, edges)
-    with batches(spark):
-        sets = materialise(shingle_sets(docs, buckets.select("text_hash").distinct(), size, text), "sets")
+    with batches(spark), early_filters(spark):  # the filter holds for all; without one Spark takes the keys for unselective
+        sets = materialise(shingle_sets(docs, buckets.filter("shingles > 0").select("text_hash"), size, text), "sets")
     # First each text against one of its bucket, in a number of pairs that grows with the rows.
     first = buckets.groupBy("band").agg(F.min(F.struct("text_hash", "fp", "shingles", "component")).alias("f")).select("band", "f.*")
     met = buckets.alias("x").join(first.alias("y"), "band").filter("x.component <> y.component AND least(x.shingles, y.shingles) * 10 >= greatest(x.shingles, y.shingles) * %d" % LIKE)
@@ -266,7 +275,7 @@ def likeness_links(docs: DataFrame, prints: DataFrame, edges: DataFrame, size: i
     with batches(spark):
         found = materialise(confirmed(tried, sets), "found")
     # Then what is left in different components, in blocks. Equal sets have one fingerprint, so they are in one component.
-    mixed = parted(in_buckets(buckets.drop("component"), edges.unionByName(found)), sets, "text_hash", "set", LIKE)
+    mixed = parted(unmet(in_buckets(buckets.drop("component"), edges.unionByName(found))), sets, "text_hash", "set", LIKE)
     rest = mixed.join(sets, "text_hash").select("band", "text_hash", "fp", "component", "set")
     more = materialise(compare_in_blocks(rest, "band", "text_hash", "set", _join_components, "a long, b long").distinct(), "found")
     return found.unionByName(more)

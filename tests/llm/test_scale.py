@@ -100,3 +100,28 @@ def test_a_hot_band_loses_no_likeness(spark, monkeypatch):
     dealt = blocks.parted(listed.select("key", F.lit(7).cast("long").alias("band")), listed, "key", "set", 8)
     met = {(r["x"], r["y"]) for r in dealt.alias("x").join(dealt.alias("y"), "band").filter("x.key > y.key").select(F.col("x.key").alias("x"), F.col("y.key").alias("y")).collect()}
     assert want <= met and len(met) < len(sets) ** 2 / 8
+
+
+def test_a_bucket_is_compared_once(spark, monkeypatch):
+    """Pairs that the first text of a bucket has met, and buckets of the same texts, aren't compared again; texts that no bucket wants aren't shuffled."""
+    from tallyfold.llm import simhash
+
+    blocks_of, plans = [], []
+    real, sets_of = simhash.compare_in_blocks, simhash.shingle_sets
+    monkeypatch.setattr(simhash, "compare_in_blocks", lambda rows, *a: blocks_of.append(rows.count()) or real(rows, *a))
+    monkeypatch.setattr(simhash, "shingle_sets", lambda *a: (got := sets_of(*a), plans.append(got._jdf.queryExecution().toString()))[0])
+    rng = random.Random(6)
+    words = [[f"w{rng.random()}" for _ in range(60)] for _ in range(3)]
+    # A pair of little likeness in two bands; three texts in three bands, of which any two may be the alike ones.
+    texts = [" ".join(w) for w in words[:2]] + [" ".join(words[2]), " ".join([*words[2][:-4], "x", "y", "z", "end"]), "other " + " ".join(words[0][::-1])]
+    bands = [[1, 2], [1, 2], [3, 4, 5], [3, 4, 5], [3, 4, 5]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    placed = spark.createDataFrame(list(enumerate(bands)), "doc_id long, bands array<long>")
+    prints = docs.join(placed, "doc_id").select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("doc_id").alias("fp"), F.lit(56).cast("long").alias("shingles"), "bands")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = {(max(r), min(r)) for r in simhash.likeness_links(docs, prints, spark.createDataFrame([], "a long, b long"), 5).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == {(3, 2)} and blocks_of[0] in (0, 2) and "might_contain" in plans[0]
