@@ -6,9 +6,10 @@ first d(s) + 1 parts that hold any: of these one at least is equal in a set that
 size, and a set that may link into the next level is put there too. Nothing here is approximate: no link is lost.
 
 What shares a part's hash are candidates, named by the smallest of them. Each group of candidates is cut into shards of bounded size, and in a shard queries are answered by an inverted index with
-DivideSkip: a query that needs T shared shingles sets its L longest lists aside, merges the short ones by a heap, keeps whom it meets T - L times, and probes the long lists for them by bisection.
-First each group's smallest member is its only query, which links nearly all copies in work that grows with the rows. Groups that are then still of several components ask for all members that aren't of
-the group's largest component; a link between different components has one of those at an end. A query's answers become one link for each component that they join, never all pairs.
+DivideSkip: a query that needs T shared shingles sets its L longest lists aside, counts whom it meets in the short ones, keeps whom it meets T - L times, and probes the long lists for them by bisection (or
+counts them too, where they are few for that many probes).
+First each group's smallest member is its only query, which links nearly all copies in work that grows with the rows. The others of a group, if they are then still of several components, ask for all members that aren't of
+their largest component; a link between different components has one of those at an end. A query's answers become one link for each component that they join, never all pairs.
 
 Defined cases: a null or empty text, or one without words, is an empty set, linked with nothing; with fewer words than a shingle the whole sequence is one; repeated rows stay and share their
 class; a null doc_id takes part, but names a component only if all its members are null; an empty table gives no rows; other columns are left out. Sets are compared by 64-bit hashes of their
@@ -17,9 +18,7 @@ shingles, classes by 128 bits.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm.blocks import part_hashes
 from tallyfold.llm.common import batches as bounded
-from tallyfold.llm.common import materialise, slices
+from tallyfold.llm.common import early_filters, materialise, slices
 from tallyfold.llm.components import components
 from tallyfold.llm.mph import mixed
 from tallyfold.llm.simhash import shingle_hashes
@@ -36,8 +35,10 @@ from tallyfold.llm.simhash import shingle_hashes
 WORDS, PERCENT = 3, 90
 #: Sets and shingles of a shard, about.
 SHARD_ROWS, SHARD_ITEMS = 1_024, 500_000
-#: Weighs a probe against a merged element when the long lists are chosen.
-MU = 0.0085
+#: Weighs the probes against the counted elements when the long lists are chosen.
+MU = 0.2
+#: Elements that are counted in the time of one probe, about, and lists that are probed at once.
+PROBE, LISTS = 30, 32
 
 
 class Index:
@@ -49,9 +50,17 @@ class Index:
         order = np.argsort(flat, kind="stable")
         self.items, starts = np.unique(flat[order], return_index=True)
         self.owner, self.bounds = owner[order], np.append(starts, len(flat))
+        #: Shingle and owner as one number, in order.
+        self.places = np.repeat(np.arange(len(self.items)) * len(sets), np.diff(self.bounds)) + self.owner
 
-    def search(self, x: np.ndarray, percent: int) -> np.ndarray:
-        """Sets of at least that similarity to x."""
+    def _met(self, at: np.ndarray) -> np.ndarray:
+        """Per set in how many of those lists it is."""
+        n = self.bounds[at + 1] - self.bounds[at]
+        flat = np.repeat(self.bounds[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return np.bincount(self.owner[flat], minlength=len(self.sizes))
+
+    def search(self, x: np.ndarray, percent: int, among: np.ndarray | None = None) -> np.ndarray:
+        """Sets of at least that similarity to x, of all or of those marked in ``among``."""
         if not len(x) or not len(self.items):
             return np.zeros(0, np.int64)
         at = np.searchsorted(self.items, x)
@@ -60,19 +69,24 @@ class Index:
         if len(at) < least:
             return np.zeros(0, np.int64)
         lengths = self.bounds[at + 1] - self.bounds[at]
-        at = at[np.argsort(-lengths, kind="stable")]
+        order = np.argsort(-lengths, kind="stable")
+        at, lengths = at[order], lengths[order]
         aside = min(least - 1, int(least / (MU * np.log2(max(2, lengths.max())) + 1)))
-        lists = [self.owner[self.bounds[i] : self.bounds[i + 1]] for i in at.tolist()]
-        merged = [(i, sum(1 for _ in same)) for i, same in groupby(heapq.merge(*(x.tolist() for x in lists[aside:])))]
-        found = np.array([(i, n) for i, n in merged if n >= least - aside], dtype=np.int64).reshape(-1, 2)
-        who, met = found[:, 0], found[:, 1]
-        for k, long in enumerate(lists[:aside]):
-            place = np.searchsorted(long, who)
-            met = met + (long[np.minimum(place, len(long) - 1)] == who)
-            going = met + (aside - k - 1) >= least
-            who, met = who[going], met[going]
-            if not len(who):
-                break
+        met = self._met(at[aside:])
+        fit = (met >= least - aside) & (100 * self.sizes >= percent * len(x)) & (percent * self.sizes <= 100 * len(x))
+        who = np.flatnonzero(fit if among is None else fit & among)
+        met = met[who]
+        if lengths[:aside].sum() <= PROBE * aside * len(who):
+            met = met + self._met(at[:aside])[who]
+        else:
+            for k in range(0, aside, LISTS):
+                wanted = at[k : min(k + LISTS, aside), None] * len(self.sizes) + who
+                place = np.minimum(np.searchsorted(self.places, wanted), len(self.places) - 1)
+                met = met + (self.places[place] == wanted).sum(axis=0)
+                going = met + max(0, aside - k - LISTS) >= least
+                who, met = who[going], met[going]
+                if not len(who):
+                    break
         return who[100 * met >= percent * (len(x) + self.sizes[who] - met)]
 
 
@@ -80,7 +94,7 @@ def _answers(rows: DataFrame, percent: int) -> DataFrame:
     """rows: head, shard, asks (false: in the index, true: a query), node, component, set. Links (a, b) that join components, made shard by shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, index, label = None, [], None, {}
+        key, held, index, of, label = None, [], None, None, {}
 
         def root(c: int) -> int:
             while (up := label.get(c, c)) != c:
@@ -100,8 +114,9 @@ def _answers(rows: DataFrame, percent: int) -> DataFrame:
                     continue
                 if not held:  # chance may leave a shard empty
                     continue
-                index = index or Index([h[2] for h in held])
-                for j in index.search(own, percent).tolist():
+                if index is None:
+                    index, of = Index([h[2] for h in held]), np.array([h[1] for h in held])
+                for j in index.search(own, percent, of != component).tolist():
                     a, b = root(component), root(held[j][1])
                     if a != b:
                         label[max(a, b)] = min(a, b)
@@ -154,13 +169,14 @@ def similar(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, text: s
     under = classes.select("node", F.explode("parts").alias("part"))
     heads = under.groupBy("part").agg(F.min("node").alias("head"), F.max("node").alias("last")).filter("head < last").select("part", "head")
     groups = materialise(under.join(heads, "part").groupBy("head", "node").agg(F.lit(1).alias("one")).select("head", "node"), "groups")
-    wanted = classes.join(groups.select("node").distinct(), "node").select("t1", "t2", "node")
-    texts = docs.select(*digest, F.col(text).alias("text")).join(wanted, ["t1", "t2"]).groupBy("node").agg(F.first("text").alias("text"))
-    with bounded(spark):
+    wanted = materialise(classes.join(groups.select("node").distinct(), "node").select("t1", "t2", "node"), "wanted")
+    # The filter holds for all; without one Spark takes the keys for unselective.
+    texts = docs.select(*digest, F.col(text).alias("text")).join(wanted.filter("node >= 0"), ["t1", "t2"]).groupBy("node").agg(F.first("text").alias("text"))
+    with bounded(spark), early_filters(spark):
         sets = materialise(texts.mapInArrow(sets_of, "node long, set array<long>"), "sets")
     first = _ask(groups.withColumns({"component": F.col("node"), "asks": F.col("head") == F.col("node")}), sets, percent, "links")
-    # Where a group is still of several components, whoever isn't of the largest asks.
-    placed = groups.join(components(first), "node", "left").select("head", "node", F.coalesce("component", "node").alias("component"))
+    # The head has met all its group. Where the others are still of several components, whoever isn't of the largest asks.
+    placed = groups.filter("node <> head").join(components(first), "node", "left").select("head", "node", F.coalesce("component", "node").alias("component"))
     sizes = placed.groupBy("head", "component").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("head").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts")).filter("parts > 1").drop("parts")
     rest = materialise(placed.join(largest, "head").select("head", "node", "component", (F.col("component") != F.col("largest")).alias("asks")), "rest")

@@ -272,3 +272,26 @@ def test_join_of_a_hot_group_stays_linear(spark, monkeypatch):
     assert {r["component_id"] for r in got} == {1}
     assert asked[0] + asked[1] < 2 * 400
     assert ngram_join.similar(docs(spark, ["x"]).limit(0)).count() == 0
+
+
+def test_a_head_is_not_asked_twice(spark, monkeypatch):
+    """Of two texts that share a part and aren't alike, the first round settles all: the second has no rows."""
+    rounds = []
+    ask = ngram_join._ask
+    monkeypatch.setattr(ngram_join, "_ask", lambda groups, *a: rounds.append(groups.count()) or ask(groups, *a))
+    words = [f"w{i}" for i in range(60)]
+    got = ngram_join.similar(docs(spark, [" ".join(words), " ".join([*words[:-4], "x", "y", "z", "end"])])).collect()
+    assert {r["component_id"] for r in got} == {1, 2} and rounds == [2, 0]
+
+
+def test_searches_by_probes_and_counts_agree(monkeypatch):
+    rng = np.random.default_rng(8)
+    base = rng.choice(1 << 40, 300, replace=False)
+    sets = [np.unique(np.where(rng.random(300) < rng.choice([0.01, 0.04, 0.06, 0.2]), rng.choice(1 << 40, 300), base)[: rng.integers(250, 301)]) for _ in range(80)]
+    index, among = ngram_join.Index(sets), rng.random(80) < 0.7
+    for probe in (0, 30, 10_000):
+        monkeypatch.setattr(ngram_join, "PROBE", probe)
+        for x in sets[:40]:
+            alike = [i for i, s in enumerate(sets) if 100 * len(both := np.intersect1d(x, s)) >= 90 * (len(x) + len(s) - len(both))]
+            assert index.search(x, 90).tolist() == alike
+            assert index.search(x, 90, among).tolist() == [i for i in alike if among[i]]
