@@ -94,6 +94,21 @@ def test_contracts_are_dealt_by_their_number(spark, sf, monkeypatch):
     assert got.rdd.getNumPartitions() in (11, 12) and sorted(map(tuple, got.collect())) == want
 
 
+def test_contracts_are_dealt_whatever_the_session_has(spark, sf, monkeypatch):
+    """With more shuffle partitions than the rows need they are dealt all the same: else Spark joins the partitions to few large ones."""
+    from tallyfold.plans import queries as Q
+    from tallyfold.plans import views
+    from tallyfold.sources import scratch
+
+    monkeypatch.setattr(scratch, "ROWS_PER_TASK", views.lines(spark, sf) // 11)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        assert Q.collapse_modifications(spark, sf).rdd.getNumPartitions() in (11, 12)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_khop_lists_and_parts(spark, monkeypatch):
     from tallyfold.operators import graph
 
