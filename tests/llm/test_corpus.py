@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyfold.llm import ann, bpe, langid, line_dedup, minhash, packing, queries, simhash, url_filter, warc, wavelet
+from tallyfold.llm import ann, bpe, chunk_tokens, langid, line_dedup, minhash, packing, queries, simhash, url_filter, warc, wavelet
 from tallyfold.llm.chunk_tokens import ChunkTokens
 from tallyfold.llm.common import scratch_path
 from tallyfold.llm.components import components
@@ -204,6 +204,20 @@ def test_encoders_match_the_library():
         assert ours.decode(w.ids) == word.decode(w.ids, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("name, split", [(queries.BYTE_BPE, "leading_space"), (queries.WORD_BPE, "words")])
+def test_pieces_around_signs_and_line_feeds_are_not_asked_one_by_one(name, split, monkeypatch):
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("aeioustnéß"), 9))
+    texts = ["\n".join(f"{word()} {word()}{rng.choice(list('.,;:!?)'))} {word()}" for _ in range(50)) for _ in range(8)]
+    texts += ["a.\n\nb", "\na", "\n\na", "a.\n", "a\n\n", "a\n\n\nb", " a.. 'b.'s c.'s", "a.", ".. b", "é. ×. ÷, ª!", None, "", "\0 a", "a=. b<|x", "x\u0338. .\u0338 a.\u0338"]
+    calls = []
+    monkeypatch.setattr(chunk_tokens._Known, "__missing__", lambda self, chunk, f=chunk_tokens._Known.__missing__: calls.append(chunk) or f(self, chunk))
+    flat, lengths = ChunkTokens(queries.tokenizer_file(name), split).flat_ids(texts, 3)
+    want = [tokenizer(name).encode(t or "", add_special_tokens=False).ids + [3] for t in texts]
+    assert flat.tolist() == [i for x in want for i in x] and lengths.tolist() == [len(x) for x in want]
+    assert len(calls) < 80  # of some 1,200 distinct words
+
+
 def test_other_tokenizers_are_refused():
     for name, split in ((queries.WORD_BPE, "leading_space"), (queries.BYTE_BPE, "words"), (queries.BYTE_BPE, "other")):
         with pytest.raises(ValueError):
