@@ -26,8 +26,8 @@ import pyarrow as pa
 
 from tallyfold.llm.bpe import byte_alphabet
 
-#: Pieces that a worker remembers in each of two generations of each kind; the older one is dropped when the newer is full. All of them hold some 600 MB at most.
-REMEMBERED = 750_000
+#: Pieces that a worker remembers in each of two generations of each kind; the older one is dropped when the newer is full. All of them hold some 140 MB at most.
+REMEMBERED = 150_000
 #: New words that the library's model is asked for in one piece, where a line feed between them stays a token of its own.
 TOGETHER = 32
 #: Signs that form one token match behind a letter; the apostrophe, which may begin a contraction, isn't one of them.

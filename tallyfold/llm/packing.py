@@ -17,7 +17,6 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -99,16 +98,18 @@ def pack(docs: DataFrame, tokenizer: str, split: str = "whole", end_id: int = 0,
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
 
     def first(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, end, items, at_bin = chunk_tokens(tokenizer, split), np.array([end_id], dtype="<u4").tobytes(), [], _first_id(0)
+        tokens, items, at_bin = chunk_tokens(tokenizer, split), [], _first_id(0)
         for batch in parts:
             if len(items) >= MOST_ITEMS:
                 yield from _bins(items, capacity, at_bin)
                 items, at_bin = [], at_bin + len(items)
-            for key, ids in zip(batch.column("doc_id").to_pylist(), tokens.ids(batch.column("text").to_pylist()), strict=True):
-                ids += end
-                for piece, at in enumerate(range(0, len(ids) // 4, capacity)):
-                    part = ids[4 * at : 4 * (at + capacity)]
-                    items.append((len(part) // 4, [(key, piece, at, len(part) // 4, zlib.crc32(part))]))
+            flat, lengths = tokens.flat_ids(batch.column("text").to_pylist(), end_id)
+            raw, done = memoryview(flat).cast("B"), 0
+            for key, length in zip(batch.column("doc_id").to_pylist(), lengths.tolist(), strict=True):
+                for piece, at in enumerate(range(0, length, capacity)):
+                    size = min(capacity, length - at)
+                    items.append((size, [(key, piece, at, size, zlib.crc32(raw[4 * (done + at) : 4 * (done + at + size)]))]))
+                done += length
         yield from _bins(items, capacity, at_bin)
 
     def later(round_no: int):

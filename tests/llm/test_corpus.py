@@ -218,6 +218,15 @@ def test_pieces_around_signs_and_line_feeds_are_not_asked_one_by_one(name, split
     assert len(calls) < 80  # of some 1,200 distinct words
 
 
+def test_remembered_pieces_are_bounded():
+    tokens = ChunkTokens(queries.tokenizer_file(queries.WORD_BPE), "words")
+    words = ["".join("abcdefghij"[int(d)] for d in str(i)) for i in range(600_000)]
+    for at in range(0, len(words), 50_000):
+        tokens.flat_ids([" ".join(words[at : at + 50_000])], 0)
+    assert len(tokens.plain) + len(getattr(tokens.plain, "older", ())) <= 2 * (150_000 + 50_000)
+    assert tokens.flat_ids([words[77]], 0)[0].tolist()[:-1] == tokenizer(queries.WORD_BPE).encode(words[77], add_special_tokens=False).ids
+
+
 def test_other_tokenizers_are_refused():
     for name, split in ((queries.WORD_BPE, "leading_space"), (queries.BYTE_BPE, "words"), (queries.BYTE_BPE, "other")):
         with pytest.raises(ValueError):
