@@ -141,3 +141,14 @@ def test_contained_needles_are_met_by_runs(spark, monkeypatch):
     assert got == [x for x in want if x[0] != 3] and len(got) == 70
     assert pairs[0] < 300  # by single words every text is met by every needle of three words or more: 360
     assert sorted(map(tuple, matching.contained(needles, hay).collect())) == want
+
+
+def test_cascade_sends_no_table_through_the_driver(spark):
+    """Tables whose files are small are joined by sorting all the same: their names' forms aren't small."""
+    rows = [(1, "1.5", "Acme Holding", "A"), (2, None, "Acme Holdinx", "A"), (3, None, "Nobody", "A")]
+    w = spark.createDataFrame(rows, "id int, tax_id string, name string, country string")
+    k = spark.createDataFrame([(7, "1.5", "Other", "B"), (8, None, "Acme Holding", "A")], "entity int, tax_id string, name string, country string")
+    out = resolve.cascade(w, k)
+    assert {(r.id, r.tier) for r in out.collect()} == {(1, "tax"), (2, "fuzzy"), (3, "minted")}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") >= 6
