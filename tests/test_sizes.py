@@ -152,3 +152,58 @@ def test_cascade_sends_no_table_through_the_driver(spark):
     assert {(r.id, r.tier) for r in out.collect()} == {(1, "tax"), (2, "fuzzy"), (3, "minted")}
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan and plan.count("SortMergeJoin") >= 6
+
+
+def _walk(edges, seed):
+    """Fewest hops from seed to all nodes that it reaches."""
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    hops, last = {seed: 0}, [seed]
+    while last:
+        last = sorted({n for m in last for n in near.get(m, ())} - hops.keys())
+        hops |= dict.fromkeys(last, 1 + max(hops.values()))
+    return hops
+
+
+def _random_graphs():
+    import random
+
+    r = random.Random(4)
+    yield [(r.randrange(40), r.randrange(40)) for _ in range(50)] + [(7, 7)]  # any node with any
+    yield [(2 * r.randrange(60), 2 * r.randrange(30) + 1) for _ in range(90)]  # two sides
+    yield [(0, i) for i in range(1, 40)] + [(1, -(1 << 62)), (-(1 << 62), (1 << 62) + 5), (500, 501)]  # a hub, far numbers, a part of its own
+
+
+def test_paths_of_random_graphs(spark, monkeypatch):
+    """Lists, parts and first tries of a few nodes at most: no pair's hops change, none is lost."""
+    from tallyfold.operators import graph
+
+    monkeypatch.setattr(graph, "LIST", 3)
+    monkeypatch.setattr(graph, "TRIED", 1)
+    monkeypatch.setattr(graph, "MORE", 6)
+    for reach, edges in zip((4_000_000, 7, 4_000_000), _random_graphs(), strict=True):
+        monkeypatch.setattr(graph, "REACH", reach)
+        nodes = sorted({n for e in edges for n in e})[:25]
+        pairs = [(a, b) for a in nodes for b in nodes if (a + b) % 3] + [(nodes[0], nodes[0]), (nodes[0], 999), (None, nodes[0])]
+        got = graph.shortest_paths(spark.createDataFrame([*edges, (None, nodes[0]), (nodes[0], None)], "src long, dst long"), spark.createDataFrame(pairs, "src long, dst long"), 5)
+        reached = {a: _walk(edges, a) for a in nodes}
+        want = sorted({(a, b, reached[a][b]) for a, b in pairs if a is not None and reached[a].get(b, 9) <= 5})
+        assert sorted(map(tuple, got.collect())) == want and want
+
+
+def test_paths_write_no_second_step(spark, monkeypatch):
+    """Pairs four hops apart are met without writing what is two hops from an end."""
+    from tallyfold.operators import graph
+
+    written = []
+    real = graph.kept
+    size = lambda df: df.agg(F.sum("n")).first()[0] if "n" in df.columns else df.count()
+    monkeypatch.setattr(graph, "kept", lambda df, name: (written.append(size(df)) if name == "frontier" else None, real(df, name))[1])
+    # Each of 100 suppliers has 5 customers of its own; each customer has the same 50 others.
+    edges = [(10_000 + 5 * s + c, s) for s in range(100) for c in range(5)] + [(10_000 + 5 * s + c, 1000 + o) for s in range(100) for c in range(5) for o in range(50)]
+    pairs = [(s, s + 1) for s in range(99)]
+    got = graph.shortest_paths(spark.createDataFrame(edges, "src long, dst long"), spark.createDataFrame(pairs, "src long, dst long"), 4)
+    assert {(r.src, r.dst): r.hops for r in got.collect()} == dict.fromkeys(pairs, 4)
+    assert 0 < sum(written) <= 2 * 5 * len(pairs)  # with the others: 50 a pair and more
