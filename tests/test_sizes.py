@@ -207,3 +207,47 @@ def test_paths_write_no_second_step(spark, monkeypatch):
     got = graph.shortest_paths(spark.createDataFrame(edges, "src long, dst long"), spark.createDataFrame(pairs, "src long, dst long"), 4)
     assert {(r.src, r.dst): r.hops for r in got.collect()} == dict.fromkeys(pairs, 4)
     assert 0 < sum(written) <= 2 * 5 * len(pairs)  # with the others: 50 a pair and more
+
+
+def test_khop_of_random_graphs(spark, monkeypatch):
+    from tallyfold.operators import graph
+
+    monkeypatch.setattr(graph, "LIST", 3)
+    for reach, edges in zip((7, 4_000_000, 4_000_000), _random_graphs(), strict=True):
+        monkeypatch.setattr(graph, "REACH", reach)
+        seeds = sorted({n for e in edges for n in e})[:20]
+        e, s = spark.createDataFrame([*edges, (seeds[0], None)], "src long, dst long"), spark.createDataFrame([(n,) for n in [*seeds, 777, None]], "node long")
+        # A missing node is reached, but leads nowhere.
+        want = {(a, n): h for a in seeds for n, h in _walk(edges, a).items() if h <= 3} | {(777, 777): 0, (None, None): 0}
+        want |= {(a, None): h + 1 for a in seeds if (h := _walk(edges, a).get(seeds[0], 9)) <= 2}
+        assert {(r.seed, r.node): r.hops for r in graph.khop(e, s, 3).collect()} == want
+        sizes = {}
+        for (a, _), h in want.items():
+            sizes[a, h] = sizes.get((a, h), 0) + 1
+        assert {(r.seed, r.hops): r.nodes for r in graph.khop_sizes(e, s, 3).collect()} == sizes
+
+
+def test_lists_are_small_and_whole():
+    import numpy as np
+    import pyarrow as pa
+
+    from tallyfold.operators import graph
+
+    lists = [[5], list(range(1, 720_001, 18_000)), [graph.MISSING, -3, 0, 127, 128, (1 << 63) - 1], [7, 8]]
+    arrays = graph._packed(np.concatenate([np.array(x, np.int64) for x in lists]), np.array([len(x) for x in lists]))
+    batch = pa.RecordBatch.from_arrays(arrays, ["n", "first", "rest"])
+    assert graph._unpacked(batch).to_pylist() == lists and graph._unpacked(batch.slice(1, 2)).to_pylist() == lists[1:3]
+    assert len(arrays[2][1].as_py()) <= 3 * 39  # as long numbers 320
+    # A seed's rows lie in two batches: its nodes are counted once.
+    keys = [pa.array([1, 1], pa.int64()), pa.array([0, 0], pa.int32()), pa.array([1, 1], pa.int32())]
+    halves = [pa.RecordBatch.from_arrays([*keys, *graph._packed(np.array(x), np.array([2, 1]))], ["seed", "part", "hops", "n", "first", "rest"]) for x in ([1, 2, 3], [3, 4, 2])]
+    for most in (1, 100):
+        assert [b.to_pydict() for b in graph._fewest_sizes(iter(halves), most)] == [{"seed": [1], "hops": [1], "nodes": [4]}]
+
+
+def test_khop_counts_nodes_where_they_meet(spark, sf):
+    """A seed's nodes aren't dealt once more to be counted."""
+    from tallyfold.plans import queries as Q
+
+    plan = Q.khop(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(seed" in plan and not any("hashpartitioning(seed" in x and "node#" in x for x in plan.splitlines())
