@@ -104,10 +104,10 @@ def broken_identity(df: DataFrame, whole: str, a: str, b: str, share: float = 0.
 
 
 def first_difference(a: DataFrame, b: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """Per key of either store: the first field whose comparable values differ, or missing_left, missing_right; equal rows are left out. All rows, not a sample."""
+    """Per key of either store: the first field whose comparable values differ (-0 being 0), or missing_left, missing_right; equal rows are left out. All rows, not a sample."""
     from tallyfold.functions.codes import comparable
 
-    side = lambda d, p: d.select(F.col(key), F.lit(True).alias(f"{p}_here"), *(comparable(F.col(f)).alias(f"{p}_{f}") for f in fields))
+    side = lambda d, p: d.select(F.col(key), F.lit(True).alias(f"{p}_here"), *(F.regexp_replace(comparable(F.col(f)), "^-0$", "0").alias(f"{p}_{f}") for f in fields))
     both = side(a, "a").join(side(b, "b"), key, "full")
     differs = F.when(F.col("a_here").isNull(), "missing_left").when(F.col("b_here").isNull(), "missing_right")
     for f in fields:
