@@ -23,7 +23,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain, pairwise
+from itertools import chain, islice, pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -43,7 +43,7 @@ from tallyfold.llm.mph import Function, build, mixed
 KEYS, SLICE, HELD = 1 << 16, 1 << 21, 1 << 20
 #: Rows of a bucket that one task turns into a vector.
 PART = 1 << 20
-#: Aligned pieces that a worker remembers.
+#: Aligned pieces that a worker keeps when it has twice as many.
 REMEMBERED = 200_000
 #: Bits of an id of B in a pair; links of a group that are written out one by one.
 B_BITS, LARGE = 24, 4_096
@@ -55,15 +55,41 @@ _WORDS = re.compile(rf"{_LINE}(?:\n{_LINE})*")
 _UNITS = re.compile(rf"[^\W\d_]+|[{re.escape(_TAILS)}]+|\n")
 
 
-class Aligned(NamedTuple):
-    """What a piece of text adds to its document, as bytes: sums (64-bit: tokens of A, of B, groups, links), distinct linked pairs (64-bit, A << B_BITS | B), how often each is met
-    (32-bit), and the groups in writing. None of it if the tokens don't spell the piece."""
+class Pieces(NamedTuple):
+    """What pieces of text add to their documents. sums: tokens of A, of B, groups, links; piece i has the distinct linked pairs (A << B_BITS | B) pairs[starts[i] : starts[i + 1]], met ``times``
+    times; groups: in writing. All zero and empty where the tokens don't spell the piece."""
 
-    valid: bool = False
-    sums: bytes = bytes(32)
-    pairs: bytes = b""
-    times: bytes = b""
-    groups: str = ""
+    valid: np.ndarray
+    sums: np.ndarray
+    starts: np.ndarray
+    pairs: np.ndarray
+    times: np.ndarray
+    groups: list[str]
+
+    @classmethod
+    def joined(cls, parts: list[Pieces]) -> Pieces:
+        valid, sums, pairs, times = (np.concatenate([getattr(p, c) for p in parts]) for c in ("valid", "sums", "pairs", "times"))
+        starts = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(p.starts) for p in parts]))])
+        return cls(valid, sums, starts, pairs, times, list(chain.from_iterable(p.groups for p in parts)))
+
+    def taken(self, rows: np.ndarray, written: bool = True) -> Pieces:
+        n = np.diff(self.starts)[rows]
+        starts = np.concatenate([[0], np.cumsum(n)])
+        at = np.repeat(self.starts[rows] - starts[:-1], n) + np.arange(starts[-1])
+        return Pieces(self.valid[rows], self.sums[rows], starts, self.pairs[at], self.times[at], [self.groups[i] for i in rows.tolist()] if written else [])
+
+    def among(self, n: int, rows: np.ndarray) -> Pieces:
+        """These as the rows of n pieces, the others being empty."""
+        valid, sums, each, groups = np.zeros(n, bool), np.zeros((n, 4), np.int64), np.zeros(n, np.int64), [""] * n
+        valid[rows], sums[rows], each[rows] = self.valid, self.sums, np.diff(self.starts)
+        for i, g in zip(rows.tolist(), self.groups, strict=True):
+            groups[i] = g
+        return Pieces(valid, sums, np.concatenate([[0], np.cumsum(each)]), self.pairs, self.times, groups)
+
+
+def no_pieces(n: int = 0) -> Pieces:
+    none = np.zeros(0, np.int64)
+    return Pieces(np.zeros(n, bool), np.zeros((n, 4), np.int64), np.zeros(n + 1, np.int64), none, none.astype(np.int32), [""] * n)
 
 
 class Tokens:
@@ -133,17 +159,20 @@ class Aligner:
 
             ranks = {a_bytes[i]: i for i in model["vocab"].values() if i < 256 + len(merges)}
             self.ranked = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        # Two generations of pieces: what isn't met again goes with the older one.
-        self.known: dict[str, Aligned] = {}
-        self.older: dict[str, Aligned] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """The pieces that are known, by number, and the turn in which each was met last."""
+        self.number: dict[str, int] = {}
+        self.known, self.met, self.turn = no_pieces(), np.zeros(0, np.int64), 0
 
-    def align(self, texts: list[bytes], a: Tokens, b: Tokens) -> list[Aligned]:
+    def align(self, texts: list[bytes], a: Tokens, b: Tokens) -> Pieces:
         """The texts' alignments."""
         if gone := a.wrong(texts) | b.wrong(texts):
-            left = iter(self.align([t for i, t in enumerate(texts) if i not in gone], a.without(gone, *self.of_a), b.without(gone, *self.of_b)))
-            return [Aligned() if i in gone else next(left) for i in range(len(texts))]
+            rows = np.array([i for i in range(len(texts)) if i not in gone], dtype=np.int64)
+            return self.align([texts[i] for i in rows], a.without(gone, *self.of_a), b.without(gone, *self.of_b)).among(len(texts), rows)
         if not texts:
-            return []
+            return no_pieces()
         in_a, in_b = (np.isin(x.ends, y.ends, assume_unique=True) for x, y in ((a, b), (b, a)))
         of_a, of_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b  # the group of each token
         n, m = np.bincount(of_a), np.bincount(of_b)
@@ -168,9 +197,8 @@ class Aligner:
         last = np.append(b.owner[1:] != b.owner[:-1], True)
         parts[np.arange(len(b.ids)) + (first_a + n)[of_b]] = np.where(last, self.signs_b[2][b.ids], np.where(in_b, self.signs_b[1][b.ids], self.signs_b[0][b.ids]))
         written = "".join(parts.tolist()).split("\n")
-        bounds = np.searchsorted(keys >> 41, np.arange(len(texts) + 1)).tolist()
-        pairs, raw_times, raw_sums = (keys & ((1 << 41) - 1)).tobytes(), met.astype("<i4").tobytes(), sums.tobytes()
-        return [Aligned(True, raw_sums[32 * i : 32 * i + 32], pairs[8 * x : 8 * y], raw_times[4 * x : 4 * y], written[i]) for i, (x, y) in enumerate(pairwise(bounds))]
+        starts = np.searchsorted(keys >> 41, np.arange(len(texts) + 1))
+        return Pieces(np.ones(len(texts), bool), sums, starts, keys & ((1 << 41) - 1), met.astype(np.int32), written[: len(texts)])
 
     def tokens(self, lists: list[list[int]], of: tuple[np.ndarray, np.ndarray], skip: np.ndarray | None = None) -> Tokens:
         """skip: how many tokens at the start of each list don't count."""
@@ -181,16 +209,16 @@ class Aligner:
             sizes = sizes - skip
         return Tokens(flat, sizes, *of)
 
-    def whole(self, text: str) -> Aligned:
+    def whole(self, text: str) -> Pieces:
         a = self.a.encode(" " + text, add_special_tokens=False).ids
-        return self.align([b" " + text.encode()], self.tokens([a], self.of_a), self.tokens([self.b.encode(text, num_threads=1)], self.of_b))[0]
-
-    def learn(self, units: list[str]) -> None:
-        """Align new pieces; one that stands behind a space begins with it."""
-        if not units:
-            return
-        units.sort(key=lambda u: "\n" in u)
-        plain = len(units) - sum("\n" in u for u in units)
+        return self.align([b" " + text.encode()], self.tokens([a], self.of_a), self.tokens([self.b.encode(text, num_threads=1)], self.of_b))
+
+    def learn(self, units: list[str]) -> Pieces:
+        """New pieces aligned; one that stands behind a space begins with it."""
+        lines = np.fromiter(("\n" in u for u in units), dtype=bool, count=len(units))
+        order = np.argsort(lines, kind="stable")
+        units = [units[i] for i in order.tolist()]
+        plain = len(units) - int(lines.sum())
         lists = []
         if self.ranked and plain:
             ids = np.array(self.ranked.encode_ordinary("\n".join(units[:plain])), dtype=np.int64)
@@ -202,30 +230,43 @@ class Aligner:
         heard = self.b.encode([u[1:] if u[0] == " " else "\n" + u for u in units], num_threads=1)
         skip = np.where(behind, 0, len(self.b.encode("\n")))  # the space that B adds, and the line feed
         made = self.align([u.encode() for u in units], self.tokens(lists, self.of_a), self.tokens(heard, self.of_b, skip))
-        self.known.update(zip(units, made, strict=True))
-
-    def units(self, chunks: list[str]) -> tuple[list[Aligned], np.ndarray, np.ndarray]:
-        """Pieces that chunks are made of, the pieces' numbers chunk by chunk, and how many each chunk has. A chunk stands behind a space and holds no other."""
-        codes: dict[str, int] = {}
+        return made.taken(np.argsort(order))
+
+    def units(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The known pieces that chunks are made of, by number, their places in these chunk by chunk, and how many each chunk has. A chunk stands behind a space and holds no other.
+
+        With more than twice REMEMBERED pieces, as many as were met last are kept.
+        """
+        if len(self.number) > 2 * REMEMBERED:
+            keep = np.sort(np.argsort(self.met, kind="stable")[-REMEMBERED:])
+            names = list(self.number)
+            self.number = {names[i]: n for n, i in enumerate(keep.tolist())}
+            self.known, self.met = self.known.taken(keep), self.met[keep]
+        number = self.number
+        before = len(number)
         flat, sizes = [], []
         for text in chunks:
             if not text.isalpha() and _WORDS.fullmatch(text):
                 first, *more = _UNITS.findall(text)
                 if all(u.isalpha() or u[0] in _TAILS or u == "\n" for u in (first, *more)):
-                    flat.append(codes.setdefault(" " + first, len(codes)))
+                    flat.append(number.setdefault(" " + first, len(number)))
                     for u in more:
-                        flat.append(codes.setdefault(u, len(codes)))
+                        flat.append(number.setdefault(u, len(number)))
                     sizes.append(1 + len(more))
                     continue
-            flat.append(codes.setdefault(" " + text, len(codes)))
+            flat.append(number.setdefault(" " + text, len(number)))
             sizes.append(1)
-        known, older = self.known, self.older
-        found = [known.get(u) or older.get(u) for u in codes]
-        if len(known) > REMEMBERED:
-            self.known, self.older = {}, known
-        self.known.update((u, x) for u, x in zip(codes, found, strict=True) if x is not None)
-        self.learn([u for u, x in zip(codes, found, strict=True) if x is None])
-        return list(map(self.known.__getitem__, codes)), np.array(flat, dtype=np.int64), np.array(sizes, dtype=np.int64)
+        if new := len(number) - before:
+            try:
+                self.known = Pieces.joined([self.known, self.learn(list(islice(reversed(number), new))[::-1])])
+            except BaseException:
+                self.forget()  # else pieces would have numbers and no alignment
+                raise
+            self.met = np.concatenate([self.met, np.zeros(new, np.int64)])
+        used, place = np.unique(np.array(flat, dtype=np.int64), return_inverse=True)
+        self.turn += 1
+        self.met[used] = self.turn
+        return used, place, np.array(sizes, dtype=np.int64)
 
 
 @functools.lru_cache(maxsize=2)
@@ -237,29 +278,26 @@ def aligner(a_path: str, b_path: str) -> Aligner:
 class Batch:
     """The texts of a batch as numbers. place: the piece of each occurrence, text by text (ends); a piece's pairs are pairs[starts[c] : starts[c + 1]], met ``times`` times."""
 
-    def __init__(self, tools: Aligner, texts: list[str | None]):
+    def __init__(self, tools: Aligner, texts: list[str | None], written: bool = True):
+        """written: with the groups in writing."""
         self.n = len(texts)
         cut = [bool(t) and tools.cuts and t[0] not in " \n" and _lone(t) for t in texts]
         split = pc.split_pattern(pa.array([t if c else "" for c, t in zip(cut, texts, strict=True)], pa.large_string()), " ")
         coded = pc.dictionary_encode(split.values)
         chunk, ends = coded.indices.to_numpy().astype(np.int64), split.offsets.to_numpy()
-        made, flat, sizes = tools.units(coded.dictionary.to_pylist())
+        used, flat, sizes = tools.units(coded.dictionary.to_pylist())
         # A text that isn't cut is a piece of its own, behind the distinct ones.
         odd = [i for i, c in enumerate(cut) if not c]
         chunk[ends[odd]] = len(sizes) + np.arange(len(odd))
-        flat = np.concatenate([flat, len(made) + np.arange(len(odd))])
+        flat = np.concatenate([flat, len(used) + np.arange(len(odd))])
         sizes = np.concatenate([sizes, np.ones(len(odd), np.int64)])
-        made += [tools.whole(texts[i]) if texts[i] else Aligned() for i in odd]
+        made = Pieces.joined([tools.known.taken(used, written), *(tools.whole(texts[i]) if texts[i] else no_pieces(1) for i in odd)])
         per = sizes[chunk]
         upto = np.concatenate([[0], np.cumsum(per)])
         self.place = flat[np.repeat((np.cumsum(sizes) - sizes)[chunk] - upto[:-1], per) + np.arange(upto[-1])]
         self.ends = upto[ends]
-        self.valid = np.array([x.valid for x in made], dtype=bool)
-        self.sums = np.frombuffer(b"".join([x.sums for x in made]), dtype=np.int64).reshape(-1, 4)
-        self.groups = [x.groups for x in made]
-        self.starts = np.concatenate([[0], np.cumsum([len(x.times) // 4 for x in made])]).astype(np.int64)
-        self.pairs = np.frombuffer(b"".join([x.pairs for x in made]), dtype=np.int64)
-        self.times = np.frombuffer(b"".join([x.times for x in made]), dtype="<i4").astype(np.int64)
+        self.valid, self.sums, self.groups, self.starts = made.valid, made.sums, made.groups, made.starts
+        self.pairs, self.times = made.pairs, made.times.astype(np.int64)
         wrong = np.concatenate([[0], np.cumsum(~self.valid[self.place])])
         self.text_valid = wrong[self.ends[1:]] == wrong[self.ends[:-1]]
 
@@ -313,7 +351,7 @@ def pair_counts(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -
             return pa.RecordBatch.from_arrays([pa.array(k), pa.array((mixed(k.view(np.uint64), 99) >> np.uint64(33)).astype(np.int64)), pa.array(n)], ["pair", "mix", "n"])
 
         for batch in slices(batches, "text"):
-            k, n = Batch(tools, batch.column("text").to_pylist()).document_counts()
+            k, n = Batch(tools, batch.column("text").to_pylist(), written=False).document_counts()
             keys.append(k)
             counts.append(n)
             held += len(k)

@@ -295,3 +295,21 @@ def test_searches_by_probes_and_counts_agree(monkeypatch):
             alike = [i for i, s in enumerate(sets) if 100 * len(both := np.intersect1d(x, s)) >= 90 * (len(x) + len(s) - len(both))]
             assert index.search(x, 90).tolist() == alike
             assert index.search(x, 90, among).tolist() == [i for i in alike if among[i]]
+
+
+def test_known_pieces_are_few_and_whole(monkeypatch):
+    """Pieces go when many others have been met since, and are aligned anew where they come again."""
+    files = [queries.tokenizer_file(x) for x in (queries.BYTE_BPE, queries.PIECES)]
+    texts = [f"word{chr(97 + i)} thing, {'x' * i}\nlast. a▁b" if i % 7 == 3 else f"the {'yz' * (i % 9)} over{chr(97 + i % 20)}, and\nmore" for i in range(26)] * 2
+    # Of each text: sums, digest, and the counts of its pairs.
+    read = lambda tools, t: (lambda x: ([x.per_text(c).tolist() for c in x.sums.T], x.digests(), [c.tolist() for c in x.document_counts()]))(align.Batch(tools, t))
+    tools = align.Aligner(*files)
+    want = [read(tools, [t]) for t in texts]
+    monkeypatch.setattr(align, "REMEMBERED", 6)
+    tools = align.Aligner(*files)
+    got, most = [], 0
+    for t in texts:
+        got.append(read(tools, [t]))
+        most = max(most, len(tools.number))
+        assert len(tools.number) == len(tools.known.valid) == len(tools.met) == len(tools.known.groups)
+    assert got == want and most <= 2 * 6 + 12
